@@ -131,17 +131,27 @@ def zscores(df: DataFrame, cols: Sequence[str] = NUMERIC) -> DataFrame:
     return out.drop(*[f"_m_{c}" for c in cols], *[f"_s_{c}" for c in cols])
 
 
-def clean(typed: DataFrame, with_zscores: bool = True) -> DataFrame:
-    """The cleaning stage in the original order; one lazy plan."""
+def clean(typed: DataFrame, with_zscores: bool = True, cut_lineage: bool = False) -> DataFrame:
+    """The cleaning stage in the original order.
+
+    With ``cut_lineage`` the frame is checkpointed (reliable checkpoint in
+    ``spark.checkpoint.dir``) before the whole-table scalars are computed, so
+    the median, the quartiles and the moments each read stored rows instead of
+    re-running the upstream joins.
+    """
     df = strip_column_names(typed)
     require_columns(df)
     df = drop_incomplete(df)
+    if cut_lineage:
+        df = df.checkpoint(eager=True)
     df = impute_median(df, "discount")
     df = impute_constant(df, "birth_date", BIRTH_DATE_FILL)
     df = amount_per_unit(df)
     df = age_years(df)
     df = age_backstop(df)
     df = purchase_frequency(df)
+    if cut_lineage:
+        df = df.checkpoint(eager=True)
     df = iqr_flags(df, [("amount", "outlier_amount"), ("units", "outlier_units")])
     if with_zscores:
         df = zscores(df)

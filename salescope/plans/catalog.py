@@ -69,3 +69,116 @@ SELECT ts, channel, sku, units, discount, amount, store, gender, age, purchase_f
        outlier_amount, outlier_units FROM cl WHERE ts IS NOT NULL AND amount IS NOT NULL"""))
 def q_pruned_scan(spark, d):
     return PR.pruned_scan(clean_sales(spark, d))
+
+
+# --------------------------------------------------------------------------- sources and validation
+
+from salescope.operators import validate as V  # noqa: E402
+from salescope.plans.views import checked_lines  # noqa: E402
+from salescope.plans.views import raw_text as raw_lines  # noqa: E402
+from salescope.sources.text import volume_profile  # noqa: E402
+
+HEAD_N = 8000
+CHUNK = 100_000
+
+
+def _rules(spark, d):
+    return V.rule_columns(V.split_fields(raw_lines(spark, d)))
+
+
+@register("head_n", O.with_raw(f"SELECT record_no, line FROM raw WHERE record_no <= {HEAD_N}"))
+def q_head_n(spark, d):
+    return raw_lines(spark, d).filter(F.col("record_no") <= HEAD_N)
+
+
+@register("volume_profile", O.with_raw(f"""
+SELECT CAST(floor((record_no - 1) / {CHUNK}) AS BIGINT) AS chunk_index, count(*) AS rows FROM raw GROUP BY 1"""))
+def q_volume_profile(spark, d):
+    return volume_profile(raw_lines(spark, d), CHUNK)
+
+
+@register("rule_arity", O.with_checked("SELECT record_no, n_fields FROM rc2 WHERE fails_arity"))
+def q_rule_arity(spark, d):
+    return _rules(spark, d).filter("fails_arity").select("record_no", "n_fields")
+
+
+@register("rule_required", O.with_checked(
+    "SELECT record_no, empty_field FROM rc2 WHERE NOT fails_arity AND empty_field IS NOT NULL"))
+def q_rule_required(spark, d):
+    return _rules(spark, d).filter(~F.col("fails_arity") & F.col("empty_field").isNotNull()) \
+        .select("record_no", "empty_field")
+
+
+def _rule_query(key: str, flag: str, extra_spark=(), extra_sql=""):
+    sql = O.with_checked(f"SELECT record_no{extra_sql} FROM rc2 WHERE NOT fails_arity AND {flag}")
+
+    @register(key, sql)
+    def q(spark, d):
+        return _rules(spark, d).filter(~F.col("fails_arity") & F.col(flag)).select("record_no", *extra_spark)
+    return q
+
+
+_rule_query("rule_integer", "fails_integer")
+_rule_query("rule_positive", "fails_positive")
+_rule_query("rule_decimal", "fails_decimal")
+_rule_query("rule_range", "fails_range")
+_rule_query("rule_check_digit", "fails_check_digit", ["national_id"], ", national_id")
+_rule_query("rule_uuid", "fails_uuid", ["customer_id"], ", customer_id")
+_rule_query("rule_timestamp", "fails_timestamp", ["ts"], ", ts")
+_rule_query("rule_birth_date", "fails_birth_date", ["birth_date"], ", birth_date")
+_rule_query("rule_gender", "fails_gender", ["gender"], ", gender")
+
+
+@register("rule_age", O.with_checked(f"""
+SELECT record_no, {O.sig('age_at_sale')} AS age_at_sale FROM rc2 WHERE NOT fails_arity AND fails_age"""))
+def q_rule_age(spark, d):
+    return (_rules(spark, d).filter(~F.col("fails_arity") & F.col("fails_age"))
+            .select("record_no", sig("age_at_sale").alias("age_at_sale")))
+
+
+@register("first_failure", O.with_checked("SELECT record_no, fail_field, fail_rule, fail_value FROM chk"))
+def q_first_failure(spark, d):
+    return checked_lines(spark, d).select("record_no", "fail_field", "fail_rule", "fail_value")
+
+
+@register("valid_rows", O.with_checked(
+    "SELECT * EXCLUDE (fail_field, fail_rule, fail_value) FROM chk WHERE fail_field IS NULL"))
+def q_valid_rows(spark, d):
+    return V.valid_rows(checked_lines(spark, d))
+
+
+@register("quarantine_lines", O.with_checked("""
+SELECT record_no, concat_ws(':', CAST(record_no AS VARCHAR), fail_field, fail_rule, fail_value) AS line
+FROM chk WHERE fail_field IS NOT NULL"""))
+def q_quarantine_lines(spark, d):
+    return V.quarantine_lines(checked_lines(spark, d))
+
+
+@register("validation_totals", O.with_checked("""
+SELECT count(*) AS read, count(*) FILTER (WHERE fail_field IS NULL) AS valid,
+       count(*) FILTER (WHERE fail_field IS NOT NULL) AS discarded,
+       count(*) FILTER (WHERE fail_field = 'EDAD') AS discarded_age FROM chk"""))
+def q_validation_totals(spark, d):
+    return V.validation_totals(checked_lines(spark, d))
+
+
+@register("chunk_totals", O.with_checked(f"""
+SELECT CAST(floor((record_no - 1) / {CHUNK}) AS BIGINT) AS chunk_index, count(*) AS read,
+       count(*) FILTER (WHERE fail_field IS NULL) AS valid,
+       count(*) FILTER (WHERE fail_field IS NOT NULL) AS discarded,
+       count(*) FILTER (WHERE fail_field = 'EDAD') AS discarded_age FROM chk GROUP BY 1"""))
+def q_chunk_totals(spark, d):
+    return V.chunk_totals(checked_lines(spark, d), CHUNK)
+
+
+@register("discard_reasons", O.with_checked("""
+SELECT fail_field AS field, count(*) AS n FROM chk WHERE fail_field IS NOT NULL GROUP BY 1"""))
+def q_discard_reasons(spark, d):
+    return V.discard_reasons(checked_lines(spark, d))
+
+
+@register("discard_summary", O.with_checked("""
+SELECT coalesce(reason, 'total') AS reason, count(*) AS n FROM
+  (SELECT fail_field AS reason FROM chk WHERE fail_field IS NOT NULL) GROUP BY ROLLUP (reason)"""))
+def q_discard_summary(spark, d):
+    return V.discard_summary(V.quarantine_lines(checked_lines(spark, d)))

@@ -79,3 +79,186 @@ def with_sales(body: str) -> str:
 
 
 _ = BREAK_MOD
+
+
+# --------------------------------------------------------------------------- raw lines + validation
+
+from salescope.functions import parse as _P  # noqa: E402
+from salescope.schema import RAW_FIELDS as _RAW, SNAKE as _SNAKE  # noqa: E402
+
+_WS = "(' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12))"
+
+
+def _strip(x: str) -> str:
+    return f"trim({x}, {_WS})"
+
+
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+_TEXT = {
+    "FECHA": "strftime(ts, '%Y-%m-%dT%H:%M:%S')",
+    "CANAL": "channel",
+    "SKU": "CAST(sku AS VARCHAR)",
+    "PRODUCTO": "product",
+    "UNIDADES": "CAST(units AS VARCHAR)",
+    "PORCENTAJE DESCUENTO": "coalesce(printf('%.4f', discount), '')",
+    "MONTO APLICADO": "printf('%.2f', amount)",
+    "BOLETA": "CAST(receipt AS VARCHAR)",
+    "LOCAL": "CAST(store AS VARCHAR)",
+    "CODIGO CLIENTE": "customer_id",
+    "RUN CLIENTE": "national_id",
+    "NOMBRES": "first_names",
+    "APELLIDOS": "last_names",
+    "FECHA NACIMIENTO": "coalesce(strftime(birth_date, '%Y-%m-%d'), '')",
+    "GENERO": "CAST(gender AS VARCHAR)",
+}
+
+
+def _breaks() -> dict[int, tuple[str, str]]:
+    t = _TEXT
+    return {
+        3: ("BOLETA", "''"), 4: ("SKU", "'12a'"), 5: ("UNIDADES", "'0'"), 6: ("LOCAL", "'-3'"),
+        7: ("MONTO APLICADO", "'12,50'"), 8: ("PORCENTAJE DESCUENTO", "'1.5000'"), 9: ("MONTO APLICADO", "'0'"),
+        10: ("RUN CLIENTE", "substr(national_id, 1, length(national_id) - 1) || 'X'"),
+        11: ("CODIGO CLIENTE", "'bad-uuid'"),
+        12: ("FECHA", f"substr({t['FECHA']}, 1, 5) || 'l' || substr({t['FECHA']}, 6)"),
+        13: ("FECHA NACIMIENTO", "'1970-02-30'"), 14: ("FECHA NACIMIENTO", "'1850-06-15'"),
+        15: ("GENERO", "'3'"), 16: ("FECHA NACIMIENTO", "'2005-01-01'"),
+        17: ("UNIDADES", f"' ' || {t['UNIDADES']} || ' '"), 18: ("RUN CLIENTE", "lower(national_id)"),
+        19: ("FECHA", "strftime(ts, '%Y%m%dT%H%M%S')"), 20: ("UNIDADES", f"'+' || {t['UNIDADES']}"),
+        21: ("MONTO APLICADO", "'nan'"), 22: ("SKU", f"'1_' || {t['SKU']}"),
+        23: ("PORCENTAJE DESCUENTO", "'1e-1'"), 24: ("FECHA", "strftime(ts, '%Y-%m-%d %H:%M')"),
+        25: ("FECHA NACIMIENTO", "coalesce(strftime(birth_date, '%Y-%-m-%-d'), '')"),
+        26: ("PORCENTAJE DESCUENTO", "'inf'"),
+    }
+
+
+def _raw_cte() -> str:
+    r = pmod("record_no", BREAK_MOD)
+    fields = {}
+    for name in _RAW:
+        cases = [(res, repl) for res, (fname, repl) in _breaks().items() if fname == name]
+        if cases:
+            whens = " ".join(f"WHEN {r} = {res} THEN {repl}" for res, repl in cases)
+            fields[name] = f"(CASE {whens} ELSE {_TEXT[name]} END)"
+        else:
+            fields[name] = _TEXT[name]
+    ordered = [fields[n] for n in _RAW]
+    line = (f"CASE WHEN {r} = 1 THEN concat_ws(';', {', '.join(ordered[:-1])}) "
+            f"WHEN {r} = 2 THEN concat_ws(';', {', '.join(ordered)}, 'EXTRA') "
+            f"ELSE concat_ws(';', {', '.join(ordered)}) END")
+    return f"raw AS (SELECT record_no, {line} AS line FROM sv)"
+
+
+def _parse_int(x):
+    return f"(CASE WHEN regexp_matches({x}, {_q(_P.INT_SHAPE)}) THEN TRY_CAST(replace({x}, '_', '') AS DECIMAL(38,0)) END)"
+
+
+def _parse_float(x):
+    return (f"(CASE WHEN regexp_matches({x}, {_q(_P.FLOAT_NAN)}) THEN 'nan'::DOUBLE "
+            f"WHEN regexp_matches({x}, {_q(_P.FLOAT_POS_INF)}) THEN 'inf'::DOUBLE "
+            f"WHEN regexp_matches({x}, {_q(_P.FLOAT_NEG_INF)}) THEN '-inf'::DOUBLE "
+            f"WHEN regexp_matches({x}, {_q(_P.FLOAT_SHAPE)}) THEN TRY_CAST(replace({x}, '_', '') AS DOUBLE) END)")
+
+
+def _parse_ts(x):
+    d = f"regexp_replace({x}, '[^0-9]', '', 'g')"
+
+    def part(pos, n, default):
+        return f"(CASE WHEN substr({d}, {pos}, {n}) = '' THEN '{default}' ELSE substr({d}, {pos}, {n}) END)"
+    frac = f"substr({d}, 15, 6)"
+    norm = (f"substr({d}, 1, 4) || '-' || substr({d}, 5, 2) || '-' || substr({d}, 7, 2) || ' ' || "
+            f"{part(9, 2, '00')} || ':' || {part(11, 2, '00')} || ':' || {part(13, 2, '00')} || "
+            f"(CASE WHEN {frac} = '' THEN '' ELSE '.' || {frac} END)")
+    return f"(CASE WHEN regexp_matches({x}, {_q(_P.ISO_TS_SHAPE)}) THEN TRY_CAST({norm} AS TIMESTAMP) END)"
+
+
+def _parse_date(x):
+    pat = _q(_P.YMD_SHAPE)
+    g = lambda i: f"regexp_extract({x}, {pat}, {i})"
+    norm = f"{g(1)} || '-' || lpad(trim({g(2)}), 2, '0') || '-' || lpad(trim({g(3)}), 2, '0')"
+    return f"(CASE WHEN regexp_matches({x}, {pat}) THEN TRY_CAST({norm} AS DATE) END)"
+
+
+def _uuid_ok(x):
+    s = f"replace(trim(replace(replace({x}, 'urn:', ''), 'uuid:', ''), '{{}}'), '-', '')"
+    return f"(length({s}) = 32 AND regexp_matches({s}, {_q(_P.UUID_HEX)}))"
+
+
+def _rut_ok(x):
+    t = f"replace(replace(upper({x}), '.', ''), '-', '')"
+    body = f"substr({t}, 1, length({t}) - 1)"
+    dv = f"substr({t}, length({t}), 1)"
+    total = (f"list_sum(list_transform(range(length({body})), "
+             f"lambda i: TRY_CAST(substr({body}, length({body}) - CAST(i AS INTEGER), 1) AS INTEGER) * (2 + i % 6)))")
+    r = f"(11 - ({total}) % 11)"
+    expected = f"(CASE {r} WHEN 11 THEN '0' WHEN 10 THEN 'K' ELSE CAST({r} AS VARCHAR) END)"
+    return f"coalesce(length({t}) >= 2 AND regexp_matches({body}, '^[0-9]+$') AND {dv} = {expected}, false)"
+
+
+def _checked_ctes() -> str:
+    cols = ",\n         ".join(
+        f"CASE WHEN len(p) = {len(_RAW)} THEN p[{i + 1}] END AS {_SNAKE[f]}" for i, f in enumerate(_RAW))
+    strip = ",\n         ".join(f"{_strip(_SNAKE[f])} AS s_{_SNAKE[f]}" for f in _RAW)
+    empty = " ".join(f"WHEN s_{_SNAKE[f]} = '' THEN {_q(f)}" for f in _RAW)
+    ints = " AND ".join(f"regexp_matches(s_{c}, {_q(_P.INT_SHAPE)})" for c in ("sku", "units", "receipt", "store"))
+    return f"""{_raw_cte()},
+sp AS (SELECT record_no, string_split(line, ';') AS p FROM raw),
+fl AS (SELECT record_no, len(p) AS n_fields,
+         {cols}
+       FROM sp),
+st AS (SELECT *,
+         {strip}
+       FROM fl),
+pr AS (SELECT *,
+         n_fields <> {len(_RAW)} AS fails_arity,
+         CASE {empty} END AS empty_field,
+         NOT ({ints}) AS fails_integer,
+         {_parse_int('s_units')} AS u, {_parse_int('s_receipt')} AS b, {_parse_int('s_store')} AS l,
+         {_parse_float('s_discount')} AS d, {_parse_float('s_amount')} AS m,
+         NOT {_rut_ok('s_national_id')} AS fails_check_digit,
+         NOT {_uuid_ok('s_customer_id')} AS fails_uuid,
+         {_parse_ts('s_ts')} AS pts, {_parse_date('s_birth_date')} AS pbirth,
+         NOT (s_gender IN ('1', '2')) AS fails_gender
+       FROM st),
+rc AS (SELECT *,
+         (u <= 0 OR b <= 0 OR l <= 0) AS fails_positive,
+         (d IS NULL OR m IS NULL) AS fails_decimal,
+         (NOT (d >= 0 AND d <= 1) OR m <= 0) AS fails_range,
+         pts IS NULL AS fails_timestamp, pbirth IS NULL AS fails_birth_date,
+         datediff('day', pbirth, CAST(pts AS DATE)) / 365.25 AS age_at_sale
+       FROM pr),
+rc2 AS (SELECT *, (age_at_sale < 0 OR age_at_sale > 110) AS fails_age FROM rc),
+chk AS (SELECT record_no, {', '.join(_SNAKE[f] for f in _RAW)},
+   CASE WHEN fails_arity THEN 'columna' WHEN empty_field IS NOT NULL THEN empty_field
+        WHEN fails_integer THEN 'SKU o UNIDADES o BOLETA o LOCAL'
+        WHEN fails_positive THEN 'UNIDADES o BOLETA o LOCAL'
+        WHEN fails_decimal OR fails_range THEN 'PORCENTAJE DESCUENTO o MONTO APLICADO'
+        WHEN fails_check_digit THEN 'RUN CLIENTE' WHEN fails_uuid THEN 'CODIGO CLIENTE'
+        WHEN fails_timestamp THEN 'FECHA' WHEN fails_birth_date THEN 'FECHA NACIMIENTO'
+        WHEN fails_age THEN 'EDAD' WHEN fails_gender THEN 'GENERO' END AS fail_field,
+   CASE WHEN fails_arity THEN 'cantidad_de_columnas_incorrecta' WHEN empty_field IS NOT NULL THEN 'campo_vacio'
+        WHEN fails_integer THEN 'entero_invalido' WHEN fails_positive THEN 'valor_numerico_no_positivo'
+        WHEN fails_decimal THEN 'decimal_invalido' WHEN fails_range THEN 'descuento_o_monto_invalido'
+        WHEN fails_check_digit THEN 'rut_invalido' WHEN fails_uuid THEN 'uuid_invalido'
+        WHEN fails_timestamp OR fails_birth_date THEN 'formato_fecha_invalido'
+        WHEN fails_age THEN 'edad_fuera_de_rango' WHEN fails_gender THEN 'valor_invalido' END AS fail_rule,
+   CASE WHEN fails_arity THEN 'sin_valor' WHEN empty_field IS NOT NULL THEN ''
+        WHEN fails_integer THEN 'valor_no_entero'
+        WHEN fails_positive THEN s_units || '/' || s_receipt || '/' || s_store
+        WHEN fails_decimal OR fails_range THEN s_discount || '/' || s_amount
+        WHEN fails_check_digit THEN s_national_id WHEN fails_uuid THEN s_customer_id
+        WHEN fails_timestamp THEN s_ts WHEN fails_birth_date THEN s_birth_date
+        WHEN fails_age THEN printf('%.2f', age_at_sale) WHEN fails_gender THEN s_gender END AS fail_value
+  FROM rc2)"""
+
+
+def with_checked(body: str) -> str:
+    """``raw`` (record_no, line), ``rc2`` (rule flags) and ``chk`` (first failure) CTEs."""
+    return f"WITH {SALES},\n{_checked_ctes()}\n{body}"
+
+
+def with_raw(body: str) -> str:
+    return f"WITH {SALES},\n{_raw_cte()}\n{body}"

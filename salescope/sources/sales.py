@@ -67,7 +67,8 @@ def _text_fields(s: DataFrame) -> dict[str, Column]:
         "SKU": F.col("sku").cast("string"),
         "PRODUCTO": F.col("product"),
         "UNIDADES": F.col("units").cast("string"),
-        "PORCENTAJE DESCUENTO": F.coalesce(F.format_string("%.4f", "discount"), F.lit("")),
+        "PORCENTAJE DESCUENTO": F.when(F.col("discount").isNotNull(), F.format_string("%.4f", "discount"))
+                                .otherwise(F.lit("")),
         "MONTO APLICADO": F.format_string("%.2f", "amount"),
         "BOLETA": F.col("receipt").cast("string"),
         "LOCAL": F.col("store").cast("string"),
