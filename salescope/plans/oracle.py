@@ -64,7 +64,7 @@ cpf AS (SELECT customer_id, count(*) AS purchase_frequency FROM c2 GROUP BY cust
 c3 AS (SELECT c2.*, cpf.purchase_frequency FROM c2 JOIN cpf USING (customer_id)),
 cq AS (SELECT quantile_cont(amount, 0.25) AS qa1, quantile_cont(amount, 0.75) AS qa3,
               quantile_cont(units, 0.25) AS qu1, quantile_cont(units, 0.75) AS qu3 FROM c3),
-cl AS (SELECT c3.*,
+cl AS MATERIALIZED (SELECT c3.*,
          coalesce(CAST((amount < qa1 - 1.5 * (qa3 - qa1) OR amount > qa3 + 1.5 * (qa3 - qa1)) AS INTEGER), 0) AS outlier_amount,
          coalesce(CAST((units < qu1 - 1.5 * (qu3 - qu1) OR units > qu3 + 1.5 * (qu3 - qu1)) AS INTEGER), 0) AS outlier_units
        FROM c3, cq)"""
@@ -230,8 +230,8 @@ rc AS (SELECT *,
          pts IS NULL AS fails_timestamp, pbirth IS NULL AS fails_birth_date,
          datediff('day', pbirth, CAST(pts AS DATE)) / 365.25 AS age_at_sale
        FROM pr),
-rc2 AS (SELECT *, (age_at_sale < 0 OR age_at_sale > 110) AS fails_age FROM rc),
-chk AS (SELECT record_no, {', '.join(_SNAKE[f] for f in _RAW)},
+rc2 AS MATERIALIZED (SELECT *, (age_at_sale < 0 OR age_at_sale > 110) AS fails_age FROM rc),
+chk AS MATERIALIZED (SELECT record_no, {', '.join(_SNAKE[f] for f in _RAW)},
    CASE WHEN fails_arity THEN 'columna' WHEN empty_field IS NOT NULL THEN empty_field
         WHEN fails_integer THEN 'SKU o UNIDADES o BOLETA o LOCAL'
         WHEN fails_positive THEN 'UNIDADES o BOLETA o LOCAL'

@@ -59,5 +59,11 @@ def raw_text(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 def checked_lines(spark: SparkSession, data_dir: str) -> DataFrame:
-    """Raw delimited lines with their first failing rule (NULL = valid)."""
-    return V.first_failure(raw_text(spark, data_dir))
+    """Raw delimited lines with their first failing rule (NULL = valid), written once.
+
+    Valid rows, quarantine and totals are three consumers of one validation
+    pass; writing its result keeps the rule chain from being re-evaluated (or
+    inlined into pushed-down filters) by each of them.
+    """
+    return written_table(spark, "checked_lines", data_dir,
+                         lambda: V.first_failure(raw_text(spark, data_dir)))
