@@ -98,7 +98,7 @@ def uuid_ok(c) -> Column:
 def check_digit(body) -> Column:
     """Mod-11 check digit of a digit string: weights 2..7 from the right; 11→'0', 10→'K'."""
     digits = F.reverse(F.split(_col(body), ""))
-    weighted = F.transform(digits, lambda x, i: x.cast("int") * (F.lit(2) + i % 6))
+    weighted = F.transform(digits, lambda x, i: x.try_cast("int") * (F.lit(2) + i % 6))
     total = F.aggregate(weighted, F.lit(0), lambda acc, x: acc + x)
     r = F.lit(11) - total % 11
     return F.when(r == 11, F.lit("0")).when(r == 10, F.lit("K")).otherwise(r.cast("string"))

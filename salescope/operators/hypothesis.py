@@ -32,34 +32,29 @@ def _present(df: DataFrame, *cols: str) -> DataFrame:
 def chi_square(df: DataFrame, a: str, b: str, label: str | None = None) -> DataFrame:
     """Pearson chi-square of independence on the contingency table of ``a`` × ``b``.
 
-    Uses ``Σ o²/e − n`` over observed cells (zero cells contribute ``e − 2·0 + 0``
-    which the identity already accounts for), so the full grid is never built.
-    Yates' correction is applied only when dof = 1 (2×2), from the four cells.
+    Uses ``Σ o²/e − n`` over the observed cells (the identity already accounts
+    for zero cells), so the full category grid is never built.  Yates'
+    correction is applied only when dof = 1 (2×2): there |o − e| is the same in
+    all four cells and Σ 1/e over the four cells is n³ / (Π row sums · Π column sums).
     Needs at least 2 rows and 2 columns; otherwise statistic NULL with a note.
     """
     label = label or f"{a} vs {b}"
-    obs = _present(df, a, b).groupBy(a, b).agg(F.count(F.lit(1)).alias("o"))
-    ra = obs.groupBy(a).agg(F.sum("o").alias("ra"))
-    cb = obs.groupBy(b).agg(F.sum("o").alias("cb"))
-    tot = obs.agg(F.sum("o").alias("n"), F.count_distinct(a).alias("r"), F.count_distinct(b).alias("c"))
-    cells = obs.join(ra, a).join(cb, b).crossJoin(F.broadcast(tot))
-    e = F.col("ra") * F.col("cb") / F.col("n")
-    # 2×2 Yates: |o−e| is the same in all four cells; absent cells have o = 0.
-    s = cells.groupBy("n", "r", "c").agg(
-        (F.sum(F.col("o") * F.col("o") / e)).alias("_s"),
-        F.max(F.abs(F.col("o") - e)).alias("_dmax"),
-        F.sum(1.0 / e).alias("_inv_e_obs"),
-        F.count(F.lit(1)).alias("_cells"))
-    dof = (F.col("r") - 1) * (F.col("c") - 1)
-    plain = F.col("_s") - F.col("n")
-    # For 2×2, Σ over all 4 cells of 1/e = n/(ra1·cb1)+… ; with margins known it equals n³/(Πra·Πcb).
-    inv_e_all = F.col("_inv_all")
-    d = F.col("_dmax")
-    yates = F.pow(F.greatest(d - F.least(F.lit(0.5), d), F.lit(0.0)), 2) * inv_e_all
-    margins = (ra.agg(F.product("ra").alias("_pra")).crossJoin(cb.agg(F.product("cb").alias("_pcb"))))
-    s = s.crossJoin(F.broadcast(margins)).withColumn(
-        "_inv_all", F.pow(F.col("n").cast("double"), 3) / (F.col("_pra") * F.col("_pcb")))
-    ok = (F.col("r") >= 2) & (F.col("c") >= 2)
+    obs = _present(df, a, b).groupBy(a, b).agg(F.count(F.lit(1)).alias("_o"))
+    ra = obs.groupBy(a).agg(F.sum("_o").alias("_ra"))
+    cb = obs.groupBy(b).agg(F.sum("_o").alias("_cb"))
+    tot = obs.agg(F.sum("_o").alias("_n"), F.count_distinct(a).alias("_nr"), F.count_distinct(b).alias("_nc"))
+    margins = ra.agg(F.product("_ra").alias("_pra")).crossJoin(cb.agg(F.product("_cb").alias("_pcb")))
+    e = F.col("_ra") * F.col("_cb") / F.col("_n")
+    s = (obs.join(ra, a).join(cb, b).crossJoin(F.broadcast(tot))
+         .groupBy("_n", "_nr", "_nc")
+         .agg(F.sum(F.col("_o") * F.col("_o") / e).alias("_s"), F.max(F.abs(F.col("_o") - e)).alias("_d"))
+         .crossJoin(F.broadcast(margins)))
+    dof = (F.col("_nr") - 1) * (F.col("_nc") - 1)
+    plain = F.col("_s") - F.col("_n")
+    d = F.col("_d")
+    inv_e = F.pow(F.col("_n").cast("double"), 3) / (F.col("_pra") * F.col("_pcb"))
+    yates = F.pow(F.greatest(d - F.least(F.lit(0.5), d), F.lit(0.0)), 2) * inv_e
+    ok = (F.col("_nr") >= 2) & (F.col("_nc") >= 2)
     stat = F.when(~ok, None).when(dof == 1, yates).otherwise(plain)
     return s.select(F.lit("Chi-cuadrado").alias("test"), F.lit(label).alias("variables"),
                     stat.alias("statistic"), F.when(ok, dof).cast("bigint").alias("dof"),
@@ -72,19 +67,21 @@ def chi_square(df: DataFrame, a: str, b: str, label: str | None = None) -> DataF
 def anova(df: DataFrame, group: str, value: str, label: str | None = None) -> DataFrame:
     """One-way ANOVA over groups with more than one row: F, dfs (needs ≥ 2 groups)."""
     g = (_present(df, group, value).groupBy(group)
-         .agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("m"), F.var_pop(value).alias("vp"))
-         .filter(F.col("n") > 1))
-    tot = g.agg(F.sum("n").alias("N"), F.count(F.lit(1)).alias("k"),
-                (F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("gm"))
-    j = g.crossJoin(F.broadcast(tot))
-    s = j.groupBy("N", "k").agg(F.sum(F.col("n") * F.pow(F.col("m") - F.col("gm"), 2)).alias("ssb"),
-                                F.sum(F.col("n") * F.col("vp")).alias("ssw"))
-    ok = F.col("k") >= 2
-    f = (F.col("ssb") / (F.col("k") - 1)) / (F.col("ssw") / (F.col("N") - F.col("k")))
+         .agg(F.count(F.lit(1)).alias("_ng"), F.avg(value).alias("_m"), F.var_pop(value).alias("_vp"))
+         .filter(F.col("_ng") > 1))
+    tot = g.agg(F.sum("_ng").alias("_tn"), F.count(F.lit(1)).alias("_k"),
+                (F.sum(F.col("_ng") * F.col("_m")) / F.sum("_ng")).alias("_gm"))
+    s = (g.crossJoin(F.broadcast(tot)).groupBy("_tn", "_k")
+         .agg(F.sum(F.col("_ng") * F.pow(F.col("_m") - F.col("_gm"), 2)).alias("_ssb"),
+              F.sum(F.col("_ng") * F.col("_vp")).alias("_ssw")))
+    # A single group (or none) still yields one row: statistic NULL.
+    s = tot.select("_tn", "_k").join(s, ["_tn", "_k"], "left")
+    ok = F.col("_k") >= 2
+    f = (F.col("_ssb") / (F.col("_k") - 1)) / (F.col("_ssw") / (F.col("_tn") - F.col("_k")))
     return s.select(F.lit("ANOVA").alias("test"), F.lit(label or f"{value} por {group}").alias("variables"),
                     F.when(ok, f).alias("statistic"),
-                    F.when(ok, F.col("k") - 1).cast("bigint").alias("df1"),
-                    F.when(ok, F.col("N") - F.col("k")).cast("bigint").alias("df2"))
+                    F.when(ok, F.col("_k") - 1).cast("bigint").alias("df1"),
+                    F.when(ok, F.col("_tn") - F.col("_k")).cast("bigint").alias("df2"))
 
 
 def welch_t(df: DataFrame, group: str, value: str, g1, g2, label: str | None = None) -> DataFrame:

@@ -306,11 +306,11 @@ _ZSQL_PARAMS = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in
 
 
 @register("zscore", O.with_clean(f"""
-SELECT record_no, {', '.join(O.sig(f'CASE WHEN s_{c} IS NULL OR s_{c} <> 0 THEN ({c} - m_{c}) / s_{c} ELSE 0.0 END') + f' AS {c}_z' for c in NUMERIC)}
+SELECT record_no, {', '.join(f'round(CASE WHEN s_{c} IS NULL OR s_{c} <> 0 THEN ({c} - m_{c}) / s_{c} ELSE 0.0 END, 8)' + f' AS {c}_z' for c in NUMERIC)}
 FROM cl, (SELECT {_ZSQL_PARAMS} FROM cl)"""))
 def q_zscore(spark, d):
     cl = clean_sales(spark, d)
-    return cl.select("record_no", *[sig(f"{c}_z").alias(f"{c}_z") for c in NUMERIC])
+    return cl.select("record_no", *[F.round(f"{c}_z", 8).alias(f"{c}_z") for c in NUMERIC])
 
 
 @register("zscore_params", O.with_clean(" UNION ALL ".join(
@@ -342,7 +342,7 @@ _LEVELS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
 
 @register("one_hot", O.with_clean("SELECT record_no, " + ", ".join(
-    f"CASE WHEN channel = '{v}' THEN 1.0 ELSE 0.0 END AS \"channel_{v}\"" for v in _LEVELS[1:]) + " FROM cl"))
+    f"CAST(CASE WHEN channel = '{v}' THEN 1.0 ELSE 0.0 END AS DOUBLE) AS \"channel_{v}\"" for v in _LEVELS[1:]) + " FROM cl"))
 def q_one_hot(spark, d):
     return M.one_hot(clean_sales(spark, d).select("record_no", "channel"), "channel")
 
@@ -430,7 +430,7 @@ def q_descriptive_stats(spark, d):
 
 
 @register("quantiles", O.with_clean(" UNION ALL ".join(
-    f"SELECT '{c}' AS variable, {q} AS q, {O.sig(f'quantile_cont({c}, {q})')} AS quantile FROM cl"
+    f"SELECT '{c}' AS variable, CAST({q} AS DOUBLE) AS q, {O.sig(f'quantile_cont({c}, {q})')} AS quantile FROM cl"
     for c in NUMERIC for q in (0.25, 0.5, 0.75))))
 def q_quantiles(spark, d):
     r = PR.quantile_table(clean_sales(spark, d), NUMERIC)
@@ -937,7 +937,7 @@ _MF_COLS = ["record_no", "amount", "units", "discount", "age", "purchase_frequen
 @register("model_frame", O.with_clean("SELECT " + ", ".join(
     [c if c not in ("discount", "age", "amount") else f"{O.sig(c)} AS {c}" for c in _MF_COLS] +
     ["CAST(month(ts) AS INTEGER) AS month", "CAST(isodow(ts) - 1 AS INTEGER) AS weekday", "CAST(hour(ts) AS INTEGER) AS hour"] +
-    [f"CASE WHEN channel = '{v}' THEN 1.0 ELSE 0.0 END AS \"channel_{v}\"" for v in _LEVELS[1:]]) + " FROM cl"))
+    [f"CAST(CASE WHEN channel = '{v}' THEN 1.0 ELSE 0.0 END AS DOUBLE) AS \"channel_{v}\"" for v in _LEVELS[1:]]) + " FROM cl"))
 def q_model_frame(spark, d):
     mf = M.model_frame(clean_sales(spark, d))
     return mf.select(*[sig(c).alias(c) if c in ("discount", "age", "amount") else F.col(c) for c in mf.columns])

@@ -70,12 +70,19 @@ cl AS MATERIALIZED (SELECT c3.*,
        FROM c3, cq)"""
 
 
+def _join(ctes: str, body: str) -> str:
+    b = body.lstrip()
+    if b[:4].upper() == "WITH":
+        return f"WITH {ctes},\n{b[4:]}"
+    return f"WITH {ctes}\n{body}"
+
+
 def with_clean(body: str) -> str:
-    return f"WITH {CLEAN}\n{body}"
+    return _join(CLEAN, body)
 
 
 def with_sales(body: str) -> str:
-    return f"WITH {SALES}\n{body}"
+    return _join(SALES, body)
 
 
 _ = BREAK_MOD
@@ -257,8 +264,8 @@ chk AS MATERIALIZED (SELECT record_no, {', '.join(_SNAKE[f] for f in _RAW)},
 
 def with_checked(body: str) -> str:
     """``raw`` (record_no, line), ``rc2`` (rule flags) and ``chk`` (first failure) CTEs."""
-    return f"WITH {SALES},\n{_checked_ctes()}\n{body}"
+    return _join(f"{SALES},\n{_checked_ctes()}", body)
 
 
 def with_raw(body: str) -> str:
-    return f"WITH {SALES},\n{_raw_cte()}\n{body}"
+    return _join(f"{SALES},\n{_raw_cte()}", body)
