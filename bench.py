@@ -52,7 +52,8 @@ def main() -> None:
         df.write.mode("overwrite").parquet(f"{scratch}/{name}")
         return spark.read.parquet(f"{scratch}/{name}")
 
-    lines = timed("prepare", lambda: write(raw_lines(spark, sf_dir), "raw_lines"))
+    n_files = 2 * spark.sparkContext.defaultParallelism
+    lines = timed("prepare", lambda: write(raw_lines(spark, sf_dir).repartition(n_files, "record_no"), "raw_lines"))
     n_lines = lines.count()
 
     def validate():

@@ -45,7 +45,7 @@ def py_strip(c) -> Column:
 def parse_int(c) -> Column:
     """``int(text)`` → decimal(38,0), NULL when Python would raise."""
     s = py_strip(c)
-    return F.when(s.rlike(INT_SHAPE), F.regexp_replace(s, "_", "").try_cast("decimal(38,0)"))
+    return F.when(s.rlike(INT_SHAPE), F.replace(s, F.lit("_"), F.lit("")).try_cast("decimal(38,0)"))
 
 
 def is_int(c) -> Column:
@@ -55,10 +55,10 @@ def is_int(c) -> Column:
 def parse_float(c) -> Column:
     """``float(text)`` → double (NaN and ±inf included), NULL when Python raises."""
     s = py_strip(c)
-    return (F.when(s.rlike(FLOAT_NAN), F.lit(float("nan")))
+    return (F.when(s.rlike(FLOAT_SHAPE), F.replace(s, F.lit("_"), F.lit("")).try_cast("double"))
+            .when(s.rlike(FLOAT_NAN), F.lit(float("nan")))
             .when(s.rlike(FLOAT_POS_INF), F.lit(float("inf")))
-            .when(s.rlike(FLOAT_NEG_INF), F.lit(float("-inf")))
-            .when(s.rlike(FLOAT_SHAPE), F.regexp_replace(s, "_", "").try_cast("double")))
+            .when(s.rlike(FLOAT_NEG_INF), F.lit(float("-inf"))))
 
 
 def parse_iso_timestamp(c) -> Column:
@@ -70,12 +70,14 @@ def parse_iso_timestamp(c) -> Column:
         p = F.substring(d, pos, n)
         return F.when(p == "", F.lit(default)).otherwise(p)
 
+    canonical = s.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}$")
     frac = F.substring(d, 15, 6)
     norm = F.concat(F.substring(d, 1, 4), F.lit("-"), F.substring(d, 5, 2), F.lit("-"),
                     F.substring(d, 7, 2), F.lit(" "), part(9, 2, "00"), F.lit(":"),
                     part(11, 2, "00"), F.lit(":"), part(13, 2, "00"),
                     F.when(frac == "", F.lit("")).otherwise(F.concat(F.lit("."), frac)))
-    return F.when(s.rlike(ISO_TS_SHAPE), norm.try_cast("timestamp_ntz"))
+    return (F.when(canonical, s.try_cast("timestamp_ntz"))
+            .when(s.rlike(ISO_TS_SHAPE), norm.try_cast("timestamp_ntz")))
 
 
 def parse_ymd_date(c) -> Column:
@@ -84,29 +86,57 @@ def parse_ymd_date(c) -> Column:
     y = F.regexp_extract(s, YMD_SHAPE, 1)
     m = F.lpad(F.trim(F.regexp_extract(s, YMD_SHAPE, 2)), 2, "0")
     d = F.lpad(F.trim(F.regexp_extract(s, YMD_SHAPE, 3)), 2, "0")
-    return F.when(s.rlike(YMD_SHAPE), F.concat_ws("-", y, m, d).try_cast("date"))
+    canonical = s.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$")
+    return (F.when(canonical, s.try_cast("date"))
+            .when(s.rlike(YMD_SHAPE), F.concat_ws("-", y, m, d).try_cast("date")))
 
 
 def uuid_ok(c) -> Column:
     """``uuid.UUID(text)`` succeeds: strip ``urn:``/``uuid:``, braces, hyphens; 32 hex digits."""
     s = py_strip(c)
-    s = F.regexp_replace(F.regexp_replace(s, "urn:", ""), "uuid:", "")
-    s = F.regexp_replace(F.trim(s, F.lit("{}")), "-", "")
+    s = F.replace(F.replace(s, F.lit("urn:"), F.lit("")), F.lit("uuid:"), F.lit(""))
+    s = F.replace(F.trim(s, F.lit("{}")), F.lit("-"), F.lit(""))
     return (F.length(s) == 32) & s.rlike(UUID_HEX)
 
 
-def check_digit(body) -> Column:
-    """Mod-11 check digit of a digit string: weights 2..7 from the right; 11→'0', 10→'K'."""
-    digits = F.reverse(F.split(_col(body), ""))
+def _weighted_by_lambda(body: Column) -> Column:
+    """Σ digit·weight for any length (array functions; used only beyond the arithmetic range)."""
+    digits = F.reverse(F.split(body, ""))
     weighted = F.transform(digits, lambda x, i: x.try_cast("int") * (F.lit(2) + i % 6))
-    total = F.aggregate(weighted, F.lit(0), lambda acc, x: acc + x)
+    return F.aggregate(weighted, F.lit(0), lambda acc, x: acc + x)
+
+
+def _weighted_by_arithmetic(body: Column, chunks: int = 2) -> Column:
+    """The same sum for bodies of at most 12·chunks digits: left-pad with zeros, cut into
+    12-digit chunks (12 is a multiple of the weight cycle, so every chunk has the same
+    weights) and take digits arithmetically (exact: a 12-digit chunk and its quotients
+    stay far inside double precision)."""
+    width = 12 * chunks
+    padded = F.lpad(body, width, "0")
+    total = F.lit(0).cast("bigint")
+    for j in range(chunks):
+        x = F.substring(padded, 12 * j + 1, 12).try_cast("bigint")
+        for i in range(12):
+            total = total + (F.floor(x / F.lit(10 ** i)) % 10) * F.lit(2 + i % 6)
+    return total
+
+
+def check_digit(body) -> Column:
+    """Mod-11 check digit of a digit string: weights 2..7 from the right, cycling; 11→'0', 10→'K'.
+
+    Exact for any length.  Bodies of up to 24 digits (every real id) use plain
+    integer arithmetic, which compiles into the generated code; longer ones fall
+    back to array functions, evaluated only on that branch.
+    """
+    b = _col(body)
+    total = F.when(F.length(b) <= 24, _weighted_by_arithmetic(b)).otherwise(_weighted_by_lambda(b))
     r = F.lit(11) - total % 11
     return F.when(r == 11, F.lit("0")).when(r == 10, F.lit("K")).otherwise(r.cast("string"))
 
 
 def national_id_ok(c) -> Column:
     """Check-digit rule on text like ``12.345.678-5`` or ``123456785``."""
-    t = F.regexp_replace(F.upper(py_strip(c)), r"[.\-]", "")
+    t = F.replace(F.replace(F.upper(py_strip(c)), F.lit("."), F.lit("")), F.lit("-"), F.lit(""))
     n = F.length(t)
     body = t.substr(F.lit(1), n - 1)
     dv = t.substr(n, F.lit(1))

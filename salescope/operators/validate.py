@@ -39,16 +39,25 @@ def _unquote(c: Column) -> Column:
 
 
 def split_fields(records: DataFrame, header: list[str] | None = None, line_col: str = "line") -> DataFrame:
-    """``(record_no, line)`` → ``record_no, n_fields`` + one raw string column per field (snake_case)."""
+    """``(record_no, line)`` → ``record_no, n_fields`` + one raw string column per field (snake_case).
+
+    Lines without a quote use a plain split; lines with one split on separators
+    outside quotes and unquote each field.  No lambda, so the projection stays
+    in whole-stage codegen.
+    """
     header = header or RAW_FIELDS
     line = F.col(line_col)
-    plain = F.split(line, ";", -1)
-    quoted = F.transform(F.split(line, _QUOTE_AWARE_SEP, -1), _unquote)
-    parts = F.when(F.instr(line, '"') > 0, quoted).otherwise(plain)
-    df = records.withColumn("_parts", parts)
+    quoted = F.instr(line, '"') > 0
+    parts = F.when(quoted, F.split(line, _QUOTE_AWARE_SEP, -1)).otherwise(F.split(line, ";", -1))
+    df = records.select("record_no", parts.alias("_parts"), quoted.alias("_quoted"))
     n = F.size("_parts")
     ok = n == len(header)
-    cols = [F.when(ok, F.element_at("_parts", i + 1)).alias(SNAKE.get(h, h)) for i, h in enumerate(header)]
+
+    def field(i: int) -> Column:
+        v = F.element_at("_parts", i + 1)
+        return F.when(ok, F.when(F.col("_quoted"), _unquote(v)).otherwise(v))
+
+    cols = [field(i).alias(SNAKE.get(h, h)) for i, h in enumerate(header)]
     return df.select("record_no", n.alias("n_fields"), *cols)
 
 

@@ -133,3 +133,21 @@ def test_age_rule(spark):
     df = spark.createDataFrame([(i, line(t, b)) for i, (t, b, _) in enumerate(rows)], "record_no long, line string")
     got = {r["record_no"]: r["fail_field"] == "EDAD" for r in V.first_failure(df).collect()}
     assert got == {i: exp for i, (_, _, exp) in enumerate(rows)}
+
+
+def _check_digit_brute(body: str) -> str:
+    total, weight = 0, 2
+    for ch in reversed(body):
+        total += int(ch) * weight
+        weight = 2 if weight == 7 else weight + 1
+    r = 11 - total % 11
+    return "0" if r == 11 else "K" if r == 10 else str(r)
+
+
+def test_check_digit_any_length(spark):
+    import random
+    rnd = random.Random(7)
+    bodies = ["1", "6", "11", "9" * 59, "9" * 60, "9" * 61, "7" * 120] + [
+        "".join(rnd.choice("0123456789") for _ in range(rnd.randint(1, 90))) for _ in range(500)]
+    got = _eval(spark, P.check_digit, bodies)
+    assert got == [_check_digit_brute(b) for b in bodies]
