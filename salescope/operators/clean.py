@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from salescope.functions import parse as P
 from salescope.functions.numeric import nan_to_null
-from salescope.operators.ranks import quantile_row
+from salescope.operators.ranks import quantile_row, quantiles
 from salescope.schema import CLEAN_REQUIRED, ESSENTIAL, MAX_VALID_AGE, NUMERIC, RAW_OF
 
 # Imputation constants of the original pipeline.
@@ -94,18 +94,26 @@ def purchase_frequency(df: DataFrame, key: str = "customer_id", out: str = "purc
 
 
 def iqr_flags(df: DataFrame, specs: Sequence[tuple[str, str]], factor: float = IQR_FACTOR) -> DataFrame:
-    """For each (column, flag): 1 when value < Q1 − f·IQR or > Q3 + f·IQR (strict), else 0."""
-    out = df
+    """For each (column, flag): 1 when value < Q1 − f·IQR or > Q3 + f·IQR (strict), else 0.
+
+    The quartiles of all listed columns come from one distributed quantile job
+    (columns stacked as (variable, value)); the result is one broadcast row.
+    """
+    cols = [c for c, _ in specs]
+    stack = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
+    long = (df.selectExpr(f"stack({len(cols)}, {stack}) AS (variable, value)")
+            .filter(F.col("value").isNotNull() & ~F.isnan("value")))
+    q = quantiles(long, "value", [0.25, 0.75], ["variable"])
+    row = q.agg(*[F.max(F.when((F.col("variable") == c) & (F.col("q") == p), F.col("quantile"))).alias(f"_{n}_{c}")
+                  for c in cols for p, n in ((0.25, "q1"), (0.75, "q3"))])
+    out = df.crossJoin(F.broadcast(row))
     for col, flag in specs:
-        q = quantile_row(df, col, [0.25, 0.75], [f"_q1_{flag}", f"_q3_{flag}"])
-        out = out.crossJoin(F.broadcast(q))
-        q1, q3 = F.col(f"_q1_{flag}"), F.col(f"_q3_{flag}")
+        q1, q3 = F.col(f"_q1_{col}"), F.col(f"_q3_{col}")
         iqr = q3 - q1
         x = F.col(col)
-        out = (out.withColumn(flag, F.coalesce(((x < q1 - factor * iqr) | (x > q3 + factor * iqr)).cast("int"),
-                                               F.lit(0)))
-               .drop(f"_q1_{flag}", f"_q3_{flag}"))
-    return out
+        out = out.withColumn(flag, F.coalesce(((x < q1 - factor * iqr) | (x > q3 + factor * iqr)).cast("int"),
+                                              F.lit(0)))
+    return out.drop(*[f"_{n}_{c}" for c in cols for n in ("q1", "q3")])
 
 
 def zscore_params(df: DataFrame, cols: Sequence[str] = NUMERIC) -> DataFrame:

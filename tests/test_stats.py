@@ -181,3 +181,17 @@ def test_period_filter(spark):
     with pytest.raises(ValueError):
         PR.period(df, "2023-12-01", "2024-01-02", bounds=("2024-01-01", "2024-01-03"))
     assert F is not None
+
+
+def test_iqr_flags_fence_and_nulls(spark):
+    from salescope.operators.clean import iqr_flags
+    # a: quartiles 2 and 4 → fences −1 and 7; 7 is on the fence (kept), 8 is out.
+    rows = [(1.0, 5.0), (2.0, 5.0), (3.0, 5.0), (4.0, 5.0), (5.0, 5.0), (7.0, 5.0), (8.0, 5.0), (None, 5.0)]
+    df = _frame(spark, rows, "a double, c double")
+    vals = sorted([r for r in rows if r[0] is not None])
+    q1, q3 = np.quantile([v[0] for v in vals], [0.25, 0.75])
+    lo, hi = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
+    out = iqr_flags(df, [("a", "fa"), ("c", "fc")]).collect()
+    for r in out:
+        exp = 0 if r["a"] is None else int(r["a"] < lo or r["a"] > hi)
+        assert r["fa"] == exp and r["fc"] == 0
