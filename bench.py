@@ -17,8 +17,8 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -31,7 +31,7 @@ from salescope.operators import timeseries as TS  # noqa: E402
 from salescope.operators import validate as V  # noqa: E402
 from salescope.plans import reports as RP  # noqa: E402
 from salescope.schema import NUMERIC  # noqa: E402
-from salescope.session import build_session  # noqa: E402
+from salescope.session import build_session, checkpoint_dir  # noqa: E402
 from salescope.sources.sales import raw_lines  # noqa: E402
 
 
@@ -39,7 +39,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2)
-    scratch = tempfile.mkdtemp(prefix="salescope-bench-")
+    # Intermediate tables go to the shared folder the session names (spark.checkpoint.dir).
+    scratch = f"{checkpoint_dir(spark).rstrip('/')}/bench-{uuid.uuid4().hex}"
     times: dict[str, float] = {}
 
     def timed(name, fn):

@@ -4,7 +4,10 @@ New files of raw lines arrive in a folder; each micro-batch applies the same
 Column-expression rules as the batch job, appends valid rows and quarantine
 records to their sinks and one totals row per batch.  ``availableNow`` drains
 what is there and stops (the batch-pipeline equivalent); the checkpoint folder
-makes a restarted query resume exactly where it stopped.
+makes a restarted query resume exactly where it stopped.  Each micro-batch
+writes into its own ``batch_id=<n>`` folder with overwrite, so a batch that is
+replayed after a failure replaces its partial output instead of appending it
+twice (exactly-once output on top of the replayable file source).
 """
 
 from __future__ import annotations
@@ -27,13 +30,14 @@ def validate_stream(spark: SparkSession, source_dir: str, out_dir: str, checkpoi
 
     def route(batch: DataFrame, batch_id: int) -> None:
         checked = V.first_failure(batch).persist()
-        V.valid_rows(checked).write.mode("append").parquet(f"{out_dir}/valid")
-        V.quarantine_lines(checked).write.mode("append").parquet(f"{out_dir}/quarantine")
-        (V.validation_totals(checked).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-         .write.mode("append").parquet(f"{out_dir}/totals"))
+        part = f"batch_id={batch_id}"
+        V.valid_rows(checked).write.mode("overwrite").parquet(f"{out_dir}/valid/{part}")
+        V.quarantine_lines(checked).write.mode("overwrite").parquet(f"{out_dir}/quarantine/{part}")
+        V.validation_totals(checked).write.mode("overwrite").parquet(f"{out_dir}/totals/{part}")
         checked.unpersist()
 
     q = (lines.writeStream.foreachBatch(route).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(f"{out_dir}/totals")
+    totals = spark.read.parquet(f"{out_dir}/totals")
+    return totals.select("read", "valid", "discarded", "discarded_age", F.col("batch_id").cast("bigint"))
