@@ -167,6 +167,38 @@ def mann_whitney(df: DataFrame, group: str, value: str, g1, g2, label: str | Non
                     ((u1 - mu - 0.5) / sigma).alias("z_greater"))
 
 
+def mann_whitney_by(df: DataFrame, tests: Sequence[str], group: str, value: str, g1, g2,
+                    buckets=None) -> DataFrame:
+    """Many Mann-Whitney tests in one pass: one test per distinct value of the ``tests`` columns.
+
+    ``df`` is long (e.g. several variables stacked as ``(test..., group, value)``);
+    values are ranked within each test by the grouped distributed rank operator,
+    so k tests cost one scan and one set of shuffles instead of k.  Output
+    columns as in ``mann_whitney`` (without ``variables``), keyed by ``tests``.
+    """
+    tests = list(tests)
+    x = _present(df, group, value).filter(F.col(group).isin(g1, g2))
+    gv = x.groupBy(*tests, group, value).agg(F.count(F.lit(1)).alias("cnt"))
+    pooled = gv.groupBy(*tests, value).agg(F.sum("cnt").alias("cnt"))
+    ranks = cumulative_counts(pooled, value, tests, buckets).select(
+        *tests, value, F.col("cnt").alias("t"), (F.col("cum_lo") + (F.col("cnt") + 1) / 2.0).alias("rank"))
+    ties = ranks.groupBy(*tests).agg(F.sum(F.pow(F.col("t").cast("double"), 3) - F.col("t")).alias("tt"))
+    s = (gv.join(ranks, [*tests, value]).groupBy(*tests)
+         .agg(F.sum(F.when(F.col(group) == g1, F.col("cnt"))).alias("n1"),
+              F.sum(F.when(F.col(group) == g2, F.col("cnt"))).alias("n2"),
+              F.sum(F.when(F.col(group) == g1, F.col("cnt") * F.col("rank"))).alias("r1"))
+         .join(ties, tests))
+    n1, n2 = F.col("n1").cast("double"), F.col("n2").cast("double")
+    n = n1 + n2
+    u1 = F.col("r1") - n1 * (n1 + 1) / 2
+    mu = n1 * n2 / 2
+    sigma = F.sqrt(n1 * n2 / 12 * ((n + 1) - F.col("tt") / (n * (n - 1))))
+    u2 = n1 * n2 - u1
+    return s.select(*tests, "n1", "n2", u1.alias("statistic"), mu.alias("mu"), sigma.alias("sigma"),
+                    ((F.greatest(u1, u2) - mu - 0.5) / sigma).alias("z_two_sided"),
+                    ((u1 - mu - 0.5) / sigma).alias("z_greater"))
+
+
 def with_mw_pvalues(mw: DataFrame) -> DataFrame:
     return (mw.withColumn("p_value", F.least(F.lit(1.0), 2.0 * sf_norm_udf(F.col("z_two_sided"))))
             .withColumn("p_greater", sf_norm_udf(F.col("z_greater"))))
@@ -175,20 +207,55 @@ def with_mw_pvalues(mw: DataFrame) -> DataFrame:
 def spearman_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]], buckets=None) -> DataFrame:
     """Spearman ρ for each pair, pairwise-complete (pandas semantics), in one job.
 
-    Rows are stacked to (pair, a, b), pre-aggregated to pair-value counts, each
-    side ranked per pair from its marginal counts (distributed), and ρ is the
-    count-weighted Pearson correlation of centred ranks.  Constant side → NULL.
+    Rows are stacked to (pair, a, b) and pre-aggregated to pair-value counts;
+    ρ is the count-weighted Pearson correlation of centred ranks.  Ranks come
+    from the distributed rank operator, keyed by a rank key: a pair whose two
+    columns have no missing value uses all rows, so its sides share one
+    ranking per column (each column is ranked once, however many pairs use
+    it); any other pair ranks its two sides over its own complete rows.  The
+    missing-value counts are one small aggregate.  Constant side → NULL.
     """
+    cols = sorted({c for p in pairs for c in p})
+    miss = df.agg(*[F.count_if(F.col(c).isNull() | F.isnan(F.col(c).cast("double"))).alias(c)
+                    for c in cols]).first().asDict()
+    full = {c for c in cols if miss[c] == 0}
+    keys = {}
+    for i, (a, b) in enumerate(pairs):
+        shared = a in full and b in full
+        keys[i] = (a if shared else f"#{i}a", b if shared else f"#{i}b")
+
     stack = ", ".join(f"{i}, CAST(`{a}` AS DOUBLE), CAST(`{b}` AS DOUBLE)" for i, (a, b) in enumerate(pairs))
     long = (df.selectExpr(f"stack({len(pairs)}, {stack}) AS (pair, a, b)")
             .filter(F.col("a").isNotNull() & F.col("b").isNotNull() & ~F.isnan("a") & ~F.isnan("b")))
-    pc = long.groupBy("pair", "a", "b").agg(F.count(F.lit(1)).alias("cnt")).persist()
-    ranks = {}
-    for side in ("a", "b"):
-        marg = pc.groupBy("pair", side).agg(F.sum("cnt").alias("cnt"))
-        ranks[side] = cumulative_counts(marg, side, ["pair"], buckets).select(
-            "pair", side, (F.col("cum_lo") + (F.col("cnt") + 1) / 2.0).alias(f"r{side}"), "n")
-    j = pc.join(ranks["a"], ["pair", "a"]).join(ranks["b"].drop("n"), ["pair", "b"])
+    pc = long.groupBy("pair", "a", "b").agg(F.count(F.lit(1)).alias("cnt"))
+
+    def key_of(side: int):
+        expr = F.lit(None).cast("string")
+        for i, k in keys.items():
+            expr = F.when(F.col("pair") == i, F.lit(k[side])).otherwise(expr)
+        return expr
+
+    pc = pc.withColumn("ka", key_of(0)).withColumn("kb", key_of(1))
+    margs = []
+    shared_cols = sorted({k for ks in keys.values() for k in ks if not k.startswith("#")})
+    if shared_cols:
+        st = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in shared_cols)
+        margs.append(df.selectExpr(f"stack({len(shared_cols)}, {st}) AS (k, v)")
+                     .groupBy("k", "v").agg(F.count(F.lit(1)).alias("cnt")))
+    own = [i for i, k in keys.items() if k[0].startswith("#")]
+    if own:
+        mine = pc.filter(F.col("pair").isin(*own))
+        for side, key in (("a", "ka"), ("b", "kb")):
+            margs.append(mine.groupBy(F.col(key).alias("k"), F.col(side).alias("v"))
+                         .agg(F.sum("cnt").alias("cnt")))
+    marg = margs[0]
+    for m in margs[1:]:
+        marg = marg.unionByName(m)
+    ranks = cumulative_counts(marg, "v", ["k"], buckets).select(
+        "k", "v", (F.col("cum_lo") + (F.col("cnt") + 1) / 2.0).alias("r"), "n")
+    ra = ranks.select(F.col("k").alias("ka"), F.col("v").alias("a"), F.col("r").alias("ra"), "n")
+    rb = ranks.select(F.col("k").alias("kb"), F.col("v").alias("b"), F.col("r").alias("rb"))
+    j = pc.join(ra, ["ka", "a"]).join(rb, ["kb", "b"])
     mid = (F.col("n") + 1) / 2.0
     da, db = F.col("ra") - mid, F.col("rb") - mid
     s = j.groupBy("pair", "n").agg(F.sum(F.col("cnt") * da * db).alias("sab"),

@@ -43,6 +43,19 @@ def value_counts(df: DataFrame, value: str, groups: Sequence[str] = ()) -> DataF
     return df.filter(keep).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("cnt"))
 
 
+def _bucket_of(x, bounds, lo: int, hi: int):
+    """Number of sorted ``bounds`` strictly below ``x``, by binary search over positions [lo, hi).
+
+    A nested ``CASE`` of depth log2(buckets): compiled into the generated code,
+    unlike a lambda over the array (higher-order functions are interpreted).
+    """
+    if lo >= hi:
+        return F.lit(lo)
+    mid = (lo + hi) // 2
+    return F.when(F.element_at(bounds, mid + 1) < x, _bucket_of(x, bounds, mid + 1, hi)).otherwise(
+        _bucket_of(x, bounds, lo, mid))
+
+
 def cumulative_counts(vc: DataFrame, value: str, groups: Sequence[str] = (),
                       buckets: int | None = None) -> DataFrame:
     """Adds ``cum_lo`` and ``n`` to a value-count frame (see module doc)."""
@@ -53,7 +66,7 @@ def cumulative_counts(vc: DataFrame, value: str, groups: Sequence[str] = (),
         bounds = vc.agg(F.percentile_approx(F.col(value).cast("double"), probs, 10000).alias("_bounds"))
         x = F.col(value).cast("double")
         vcb = (vc.crossJoin(F.broadcast(bounds))
-               .withColumn("_bk", F.size(F.filter("_bounds", lambda b: b < x)))
+               .withColumn("_bk", _bucket_of(x, F.col("_bounds"), 0, nb - 1))
                .drop("_bounds"))
     else:
         vcb = vc.withColumn("_bk", F.lit(0))

@@ -195,3 +195,20 @@ def test_iqr_flags_fence_and_nulls(spark):
     for r in out:
         exp = 0 if r["a"] is None else int(r["a"] < lo or r["a"] > hi)
         assert r["fa"] == exp and r["fc"] == 0
+
+
+def test_mann_whitney_by_matches_one_test_at_a_time(spark):
+    rng = np.random.default_rng(7)
+    rows = []
+    for t in ("t1", "t2", "t3"):
+        for _ in range(60):
+            g = bool(rng.integers(0, 2))
+            rows.append((t, g, float(rng.integers(0, 12)) + (0.5 if g and t == "t2" else 0.0)))
+    rows.append(("t1", True, None))
+    df = _frame(spark, rows, "test string, g boolean, x double")
+    many = {r["test"]: r for r in H.mann_whitney_by(df, ["test"], "g", "x", True, False, buckets=3).collect()}
+    assert set(many) == {"t1", "t2", "t3"}
+    for t in ("t1", "t2", "t3"):
+        one = H.mann_whitney(df.filter(F.col("test") == t), "g", "x", True, False).first()
+        for c in ("n1", "n2", "statistic", "mu", "sigma", "z_two_sided", "z_greater"):
+            assert math.isclose(float(many[t][c]), float(one[c]), rel_tol=1e-12), (t, c)
