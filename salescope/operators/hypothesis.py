@@ -120,6 +120,15 @@ def _group_ranks(df: DataFrame, group: str, value: str, groups_keep=None, bucket
     return gv.join(ranks, value)
 
 
+def _tie_total(df: DataFrame, group: str, value: str, groups_keep=None) -> DataFrame:
+    """One row ``tt`` = Σ (t³ − t) over the pooled distinct values (t = rows sharing a value)."""
+    x = _present(df, group, value)
+    if groups_keep is not None:
+        x = x.filter(F.col(group).isin(*groups_keep))
+    t = x.groupBy(value).agg(F.count(F.lit(1)).cast("double").alias("t"))
+    return t.agg(F.sum(F.pow(F.col("t"), 3) - F.col("t")).alias("tt"))
+
+
 def kruskal(df: DataFrame, group: str, value: str, label: str | None = None, buckets=None) -> DataFrame:
     """Kruskal-Wallis H with tie correction over groups with more than one row."""
     x = _present(df, group, value)
@@ -127,8 +136,7 @@ def kruskal(df: DataFrame, group: str, value: str, label: str | None = None, buc
     x = x.join(sizes.select(group), group, "left_semi")
     gr = _group_ranks(x, group, value, None, buckets)
     per = gr.groupBy(group).agg(F.sum("cnt").alias("ng"), F.sum(F.col("cnt") * F.col("rank")).alias("rs"))
-    ties = (gr.select(value, "t").distinct()
-            .agg(F.sum(F.pow(F.col("t").cast("double"), 3) - F.col("t")).alias("tt")))
+    ties = _tie_total(x, group, value)
     s = per.agg(F.sum("ng").alias("N"), F.count(F.lit(1)).alias("k"),
                 F.sum(F.pow(F.col("rs"), 2) / F.col("ng")).alias("q")).crossJoin(ties)
     n = F.col("N").cast("double")
@@ -153,7 +161,7 @@ def mann_whitney(df: DataFrame, group: str, value: str, g1, g2, label: str | Non
     s = gr.agg(F.sum(F.when(F.col(group) == g1, F.col("cnt"))).alias("n1"),
                F.sum(F.when(F.col(group) == g2, F.col("cnt"))).alias("n2"),
                F.sum(F.when(F.col(group) == g1, F.col("cnt") * F.col("rank"))).alias("r1"))
-    ties = gr.select(value, "t").distinct().agg(F.sum(F.pow(F.col("t").cast("double"), 3) - F.col("t")).alias("tt"))
+    ties = _tie_total(df, group, value, [g1, g2])
     s = s.crossJoin(ties)
     n1, n2 = F.col("n1").cast("double"), F.col("n2").cast("double")
     n = n1 + n2

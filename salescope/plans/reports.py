@@ -119,6 +119,31 @@ def _row(spark, **kw):
     return spark.createDataFrame([tuple(kw.get(c) for c in cols)], SUITE_SCHEMA)
 
 
+def _f(v):
+    return None if v is None else float(v)
+
+
+def _decision(p, alpha: float = 0.05) -> str:
+    """Python twin of ``functions.numeric.verdict`` for an already collected p-value."""
+    if p is None or math.isnan(p):
+        return "No evaluable"
+    return "Se rechaza H0" if p < alpha else "No se rechaza H0"
+
+
+def _tuple(**kw) -> tuple:
+    return tuple(kw.get(c.split()[0]) for c in SUITE_SCHEMA.split(", "))
+
+
+def _suite_tuples(df_stats: DataFrame, name, question, h0, h1, test, stat_col, p_col, note=None) -> list:
+    """The suite row(s) of a test whose statistics frame has one row (collected: scalars only)."""
+    rows = []
+    for r in df_stats.select(stat_col, p_col).collect():
+        p = _f(r[p_col])
+        rows.append(_tuple(name=name, question=question, h0=h0, h1=h1, test=test, statistic=_f(r[stat_col]),
+                           p_value=p, decision=_decision(p), note=note))
+    return rows
+
+
 def _suite_rows(df_stats: DataFrame, name, question, h0, h1, test, stat_col, p_col, note=None) -> DataFrame:
     return df_stats.select(F.lit(name).alias("name"), F.lit(question).alias("question"), F.lit(h0).alias("h0"),
                            F.lit(h1).alias("h1"), F.lit(test).alias("test"),
@@ -129,53 +154,58 @@ def _suite_rows(df_stats: DataFrame, name, question, h0, h1, test, stat_col, p_c
 
 
 def hypothesis_suite(cl: DataFrame, channel_a: str = "APP", channel_b: str = "WEB") -> DataFrame:
-    """The six hypotheses of the original report, one row per test (or a note row)."""
+    """The six hypotheses of the original report, one row per test (or a note row).
+
+    Each test is its own distributed aggregation returning one row; the rows
+    are collected as they are computed (a handful of scalars per test) and the
+    suite is assembled from them, so no test runs twice and the suite is not
+    one wide union plan.
+    """
     spark = cl.sparkSession
     out = []
     # H0_APP_WEB: ticket of channel A greater than channel B (Welch one-sided + Mann-Whitney 'greater').
     w = H.with_t_pvalues(H.welch_t(cl, "channel", "amount", channel_a, channel_b))
-    wr = w.first()
+    wr = w.first()  # one row; reused below instead of running the test again
     if wr["statistic"] is not None:
-        out.append(_suite_rows(w, "H0_APP_WEB", f"El ticket promedio en {channel_a} es mayor que en {channel_b}.",
-                               f"Ticket promedio {channel_a} <= {channel_b}.", f"Ticket promedio {channel_a} > {channel_b}.",
-                               "Welch t-test unilateral", "statistic", "p_greater"))
+        out.append(_tuple(name="H0_APP_WEB", question=f"El ticket promedio en {channel_a} es mayor que en {channel_b}.",
+                        h0=f"Ticket promedio {channel_a} <= {channel_b}.", h1=f"Ticket promedio {channel_a} > {channel_b}.",
+                        test="Welch t-test unilateral", statistic=float(wr["statistic"]),
+                        p_value=_f(wr["p_greater"]), decision=_decision(wr["p_greater"])))
         mw = H.with_mw_pvalues(H.mann_whitney(cl, "channel", "amount", channel_a, channel_b))
-        out.append(_suite_rows(mw, "H0_APP_WEB", "", "", "", "Mann-Whitney unilateral", "statistic", "p_greater"))
+        out.extend(_suite_tuples(mw, "H0_APP_WEB", "", "", "", "Mann-Whitney unilateral", "statistic", "p_greater"))
     else:
-        out.append(_row(spark, name="H0_APP_WEB", decision="No evaluable",
+        out.append(_tuple(name="H0_APP_WEB", decision="No evaluable",
                         note=f"No evaluable: no existen suficientes registros en {channel_a} y {channel_b}."))
     # H0_DESCUENTO_UNIDADES: simple OLS units ~ discount.
     o = H.simple_ols(cl, "units", "discount").withColumn("n_d", F.col("n").cast("double"))
     o = H.with_t_pvalues(o.withColumn("statistic", F.col("t_slope")).withColumn("dof", F.col("n_d") - 2))
-    out.append(_suite_rows(o, "H0_DESCUENTO_UNIDADES", "El porcentaje de descuento afecta las unidades vendidas.",
+    out.extend(_suite_tuples(o, "H0_DESCUENTO_UNIDADES", "El porcentaje de descuento afecta las unidades vendidas.",
                            "Coeficiente de descuento = 0.", "Coeficiente de descuento != 0.",
                            "Regresion lineal simple", "slope", "p_value"))
     # H1: amount differs between channels (ANOVA + Kruskal-Wallis).
     a = H.with_f_pvalue(H.anova(cl, "channel", "amount"))
-    out.append(_suite_rows(a, "H1", "El monto promedio difiere entre canales.", "No difiere.", "Algun canal difiere.",
+    out.extend(_suite_tuples(a, "H1", "El monto promedio difiere entre canales.", "No difiere.", "Algun canal difiere.",
                            "ANOVA", "statistic", "p_value"))
     k = H.with_chi2_pvalue(H.kruskal(cl, "channel", "amount"))
-    out.append(_suite_rows(k, "H1", "", "", "", "Kruskal-Wallis", "statistic", "p_value"))
+    out.extend(_suite_tuples(k, "H1", "", "", "", "Kruskal-Wallis", "statistic", "p_value"))
     # H2 / H3: Spearman discount~amount, age~amount.
+    # Both pairs in one call: amount is ranked once for the two.
+    sp = H.with_spearman_pvalues(H.spearman_pairs(cl, [("discount", "amount"), ("age", "amount")]))
     for name, a_, q in (("H2", "discount", "El descuento se asocia con el monto."),
                         ("H3", "age", "La edad se asocia con el monto.")):
-        sp = H.with_spearman_pvalues(H.spearman_pairs(cl, [(a_, "amount")]))
-        out.append(_suite_rows(sp, name, q, "Sin asociacion monotona.", "Asociacion monotona.", "Spearman",
-                               "rho", "p_value"))
+        out.extend(_suite_tuples(sp.filter(F.col("var_a") == a_), name, q, "Sin asociacion monotona.",
+                               "Asociacion monotona.", "Spearman", "rho", "p_value"))
     # H4: gender, first two sorted values (Welch two-sided + Mann-Whitney two-sided).
     gv = [r[0] for r in cl.select("gender").filter(F.col("gender").isNotNull()).distinct().orderBy("gender").take(2)]
     if len(gv) >= 2:
         w = H.with_t_pvalues(H.welch_t(cl, "gender", "amount", gv[0], gv[1]))
-        out.append(_suite_rows(w, "H4", "El monto difiere segun genero.", "No difiere.", "Difiere.",
+        out.extend(_suite_tuples(w, "H4", "El monto difiere segun genero.", "No difiere.", "Difiere.",
                                "Welch t-test", "statistic", "p_value"))
         mw = H.with_mw_pvalues(H.mann_whitney(cl, "gender", "amount", gv[0], gv[1]))
-        out.append(_suite_rows(mw, "H4", "", "", "", "Mann-Whitney", "statistic", "p_value"))
+        out.extend(_suite_tuples(mw, "H4", "", "", "", "Mann-Whitney", "statistic", "p_value"))
     else:
-        out.append(_row(spark, name="H4", decision="No evaluable", note="No evaluable: se requieren al menos dos generos."))
-    res = out[0]
-    for o_ in out[1:]:
-        res = res.unionByName(o_)
-    return res
+        out.append(_tuple(name="H4", decision="No evaluable", note="No evaluable: se requieren al menos dos generos."))
+    return spark.createDataFrame(out, SUITE_SCHEMA)
 
 
 def association_suite(cl: DataFrame, max_stores: int = 200) -> DataFrame:
