@@ -157,11 +157,12 @@ def hypothesis_suite(cl: DataFrame, channel_a: str = "APP", channel_b: str = "WE
     k = H.with_chi2_pvalue(H.kruskal(cl, "channel", "amount"))
     out.append(_suite_rows(k, "H1", "", "", "", "Kruskal-Wallis", "statistic", "p_value"))
     # H2 / H3: Spearman discount~amount, age~amount.
+    # Both pairs from one call: the two filtered branches share one plan (amount ranked once).
+    sp = H.with_spearman_pvalues(H.spearman_pairs(cl, [("discount", "amount"), ("age", "amount")]))
     for name, a_, q in (("H2", "discount", "El descuento se asocia con el monto."),
                         ("H3", "age", "La edad se asocia con el monto.")):
-        sp = H.with_spearman_pvalues(H.spearman_pairs(cl, [(a_, "amount")]))
-        out.append(_suite_rows(sp, name, q, "Sin asociacion monotona.", "Asociacion monotona.", "Spearman",
-                               "rho", "p_value"))
+        out.append(_suite_rows(sp.filter(F.col("var_a") == a_), name, q, "Sin asociacion monotona.",
+                               "Asociacion monotona.", "Spearman", "rho", "p_value"))
     # H4: gender, first two sorted values (Welch two-sided + Mann-Whitney two-sided).
     gv = [r[0] for r in cl.select("gender").filter(F.col("gender").isNotNull()).distinct().orderBy("gender").take(2)]
     if len(gv) >= 2:
