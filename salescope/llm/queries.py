@@ -5,12 +5,45 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salescope.llm import chat_format, exact_dedup, line_dedup
+from salescope.llm import bpe, chat_format, exact_dedup, language_id, line_dedup, quality, sharding
 from salescope.llm.common import table
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 
+SHARDS = 24
+TOKENIZER = "word_bpe_49k.json"
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path(TOKENIZER)
+
+
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 24 shards of near equal bytes, equal texts together."""
+    out = sharding.shard_by_bytes(table(spark, sf_dir, "documents"), SHARDS)
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; the labels of one fold of four are never read."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels")
+    model = quality.train(docs, labels.where(~language_id.held_out(F.col("doc_id"), 4, 2)))
+    return (quality.score(docs, model)
+            .select("doc_id", language_id.held_out(F.col("doc_id"), 4, 2).alias("held_out"), "score", "predicted"))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; one fold of three is never learned from."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language_id.train(docs.where(~language_id.held_out(F.col("doc_id"), 3, 1)))
+    return (language_id.identify(docs.drop("lang"), model)
+            .select("doc_id", language_id.held_out(F.col("doc_id"), 3, 1).alias("held_out"), "lang_pred", "score"))
+
+
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one of control strings, formatted, then read back from the examples."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -88,10 +121,20 @@ g AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM d
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM d JOIN g USING (text_sha256)
 """
 
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded, and decoded from its ids."""
+    return bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer_path(),
+                             ("n_tokens", "ids_sha256", "decoded_sha256"))
+
+
 QUERIES = {
+    "op1_sharding": op1_sharding,
+    "op3_quality": op3_quality,
+    "op4_language_id": op4_language_id,
     "op5_chat_formatting": op5_chat_formatting,
     "op6_line_dedup": op6_line_dedup,
     "op7_exact_dedup": op7_exact_dedup,
+    "op10_bpe": op10_bpe,
 }
 ORACLE = {
     "op5_chat_formatting": _OP5,
