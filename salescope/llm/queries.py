@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salescope.llm import bpe, chat_format, exact_dedup, language_id, line_dedup, quality, sharding
+from salescope.llm import (bpe, chat_format, decontaminate, exact_dedup, language_id, line_dedup, quality, sharding,
+                           substring_dedup)
 from salescope.llm.common import table
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -27,6 +28,11 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the sentences that stand in an earlier place too."""
+    return substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document; the labels of one fold of four are never read."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -121,6 +127,11 @@ g AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM d
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM d JOIN g USING (text_sha256)
 """
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of a document and a benchmark item that it holds, as it is or edited."""
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded, and decoded from its ids."""
     return bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer_path(),
@@ -129,11 +140,13 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_quality": op3_quality,
     "op4_language_id": op4_language_id,
     "op5_chat_formatting": op5_chat_formatting,
     "op6_line_dedup": op6_line_dedup,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_decontamination": op8_decontamination,
     "op10_bpe": op10_bpe,
 }
 ORACLE = {
