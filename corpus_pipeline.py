@@ -1,15 +1,87 @@
-"""Corpus pipeline (stages follow as their operators are written)."""
+"""Corpus pipeline: five stages over the documents, each one of the text operators.
+
+language ID -> line dedup -> MinHash near-dedup -> benchmark decontamination ->
+BPE encoding and decoding.  Every stage reads all that its predecessor kept
+(written as Parquet and read again) and, but for the last, returns the columns
+of ``documents`` (doc_id, text, lang, source, n_chars).
+
+Empty tables pass through every stage; null texts go in the first stage; other
+columns than those of ``documents`` are dropped by the first stage; rows
+repeated with one id are one document (one of them stays in the near-dedup
+stage, as of any group).
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from salescope.llm import bpe, dart_minhash, decontaminate, language_id, line_dedup
+from salescope.llm.common import stored, table
+from salescope.llm.queries import tokenizer_path
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Documents whose language is less certain than this are rejected.
+MIN_LANGUAGE_SCORE = 0.5
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the documents with a recognised language; texts without a letter go.
+
+    The model learns from the labelled documents outside the held-out fold.
+    """
+    docs = docs.select(*COLUMNS)
+    model = language_id.train(docs.where(~language_id.held_out(F.col("doc_id"), 3, 1)))
+    found = language_id.identify(docs, model)
+    return (found.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE))
+            .select(*COLUMNS))
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the lines that larger documents hold too; documents left without text go."""
+    kept = (line_dedup.line_dedup(docs).where(F.length(F.btrim("text")) > 0)
+            .select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"), "n_dropped").distinct())
+    return (docs.drop("text").join(kept, F.col("doc_id").eqNullSafe(F.col("_id")))
+            .withColumn("text", F.col("_text"))
+            .withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+            .select(*COLUMNS))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class: the one with the smallest id."""
+    kept = (dart_minhash.near_duplicates(docs).where("kept")
+            .select(F.col("doc_id").alias("_id")).distinct())
+    return (docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
+            .dropDuplicates(["doc_id"]).select(*COLUMNS))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    found = (decontaminate.matches(docs, table(spark, sf_dir, "benchmark"))
+             .select(F.col("doc_id").alias("_id")).distinct())
+    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti").select(*COLUMNS)
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every document, and the text they decode to."""
+    return bpe.encode_decode(docs, tokenizer_path(), ("n_tokens", "ids", "ids_sha256", "decoded_sha256"))
+
+
+STAGES = [
+    ("language ID", identify_language),
+    ("line dedup", drop_repeated_lines),
+    ("MinHash near-dedup", drop_near_duplicates),
+    ("benchmark decontamination", drop_contaminated),
+    ("BPE encoding and decoding", tokenize),
+]
 
-STAGES: list = []
+#: The language model and the signatures have no SQL form; the tests hold ``run`` against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    """All stages over ``documents``; every stage's result is written to the shared folder and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salescope.llm import (bpe, chat_format, decontaminate, exact_dedup, language_id, line_dedup, quality, sharding,
-                           substring_dedup)
+from salescope.llm import (bpe, chat_format, dart_minhash, decontaminate, exact_dedup, language_id, line_dedup,
+                           quality, sharding, substring_dedup)
 from salescope.llm.common import table
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -132,6 +132,11 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every document."""
+    return dart_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded, and decoded from its ids."""
     return bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer_path(),
@@ -147,6 +152,7 @@ QUERIES = {
     "op6_line_dedup": op6_line_dedup,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_decontamination": op8_decontamination,
+    "op9_minhash_dedup": op9_minhash_dedup,
     "op10_bpe": op10_bpe,
 }
 ORACLE = {
