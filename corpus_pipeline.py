@@ -5,10 +5,11 @@ BPE encoding and decoding.  Every stage reads all that its predecessor kept
 (written as Parquet and read again) and, but for the last, returns the columns
 of ``documents`` (doc_id, text, lang, source, n_chars).
 
-Empty tables pass through every stage; null texts go in the first stage; other
-columns than those of ``documents`` are dropped by the first stage; rows
-repeated with one id are one document (one of them stays in the near-dedup
-stage, as of any group).
+Empty tables pass through every stage; documents with a null text or without an
+id go in the first stage; other columns than those of ``documents`` are dropped
+by the first stage; rows repeated with one id are one document (one of them
+stays in the near-dedup stage, as of any group); a document that loses all its
+lines stays as an empty one.
 """
 
 from __future__ import annotations
@@ -26,11 +27,11 @@ MIN_LANGUAGE_SCORE = 0.5
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents with a recognised language; texts without a letter go.
+    """Keeps the documents with a recognised language; texts without a letter, and rows without an id, go.
 
     The model learns from the labelled documents outside the held-out fold.
     """
-    docs = docs.select(*COLUMNS)
+    docs = docs.select(*COLUMNS).where(F.col("doc_id").isNotNull())
     model = language_id.train(docs.where(~language_id.held_out(F.col("doc_id"), 3, 1)))
     found = language_id.identify(docs, model)
     return (found.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE))
@@ -38,28 +39,23 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the lines that larger documents hold too; documents left without text go."""
-    kept = (line_dedup.line_dedup(docs).where(F.length(F.btrim("text")) > 0)
-            .select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"), "n_dropped").distinct())
-    return (docs.drop("text").join(kept, F.col("doc_id").eqNullSafe(F.col("_id")))
-            .withColumn("text", F.col("_text"))
+    """Texts without the lines that larger documents hold too."""
+    return (line_dedup.line_dedup(docs)
             .withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
             .select(*COLUMNS))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate class: the one with the smallest id."""
-    kept = (dart_minhash.near_duplicates(docs).where("kept")
-            .select(F.col("doc_id").alias("_id")).distinct())
-    return (docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
-            .dropDuplicates(["doc_id"]).select(*COLUMNS))
+    kept = dart_minhash.near_duplicates(docs).where("kept").select("doc_id")
+    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     found = (decontaminate.matches(docs, table(spark, sf_dir, "benchmark"))
-             .select(F.col("doc_id").alias("_id")).distinct())
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti").select(*COLUMNS)
+             .select("doc_id"))
+    return docs.join(found, "doc_id", "left_anti").select(*COLUMNS)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

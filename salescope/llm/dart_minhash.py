@@ -176,11 +176,12 @@ def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                         sigs[row] = sig.tobytes()
                     held.clear()
 
+            named = pdf["_id"].notna().to_numpy()
             for row, text in enumerate(pdf["_text"]):
                 hashes = word_hashes(text if isinstance(text, str) else None, words)
                 key = xxhash.xxh3_128_digest(hashes.tobytes())
                 keys.append(key)
-                if len(hashes) and key not in seen:
+                if named[row] and len(hashes) and key not in seen:
                     seen.add(key)
                     element, count = shingles(hashes)
                     # As a plain set: the k-th occurrence of a shingle is an element of its own.
@@ -315,6 +316,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = stored(sketches.select("_id", "_key").join(keys, "_key").select("_id", "_rep"), "copies")
     nodes = sketches.where(F.col("_sig").isNotNull() & F.col("_id").isNotNull()) \
         .select(F.col("_id").alias("_node"), "_sig", "_set")
+    # A row repeated with one id may be sketched by two tasks; that makes it a bucket member twice, no more.
     links = _links(nodes, similarity)
     rep = named.select("_id", "_rep").distinct()
     by_rep = (links.join(rep.select(F.col("_id").alias("_a"), F.col("_rep").alias("_ra")), "_a")

@@ -16,7 +16,8 @@ All steps are DataFrame functions.  Edge cases: a null or empty text is one
 empty line; an id with several rows counts as one document, and all its rows
 lose the same line numbers; a line repeated inside one document counts once
 there, and stays or goes as a whole; a null id never is the largest; an empty
-table gives an empty result; other columns are ignored.
+table gives an empty result; other columns pass through, but for those called
+``n_lines`` or ``n_dropped``.
 """
 
 from __future__ import annotations
@@ -120,7 +121,7 @@ class LineRuns:
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS,
                batches: int = BATCHES, fanout: int = FANOUT) -> DataFrame:
-    """One row per input row: id, ``text`` without the dropped lines, ``n_lines``, ``n_dropped``."""
+    """``docs`` with the text without the dropped lines, ``n_lines`` (before) and ``n_dropped``."""
     spark = docs.sparkSession
     lines = stored(line_hashes(docs, id_col, text_col, min_chars)
                    .withColumn("_batch", F.pmod(F.xxhash64("_id"), F.lit(batches)).cast("int")),
@@ -133,15 +134,16 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     drops = (lines.join(repeated, "_h")
              .where(~F.col("_id").eqNullSafe(F.col("_top")))
              .groupBy("_id").agg(F.collect_set("_pos").alias("_drops")))
-    rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    out = (rows.join(drops.withColumnRenamed("_id", "_id2"),
-                     F.col("_id").eqNullSafe(F.col("_id2")), "left")
-           .select("_id", "_text", "_drops", text_lines(F.col("_text")).alias("_lines")))
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("_row"))
+    text = F.coalesce(F.col("_row")[text_col], F.lit(""))
+    out = (rows.join(drops, F.col("_row")[id_col].eqNullSafe(F.col("_id")), "left")
+           .select("_row", "_drops", text.alias("_text"), text_lines(text).alias("_lines")))
     # The outer lambda binds lines and kept numbers once, the inner one picks.
     stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_drops"))
     kept = F.transform(F.array(F.struct(F.col("_lines").alias("l"), stay.alias("k"))),
                        lambda s: F.array_join(F.transform(s["k"], lambda i: F.get(s["l"], i)), "\n"))
-    return out.select(F.col("_id").alias(id_col),
-                      F.when(F.col("_drops").isNull(), F.col("_text")).otherwise(F.get(kept, 0)).alias("text"),
+    own = [F.col("_row")[c].alias(c) for c in docs.columns if c not in (text_col, "n_lines", "n_dropped")]
+    return out.select(*own,
+                      F.when(F.col("_drops").isNull(), F.col("_text")).otherwise(F.get(kept, 0)).alias(text_col),
                       F.size("_lines").cast("long").alias("n_lines"),
                       F.coalesce(F.size("_drops"), F.lit(0)).cast("long").alias("n_dropped"))
