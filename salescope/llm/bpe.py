@@ -93,12 +93,18 @@ class Encoder:
             self.joined[left, right] = whole
             self.halves.setdefault(whole, (left, right))
             self.rank.setdefault(whole, rank)
+        self.shorter: dict[int, int | None] = {}
+        self.pairs: dict[tuple[int, int], bool] = {}
+        # A token whose own text merges to something else never occurs.
+        never: set[int] = set()
+        for whole, (left, right) in self.halves.items():  # in order of rank: halves come first
+            if left in never or right in never or not self._border_open(left, right, (self.rank[whole], 1)):
+                never.add(whole)
+        self.ids = {t: i for t, i in self.ids.items() if i not in never}
         self.longest = ahocorasick.Automaton()
         for text, i in self.ids.items():
             self.longest.add_word(text, i)
         self.longest.make_automaton()
-        self.shorter: dict[int, int | None] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
 
     def prefix(self, token: int) -> int | None:
         """The longest token that is a proper prefix of ``token``."""
@@ -109,35 +115,34 @@ class Encoder:
         return self.shorter[token]
 
     def compatible(self, left: int, right: int) -> bool:
-        """Whether the text of both, merged by rank, ends as just these two tokens.
-
-        The border between the two is open as long as no merge crosses it.  Going
-        back in time, the later of the merges that made the tokens at the border
-        is undone; if the parts then at the border could merge, and that merge
-        comes before the one undone last, it would have crossed.
-        """
+        """Whether the text of both, merged by rank, ends as just these two tokens."""
         key = (left, right)
         known = self.pairs.get(key)
         if known is None:
-            known = self.pairs[key] = self._compatible(left, right)
+            known = self.pairs[key] = (key not in self.joined
+                                       and self._border_open(left, right, (len(self.rank), 1)))
         return known
 
-    def _compatible(self, left: int, right: int) -> bool:
-        rank, before = self.rank, (len(self.rank) + 1, 0)
+    def _border_open(self, left: int, right: int, before: tuple[int, int]) -> bool:
+        """Whether no merge earlier than ``before`` crosses the border of two tokens.
+
+        Going back in time, the later of the merges that made the tokens at the
+        border is undone; if the parts then at the border could merge, and that
+        merge comes before the one undone last, it would have crossed.  At equal
+        rank the merge further left happens first.
+        """
+        rank, halves = self.rank, self.halves
         while True:
-            whole = self.joined.get((left, right))
-            # At equal rank the merge further left happens first.
-            if whole is not None and (rank[whole], 1) < before:
-                return False
             a, b = rank.get(left, -1), rank.get(right, -1)
             if a < 0 and b < 0:
                 return True
             if a > b:
-                # A crossing merge of the same rank would start right of this one.
-                before, left = (a, 1), self.halves[left][1]
+                before, left = (a, 1), halves[left][1]
             else:
-                # A crossing merge of the same rank would start left of this one.
-                before, right = (b, 2), self.halves[right][0]
+                before, right = (b, 2), halves[right][0]
+            whole = self.joined.get((left, right))
+            if whole is not None and (rank[whole], 1) < before:
+                return False
 
     def encode(self, word: str) -> list[int]:
         """Ids of one word (own symbols)."""

@@ -13,7 +13,8 @@ fits.  Two levels make that a Spark job of any size:
    which the given number of shards is enough, found by bisection.
 
 A group larger than a shard's mean size cannot stay whole in shards of equal
-size: it alone is split, by a hash of the row id, into pieces of up to a crate.
+size: it alone is split, by the rows' number in the group, into pieces of up to a
+crate.
 
 Edge cases: a null text has no bytes, and equals the empty text; rows repeated
 with one id are rows like any other; ties of size are broken by the group's
@@ -148,7 +149,8 @@ def shard_by_bytes(docs: DataFrame, shards: int, id_col: str = "doc_id", text_co
                               (F.octet_length(text) + ROW_OVERHEAD).cast("long").alias("_size"),
                               F.crc32(text.cast("binary")).alias("_crc"),
                               F.unhex(F.md5(text)).alias("_g")), "shard-rows")
-    groups = stored(rows.groupBy("_g").agg(F.sum("_size").alias("_bytes")), "shard-groups")
+    groups = stored(rows.groupBy("_g").agg(F.sum("_size").alias("_bytes"), F.count(F.lit(1)).alias("_n")),
+                    "shard-groups")
     total, n_groups = groups.agg(F.coalesce(F.sum("_bytes"), F.lit(0)), F.count(F.lit(1))).first()
     crate = max(1, total // (shards * CRATES))
     cells = min(MAX_CELLS, max(1, -(-n_groups // CELL_GROUPS)) * 8)
@@ -157,7 +159,9 @@ def shard_by_bytes(docs: DataFrame, shards: int, id_col: str = "doc_id", text_co
     cell = F.pmod(F.xxhash64("_g"), F.lit(cells))
     small = (groups.where(~big).withColumn("_cell", cell).groupBy("_cell")
              .applyInPandas(_pack_cell(crate), "_g binary, _crate string, _bytes long"))
-    pieces = F.when(F.col("_bytes") > total // shards, F.ceil(F.col("_bytes") / crate)).otherwise(F.lit(1))
+    # Of a group too large for a shard, a piece takes the rows that fit into a crate, one at least.
+    piece_rows = F.greatest(F.lit(1), F.floor(F.lit(crate) * F.col("_n") / F.col("_bytes")))
+    pieces = F.when(F.col("_bytes") > total // shards, F.ceil(F.col("_n") / piece_rows)).otherwise(F.lit(1))
     large = (groups.where(big)
              .select("_g", F.explode(F.sequence(F.lit(0), pieces.cast("int") - 1)).alias("_piece"),
                      (F.col("_bytes") / pieces).cast("long").alias("_bytes"))
@@ -166,24 +170,29 @@ def shard_by_bytes(docs: DataFrame, shards: int, id_col: str = "doc_id", text_co
     # Level 2: bounded, on the driver.
     crates = packed.groupBy("_crate").agg(F.sum("_bytes").alias("_bytes")).collect()
     placed = spark.createDataFrame(list(_crate_rows(crates, shards)), "_crate string, shard int")
-    # A split group has a list of shards; a row takes one by its id.
+    # A split group has a list of shards; its rows are dealt to it by their number in the group.
     homes = stored(packed.join(F.broadcast(placed), "_crate")
                    .groupBy("_g").agg(F.sort_array(F.collect_list("shard")).alias("_shards")), "shard-homes")
-    at = F.pmod(F.xxhash64("_id"), F.size("_shards").cast("long")).cast("int")
-    dealt = stored(rows.join(homes, "_g").select("_id", "_size", "_crc", "_g",
-                                                 F.get("_shards", at).alias("shard")), "shard-dealt")
-    return _numbered(dealt, max(SLOT_PARTS, dealt.count() // (shards * SLOT_ROWS))).select(F.col("_id").alias(id_col), F.col("_size").alias("size"),
-                                   F.col("_crc").alias("text_crc32"), F.lower(F.hex("_g")).alias("group_digest"),
-                                   "shard", "slot")
-
-
-def _numbered(dealt: DataFrame, n_parts: int) -> DataFrame:
-    """``slot``: gapless within each shard, numbered part by part."""
-    parts = dealt.withColumn("_part", F.pmod(F.xxhash64("_id", "_g"), F.lit(n_parts)).cast("int"))
-    counts = parts.groupBy("shard", "_part").agg(F.count(F.lit(1)).alias("_n"))
-    before = F.sum("_n").over(Window.partitionBy("shard").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select("shard", "_part", F.coalesce(before, F.lit(0)).alias("_before"))
-    local = F.row_number().over(Window.partitionBy("shard", "_part").orderBy("_id", "_g"))
-    return (parts.withColumn("_local", local)
-            .join(F.broadcast(offsets), ["shard", "_part"])  # shards * n_parts rows
-            .withColumn("slot", (F.col("_before") + F.col("_local") - 1).cast("long")))
+    at_home = stored(rows.join(homes, "_g"), "shard-rows-homes")
+    whole = at_home.where(F.size("_shards") == 1).withColumn("shard", F.get("_shards", F.lit(0)))
+    parts = max(SLOT_PARTS, at_home.count() // (shards * SLOT_ROWS))
+    split = _numbered(at_home.where(F.size("_shards") > 1), ["_g"], parts * shards)
+    split = split.withColumn("shard", F.get("_shards", (F.col("_number") % F.size("_shards")).cast("int")))
+    columns = ["_id", "_size", "_crc", "_g", "shard"]
+    dealt = stored(whole.select(*columns).unionByName(split.select(*columns)), "shard-dealt")
+    return _numbered(dealt, ["shard"], parts).select(
+        F.col("_id").alias(id_col), F.col("_size").alias("size"), F.col("_crc").alias("text_crc32"),
+        F.lower(F.hex("_g")).alias("group_digest"), "shard", F.col("_number").alias("slot"))
+
+
+def _numbered(rows: DataFrame, key: list[str], n_parts: int) -> DataFrame:
+    """``_number``: gapless from 0 within each key, numbered in ``n_parts`` parts of it."""
+    parts = rows.withColumn("_part", F.pmod(F.xxhash64("_id", "_g"), F.lit(n_parts)).cast("int"))
+    counts = parts.groupBy(*key, "_part").agg(F.count(F.lit(1)).alias("_in_part"))
+    before = F.sum("_in_part").over(Window.partitionBy(*key).orderBy("_part")
+                                    .rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select(*key, "_part", F.coalesce(before, F.lit(0)).alias("_before"))
+    local = F.row_number().over(Window.partitionBy(*key, "_part").orderBy("_id", "_g"))
+    # Keys are shards, or groups larger than a shard: at most as many as shards.
+    return (parts.withColumn("_local", local).join(F.broadcast(offsets), [*key, "_part"])
+            .withColumn("_number", (F.col("_before") + F.col("_local") - 1).cast("long")))
