@@ -28,6 +28,10 @@ def require_columns(df: DataFrame, required: Sequence[str] = CLEAN_REQUIRED) ->
         raise ValueError("Faltan columnas requeridas: " + ", ".join(missing))
 
 
+#: Heavy customers are at most so many.
+HEAVY = 10_000
+
+
 def strip_column_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.strip() for c in df.columns])
 
@@ -84,13 +88,17 @@ def age_backstop(df: DataFrame, max_age: int = MAX_VALID_AGE) -> DataFrame:
 def purchase_frequency(df: DataFrame, key: str = "customer_id", out: str = "purchase_frequency") -> DataFrame:
     """Rows per customer on every row.
 
-    ``groupBy(key).count()`` combines map-side, then joins back on the key; a
-    customer holding a large share of rows is split by AQE's skew-join
-    handling instead of landing in one window task, and AQE broadcasts the
-    count side at run time when its measured size allows.
+    Customers with at least ``1 / HEAVY`` of all rows (so at most ``HEAVY`` of
+    them) are joined by broadcast: their rows stay where they are.  All others
+    join their count on the key.  Rows without a key get NULL.
     """
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias(out))
-    return df.join(counts, key, "left")
+    total = df.agg((F.count(F.lit(1)) / HEAVY).alias("_least"))
+    heavy = (counts.crossJoin(F.broadcast(total)).filter(F.col(out) >= F.col("_least"))
+             .select(F.col(key), F.col(out).alias("_heavy")))
+    tagged = df.join(F.broadcast(heavy), key, "left")
+    light = tagged.filter(F.col("_heavy").isNull()).drop("_heavy").join(counts, key, "left")
+    return light.unionByName(tagged.filter(F.col("_heavy").isNotNull()).withColumnRenamed("_heavy", out))
 
 
 def iqr_flags(df: DataFrame, specs: Sequence[tuple[str, str]], factor: float = IQR_FACTOR) -> DataFrame:

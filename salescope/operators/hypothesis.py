@@ -5,19 +5,34 @@ rank the pooled distinct values with the distributed rank operator and sum
 ``count × rank`` per group.  Moment tests use per-group n / mean / M2.
 Statistics are plain columns (SQL-checkable); p-values are added by the
 vectorised tail functions in ``functions.dist``.
+
+A test that cannot be made (too few rows or groups, no variation) gives its row
+with a NULL statistic and, in ``note``, why; nothing divides by zero.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salescope.functions.dist import sf_chi2_udf, sf_f_udf, sf_norm_udf, sf_t_udf
 from salescope.operators.ranks import cumulative_counts
 
 
+# Notes of tests that cannot be made.
+NO_VARIATION = "No evaluable: una o ambas variables no tienen variacion suficiente."
+FEW_GROUPS = "No evaluable: se requieren al menos 2 grupos con mas de un registro."
+FEW_ROWS = "No evaluable: no existen suficientes registros."
+#: Values with at least 1 / HOT of a column's rows, at most so many a column, are joined by broadcast.
+HOT = 1000
+
+
+def _note(enough, statistic, why: str) -> Column:
+    return F.when(~enough, F.lit(why)).when(statistic.isNull(), F.lit(NO_VARIATION))
+
+
 def _present(df: DataFrame, *cols: str) -> DataFrame:
     cond = F.lit(True)
     for c in cols:
@@ -32,8 +47,8 @@ def _present(df: DataFrame, *cols: str) -> DataFrame:
 def chi_square(df: DataFrame, a: str, b: str, label: str | None = None) -> DataFrame:
     """Pearson chi-square of independence on the contingency table of ``a`` × ``b``.
 
-    Uses ``Σ o²/e − n`` over the observed cells (the identity already accounts
-    for zero cells), so the full category grid is never built.  Yates'
+    Sums ``(o − e)²/e`` over the observed cells; the empty ones add their
+    expected total, so the full category grid is never built.  Yates'
     correction is applied only when dof = 1 (2×2): there |o − e| is the same in
     all four cells and Σ 1/e over the four cells is n³ / (Π row sums · Π column sums).
     Needs at least 2 rows and 2 columns; otherwise statistic NULL with a note.
@@ -46,13 +61,14 @@ def chi_square(df: DataFrame, a: str, b: str, label: str | None = None) -> DataF
     margins = ra.agg(F.product("_ra").alias("_pra")).crossJoin(cb.agg(F.product("_cb").alias("_pcb")))
     e = F.col("_ra") * F.col("_cb") / F.col("_n")
     s = (obs.join(ra, a).join(cb, b).crossJoin(F.broadcast(tot))
-         .groupBy("_n", "_nr", "_nc")
-         .agg(F.sum(F.col("_o") * F.col("_o") / e).alias("_s"), F.max(F.abs(F.col("_o") - e)).alias("_d"))
-         .crossJoin(F.broadcast(margins)))
+         .agg(F.sum(F.pow(F.col("_o") - e, 2) / e).alias("_s"), F.sum(e).alias("_se"),
+              F.max(F.abs(F.col("_o") - e)).alias("_d"))
+         .crossJoin(F.broadcast(margins)).crossJoin(F.broadcast(tot)))
     dof = (F.col("_nr") - 1) * (F.col("_nc") - 1)
-    plain = F.col("_s") - F.col("_n")
+    # Empty cells: each adds its expected count, n less that of the observed cells in all.
+    plain = F.col("_s") + F.greatest(F.col("_n") - F.col("_se"), F.lit(0.0))
     d = F.col("_d")
-    inv_e = F.pow(F.col("_n").cast("double"), 3) / (F.col("_pra") * F.col("_pcb"))
+    inv_e = F.try_divide(F.pow(F.col("_n").cast("double"), 3), F.col("_pra") * F.col("_pcb"))
     yates = F.pow(F.greatest(d - F.least(F.lit(0.5), d), F.lit(0.0)), 2) * inv_e
     ok = (F.col("_nr") >= 2) & (F.col("_nc") >= 2)
     stat = F.when(~ok, None).when(dof == 1, yates).otherwise(plain)
@@ -77,76 +93,81 @@ def anova(df: DataFrame, group: str, value: str, label: str | None = None) -> Da
     # A single group (or none) still yields one row: statistic NULL.
     s = tot.select("_tn", "_k").join(s, ["_tn", "_k"], "left")
     ok = F.col("_k") >= 2
-    f = (F.col("_ssb") / (F.col("_k") - 1)) / (F.col("_ssw") / (F.col("_tn") - F.col("_k")))
+    f = F.try_divide(F.col("_ssb") / F.nullif(F.col("_k") - 1, F.lit(0)),
+                     F.try_divide(F.col("_ssw"), F.col("_tn") - F.col("_k")))
+    f = F.when(ok, f)
     return s.select(F.lit("ANOVA").alias("test"), F.lit(label or f"{value} por {group}").alias("variables"),
-                    F.when(ok, f).alias("statistic"),
+                    f.alias("statistic"),
                     F.when(ok, F.col("_k") - 1).cast("bigint").alias("df1"),
-                    F.when(ok, F.col("_tn") - F.col("_k")).cast("bigint").alias("df2"))
+                    F.when(ok, F.col("_tn") - F.col("_k")).cast("bigint").alias("df2"),
+                    _note(ok, f, FEW_GROUPS).alias("note"))
 
 
 def welch_t(df: DataFrame, group: str, value: str, g1, g2, label: str | None = None) -> DataFrame:
     """Welch's t for group ``g1`` minus ``g2``: t and Satterthwaite df (needs > 1 row per side)."""
-    x = _present(df, group, value).filter(F.col(group).isin(g1, g2))
+    x = _present(df, group, value)
     s = x.agg(*[F.count_if(F.col(group) == g).alias(f"n{i}") for i, g in ((1, g1), (2, g2))],
               *[F.avg(F.when(F.col(group) == g, F.col(value))).alias(f"m{i}") for i, g in ((1, g1), (2, g2))],
               *[F.var_samp(F.when(F.col(group) == g, F.col(value))).alias(f"v{i}") for i, g in ((1, g1), (2, g2))])
-    a, b = F.col("v1") / F.col("n1"), F.col("v2") / F.col("n2")
+    a, b = F.try_divide("v1", "n1"), F.try_divide("v2", "n2")
     ok = (F.col("n1") > 1) & (F.col("n2") > 1)
-    t = (F.col("m1") - F.col("m2")) / F.sqrt(a + b)
-    dof = F.pow(a + b, 2) / (F.pow(a, 2) / (F.col("n1") - 1) + F.pow(b, 2) / (F.col("n2") - 1))
+    t = F.when(ok, F.try_divide(F.col("m1") - F.col("m2"), F.sqrt(a + b)))
+    dof = F.try_divide(F.pow(a + b, 2), F.try_divide(F.pow(a, 2), F.col("n1") - 1)
+                       + F.try_divide(F.pow(b, 2), F.col("n2") - 1))
     return s.select(F.lit(label or f"{value}: {g1} vs {g2}").alias("variables"), "n1", "n2",
-                    F.when(ok, t).alias("statistic"), F.when(ok, dof).alias("dof"))
+                    t.alias("statistic"), F.when(ok, dof).alias("dof"), _note(ok, t, FEW_ROWS).alias("note"))
 
 
 def with_t_pvalues(t: DataFrame, stat: str = "statistic", dof: str = "dof") -> DataFrame:
     """Adds two-sided and one-sided ('greater') p-values for a t statistic."""
     tail = sf_t_udf(F.abs(F.col(stat)), F.col(dof))
-    two = F.least(F.lit(1.0), 2.0 * tail)
+    two = F.when(tail.isNotNull(), F.least(F.lit(1.0), 2.0 * tail))  # ``least`` skips NULL
     one = F.when(F.col(stat) > 0, two / 2).otherwise(1 - two / 2)
     return t.withColumn("p_value", two).withColumn("p_greater", one)
 
 
 # ----------------------------------------------------------------------------- rank tests
 
-def _group_ranks(df: DataFrame, group: str, value: str, groups_keep=None, buckets=None) -> DataFrame:
-    """(group, value, cnt, rank) with ranks over the pooled values of the kept groups."""
-    x = _present(df, group, value)
-    if groups_keep is not None:
-        x = x.filter(F.col(group).isin(*groups_keep))
-    gv = x.groupBy(group, value).agg(F.count(F.lit(1)).alias("cnt"))
-    pooled = gv.groupBy(value).agg(F.sum("cnt").alias("cnt"))
-    ranks = cumulative_counts(pooled, value, (), buckets).select(
-        value, F.col("cnt").alias("t"), (F.col("cum_lo") + (F.col("cnt") + 1) / 2.0).alias("rank"), "n")
-    return gv.join(ranks, value)
+def _group_ranks(df: DataFrame, tests: Sequence[str], group: str, value: str, buckets=None,
+                 min_rows: int = 1) -> DataFrame:
+    """(tests, group, value, cnt, t, rank): ranks over the pooled values of each test.
 
+    Everything comes from the counts per (group, value); groups with fewer than
+    ``min_rows`` rows are left out of them.  ``t`` is the rows sharing a value.
+    """
+    keys = [*tests, group]
+    gv = _present(df, group, value).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("cnt"))
+    if min_rows > 1:
+        sizes = gv.groupBy(*keys).agg(F.sum("cnt").alias("_ng")).filter(F.col("_ng") >= min_rows).drop("_ng")
+        gv = gv.join(sizes, keys, "left_semi")
+    pooled = gv.groupBy(*tests, value).agg(F.sum("cnt").alias("cnt"))
+    ranks = cumulative_counts(pooled, value, tests, buckets).select(
+        *tests, value, F.col("cnt").alias("t"), (F.col("cum_lo") + (F.col("cnt") + 1) / 2.0).alias("rank"))
+    return gv.join(ranks, [*tests, value])
 
-def _tie_total(df: DataFrame, group: str, value: str, groups_keep=None) -> DataFrame:
-    """One row ``tt`` = Σ (t³ − t) over the pooled distinct values (t = rows sharing a value)."""
-    x = _present(df, group, value)
-    if groups_keep is not None:
-        x = x.filter(F.col(group).isin(*groups_keep))
-    t = x.groupBy(value).agg(F.count(F.lit(1)).cast("double").alias("t"))
-    return t.agg(F.sum(F.pow(F.col("t"), 3) - F.col("t")).alias("tt"))
+
+def _tie_sum(t) -> Column:
+    """``Σ (t³ − t)`` over distinct values, from rows that each hold ``cnt`` of the ``t`` rows of a value."""
+    t = t.cast("double")
+    return F.sum(F.col("cnt") * (t * t - 1.0))
 
 
 def kruskal(df: DataFrame, group: str, value: str, label: str | None = None, buckets=None) -> DataFrame:
     """Kruskal-Wallis H with tie correction over groups with more than one row."""
-    x = _present(df, group, value)
-    sizes = x.groupBy(group).agg(F.count(F.lit(1)).alias("ng")).filter(F.col("ng") > 1)
-    x = x.join(sizes.select(group), group, "left_semi")
-    gr = _group_ranks(x, group, value, None, buckets)
-    per = gr.groupBy(group).agg(F.sum("cnt").alias("ng"), F.sum(F.col("cnt") * F.col("rank")).alias("rs"))
-    ties = _tie_total(x, group, value)
-    s = per.agg(F.sum("ng").alias("N"), F.count(F.lit(1)).alias("k"),
-                F.sum(F.pow(F.col("rs"), 2) / F.col("ng")).alias("q")).crossJoin(ties)
+    gr = _group_ranks(df, [], group, value, buckets, min_rows=2)
+    per = gr.groupBy(group).agg(F.sum("cnt").alias("ng"), F.sum(F.col("cnt") * F.col("rank")).alias("rs"),
+                                _tie_sum(F.col("t")).alias("tg"))
+    s = per.agg(F.sum("ng").alias("N"), F.count(F.lit(1)).alias("k"), F.sum("tg").alias("tt"),
+                F.sum(F.pow(F.col("rs"), 2) / F.col("ng")).alias("q"))
     n = F.col("N").cast("double")
-    h = 12.0 / (n * (n + 1)) * F.col("q") - 3 * (n + 1)
-    c = 1 - F.col("tt") / (F.pow(n, 3) - n)
+    h = F.lit(12.0) / (n * (n + 1)) * F.col("q") - 3 * (n + 1)
+    c = 1 - F.try_divide(F.col("tt"), F.pow(n, 3) - n)
     ok = F.col("k") >= 2
+    stat = F.when(ok & (c > 0), F.try_divide(h, c))
     return s.select(F.lit("Kruskal-Wallis").alias("test"),
                     F.lit(label or f"{value} por {group}").alias("variables"),
-                    F.when(ok & (c > 0), h / c).alias("statistic"),
-                    F.when(ok, F.col("k") - 1).cast("bigint").alias("dof"))
+                    stat.alias("statistic"), F.when(ok, F.col("k") - 1).cast("bigint").alias("dof"),
+                    _note(ok, stat, FEW_GROUPS).alias("note"))
 
 
 def mann_whitney(df: DataFrame, group: str, value: str, g1, g2, label: str | None = None,
@@ -157,22 +178,8 @@ def mann_whitney(df: DataFrame, group: str, value: str, g1, g2, label: str | Non
     'greater' alternatives with 0.5 continuity correction.  (The exact
     small-sample branch is not built.)
     """
-    gr = _group_ranks(df, group, value, [g1, g2], buckets)
-    s = gr.agg(F.sum(F.when(F.col(group) == g1, F.col("cnt"))).alias("n1"),
-               F.sum(F.when(F.col(group) == g2, F.col("cnt"))).alias("n2"),
-               F.sum(F.when(F.col(group) == g1, F.col("cnt") * F.col("rank"))).alias("r1"))
-    ties = _tie_total(df, group, value, [g1, g2])
-    s = s.crossJoin(ties)
-    n1, n2 = F.col("n1").cast("double"), F.col("n2").cast("double")
-    n = n1 + n2
-    u1 = F.col("r1") - n1 * (n1 + 1) / 2
-    mu = n1 * n2 / 2
-    sigma = F.sqrt(n1 * n2 / 12 * ((n + 1) - F.col("tt") / (n * (n - 1))))
-    u2 = n1 * n2 - u1
-    return s.select(F.lit(label or f"{value}: {g1} vs {g2}").alias("variables"), "n1", "n2",
-                    u1.alias("statistic"), mu.alias("mu"), sigma.alias("sigma"),
-                    ((F.greatest(u1, u2) - mu - 0.5) / sigma).alias("z_two_sided"),
-                    ((u1 - mu - 0.5) / sigma).alias("z_greater"))
+    out = mann_whitney_by(df, [], group, value, g1, g2, buckets)
+    return out.select(F.lit(label or f"{value}: {g1} vs {g2}").alias("variables"), "*")
 
 
 def mann_whitney_by(df: DataFrame, tests: Sequence[str], group: str, value: str, g1, g2,
@@ -185,30 +192,29 @@ def mann_whitney_by(df: DataFrame, tests: Sequence[str], group: str, value: str,
     columns as in ``mann_whitney`` (without ``variables``), keyed by ``tests``.
     """
     tests = list(tests)
-    x = _present(df, group, value).filter(F.col(group).isin(g1, g2))
-    gv = x.groupBy(*tests, group, value).agg(F.count(F.lit(1)).alias("cnt"))
-    pooled = gv.groupBy(*tests, value).agg(F.sum("cnt").alias("cnt"))
-    ranks = cumulative_counts(pooled, value, tests, buckets).select(
-        *tests, value, F.col("cnt").alias("t"), (F.col("cum_lo") + (F.col("cnt") + 1) / 2.0).alias("rank"))
-    ties = ranks.groupBy(*tests).agg(F.sum(F.pow(F.col("t").cast("double"), 3) - F.col("t")).alias("tt"))
-    s = (gv.join(ranks, [*tests, value]).groupBy(*tests)
-         .agg(F.sum(F.when(F.col(group) == g1, F.col("cnt"))).alias("n1"),
-              F.sum(F.when(F.col(group) == g2, F.col("cnt"))).alias("n2"),
-              F.sum(F.when(F.col(group) == g1, F.col("cnt") * F.col("rank"))).alias("r1"))
-         .join(ties, tests))
+    gr = _group_ranks(df.filter((F.col(group) == g1) | (F.col(group) == g2)), tests, group, value, buckets)
+    first = F.col(group) == g1
+    s = gr.groupBy(*tests).agg(
+        F.coalesce(F.sum(F.when(first, F.col("cnt"))), F.lit(0)).alias("n1"),
+        F.coalesce(F.sum(F.when(~first, F.col("cnt"))), F.lit(0)).alias("n2"),
+        F.sum(F.when(first, F.col("cnt") * F.col("rank"))).alias("r1"), _tie_sum(F.col("t")).alias("tt"))
     n1, n2 = F.col("n1").cast("double"), F.col("n2").cast("double")
     n = n1 + n2
-    u1 = F.col("r1") - n1 * (n1 + 1) / 2
+    ok = (n1 > 0) & (n2 > 0)
+    u1 = F.when(ok, F.col("r1") - n1 * (n1 + 1) / 2)
     mu = n1 * n2 / 2
-    sigma = F.sqrt(n1 * n2 / 12 * ((n + 1) - F.col("tt") / (n * (n - 1))))
+    spread = F.sqrt(F.greatest(n1 * n2 / 12 * ((n + 1) - F.try_divide(F.col("tt"), n * (n - 1))), F.lit(0.0)))
+    sigma = F.when(ok, spread)
     u2 = n1 * n2 - u1
+    z = F.try_divide(F.greatest(u1, u2) - mu - 0.5, sigma)
     return s.select(*tests, "n1", "n2", u1.alias("statistic"), mu.alias("mu"), sigma.alias("sigma"),
-                    ((F.greatest(u1, u2) - mu - 0.5) / sigma).alias("z_two_sided"),
-                    ((u1 - mu - 0.5) / sigma).alias("z_greater"))
+                    z.alias("z_two_sided"), F.try_divide(u1 - mu - 0.5, sigma).alias("z_greater"),
+                    _note(ok, z, FEW_ROWS).alias("note"))
 
 
 def with_mw_pvalues(mw: DataFrame) -> DataFrame:
-    return (mw.withColumn("p_value", F.least(F.lit(1.0), 2.0 * sf_norm_udf(F.col("z_two_sided"))))
+    tail = sf_norm_udf(F.col("z_two_sided"))
+    return (mw.withColumn("p_value", F.when(tail.isNotNull(), F.least(F.lit(1.0), 2.0 * tail)))
             .withColumn("p_greater", sf_norm_udf(F.col("z_greater"))))
 
 
@@ -221,7 +227,12 @@ def spearman_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]], buckets=None
     columns have no missing value uses all rows, so its sides share one
     ranking per column (each column is ranked once, however many pairs use
     it); any other pair ranks its two sides over its own complete rows.  The
-    missing-value counts are one small aggregate.  Constant side → NULL.
+    missing-value counts are one small aggregate.
+
+    Both joins to the ranks are keyed by a column's value; a value that fills
+    more than ``1 / HOT`` of a column goes by broadcast (at most ``HOT`` of them
+    a column), so a constant column puts no pair's rows on one key.  Constant
+    side → NULL.
     """
     cols = sorted({c for p in pairs for c in p})
     miss = df.agg(*[F.count_if(F.col(c).isNull() | F.isnan(F.col(c).cast("double"))).alias(c)
@@ -260,15 +271,13 @@ def spearman_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]], buckets=None
     for m in margs[1:]:
         marg = marg.unionByName(m)
     ranks = cumulative_counts(marg, "v", ["k"], buckets).select(
-        "k", "v", (F.col("cum_lo") + (F.col("cnt") + 1) / 2.0).alias("r"), "n")
-    ra = ranks.select(F.col("k").alias("ka"), F.col("v").alias("a"), F.col("r").alias("ra"), "n")
-    rb = ranks.select(F.col("k").alias("kb"), F.col("v").alias("b"), F.col("r").alias("rb"))
-    j = pc.join(ra, ["ka", "a"]).join(rb, ["kb", "b"])
-    mid = (F.col("n") + 1) / 2.0
+        "k", "v", "cnt", (F.col("cum_lo") + (F.col("cnt") + 1) / 2.0).alias("r"), "n")
+    j = _ranked(_ranked(pc, ranks, "ka", "a", "ra"), ranks, "kb", "b", "rb")
+    mid = (F.col("_n_ra") + 1) / 2.0
     da, db = F.col("ra") - mid, F.col("rb") - mid
-    s = j.groupBy("pair", "n").agg(F.sum(F.col("cnt") * da * db).alias("sab"),
-                                   F.sum(F.col("cnt") * da * da).alias("saa"),
-                                   F.sum(F.col("cnt") * db * db).alias("sbb"))
+    s = j.groupBy("pair", F.col("_n_ra").alias("n")).agg(F.sum(F.col("cnt") * da * db).alias("sab"),
+                                                         F.sum(F.col("cnt") * da * da).alias("saa"),
+                                                         F.sum(F.col("cnt") * db * db).alias("sbb"))
     names = df.sparkSession.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)],
                                             "pair int, var_a string, var_b string")
     rho = F.when((F.col("saa") > 0) & (F.col("sbb") > 0), F.col("sab") / F.sqrt(F.col("saa") * F.col("sbb")))
@@ -276,10 +285,24 @@ def spearman_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]], buckets=None
             .select("var_a", "var_b", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"), rho.alias("rho")))
 
 
+def _ranked(rows: DataFrame, ranks: DataFrame, key: str, value: str, out: str) -> DataFrame:
+    """Adds the rank of ``value`` in the column ``key`` names, and that column's rows (``_n_<out>``)."""
+    side = ranks.select(F.col("k").alias(key), F.col("v").alias(value), F.col("r").alias(out),
+                        F.col("n").alias(f"_n_{out}"), "cnt", F.col("n").alias("_all"))
+    common = F.col("cnt") * HOT >= F.col("_all")
+    hot = side.filter(common).select(key, value, F.col(out).alias("_hot"), F.col(f"_n_{out}").alias("_hot_n"))
+    rest = side.filter(~common).drop("cnt", "_all")
+    tagged = rows.join(F.broadcast(hot), [key, value], "left")
+    by_key = tagged.filter(F.col("_hot").isNull()).drop("_hot", "_hot_n").join(rest, [key, value])
+    by_broadcast = (tagged.filter(F.col("_hot").isNotNull())
+                    .withColumnRenamed("_hot", out).withColumnRenamed("_hot_n", f"_n_{out}"))
+    return by_key.unionByName(by_broadcast)
+
+
 def with_spearman_pvalues(sp: DataFrame) -> DataFrame:
     """t = ρ√((n−2)/(1−ρ²)); p = 2·P(T_{n−2} > |t|)."""
     r = F.col("rho")
-    t = r * F.sqrt((F.col("n") - 2) / (1 - r * r))
+    t = r * F.sqrt(F.try_divide(F.greatest(F.col("n") - 2, F.lit(0)), F.greatest(1 - r * r, F.lit(0.0))))
     p = F.when(F.abs(r) >= 1, F.lit(0.0)).otherwise(2.0 * sf_t_udf(F.abs(t), (F.col("n") - 2).cast("double")))
     return sp.withColumn("p_value", F.when(r.isNotNull() & (F.col("n") > 2), p))
 
@@ -300,10 +323,12 @@ def simple_ols(df: DataFrame, y: str, x: str) -> DataFrame:
     d = _present(df, y, x)
     s = d.agg(F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"),
               F.regr_r2(y, x).alias("r2"), F.regr_count(y, x).alias("n"),
-              F.regr_sxx(y, x).alias("sxx"), F.regr_syy(y, x).alias("syy"), F.regr_sxy(y, x).alias("sxy"))
-    sse = F.col("syy") - F.col("sxy") * F.col("sxy") / F.col("sxx")
-    se = F.sqrt(sse / (F.col("n") - 2) / F.col("sxx"))
-    return s.select("slope", "intercept", "r2", "n", (F.col("slope") / se).alias("t_slope"))
+              F.regr_sxx(y, x).alias("sxx"), F.regr_syy(y, x).alias("syy"), F.regr_sxy(y, x).alias("sxy"),
+              ((F.min(x) < F.max(x)) & (F.min(y) < F.max(y))).alias("varies"))
+    sse = F.greatest(F.col("syy") - F.try_divide(F.col("sxy") * F.col("sxy"), F.col("sxx")), F.lit(0.0))
+    se = F.sqrt(F.try_divide(F.try_divide(sse, F.nullif(F.greatest(F.col("n") - 2, F.lit(0)), F.lit(0))), F.col("sxx")))
+    t = F.when(F.col("varies"), F.try_divide(F.col("slope"), se))
+    return s.select("slope", "intercept", "r2", "n", t.alias("t_slope"), _note(F.col("n") > 2, t, FEW_ROWS).alias("note"))
 
 
 def jarque_bera(df: DataFrame, value: str) -> DataFrame:

@@ -1,11 +1,11 @@
 """Model frame, exact seeded samples and splits, OLS with diagnostics, boosted trees.
 
-Samples and splits order rows by ``md5(key || seed)`` — exact sizes that do not
-depend on partitioning, and the same rows in any engine.  ``orderBy(h).limit(N)``
-runs as a top-N per partition; the split uses the distributed rank operator
-(no single-partition window).  The OLS normal equations come from one
-distributed cross-product aggregate: the k×k matrix (k = predictors) is the
-only thing that reaches the driver.
+Samples and splits order rows by ``md5(key || seed)`` — sizes that do not depend
+on partitioning, and the same rows in any engine.  The rank operator finds the
+one hash value at which the cut falls, and a filter does the rest: no row is
+sorted or joined.  The OLS normal equations come from two distributed
+aggregates (means, then centred cross-products): the k×k matrix (k =
+predictors) is the only thing that reaches the driver.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from collections.abc import Sequence
 
 import numpy as np
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +25,10 @@ from salescope.operators.ranks import cumulative_counts
 # Predictors of the original model frames.
 MODEL_REQUIRED = ["amount", "units", "discount", "age", "purchase_frequency"]
 MODEL_OPTIONAL = ["sku", "channel", "gender", "store", "month", "weekday", "hour"]
+#: Levels that a categorical column may have as dummy columns.
+MAX_LEVELS = 1000
+# Fewest complete rows for which the original trains.
+MIN_LINEAR_ROWS, MIN_BOOSTED_ROWS, MIN_PERIOD_ROWS = 10, 4, 10
 LINEAR_COLUMNS = ["amount", "channel", "store", "units", "discount"]
 
 
@@ -34,21 +38,43 @@ def hash_key(key_cols: Sequence[str], seed: int = 42):
     return F.conv(F.substring(h, 1, 15), 16, 10).cast("bigint")
 
 
+def _cut(hashes: DataFrame, rows) -> DataFrame:
+    """One row: ``_cut``, the hash of the ``rows``-th row in hash order, and ``_before``, the rows below it."""
+    cc = cumulative_counts(hashes.groupBy("_h").agg(F.count(F.lit(1)).alias("cnt")), "_h")
+    return cc.filter(F.col("cum_lo") < rows).agg(F.max("_h").alias("_cut"), F.max("cum_lo").alias("_before"))
+
+
 def seeded_sample(df: DataFrame, n: int, key_cols: Sequence[str], seed: int = 42) -> DataFrame:
-    """Exactly min(n, rows) rows chosen by the hash order (top-N, not a global sort)."""
-    return df.withColumn("_h", hash_key(key_cols, seed)).orderBy("_h", *key_cols).limit(n).drop("_h")
+    """Exactly min(n, rows) rows chosen by the hash order of their key.
+
+    Rows repeated with the key at the cut are taken in any order.
+    """
+    h = df.withColumn("_h", hash_key(key_cols, seed))
+    cut = _cut(h, F.lit(n)).first()
+    if n <= 0 or cut["_cut"] is None:
+        return df.limit(0)
+    return (h.filter(F.col("_h") < cut["_cut"])
+            .unionByName(h.filter(F.col("_h") == cut["_cut"]).limit(n - cut["_before"])).drop("_h"))
 
 
-def train_test_split(df: DataFrame, key_cols: Sequence[str], test_share: float = 0.3, seed: int = 42,
-                     small_rows: int = 10) -> DataFrame:
-    """Adds ``split`` ('train'/'test'): test = first ceil(share·n) rows in hash order (50/50 below ``small_rows``)."""
+def train_test_split(df: DataFrame, key_cols: Sequence[str], test_share: float = 0.3, seed: int = 42) -> DataFrame:
+    """Adds ``split`` ('train'/'test'): test = first ceil(test_share·n) rows in hash order.
+
+    Rows repeated with one key share a side.
+    """
     h = df.withColumn("_h", hash_key(key_cols, seed))
-    cc = cumulative_counts(h.groupBy("_h").agg(F.count(F.lit(1)).alias("cnt")), "_h")
-    share = F.when(F.col("n") < small_rows, F.lit(0.5)).otherwise(F.lit(test_share))
-    pos = cc.select("_h", ((F.col("cum_lo") < F.ceil(share * F.col("n"))).alias("_test")))
-    return (h.join(pos, "_h")
-            .withColumn("split", F.when(F.col("_test"), F.lit("test")).otherwise(F.lit("train")))
-            .drop("_h", "_test"))
+    cut = _cut(h, F.ceil(F.lit(test_share) * F.col("n"))).select("_cut")
+    return (h.crossJoin(F.broadcast(cut))
+            .withColumn("split", F.when(F.col("_h") <= F.col("_cut"), F.lit("test")).otherwise(F.lit("train")))
+            .drop("_h", "_cut"))
+
+
+def trainable(df: DataFrame, groups: Sequence[str], required: Sequence[str], minimum: int) -> DataFrame:
+    """Per group: complete rows ``n`` and, where there are fewer than ``minimum``, the note of a model not trained."""
+    n = F.count_if(F.expr(" AND ".join(f"`{c}` IS NOT NULL" for c in required)))
+    return (df.groupBy(*groups).agg(n.alias("n"))
+            .withColumn("note", F.when(F.col("n") < minimum,
+                                       F.lit(f"No entrenado: se requieren al menos {minimum} registros completos."))))
 
 
 def calendar_features(df: DataFrame, ts: str = "ts") -> DataFrame:
@@ -60,16 +86,17 @@ def calendar_features(df: DataFrame, ts: str = "ts") -> DataFrame:
 def one_hot(df: DataFrame, col: str, drop_first: bool = True, levels: Sequence | None = None) -> DataFrame:
     """Dummy columns ``<col>_<value>`` (1.0/0.0) for the sorted distinct values, first one dropped.
 
-    The level list is the distinct values of a categorical column (small by
-    nature); it is fetched once to name the output columns.
+    The level list, at most ``MAX_LEVELS`` (more is an error), is fetched once to
+    name the output columns.
     """
     if levels is None:
-        levels = [r[0] for r in df.select(col).filter(F.col(col).isNotNull()).distinct().orderBy(col).collect()]
+        found = df.select(col).filter(F.col(col).isNotNull()).distinct().limit(MAX_LEVELS + 1).collect()
+        if len(found) > MAX_LEVELS:
+            raise ValueError(f"{col} has more than {MAX_LEVELS} levels; it is not a categorical column")
+        levels = sorted(r[0] for r in found)
     keep = list(levels)[1:] if drop_first else list(levels)
-    out = df
-    for v in keep:
-        out = out.withColumn(f"{col}_{v}", (F.col(col) == F.lit(v)).cast("double"))
-    return out.drop(col)
+    rest = [F.col(c) for c in df.columns if c != col]
+    return df.select(*rest, *[(F.col(col) == F.lit(v)).cast("double").alias(f"{col}_{v}") for v in keep])
 
 
 def varying_columns(df: DataFrame, cols: Sequence[str]) -> list[str]:
@@ -90,30 +117,37 @@ def model_frame(df: DataFrame) -> DataFrame:
 
 
 def ols(df: DataFrame, y: str, xs: Sequence[str]) -> dict:
-    """OLS with constant from one cross-product aggregate; returns coefficients, se, t, p, CI, R²."""
-    cols = ["_one", *xs]
-    d = df.select(F.lit(1.0).alias("_one"), *[F.col(c).cast("double").alias(c) for c in xs],
+    """OLS with constant; returns coefficients, se, t, p, CI, R².
+
+    One aggregate for the means, one for the cross-products of the centred
+    columns, so large codes and many rows lose no digits.  Needs more rows than
+    coefficients.
+    """
+    d = df.select(*[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(xs)],
                   F.col(y).cast("double").alias("_y"))
-    aggs = [F.count(F.lit(1)).alias("n"), F.sum("_y").alias("sy"), F.sum(F.col("_y") * F.col("_y")).alias("syy")]
-    for i, a in enumerate(cols):
-        aggs.append(F.sum(F.col(a) * F.col("_y")).alias(f"xy{i}"))
-        for j in range(i, len(cols)):
-            aggs.append(F.sum(F.col(a) * F.col(cols[j])).alias(f"xx{i}_{j}"))
-    r = d.agg(*aggs).first()
-    k = len(cols)
-    xtx = np.zeros((k, k))
-    for i in range(k):
-        for j in range(i, k):
-            xtx[i, j] = xtx[j, i] = r[f"xx{i}_{j}"]
-    xty = np.array([r[f"xy{i}"] for i in range(k)])
-    n = r["n"]
-    inv = np.linalg.pinv(xtx)
-    beta = inv @ xty
-    sse = r["syy"] - 2 * beta @ xty + beta @ xtx @ beta
-    sst = r["syy"] - r["sy"] ** 2 / n
-    dof = n - k
+    k = len(xs)
+    cols = [*(f"_x{i}" for i in range(k)), "_y"]
+    first = d.agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(c) for c in cols]).first()
+    n = first["n"]
+    if n <= k + 1:
+        raise ValueError(f"OLS on {k} predictors needs more than {k + 1} rows, there are {n}")
+    means = np.array([first[c] for c in cols])
+    centred = [F.col(c) - F.lit(float(m)) for c, m in zip(cols, means, strict=True)]
+    r = d.agg(*[F.sum(centred[i] * centred[j]).alias(f"c{i}_{j}")
+                for i in range(k + 1) for j in range(i, k + 1)]).first()
+    c = np.zeros((k + 1, k + 1))
+    for i in range(k + 1):
+        for j in range(i, k + 1):
+            c[i, j] = c[j, i] = r[f"c{i}_{j}"]
+    sxx, sxy, sst = c[:k, :k], c[:k, k], c[k, k]
+    inv = np.linalg.pinv(sxx) if k else sxx
+    slopes = inv @ sxy
+    sse = max(float(sst - slopes @ sxy), 0.0)
+    beta = np.concatenate([[means[k] - slopes @ means[:k]], slopes])
+    dof = n - k - 1
     s2 = sse / dof
-    se = np.sqrt(np.maximum(np.diag(inv) * s2, 0))
+    unscaled = np.concatenate([[1.0 / n + means[:k] @ inv @ means[:k]], np.diag(inv)])
+    se = np.sqrt(np.maximum(unscaled * s2, 0))
     tcrit = t_ppf(0.975, dof)
     rows = []
     for i, name in enumerate(["const", *xs]):
@@ -122,8 +156,8 @@ def ols(df: DataFrame, y: str, xs: Sequence[str]) -> dict:
         rows.append((name, float(beta[i]), float(se[i]), float(t), float(p),
                      float(beta[i] - tcrit * se[i]), float(beta[i] + tcrit * se[i])))
     r2 = 1 - sse / sst if sst > 0 else float("nan")
-    r2a = 1 - (1 - r2) * (n - 1) / dof if dof > 0 else float("nan")
-    return {"n": n, "k": k - 1, "r2": float(r2), "r2_adj": float(r2a), "coefficients": rows, "xtx": xtx,
+    r2a = 1 - (1 - r2) * (n - 1) / dof
+    return {"n": n, "k": k, "r2": float(r2), "r2_adj": float(r2a), "coefficients": rows,
             "beta": beta, "names": ["const", *xs]}
 
 
@@ -157,25 +191,25 @@ def breusch_pagan(resid_df: DataFrame, xs: Sequence[str], resid: str = "resid")
     fit = ols(d, "_e2", xs)
     n, k, r2 = fit["n"], fit["k"], fit["r2"]
     lm = n * r2
-    f = (r2 / k) / ((1 - r2) / (n - k - 1))
+    f = (r2 / k) / ((1 - r2) / (n - k - 1)) if k and r2 < 1 else float("nan")
     return {"lm_stat": lm, "lm_p_value": chi2_sf(lm, k), "f_stat": f, "f_p_value": f_sf(f, k, n - k - 1)}
 
 
 def gbt_fit(train: DataFrame, features: Sequence[str], label: str, iters: int = 180, step: float = 0.08,
             depth: int = 5, seed: int = 42, key_cols: Sequence[str] | None = None,
-            early_stop_rows: int = 10_000, validation_share: float = 0.1, tol: float = 1e-7):
+            validation_share: float = 0.0, tol: float = 1e-7):
     """Gradient-boosted trees on log1p(label) (Spark ML grows trees by depth: depth 5 ≈ 31 leaves).
 
-    Above ``early_stop_rows`` training rows, ``validation_share`` of them (chosen
-    by the seeded hash of ``key_cols``) are held out and boosting stops at the
-    first round that does not improve the held-out loss by more than ``tol``
-    (relative), as the original stops early on large inputs.
+    With a ``validation_share``, that share of the training rows (chosen by the
+    seeded hash of ``key_cols``) is held out, whatever the size of the input,
+    and boosting stops at the first round that does not improve the held-out
+    loss by more than ``tol`` (relative); without one all rounds run.
     """
     asm = VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="skip")
     t = asm.transform(train.withColumn("_target", F.log1p(F.col(label).cast("double"))))
     params = dict(featuresCol="_features", labelCol="_target", maxIter=iters, stepSize=step,
                   maxDepth=depth, seed=seed)
-    if key_cols and train.count() > early_stop_rows:
+    if validation_share > 0:
         bucket = F.pmod(hash_key(key_cols, seed + 1), F.lit(1_000_000))
         t = t.withColumn("_valid", bucket < F.lit(int(validation_share * 1_000_000)))
         params.update(validationIndicatorCol="_valid", validationTol=tol)
@@ -189,17 +223,10 @@ def gbt_predict(asm, model, test: DataFrame, out: str = "predicted") -> DataFram
 
 
 def regression_metrics(scored: DataFrame, actual: str = "actual", predicted: str = "predicted") -> DataFrame:
-    """MAE, RMSE and R² on the original scale in one pass (R² NULL for ≤ 1 row)."""
+    """MAE, RMSE and R² on the original scale in one pass (R² NULL for ≤ 1 row or a constant target)."""
     e = F.col(actual) - F.col(predicted)
     s = scored.agg(F.count(F.lit(1)).alias("n"), F.avg(F.abs(e)).alias("mae"),
                    F.sqrt(F.avg(e * e)).alias("rmse"), F.sum(e * e).alias("_sse"),
                    F.var_pop(actual).alias("_vp"))
-    r2 = F.when(F.col("n") > 1, 1 - F.col("_sse") / (F.col("_vp") * F.col("n")))
+    r2 = F.when(F.col("n") > 1, 1 - F.try_divide(F.col("_sse"), F.col("_vp") * F.col("n")))
     return s.select("n", "mae", "rmse", r2.alias("r2"))
-
-
-def linear_regression_ml(train: DataFrame, features: Sequence[str], label: str):
-    """Spark ML OLS (normal equations) — standard errors, p-values, R² in its summary."""
-    asm = VectorAssembler(inputCols=list(features), outputCol="_features")
-    lr = LinearRegression(featuresCol="_features", labelCol=label, solver="normal", regParam=0.0)
-    return asm, lr.fit(asm.transform(train))

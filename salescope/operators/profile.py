@@ -22,6 +22,10 @@ PERIOD_COLUMNS = ["ts", "channel", "sku", "units", "discount", "amount", "store"
                   "purchase_frequency", "outlier_amount", "outlier_units"]
 
 
+#: Groups whose quartiles are broadcast.
+MAX_BOXES = 50_000
+
+
 def pruned_scan(df: DataFrame, columns: Sequence[str] = PERIOD_COLUMNS) -> DataFrame:
     """Only the needed columns, rows without timestamp or amount dropped."""
     return df.select(*[c for c in columns if c in df.columns]).dropna(subset=["ts", "amount"])
@@ -142,14 +146,17 @@ def descriptive_stats(df: DataFrame, cols: Sequence[str] = NUMERIC) -> DataFrame
     A constant column gets skewness and kurtosis 0.0.
     """
     cols = [c for c in cols if c in df.columns]
-    long = _long(df, cols)
-    mom = long.groupBy("variable").agg(
-        F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("sd"), F.var_samp("value").alias("variance"),
-        F.min("value").alias("min"), F.max("value").alias("max"),
-        F.skewness("value").alias("_g1"), F.kurtosis("value").alias("_g2"),
-        F.var_pop("value").alias("_vp"))
-    med = quantiles(long, "value", [0.5], ["variable"]).select("variable", F.col("quantile").alias("median"))
+    names = ("n", "mean", "sd", "variance", "min", "max", "_g1", "_g2", "_vp")
+    aggs = []
+    for i, c in enumerate(cols):
+        x = F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+        values = (F.count(x), F.avg(x), F.stddev_samp(x), F.var_samp(x), F.min(x), F.max(x), F.skewness(x),
+                  F.kurtosis(x), F.var_pop(x))
+        aggs += [v.alias(f"{n}{i}") for v, n in zip(values, names)]
+    stack = ", ".join(f"'{c}', " + ", ".join(f"`{n}{i}`" for n in names) for i, c in enumerate(cols))
+    mom = df.agg(*aggs).selectExpr(f"stack({len(cols)}, {stack}) AS (variable, {', '.join(names)})").filter("n > 0")
+    med = quantiles(_long(df, cols), "value", [0.5], ["variable"]).select("variable",
+                                                                         F.col("quantile").alias("median"))
     flat = F.col("_vp") == 0
     return (mom.join(med, "variable", "left")
             .select("variable", "n", "mean", "median", "sd", "variance", "min", "max",
@@ -184,75 +191,77 @@ def period_kpis(df: DataFrame, discards: DataFrame | None = None) -> DataFrame:
 
 
 def box_stats(df: DataFrame, group: str = "channel", value: str = "amount", whis: float = 1.5) -> DataFrame:
-    """Per group: q1, median, q3 and the whiskers (last data point within ``whis``·IQR)."""
+    """Per group: q1, median, q3 and the whiskers (last data point within ``whis``·IQR).
+
+    The quartiles, one row a group, go to the rows by broadcast as long as there
+    are at most ``MAX_BOXES`` groups, so the rows of a large group are aggregated
+    where they are; more groups than that are joined by a shuffle.
+    """
     q = quantiles(df, value, [0.25, 0.5, 0.75], [group])
     qw = q.groupBy(group).agg(*[F.max(F.when(F.col("q") == p, F.col("quantile"))).alias(n)
                                 for p, n in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
-    vals = df.filter(F.col(value).isNotNull() & F.col(group).isNotNull()).select(group, value)
-    vc = vals.groupBy(group, value).agg(F.count(F.lit(1)).alias("_c"))
-    iqr = F.col("q3") - F.col("q1")
+    few = df.agg(F.approx_count_distinct(group)).first()[0] <= MAX_BOXES
+    qw = F.broadcast(qw) if few else qw
     x = F.col(value)
-    j = vc.join(qw, group)
-    return j.groupBy(group, "q1", "median", "q3").agg(
-        F.min(F.when(x >= F.col("q1") - whis * iqr, x)).alias("whisker_low"),
-        F.max(F.when(x <= F.col("q3") + whis * iqr, x)).alias("whisker_high"))
+    span = whis * (F.col("q3") - F.col("q1"))
+    ends = (df.filter(x.isNotNull() & F.col(group).isNotNull()).select(group, value)
+            .join(qw, group)
+            .groupBy(group, "q1", "median", "q3")
+            .agg(F.min(F.when(x >= F.col("q1") - span, x)).alias("whisker_low"),
+                 F.max(F.when(x <= F.col("q3") + span, x)).alias("whisker_high")))
+    return ends
 
 
 def density_histogram(df: DataFrame, value: str, bins: int = 40) -> DataFrame:
-    """Equal-width bins between min and max: ``bin, left, right, n, density``.
+    """Equal-width bins between min and max, empty ones too: ``bin, left, right, n, density``.
 
-    The maximum falls in the last bin (numpy convention); density = n / (N · width).
+    The maximum falls in the last bin (numpy convention); density = n / (N ·
+    width).  A constant column has one bin of width 1; no values give no bins.
     """
     x = F.col(value).cast("double")
     data = df.filter(x.isNotNull() & ~F.isnan(x)).select(x.alias("_x"))
     mm = data.agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"), F.count(F.lit(1)).alias("_n"))
-    width = (F.col("_hi") - F.col("_lo")) / bins
-    b = F.when(F.col("_hi") == F.col("_lo"), F.lit(0)).otherwise(
-        F.least(F.floor((F.col("_x") - F.col("_lo")) / width), F.lit(bins - 1))).cast("int")
-    counted = (data.crossJoin(F.broadcast(mm)).groupBy(b.alias("bin"), "_lo", "_hi", "_n")
-               .agg(F.count(F.lit(1)).alias("n")))
-    w = F.when(F.col("_hi") == F.col("_lo"), F.lit(1.0)).otherwise(width)
-    return counted.select("bin", (F.col("_lo") + F.col("bin") * w).alias("left"),
-                          (F.col("_lo") + (F.col("bin") + 1) * w).alias("right"), "n",
-                          (F.col("n") / (F.col("_n") * w)).alias("density"))
+    width = F.when(F.col("_hi") == F.col("_lo"), F.lit(1.0)).otherwise((F.col("_hi") - F.col("_lo")) / bins)
+    at = F.least(F.floor((F.col("_x") - F.col("_lo")) / width), F.lit(bins - 1)).cast("int")
+    counted = data.crossJoin(F.broadcast(mm)).groupBy(at.alias("bin")).agg(F.count(F.lit(1)).alias("_c"))
+    last = F.when(F.col("_hi") == F.col("_lo"), F.lit(0)).otherwise(F.lit(bins - 1))
+    grid = (mm.filter(F.col("_n") > 0).withColumn("_w", width)
+            .select("*", F.explode(F.sequence(F.lit(0), last)).alias("bin")))
+    n = F.coalesce("_c", F.lit(0))
+    return (grid.join(counted, "bin", "left")
+            .select("bin", (F.col("_lo") + F.col("bin") * F.col("_w")).alias("left"),
+                    (F.col("_lo") + (F.col("bin") + 1) * F.col("_w")).alias("right"), n.alias("n"),
+                    (n / (F.col("_n") * F.col("_w"))).alias("density")))
 
 
 def kde_curve(df: DataFrame, value: str, points: int = 200) -> DataFrame:
     """Gaussian KDE with Scott's bandwidth on a grid of ``points`` between min and max.
 
-    The sum over rows is computed over value counts joined to the fixed grid
-    (grid size is a parameter, so the join output is distinct values × points).
+    One aggregate with a sum for each grid point over the value counts: no row
+    is multiplied.  Without variation (or with one value) the density is NULL.
     """
     x = F.col(value).cast("double")
     data = df.filter(x.isNotNull() & ~F.isnan(x)).select(x.alias("_x"))
     st = data.agg(F.count(F.lit(1)).alias("_n"), F.stddev_samp("_x").alias("_sd"),
                   F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
-    spark = df.sparkSession
-    grid = spark.range(points).select(F.col("id").cast("int").alias("point"))
-    g = grid.crossJoin(F.broadcast(st)).select(
-        "point", "_n", "_sd",
-        (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("point") / F.lit(max(points - 1, 1))).alias("grid_x"),
-        (F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2))).alias("_h"))
-    vc = data.groupBy("_x").agg(F.count(F.lit(1)).alias("_c"))
-    u = (F.col("grid_x") - F.col("_x")) / F.col("_h")
-    k = F.col("_c") * F.exp(-0.5 * u * u)
-    dens = (vc.crossJoin(F.broadcast(g))
-            .groupBy("point", "grid_x", "_n", "_h")
-            .agg(F.sum(k).alias("_s")))
-    return dens.select("point", "grid_x",
-                       (F.col("_s") / (F.col("_n") * F.col("_h") * F.lit((2 * 3.141592653589793) ** 0.5))).alias("density"))
+    h = F.nullif(F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2)), F.lit(0.0))
+    vc = data.groupBy("_x").agg(F.count(F.lit(1)).alias("_c")).crossJoin(F.broadcast(st)).withColumn("_h", h)
+
+    def grid(k):
+        return F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.lit(k) / F.lit(max(points - 1, 1))
+
+    sums = vc.agg(*[F.sum(F.col("_c") * F.exp(-0.5 * F.pow((grid(k) - F.col("_x")) / F.col("_h"), 2))).alias(f"_s{k}")
+                    for k in range(points)])
+    one = st.filter(F.col("_n") > 0).withColumn("_h", h).crossJoin(F.broadcast(sums))
+    rows = one.select("_n", "_h", "_lo", "_hi", F.posexplode(F.array(*[f"_s{k}" for k in range(points)]))
+                      .alias("point", "_s"))
+    return rows.select("point", (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("point")
+                                 / F.lit(max(points - 1, 1))).alias("grid_x"),
+                       (F.col("_s") / (F.col("_n") * F.col("_h") * F.lit((2 * 3.141592653589793) ** 0.5)))
+                       .alias("density"))
 
 
 def top_k_groups(df: DataFrame, key: str = "store", k: int = 200) -> DataFrame:
     """The ``k`` groups with most rows (ties broken by key), with their counts."""
     counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     return counts.orderBy(F.col("n").desc(), F.col(key)).limit(k)
-
-
-def restrict_to_top_groups(df: DataFrame, key: str = "store", k: int = 200) -> tuple[DataFrame, bool]:
-    """Rows of the top-k groups when there are more than k groups (semi join, k rows broadcast)."""
-    n_groups = df.select(key).filter(F.col(key).isNotNull()).distinct().count()
-    if n_groups <= k:
-        return df, False
-    top = top_k_groups(df, key, k).select(key)
-    return df.join(F.broadcast(top), key, "left_semi"), True

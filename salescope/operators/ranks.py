@@ -7,7 +7,8 @@ when a column has billions of distinct values.  Instead:
 1. ``value_counts``: ``groupBy(group, x).count()`` (map-side combine; a value
    held by a third of all rows becomes one row);
 2. the distinct values are cut into ``buckets`` ranges by approximate
-   quantiles (one tiny aggregate, broadcast as a single row);
+   quantiles (one tiny aggregate, broadcast as a single row); the number of
+   ranges does not depend on the shuffle partitions;
 3. running counts inside each (group, bucket) come from a window partitioned
    by (group, bucket), so each window task sorts ~1/buckets of the values;
 4. bucket totals (groups × buckets rows) give each bucket its offset.
@@ -26,10 +27,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _buckets(df: DataFrame, buckets: int | None) -> int:
-    if buckets:
-        return buckets
-    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+#: Ranges into which the distinct values are cut, whatever the number of shuffle partitions.
+BUCKETS = 1024
 
 
 def value_counts(df: DataFrame, value: str, groups: Sequence[str] = ()) -> DataFrame:
@@ -43,31 +42,42 @@ def value_counts(df: DataFrame, value: str, groups: Sequence[str] = ()) -> DataF
     return df.filter(keep).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("cnt"))
 
 
-def _bucket_of(x, bounds, lo: int, hi: int):
-    """Number of sorted ``bounds`` strictly below ``x``, by binary search over positions [lo, hi).
+def _below(x, bound, lo: int, hi: int):
+    """How many of the sorted ``bound(lo) .. bound(hi - 1)`` are below ``x``, plus ``lo``: a binary search.
 
-    A nested ``CASE`` of depth log2(buckets): compiled into the generated code,
-    unlike a lambda over the array (higher-order functions are interpreted).
+    A nested ``CASE``: compiled into the generated code, unlike a lambda over an
+    array (higher-order functions are interpreted).
     """
     if lo >= hi:
         return F.lit(lo)
     mid = (lo + hi) // 2
-    return F.when(F.element_at(bounds, mid + 1) < x, _bucket_of(x, bounds, mid + 1, hi)).otherwise(
-        _bucket_of(x, bounds, lo, mid))
+    return F.when(bound(mid) < x, _below(x, bound, mid + 1, hi)).otherwise(_below(x, bound, lo, mid))
+
+
+def _with_bucket(vc: DataFrame, x, n_bounds: int) -> DataFrame:
+    """Adds ``_bk``, the number of ``_bounds`` below ``x``, by a search in two levels.
+
+    The upper level looks at every ``step``-th bound, the lower one at those in
+    between, so the expression has about ``2 * sqrt(buckets)`` nodes.
+    """
+    step = max(1, int(n_bounds ** 0.5))
+    top = n_bounds // step
+    vc = vc.withColumn("_top", _below(x, lambda k: F.get("_bounds", F.lit((k + 1) * step - 1)), 0, top))
+    # Past the last bound ``get`` gives NULL, which is not below ``x``.
+    inner = _below(x, lambda k: F.get("_bounds", F.col("_top") * step + k), 0, step)
+    return vc.withColumn("_bk", F.col("_top") * step + inner).drop("_top", "_bounds")
 
 
 def cumulative_counts(vc: DataFrame, value: str, groups: Sequence[str] = (),
                       buckets: int | None = None) -> DataFrame:
     """Adds ``cum_lo`` and ``n`` to a value-count frame (see module doc)."""
     groups = list(groups)
-    nb = _buckets(vc, buckets)
+    nb = buckets or BUCKETS
     if nb > 1:
         probs = [i / nb for i in range(1, nb)]
         bounds = vc.agg(F.percentile_approx(F.col(value).cast("double"), probs, 10000).alias("_bounds"))
         x = F.col(value).cast("double")
-        vcb = (vc.crossJoin(F.broadcast(bounds))
-               .withColumn("_bk", _bucket_of(x, F.col("_bounds"), 0, nb - 1))
-               .drop("_bounds"))
+        vcb = _with_bucket(vc.crossJoin(F.broadcast(bounds)), x, nb - 1)
     else:
         vcb = vc.withColumn("_bk", F.lit(0))
     w_in = Window.partitionBy(*groups, "_bk").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)

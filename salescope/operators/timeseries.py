@@ -59,7 +59,8 @@ def acf(daily: DataFrame, day: str = "day", value: str = "amount", max_lags: int
     """Autocorrelation of the observed days (gaps are not filled), lags 0..L.
 
     L = min(max_lags, max(1, n // 2 − 1)); acf(k) = Σ (x_t − x̄)(x_{t+k} − x̄) / Σ (x_t − x̄)².
-    Also returns the 95 % Bartlett band half-width for each lag.
+    Also returns the 95 % Bartlett band half-width for each lag.  A constant
+    series has acf and band NULL.
     """
     s = daily.select(day, F.col(value).cast("double").alias("x"))
     s = s.withColumn("_t", F.row_number().over(Window.orderBy(day)) - 1)
@@ -75,12 +76,12 @@ def acf(daily: DataFrame, day: str = "day", value: str = "amount", max_lags: int
     cov = pairs.groupBy("lag").agg(F.sum(F.col("u.d") * F.col("v.d")).alias("num"))
     c0 = cov.filter(F.col("lag") == 0).select(F.col("num").alias("den"))
     r = lag_tab.join(cov, "lag", "left").crossJoin(c0).select(
-        "lag", "n", (F.coalesce("num", F.lit(0.0)) / F.col("den")).alias("acf"))
+        "lag", "n", F.try_divide(F.coalesce("num", F.lit(0.0)), F.col("den")).alias("acf"))
     # Bartlett: se(k) = sqrt((1 + 2·Σ_{j<k} acf(j)²) / n) for k ≥ 1.
     w = Window.orderBy("lag").rowsBetween(Window.unboundedPreceding, -1)
     sq = F.sum(F.when(F.col("lag") > 0, F.col("acf") * F.col("acf")).otherwise(F.lit(0.0))).over(w)
     return r.select("lag", "acf",
-                    F.when(F.col("lag") > 0, 1.959963984540054 * F.sqrt((1 + 2 * F.coalesce(sq, F.lit(0.0))) / F.col("n")))
+                    F.when((F.col("lag") > 0) & F.col("acf").isNotNull(), 1.959963984540054 * F.sqrt(F.try_divide(1 + 2 * F.coalesce(sq, F.lit(0.0)), F.col("n"))))
                     .alias("band"))
 
 

@@ -28,34 +28,34 @@ R_BIRTH = ("FECHA NACIMIENTO", "formato_fecha_invalido")
 R_AGE = ("EDAD", "edad_fuera_de_rango")
 R_GENDER = ("GENERO", "valor_invalido")
 
-# A quoted field may contain the separator: split only on separators followed
-# by an even number of quotes.  Used only for lines that contain a quote.
-_QUOTE_AWARE_SEP = ';(?=(?:[^"]*"[^"]*")*[^"]*$)'
-
-
 def _unquote(c: Column) -> Column:
-    return F.when(c.rlike('^".*"$'),
-                  F.regexp_replace(c.substr(F.lit(2), F.length(c) - 2), '""', '"')).otherwise(c)
+    """The value of a quoted field; others are literal."""
+    inner = F.regexp_extract(c, '^"((?:[^"]|"")*)"?', 1)
+    after = F.regexp_extract(c, '^"(?:[^"]|"")*"([^"].*)$', 1)
+    return F.when(F.startswith(c, F.lit('"')), F.concat(F.replace(inner, F.lit('""'), F.lit('"')), after)).otherwise(c)
 
 
 def split_fields(records: DataFrame, header: list[str] | None = None, line_col: str = "line") -> DataFrame:
     """``(record_no, line)`` → ``record_no, n_fields`` + one raw string column per field (snake_case).
 
-    Lines without a quote use a plain split; lines with one split on separators
-    outside quotes and unquote each field.  No lambda, so the projection stays
-    in whole-stage codegen.
+    Lines in which no field starts with a quote use a plain split, as a quote
+    inside a field is a character like any other.  The others are cut field by
+    field from left to right, in linear time.  A quoted field does not go on in
+    the next line.
     """
     header = header or RAW_FIELDS
     line = F.col(line_col)
-    quoted = F.instr(line, '"') > 0
-    parts = F.when(quoted, F.split(line, _QUOTE_AWARE_SEP, -1)).otherwise(F.split(line, ";", -1))
+    quoted = line.rlike('(^|;)"')
+    # Every match ends with its separator; one more is added, so the last field has one as well.
+    fields = F.regexp_extract_all(F.concat(line, F.lit(";")), F.lit('("(?:[^"]|"")*(?:"[^;]*)?;|[^;]*;|"[^$]*$)'), F.lit(1))
+    parts = F.when(quoted, fields).otherwise(F.split(line, ";", -1))
     df = records.select("record_no", parts.alias("_parts"), quoted.alias("_quoted"))
     n = F.size("_parts")
     ok = n == len(header)
 
     def field(i: int) -> Column:
         v = F.element_at("_parts", i + 1)
-        return F.when(ok, F.when(F.col("_quoted"), _unquote(v)).otherwise(v))
+        return F.when(ok, F.when(F.col("_quoted"), _unquote(F.left(v, F.char_length(v) - 1))).otherwise(v))
 
     cols = [field(i).alias(SNAKE.get(h, h)) for i, h in enumerate(header)]
     return df.select("record_no", n.alias("n_fields"), *cols)
@@ -91,7 +91,8 @@ def rule_columns(fields: DataFrame, n_expected: int = len(RAW_FIELDS)) -> DataFr
 
 def first_failure(records: DataFrame, header: list[str] | None = None) -> DataFrame:
     """``record_no, <raw fields>, fail_field, fail_rule, fail_value`` (NULL reason = valid)."""
-    r = rule_columns(split_fields(records, header))
+    header = header or RAW_FIELDS
+    r = rule_columns(split_fields(records, header), len(header))
     s = {c: P.py_strip(c) for c in SNAKE.values()}
 
     def reason(field, rule, value) -> Column:
@@ -115,7 +116,7 @@ def first_failure(records: DataFrame, header: list[str] | None = None) -> DataFr
         .when(F.col("fails_age"), reason(*R_AGE, F.format_string("%.2f", F.col("age_at_sale"))))
         .when(F.col("fails_gender"), reason(*R_GENDER, s["gender"]))
     )
-    raw_cols = [SNAKE[h] for h in (header or RAW_FIELDS)]
+    raw_cols = [SNAKE.get(h, h) for h in header]
     return (r.select("record_no", *raw_cols, chain.alias("_reason"))
             .select("record_no", *raw_cols,
                     F.col("_reason.field").alias("fail_field"),

@@ -468,11 +468,12 @@ def q_box_stats(spark, d):
 
 @register("density_histogram", O.with_clean(f"""
 WITH mm AS (SELECT min(amount) AS lo, max(amount) AS hi, count(*) AS n FROM cl WHERE amount IS NOT NULL),
-b AS (SELECT CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((amount - lo) / ((hi - lo) / 40)), 39) END AS INTEGER) AS bin,
-             lo, hi, n FROM cl, mm WHERE amount IS NOT NULL)
-SELECT bin, {O.sig('lo + bin * (hi - lo) / 40')} AS "left", {O.sig('lo + (bin + 1) * (hi - lo) / 40')} AS "right",
-       count(*) AS n, {O.sig('count(*) / (n * ((hi - lo) / 40))')} AS density
-FROM b GROUP BY bin, lo, hi, n"""))
+b AS (SELECT CAST(least(floor((amount - lo) / ((hi - lo) / 40)), 39) AS INTEGER) AS bin, count(*) AS c
+      FROM cl, mm WHERE amount IS NOT NULL GROUP BY 1)
+SELECT CAST(g AS INTEGER) AS bin, {O.sig('lo + g * (hi - lo) / 40')} AS "left",
+       {O.sig('lo + (g + 1) * (hi - lo) / 40')} AS "right",
+       coalesce(c, 0) AS n, {O.sig('coalesce(c, 0) / (mm.n * ((hi - lo) / 40))')} AS density
+FROM mm CROSS JOIN range(40) r(g) LEFT JOIN b ON b.bin = g"""))
 def q_density_histogram(spark, d):
     h = PR.density_histogram(clean_sales(spark, d), "amount", 40)
     return h.select("bin", sig("left").alias("left"), sig("right").alias("right"), "n", sig("density").alias("density"))
@@ -523,7 +524,7 @@ def q_seeded_sample(spark, d):
 
 @register("train_test_split", f"""
 SELECT o_orderkey, CASE WHEN row_number() OVER (ORDER BY {_hash_sql('o_orderkey')}, o_orderkey)
-  <= ceil((CASE WHEN count(*) OVER () < 10 THEN 0.5 ELSE 0.3 END) * count(*) OVER ()) THEN 'test' ELSE 'train' END AS split
+  <= ceil(0.3 * count(*) OVER ()) THEN 'test' ELSE 'train' END AS split
 FROM orders""")
 def q_train_test_split(spark, d):
     from salescope.sources.tables import table
@@ -630,25 +631,17 @@ FROM (
          (SELECT sum(pow(t, 3) - t) FROM (SELECT CAST(count(*) AS DOUBLE) AS t FROM x GROUP BY v)) AS tt FROM per)"""
 
 
-_TOP_STORES = ("((SELECT count(DISTINCT store) FROM cl WHERE store IS NOT NULL) <= 200 OR store IN "
-               "(SELECT store FROM cl WHERE store IS NOT NULL GROUP BY store ORDER BY count(*) DESC, store LIMIT 200))")
-
-
-def _stores(cl):
-    return PR.restrict_to_top_groups(cl, "store", 200)[0]
-
-
-@register("anova", O.with_clean(_anova_sql("channel") + " UNION ALL " + _anova_sql("store", _TOP_STORES)))
+@register("anova", O.with_clean(_anova_sql("channel") + " UNION ALL " + _anova_sql("store")))
 def q_anova(spark, d):
     cl = clean_sales(spark, d)
-    r = H.anova(cl, "channel", "amount").unionByName(H.anova(_stores(cl), "store", "amount"))
+    r = H.anova(cl, "channel", "amount").unionByName(H.anova(cl, "store", "amount"))
     return r.select("test", "variables", sig("statistic").alias("statistic"), "df1", "df2")
 
 
-@register("kruskal", O.with_clean(_kruskal_sql("channel") + " UNION ALL " + _kruskal_sql("store", _TOP_STORES)))
+@register("kruskal", O.with_clean(_kruskal_sql("channel") + " UNION ALL " + _kruskal_sql("store")))
 def q_kruskal(spark, d):
     cl = clean_sales(spark, d)
-    r = H.kruskal(cl, "channel", "amount").unionByName(H.kruskal(_stores(cl), "store", "amount"))
+    r = H.kruskal(cl, "channel", "amount").unionByName(H.kruskal(cl, "store", "amount"))
     return r.select("test", "variables", sig("statistic").alias("statistic"), "dof")
 
 
@@ -902,27 +895,44 @@ def q_residual_table(spark, d):
     return s.withColumn("residual", F.col("actual") - F.col("predicted"))
 
 
-def _gbt(cl, iters, max_rows=None):
+def _gbt(spark, cl, iters, minimum):
     mf = M.model_frame(cl)
-    if max_rows:
-        mf = M.seeded_sample(mf, max_rows, ["record_no", "amount", "sku"])
+    n = mf.count()
+    if n < minimum:
+        note = f"No entrenado: se requieren al menos {minimum} registros completos."
+        return spark.createDataFrame([(n, None, None, None, note)],
+                                     "n long, mae double, rmse double, r2 double, note string")
     feats = [c for c in mf.columns if c not in ("record_no", "amount")]
     sp = M.train_test_split(mf, ["record_no", "amount", "sku"])
     asm, model = M.gbt_fit(sp.filter(F.col("split") == "train"), feats, "amount", iters=iters,
-                           key_cols=["record_no", "amount", "sku"])
+                           key_cols=["record_no", "amount", "sku"], validation_share=0.1)
     scored = M.gbt_predict(asm, model, sp.filter(F.col("split") == "test")).select(
         F.col("amount").alias("actual"), "predicted")
-    return M.regression_metrics(scored)
+    return M.regression_metrics(scored).withColumn("note", F.lit(None).cast("string"))
 
 
 @register("gbt_metrics")
 def q_gbt_metrics(spark, d):
-    return _gbt(clean_sales(spark, d), GBT_ITERS_QUERY).withColumn("model", F.lit("GBTRegressor"))
+    return _gbt(spark, clean_sales(spark, d), GBT_ITERS_QUERY, M.MIN_BOOSTED_ROWS) \
+        .withColumn("model", F.lit("GBTRegressor"))
 
 
 @register("period_model")
 def q_period_model(spark, d):
-    return _gbt(PR.period(clean_sales(spark, d), *PERIOD), GBT_ITERS_PERIOD, 100_000)
+    return _gbt(spark, PR.period(clean_sales(spark, d), *PERIOD), GBT_ITERS_PERIOD, M.MIN_PERIOD_ROWS)
+
+
+_REQUIRED_SQL = " AND ".join(f"{c} IS NOT NULL" for c in M.MODEL_REQUIRED)
+
+
+@register("not_trained", O.with_clean(f"""
+SELECT store, CAST(ts AS DATE) AS day, count(*) FILTER (WHERE {_REQUIRED_SQL}) AS n,
+  CASE WHEN count(*) FILTER (WHERE {_REQUIRED_SQL}) < {M.MIN_PERIOD_ROWS}
+    THEN 'No entrenado: se requieren al menos {M.MIN_PERIOD_ROWS} registros completos.' END AS note
+FROM cl GROUP BY 1, 2"""))
+def q_not_trained(spark, d):
+    cl = clean_sales(spark, d).withColumn("day", F.to_date("ts"))
+    return M.trainable(cl, ["store", "day"], M.MODEL_REQUIRED, M.MIN_PERIOD_ROWS)
 
 
 @register("hypothesis_suite")

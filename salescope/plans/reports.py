@@ -2,7 +2,7 @@
 
 Each report is a small DataFrame assembled from the distributed operators;
 the only driver-side values are per-test scalars (k×k matrices for OLS with k
-predictors), never rows of the table.
+predictors), never rows of the table.  Reports read all rows.
 """
 
 from __future__ import annotations
@@ -13,12 +13,13 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from salescope.functions.dist import chi2_sf, kolmogorov_sf, norm_ppf, norm_sf
+from salescope.functions.dist import chi2_sf, kolmogorov_sf, norm_ppf, norm_sf, ppf_norm_udf, sf_norm_udf
 from salescope.functions.numeric import verdict
 from salescope.operators import hypothesis as H
 from salescope.operators import model as M
-from salescope.operators import profile as PR
+from salescope.operators.ranks import cumulative_counts
 from salescope.schema import NUMERIC
 
 SUITE_SCHEMA = ("name string, question string, h0 string, h1 string, test string, statistic double, "
@@ -27,123 +28,192 @@ SUITE_SCHEMA = ("name string, question string, h0 string, h1 string, test string
 
 # ----------------------------------------------------------------------------- normality
 
-def _royston_weights(n: int) -> np.ndarray:
-    m = np.array([norm_ppf((i - 0.375) / (n + 0.25)) for i in range(1, n + 1)])
-    mm = float(m @ m)
-    c = m / math.sqrt(mm)
-    u = 1.0 / math.sqrt(n)
-    # Royston (1995) polynomial coefficients for the two extreme weights.
-    an = c[-1] + 0.221157 * u - 0.147981 * u ** 2 - 2.071190 * u ** 3 + 4.434685 * u ** 4 - 2.706056 * u ** 5
-    an1 = c[-2] + 0.042981 * u - 0.293762 * u ** 2 - 1.752461 * u ** 3 + 5.682633 * u ** 4 - 3.582633 * u ** 5
-    phi = (mm - 2 * m[-1] ** 2 - 2 * m[-2] ** 2) / (1 - 2 * an ** 2 - 2 * an1 ** 2)
-    a = m / math.sqrt(phi)
-    a[-1], a[-2], a[0], a[1] = an, an1, -an, -an1
-    return a
-
-
-def shapiro_wilk(x: np.ndarray) -> tuple[float, float]:
-    """W and Royston's normal approximation of its p-value (n ≥ 12)."""
-    x = np.sort(np.asarray(x, dtype=float))
-    n = len(x)
-    if n < 12:
-        return float("nan"), float("nan")
-    a = _royston_weights(n)
-    w = float((a @ x) ** 2 / np.sum((x - x.mean()) ** 2))
+def normal_score(i, n):
+    """Blom's score of the ``i``-th of ``n`` ordered values: the normal quantile at (i − 3/8)/(n + 1/4)."""
+    return norm_ppf((i - 0.375) / (n + 0.25))
+
+
+#: Positions at each end of a run of equal values whose scores are summed one by one.
+RUN_ENDS = 64
+
+
+def run_score(low: float, count: float, n: float) -> float:
+    """Sum of the normal scores of the positions ``low + 1 .. low + count`` of ``n``.
+
+    Inside a long run the sum is the integral of the quantile function, which
+    is minus the normal density at the quantile (midpoint rule); the ends, where
+    it bends most, are summed one by one.
+    """
+    first, last = int(low) + 1, int(low + count)
+    if last - first < 2 * RUN_ENDS:
+        return sum(normal_score(i, n) for i in range(first, last + 1))
+    ends = sum(normal_score(first + k, n) + normal_score(last - k, n) for k in range(RUN_ENDS))
+
+    def density(position):
+        z = norm_ppf((position - 0.375) / (n + 0.25))
+        return math.exp(-z * z / 2) / math.sqrt(2 * math.pi)
+
+    a, b = first + RUN_ENDS - 0.5, last - RUN_ENDS + 0.5
+    return ends + (n + 0.25) * (density(a) - density(b))
+
+
+def shapiro_p(w: float, n: int) -> float:
+    """Royston's approximation of the p-value of ``w`` (3 values at least)."""
+    if n < 3 or math.isnan(w):
+        return float("nan")
+    if w >= 1:
+        return 1.0
+    if n == 3:
+        return max(0.0, 6 / math.pi * (math.asin(math.sqrt(w)) - math.asin(math.sqrt(0.75))))
+    # Royston (1995) polynomials, for 4 to 11 and for 12 or more values.
+    if n <= 11:
+        edge = 0.459 * n - 2.273
+        if math.log(1 - w) >= edge:
+            return 0.0
+        mu = 0.5440 - 0.39978 * n + 0.025054 * n ** 2 - 0.0006714 * n ** 3
+        sigma = math.exp(1.3822 - 0.77857 * n + 0.062767 * n ** 2 - 0.0020322 * n ** 3)
+        return norm_sf((-math.log(edge - math.log(1 - w)) - mu) / sigma)
     ln = math.log(n)
-    # Royston (1995) constants for n ≥ 12.
     mu = 0.0038915 * ln ** 3 - 0.083751 * ln ** 2 - 0.31082 * ln - 1.5861
     sigma = math.exp(0.0030302 * ln ** 2 - 0.082676 * ln - 0.4803)
-    z = (math.log(1 - w) - mu) / sigma if w < 1 else -math.inf
-    return w, norm_sf(z)
-
-
-def _normality_group(pdf: pd.DataFrame) -> pd.DataFrame:
-    var = pdf["variable"].iloc[0]
-    x = pdf["value"].to_numpy(dtype=float)
-    n = len(x)
-    sd = x.std(ddof=1) if n > 1 else 0.0
-    if sd > 0:
-        w, pw = shapiro_wilk(x)
-        z = np.sort((x - x.mean()) / sd)
-        cdf = np.array([1 - norm_sf(v) for v in z])
-        i = np.arange(1, n + 1)
-        d = float(max(np.max(i / n - cdf), np.max(cdf - (i - 1) / n)))
-        pk = kolmogorov_sf(d, n)
-        note = None
-    else:
-        w = pw = d = pk = float("nan")
-        note = "No evaluable: variable sin variacion."
-    return pd.DataFrame([{"variable": var, "n_sample": n, "shapiro_stat": w, "shapiro_p": pw,
-                          "ks_stat": d, "ks_p": pk, "note": note}])
+    return norm_sf((math.log(1 - w) - mu) / sigma)
 
 
-def normality(df: DataFrame, cols=NUMERIC, sample: int = 5000, seed: int = 42, key: str = "record_no") -> DataFrame:
-    """Per variable: seeded sample of ≤ ``sample`` values (top-N by hash), Shapiro-Wilk and KS.
+def shapiro_w(n: int, sums: dict) -> float:
+    """W from sums over the ordered values.
 
-    Each group holds at most ``sample`` rows, so the per-variable pandas step is bounded.
+    ``mx``: Σ m·x and ``mm``: Σ m² over all positions (m: normal scores); the two
+    smallest and largest values ``x1 x2 y2 y1``; ``ss``: Σ (x − mean)².
     """
-    parts = []
-    for c in cols:
-        x = df.filter(F.col(c).isNotNull() & ~F.isnan(c)).select(F.lit(c).alias("variable"),
-                                                                 F.col(c).cast("double").alias("value"), key)
-        parts.append(M.seeded_sample(x, sample, [key, "value"], seed).select("variable", "value"))
-    allv = parts[0]
-    for p in parts[1:]:
-        allv = allv.unionByName(p)
-    return allv.groupBy("variable").applyInPandas(
-        _normality_group, "variable string, n_sample long, shapiro_stat double, shapiro_p double, "
-                          "ks_stat double, ks_p double, note string")
+    if n < 3 or not sums["ss"]:
+        return float("nan")
+    if n == 3:
+        return (sums["y1"] - sums["x1"]) ** 2 / 2 / sums["ss"]
+    m1, m2 = normal_score(n, n), normal_score(n - 1, n)
+    mm, u = sums["mm"], 1 / math.sqrt(n)
+    c1, c2 = m1 / math.sqrt(mm), m2 / math.sqrt(mm)
+    # Royston (1995) polynomials of the two extreme weights.
+    a1 = c1 + 0.221157 * u - 0.147981 * u ** 2 - 2.071190 * u ** 3 + 4.434685 * u ** 4 - 2.706056 * u ** 5
+    a2 = c2 + 0.042981 * u - 0.293762 * u ** 2 - 1.752461 * u ** 3 + 5.682633 * u ** 4 - 3.582633 * u ** 5
+    if n <= 5:
+        phi = (mm - 2 * m1 ** 2) / (1 - 2 * a1 ** 2)
+        inner = sums["mx"] - m1 * (sums["y1"] - sums["x1"])
+        top = a1 * (sums["y1"] - sums["x1"]) + inner / math.sqrt(phi)
+    else:
+        phi = (mm - 2 * m1 ** 2 - 2 * m2 ** 2) / (1 - 2 * a1 ** 2 - 2 * a2 ** 2)
+        inner = sums["mx"] - m1 * (sums["y1"] - sums["x1"]) - m2 * (sums["y2"] - sums["x2"])
+        top = a1 * (sums["y1"] - sums["x1"]) + a2 * (sums["y2"] - sums["x2"]) + inner / math.sqrt(phi)
+    return min(1.0, top ** 2 / sums["ss"])
 
 
-def _qq_group(pdf: pd.DataFrame) -> pd.DataFrame:
-    x = np.sort(pdf["value"].to_numpy(dtype=float))
-    n = len(x)
-    m = np.array([(i - 0.3175) / (n + 0.365) for i in range(1, n + 1)])
-    if n:
-        m[-1] = 0.5 ** (1.0 / n)
-        m[0] = 1 - m[-1]
-    return pd.DataFrame({"i": np.arange(1, n + 1), "theoretical": [norm_ppf(p) for p in m], "ordered": x})
+@F.pandas_udf(T.DoubleType())
+def _run_score_udf(low: pd.Series, count: pd.Series, n: pd.Series) -> pd.Series:
+    return pd.Series([run_score(*r) for r in zip(low, count, n, strict=True)], dtype="float64")
 
 
-def qq_points(values: DataFrame, col: str, sample: int = 5000, seed: int = 42, key: str = "record_no") -> DataFrame:
-    """Normal Q-Q points (Filliben plotting positions) of a bounded seeded sample."""
-    x = values.filter(F.col(col).isNotNull()).select(F.col(col).cast("double").alias("value"), key)
-    s = M.seeded_sample(x, sample, [key, "value"], seed).withColumn("_g", F.lit(0))
-    return s.groupBy("_g").applyInPandas(lambda p: _qq_group(p), "i long, theoretical double, ordered double")
+def score_square_sum(n: int) -> float:
+    """Σ m² of ``n`` normal scores: one by one at the ends, by its integral in between."""
+    def square(i):
+        return normal_score(i, n) ** 2
 
+    if n <= 4096:
+        return sum(square(i) for i in range(1, n + 1))
 
-# ----------------------------------------------------------------------------- suites
+    def integral(position):  # of the squared quantile: Φ(z) − z·φ(z)
+        z = norm_ppf((position - 0.375) / (n + 0.25))
+        return (1 - norm_sf(z)) - z * math.exp(-z * z / 2) / math.sqrt(2 * math.pi)
 
-def _row(spark, **kw):
-    cols = [c.split()[0] for c in SUITE_SCHEMA.split(", ")]
-    return spark.createDataFrame([tuple(kw.get(c) for c in cols)], SUITE_SCHEMA)
+    ends = 2 * sum(square(i) for i in range(1, 1025))
+    return ends + (n + 0.25) * (integral(n - 1024 + 0.5) - integral(1024.5))
 
 
-def _suite_rows(df_stats: DataFrame, name, question, h0, h1, test, stat_col, p_col, note=None) -> DataFrame:
-    return df_stats.select(F.lit(name).alias("name"), F.lit(question).alias("question"), F.lit(h0).alias("h0"),
-                           F.lit(h1).alias("h1"), F.lit(test).alias("test"),
-                           F.col(stat_col).cast("double").alias("statistic"),
-                           F.col(p_col).cast("double").alias("p_value"),
-                           verdict(F.col(p_col)).alias("decision"),
-                           F.lit(note).cast("string").alias("note"))
+def normality(df: DataFrame, cols=NUMERIC) -> DataFrame:
+    """Per variable, over all rows: Shapiro-Wilk (Royston) and Kolmogorov-Smirnov against N(mean, sd).
+
+    Both come from the distinct values with their ranks: the KS distance is a
+    maximum over them, W needs Σ score·value, where a run of equal values adds
+    the sum of its positions' scores.  A few sums a variable reach the driver.
+    """
+    stack = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
+    long = (df.selectExpr(f"stack({len(cols)}, {stack}) AS (variable, value)")
+            .filter(F.col("value").isNotNull() & ~F.isnan("value")))
+    vc = long.groupBy("variable", "value").agg(F.count(F.lit(1)).alias("cnt"))
+    moments = long.groupBy("variable").agg(F.avg("value").alias("_mean"), F.stddev_samp("value").alias("_sd"),
+                                           F.var_pop("value").alias("_vp"))
+    ranked = cumulative_counts(vc, "value", ["variable"]).join(F.broadcast(moments), "variable")
+    z = F.try_divide(F.col("value") - F.col("_mean"), F.nullif("_sd", F.lit(0.0)))
+    below = 1 - sf_norm_udf(z)
+    n = F.col("n").cast("double")
+    scored = (ranked.withColumn("_cdf", below)
+              .withColumn("_m", _run_score_udf(F.col("cum_lo").cast("double"), F.col("cnt").cast("double"), n)))
+    high = F.col("cum_lo") + F.col("cnt")
+
+    def at(position):  # the value at a 1-based position
+        return F.max(F.when((F.col("cum_lo") < position) & (high >= position), F.col("value")))
+
+    sums = scored.groupBy("variable").agg(
+        F.max("n").alias("n"), F.max("_vp").alias("_vp"), F.sum(F.col("_m") * F.col("value")).alias("mx"),
+        F.max(F.greatest(high / n - F.col("_cdf"), F.col("_cdf") - F.col("cum_lo") / n)).alias("d"),
+        at(F.lit(1)).alias("x1"), at(F.lit(2)).alias("x2"), at(F.col("n") - 1).alias("y2"), at(F.col("n")).alias("y1"))
+    rows = []
+    for r in sums.collect():  # one row a variable
+        flat = not r["_vp"]
+        values = {**r.asDict(), "ss": (r["_vp"] or 0.0) * r["n"], "mm": score_square_sum(r["n"])}
+        w = float("nan") if flat else shapiro_w(r["n"], values)
+        d = float("nan") if flat or r["d"] is None else r["d"]
+        nothing = H.NO_VARIATION if flat else H.FEW_ROWS if r["n"] < 3 else None
+        rows.append((r["variable"], r["n"], *(None if math.isnan(v) else float(v) for v in
+                                              (w, shapiro_p(w, r["n"]), d, kolmogorov_sf(d, r["n"]))), nothing))
+    return df.sparkSession.createDataFrame(rows, "variable string, n long, shapiro_stat double, shapiro_p double, "
+                                                 "ks_stat double, ks_p double, note string")
+
+
+def qq_points(values: DataFrame, col: str) -> DataFrame:
+    """Normal Q-Q table over all rows: each distinct value (``ordered``) with its rows and normal quantile.
+
+    Filliben's plotting positions; equal values stand at their mean position.
+    """
+    x = values.filter(F.col(col).isNotNull()).select(F.col(col).cast("double").alias("ordered"))
+    cc = cumulative_counts(x.groupBy("ordered").agg(F.count(F.lit(1)).alias("cnt")), "ordered")
+    n = F.col("n").cast("double")
+    rank = F.col("cum_lo") + (F.col("cnt") + 1) / 2.0
+    last = F.pow(F.lit(0.5), 1 / n)
+    p = (F.when(rank == n, last).when(rank == 1, 1 - last).otherwise((rank - 0.3175) / (n + 0.365)))
+    return cc.select("ordered", "cnt", rank.alias("rank"), ppf_norm_udf(p).alias("theoretical"))
+
+
+# ----------------------------------------------------------------------------- suites
+
+def _suite_rows(stats: DataFrame, name, question, h0, h1, test, stat_col, p_col, why=None) -> DataFrame:
+    """A row of the suite; ``why`` (default: the test's own note) where it could not be made."""
+    p = F.col(p_col).cast("double")
+    made = F.col(stat_col).isNotNull() & p.isNotNull()
+    note = F.col("note") if "note" in stats.columns else F.lit(None).cast("string")
+    note = F.when(~made, F.coalesce(F.lit(why), note, F.lit(H.NO_VARIATION)))
+    return stats.select(F.lit(name).alias("name"), F.lit(question).alias("question"), F.lit(h0).alias("h0"),
+                        F.lit(h1).alias("h1"), F.lit(test).alias("test"),
+                        F.col(stat_col).cast("double").alias("statistic"), p.alias("p_value"),
+                        verdict(p).alias("decision"), note.alias("note"))
 
 
 def hypothesis_suite(cl: DataFrame, channel_a: str = "APP", channel_b: str = "WEB") -> DataFrame:
-    """The six hypotheses of the original report, one row per test (or a note row)."""
-    spark = cl.sparkSession
+    """The six hypotheses of the original report, one row per test.
+
+    A test that cannot be made keeps its row: statistic NULL, decision 'No
+    evaluable', the reason in ``note``.
+    """
+    found = [r[0] for r in cl.select("gender").filter(F.col("gender").isNotNull()).distinct()
+             .orderBy("gender").limit(2).collect()]
+    g1, g2 = [*found, None, None][:2]
     out = []
     # H0_APP_WEB: ticket of channel A greater than channel B (Welch one-sided + Mann-Whitney 'greater').
+    missing = f"No evaluable: no existen suficientes registros en {channel_a} y {channel_b}."
     w = H.with_t_pvalues(H.welch_t(cl, "channel", "amount", channel_a, channel_b))
-    wr = w.first()
-    if wr["statistic"] is not None:
-        out.append(_suite_rows(w, "H0_APP_WEB", f"El ticket promedio en {channel_a} es mayor que en {channel_b}.",
-                               f"Ticket promedio {channel_a} <= {channel_b}.", f"Ticket promedio {channel_a} > {channel_b}.",
-                               "Welch t-test unilateral", "statistic", "p_greater"))
-        mw = H.with_mw_pvalues(H.mann_whitney(cl, "channel", "amount", channel_a, channel_b))
-        out.append(_suite_rows(mw, "H0_APP_WEB", "", "", "", "Mann-Whitney unilateral", "statistic", "p_greater"))
-    else:
-        out.append(_row(spark, name="H0_APP_WEB", decision="No evaluable",
-                        note=f"No evaluable: no existen suficientes registros en {channel_a} y {channel_b}."))
+    out.append(_suite_rows(w, "H0_APP_WEB", f"El ticket promedio en {channel_a} es mayor que en {channel_b}.",
+                           f"Ticket promedio {channel_a} <= {channel_b}.", f"Ticket promedio {channel_a} > {channel_b}.",
+                           "Welch t-test unilateral", "statistic", "p_greater", missing))
+    mw = H.with_mw_pvalues(H.mann_whitney(cl, "channel", "amount", channel_a, channel_b))
+    out.append(_suite_rows(mw, "H0_APP_WEB", "", "", "", "Mann-Whitney unilateral", "statistic", "p_greater", missing))
     # H0_DESCUENTO_UNIDADES: simple OLS units ~ discount.
     o = H.simple_ols(cl, "units", "discount").withColumn("n_d", F.col("n").cast("double"))
     o = H.with_t_pvalues(o.withColumn("statistic", F.col("t_slope")).withColumn("dof", F.col("n_d") - 2))
@@ -156,49 +226,39 @@ def hypothesis_suite(cl: DataFrame, channel_a: str = "APP", channel_b: str = "WE
                            "ANOVA", "statistic", "p_value"))
     k = H.with_chi2_pvalue(H.kruskal(cl, "channel", "amount"))
     out.append(_suite_rows(k, "H1", "", "", "", "Kruskal-Wallis", "statistic", "p_value"))
-    # H2 / H3: Spearman discount~amount, age~amount.
-    # Both pairs from one call: the two filtered branches share one plan (amount ranked once).
+    # H2 / H3: Spearman discount~amount, age~amount, from one call (amount is ranked once).
     sp = H.with_spearman_pvalues(H.spearman_pairs(cl, [("discount", "amount"), ("age", "amount")]))
     for name, a_, q in (("H2", "discount", "El descuento se asocia con el monto."),
                         ("H3", "age", "La edad se asocia con el monto.")):
         out.append(_suite_rows(sp.filter(F.col("var_a") == a_), name, q, "Sin asociacion monotona.",
                                "Asociacion monotona.", "Spearman", "rho", "p_value"))
     # H4: gender, first two sorted values (Welch two-sided + Mann-Whitney two-sided).
-    gv = [r[0] for r in cl.select("gender").filter(F.col("gender").isNotNull()).distinct().orderBy("gender").take(2)]
-    if len(gv) >= 2:
-        w = H.with_t_pvalues(H.welch_t(cl, "gender", "amount", gv[0], gv[1]))
-        out.append(_suite_rows(w, "H4", "El monto difiere segun genero.", "No difiere.", "Difiere.",
-                               "Welch t-test", "statistic", "p_value"))
-        mw = H.with_mw_pvalues(H.mann_whitney(cl, "gender", "amount", gv[0], gv[1]))
-        out.append(_suite_rows(mw, "H4", "", "", "", "Mann-Whitney", "statistic", "p_value"))
-    else:
-        out.append(_row(spark, name="H4", decision="No evaluable", note="No evaluable: se requieren al menos dos generos."))
+    few = "No evaluable: se requieren al menos dos generos." if g2 is None else None
+    w = H.with_t_pvalues(H.welch_t(cl, "gender", "amount", F.lit(g1), F.lit(g2)))
+    out.append(_suite_rows(w, "H4", "El monto difiere segun genero.", "No difiere.", "Difiere.",
+                           "Welch t-test", "statistic", "p_value", few))
+    mw = H.with_mw_pvalues(H.mann_whitney(cl, "gender", "amount", F.lit(g1), F.lit(g2)))
+    out.append(_suite_rows(mw, "H4", "", "", "", "Mann-Whitney", "statistic", "p_value", few))
     res = out[0]
     for o_ in out[1:]:
         res = res.unionByName(o_)
     return res
 
 
-def association_suite(cl: DataFrame, max_stores: int = 200) -> DataFrame:
-    """Chi-square channel×store, three Spearman pairs, ANOVA/Kruskal by channel and by top stores, chi² channel×gender."""
-    schema_cols = ["test", "variables", "statistic", "dof", "p_value", "note"]
-    parts = [H.with_chi2_pvalue(H.chi_square(cl, "channel", "store")).select(*schema_cols)]
+def association_suite(cl: DataFrame) -> DataFrame:
+    """Chi-square channel×store and channel×gender, three Spearman pairs, ANOVA/Kruskal by channel and by store."""
+    columns = ["test", "variables", "statistic", "dof", "p_value", "note"]
+    parts = [H.with_chi2_pvalue(H.chi_square(cl, "channel", "store")).select(*columns)]
     sp = H.with_spearman_pvalues(H.spearman_pairs(cl, [("units", "amount"), ("units", "discount"),
                                                        ("amount", "discount")]))
     parts.append(sp.select(F.lit("Spearman").alias("test"), F.concat_ws(" vs ", "var_a", "var_b").alias("variables"),
                            F.col("rho").alias("statistic"), F.lit(None).cast("bigint").alias("dof"), "p_value",
-                           F.when(F.col("rho").isNull(), F.lit("No evaluable: una o ambas variables no tienen "
-                                                               "variacion suficiente.")).alias("note")))
-    stores, capped = PR.restrict_to_top_groups(cl, "store", max_stores)
-    note = (f"Evaluado sobre los {max_stores} locales con mas registros para controlar costo computacional."
-            if capped else None)
-    for g, frame, nt in (("channel", cl, None), ("store", stores, note)):
-        a = H.with_f_pvalue(H.anova(frame, g, "amount"))
-        parts.append(a.select("test", "variables", "statistic", F.col("df1").alias("dof"), "p_value",
-                              F.lit(nt).cast("string").alias("note")))
-        k = H.with_chi2_pvalue(H.kruskal(frame, g, "amount"))
-        parts.append(k.select("test", "variables", "statistic", "dof", "p_value", F.lit(nt).cast("string").alias("note")))
-    parts.append(H.with_chi2_pvalue(H.chi_square(cl, "channel", "gender")).select(*schema_cols))
+                           F.when(F.col("rho").isNull(), F.lit(H.NO_VARIATION)).alias("note")))
+    for g in ("channel", "store"):
+        a = H.with_f_pvalue(H.anova(cl, g, "amount"))
+        parts.append(a.select("test", "variables", "statistic", F.col("df1").alias("dof"), "p_value", "note"))
+        parts.append(H.with_chi2_pvalue(H.kruskal(cl, g, "amount")).select(*columns))
+    parts.append(H.with_chi2_pvalue(H.chi_square(cl, "channel", "gender")).select(*columns))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -208,42 +268,52 @@ def association_suite(cl: DataFrame, max_stores: int = 200) -> DataFrame:
 # ----------------------------------------------------------------------------- linear diagnostics
 
 def linear_diagnostics(cl: DataFrame, seed: int = 42) -> dict:
-    """OLS of log1p(amount) on channel dummies, store, units, discount (train split), with diagnostics."""
+    """OLS of log1p(amount) on channel dummies, store, units, discount (train split), with diagnostics.
+
+    With fewer than ``MIN_LINEAR_ROWS`` complete rows nothing is trained:
+    the result only has ``n`` and ``note``.
+    """
     base = cl.select("record_no", "amount", "channel", "store", "units", "discount").dropna()
+    n = base.count()
+    if n < M.MIN_LINEAR_ROWS:
+        return {"n": n, "note": f"No entrenado: se requieren al menos {M.MIN_LINEAR_ROWS} registros completos."}
     base = base.withColumn("y", F.log1p("amount"))
     frame = M.one_hot(base, "channel")
     xs = [c for c in frame.columns if c.startswith("channel_")] + ["store", "units", "discount"]
     xs = M.varying_columns(frame, xs)
-    split = M.train_test_split(frame, ["record_no", "amount", "store"], 0.3, seed).persist()
+    split = M.train_test_split(frame, ["record_no", "amount", "store"], 0.3, seed)
     train = split.filter(F.col("split") == "train")
     test = split.filter(F.col("split") == "test")
     fit = M.ols(train, "y", xs)
     res = M.residuals(train, fit, "y")
     bp = M.breusch_pagan(res, xs)
     jb = H.jarque_bera(res, "resid").first()
+    shapiro = normality(res, ["resid"]).first()
     scored = M.residuals(test, fit, "y").select(
         F.col("amount").alias("actual"), F.greatest(F.expm1("fitted"), F.lit(0.0)).alias("predicted"))
     metrics = M.regression_metrics(scored).first()
-    return {"fit": fit, "xs": xs, "vif": M.vif(train, xs), "bp": bp,
+    return {"n": n, "note": None, "fit": fit, "xs": xs, "vif": M.vif(train, xs), "bp": bp,
             "jb": (jb["statistic"], chi2_sf(jb["statistic"], 2)), "metrics": metrics, "res": res,
-            "scored": scored, "split": split}
+            "shapiro": (shapiro["shapiro_stat"], shapiro["shapiro_p"]), "scored": scored, "split": split}
 
 
 def linear_report(spark: SparkSession, diag: dict) -> DataFrame:
-    """Long table (section, name, value, p_value, low, high)."""
-    rows = []
-    fit = diag["fit"]
-    for name, b, se, t, p, lo, hi in fit["coefficients"]:
-        rows.append(("coeficiente", name, b, p, lo, hi))
+    """Long table (section, name, value, p_value, low, high, note)."""
+    schema = ("section string, name string, value double, p_value double, low double, high double, note string")
+    if diag["note"]:
+        return spark.createDataFrame([("tamanos", "filas", float(diag["n"]), None, None, None, diag["note"])], schema)
+    fit, bp, m = diag["fit"], diag["bp"], diag["metrics"]
+    rows = [("tamanos", "filas", float(diag["n"]), None, None, None),
+            ("tamanos", "entrenamiento", float(fit["n"]), None, None, None),
+            ("tamanos", "prueba", float(m["n"]), None, None, None)]
+    rows += [("coeficiente", name, b, p, lo, hi) for name, b, se, t, p, lo, hi in fit["coefficients"]]
     rows += [("ajuste", "r2_train", fit["r2"], None, None, None),
              ("ajuste", "r2_ajustado_train", fit["r2_adj"], None, None, None)]
     rows += [("vif", c, v, None, None, None) for c, v in diag["vif"]]
-    bp = diag["bp"]
     rows += [("breusch_pagan", "lm", bp["lm_stat"], bp["lm_p_value"], None, None),
              ("breusch_pagan", "f", bp["f_stat"], bp["f_p_value"], None, None),
-             ("jarque_bera", "jb", diag["jb"][0], diag["jb"][1], None, None)]
-    m = diag["metrics"]
+             ("jarque_bera", "jb", diag["jb"][0], diag["jb"][1], None, None),
+             ("shapiro", "w", *diag["shapiro"], None, None)]
     rows += [("test_original_scale", k, float(m[k]) if m[k] is not None else None, None, None, None)
              for k in ("mae", "rmse", "r2")]
-    return spark.createDataFrame(rows, "section string, name string, value double, p_value double, "
-                                       "low double, high double")
+    return spark.createDataFrame([(*r, None) for r in rows], schema)

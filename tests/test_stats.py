@@ -24,14 +24,151 @@ def test_golden_tails():
     assert math.isclose(D.norm_ppf(0.975), 1.959963984540054, rel_tol=1e-12)
 
 
-def test_shapiro_golden():
-    from salescope.plans.reports import _royston_weights  # noqa: F401
-    # Royston's p from a published W with n = 5000.
-    ln = math.log(5000)
-    mu = 0.0038915 * ln ** 3 - 0.083751 * ln ** 2 - 0.31082 * ln - 1.5861
-    sigma = math.exp(0.0030302 * ln ** 2 - 0.082676 * ln - 0.4803)
-    p = D.norm_sf((math.log(1 - 0.9781382429498547) - mu) / sigma)
-    assert math.isclose(p, 4.600643362398074e-27, rel_tol=1e-4)
+def test_shapiro_and_ks_golden():
+    from salescope.plans.reports import shapiro_p
+    assert math.isclose(shapiro_p(0.9781382429498547, 5000), 4.600643362398074e-27, rel_tol=1e-4)
+    assert math.isclose(D.kolmogorov_sf(0.1947538545, 5000), 1.289321991e-166, rel_tol=1e-5)
+    # Exact values (n = 10 and 100) of the finite-sample distribution.
+    assert math.isclose(D.kolmogorov_sf(0.5, 10), 0.007777409999999763, rel_tol=0.01)
+    assert math.isclose(D.kolmogorov_sf(0.1, 100), 0.2526927570063904, rel_tol=1e-4)
+
+
+def _shapiro_direct(x):
+    """W with the whole weight vector."""
+    x, n = np.sort(x), len(x)
+    m = np.array([D.norm_ppf((i - 0.375) / (n + 0.25)) for i in range(1, n + 1)])
+    mm, u = float(m @ m), 1 / math.sqrt(n)
+    a1 = np.polyval([-2.706056, 4.434685, -2.071190, -0.147981, 0.221157, m[-1] / math.sqrt(mm)], u)
+    a2 = np.polyval([-3.582633, 5.682633, -1.752461, -0.293762, 0.042981, m[-2] / math.sqrt(mm)], u)
+    if n <= 5:
+        w = m / math.sqrt((mm - 2 * m[-1] ** 2) / (1 - 2 * a1 ** 2))
+    else:
+        w = m / math.sqrt((mm - 2 * m[-1] ** 2 - 2 * m[-2] ** 2) / (1 - 2 * a1 ** 2 - 2 * a2 ** 2))
+        w[1], w[-2] = -a2, a2
+    w[0], w[-1] = -a1, a1
+    return float((w @ x) ** 2 / np.sum((x - x.mean()) ** 2))
+
+
+def test_normality_reads_all_rows(spark):
+    from salescope.plans.reports import normality
+    rng = np.random.default_rng(11)
+    data = {"a": rng.normal(size=7000), "b": np.round(rng.exponential(3, 7000)), "c": np.full(7000, 2.0)}
+    df = _frame(spark, list(zip(*(v.tolist() for v in data.values()))), "a double, b double, c double")
+    got = {r["variable"]: r for r in normality(df, ["a", "b", "c"]).collect()}
+    for c in ("a", "b"):
+        x = np.sort(data[c])
+        assert got[c]["n"] == 7000 and math.isclose(got[c]["shapiro_stat"], _shapiro_direct(x), rel_tol=1e-6)
+        cdf = np.array([1 - D.norm_sf(v) for v in (x - x.mean()) / x.std(ddof=1)])
+        i = np.arange(1, 7001)
+        assert math.isclose(got[c]["ks_stat"], max((i / 7000 - cdf).max(), (cdf - (i - 1) / 7000).max()), rel_tol=1e-9)
+    assert got["c"]["shapiro_stat"] is None and got["c"]["note"]
+    for n in (2, 3, 5, 8, 11):
+        r = normality(df.limit(n), ["a"]).first()
+        if n < 3:
+            assert r["note"]
+        else:
+            x = np.array([v["a"] for v in df.limit(n).collect()])
+            want = (x.max() - x.min()) ** 2 / 2 / np.sum((x - x.mean()) ** 2) if n == 3 else _shapiro_direct(x)
+            assert math.isclose(r["shapiro_stat"], want, rel_tol=1e-9) and 0 <= r["shapiro_p"] <= 1
+
+
+def test_nothing_to_test_gives_a_note(spark):
+    """Constant, tied, single-group, tiny and empty input: a row with a note, never an error."""
+    schema = "g string, x double, y double"
+    frames = [[("a", 1.0, float(i)) for i in range(4)] + [("b", 1.0, float(i)) for i in range(4)],
+              [("a", float(i), 2.0) for i in range(5)], [("a", 1.0, 1.0), ("b", 2.0, 2.0)], [("a", 1.0, 1.0)], []]
+    for rows in frames:
+        df = _frame(spark, rows, schema)
+        for test in (H.anova(df, "g", "x"), H.kruskal(df, "g", "x"), H.welch_t(df, "g", "x", "a", "b"),
+                     H.simple_ols(df, "y", "x"), H.simple_ols(df, "x", "y")):
+            r = test.first()
+            stat = r["statistic"] if "statistic" in test.columns else r["t_slope"]
+            assert stat is not None or r["note"], (rows, r)
+        mw = H.with_mw_pvalues(H.mann_whitney(df, "g", "x", "a", "b")).first()
+        assert mw["z_two_sided"] is not None or mw["note"]
+        c = H.chi_square(df, "g", "x").collect()
+        assert len(c) == 1 and (c[0]["statistic"] is not None or c[0]["note"])
+        sp = H.with_spearman_pvalues(H.spearman_pairs(df, [("x", "y")])).first()
+        assert sp["rho"] is None or abs(sp["rho"]) <= 1 + 1e-12
+        assert PR.density_histogram(df, "x", 5).count() == (0 if not rows else 1 if len({r[1] for r in rows}) == 1 else 5)
+        PR.kde_curve(df, "x", 10).collect()
+        PR.box_stats(df, "g", "x").collect()
+
+
+def test_suite_with_constant_units(spark):
+    from salescope.plans.reports import hypothesis_suite
+    rows = [(c, 1, round(0.01 * (i % 9), 2), 100.0 + i, 20.0 + i % 50, 1 + i % 2) for i in range(60) for c in ("APP", "WEB")]
+    df = _frame(spark, rows, "channel string, units long, discount double, amount double, age double, gender int")
+    suite = hypothesis_suite(df).collect()
+    assert len(suite) == 9
+    by = {(r["name"], r["test"]): r for r in suite}
+    row = by["H0_DESCUENTO_UNIDADES", "Regresion lineal simple"]
+    assert row["decision"] == "No evaluable" and row["note"]
+    few = hypothesis_suite(df.filter("channel = 'APP' AND gender = 1")).collect()
+    assert len(few) == 9 and all(r["note"] for r in few if r["name"] in ("H0_APP_WEB", "H4", "H1"))
+
+
+def test_models_are_not_trained_on_few_rows(spark):
+    from salescope.operators import model as M
+    from salescope.plans.reports import linear_diagnostics, linear_report
+    df = spark.range(9).selectExpr("id AS record_no", "100.0D + id AS amount", "'A' AS channel", "id AS store",
+                                   "id AS units", "0.1D AS discount")
+    report = linear_report(spark, linear_diagnostics(df)).collect()
+    assert len(report) == 1 and report[0]["note"]
+    with pytest.raises(ValueError):
+        M.ols(df.limit(2), "amount", ["store", "units"])
+
+
+def test_ols_keeps_digits_of_large_codes(spark):
+    from salescope.operators import model as M
+    rng = np.random.default_rng(5)
+    x1, x2 = 9e8 + rng.integers(0, 1000, 400).astype(float), rng.normal(size=400)
+    y = 3 + 0.5 * (x1 - 9e8) - 2 * x2 + rng.normal(size=400)
+    df = _frame(spark, [tuple(map(float, r)) for r in zip(x1, x2, y)], "x1 double, x2 double, y double")
+    fit = M.ols(df, "y", ["x1", "x2"])
+    a = np.column_stack([np.ones(400), x1 - x1.mean(), x2 - x2.mean()])
+    b, sse = np.linalg.lstsq(a, y, rcond=None)[:2]
+    assert np.allclose(fit["beta"][1:], b[1:], rtol=1e-9)
+    assert math.isclose(fit["r2"], 1 - sse[0] / ((y - y.mean()) ** 2).sum(), rel_tol=1e-9)
+    bp = M.breusch_pagan(M.residuals(df, fit, "y"), ["x1", "x2"])
+    assert 0 <= bp["lm_p_value"] <= 1
+    v = dict(M.vif(df, ["x1", "x2"]))
+    xx = np.column_stack([x1, x2])
+    assert np.allclose([v["x1"], v["x2"]], np.diag(np.linalg.inv(xx.T @ xx)) * np.diag(xx.T @ xx), rtol=1e-6)
+
+
+def test_sample_and_split_sizes(spark):
+    from salescope.operators import model as M
+    df = spark.range(1000).withColumnRenamed("id", "k")
+    for n in (0, 1, 137, 1000, 5000):
+        assert M.seeded_sample(df, n, ["k"]).count() == min(n, 1000)
+    assert M.seeded_sample(df.withColumn("k", F.lit(1)), 300, ["k"]).count() == 300
+    s = {r["split"]: r["count"] for r in M.train_test_split(df, ["k"], 0.25).groupBy("split").count().collect()}
+    assert s == {"test": 250, "train": 750}
+    assert set(M.one_hot(df.limit(3), "k").columns) == {"k_1", "k_2"}
+    with pytest.raises(ValueError):
+        M.one_hot(spark.range(1500).withColumnRenamed("id", "k"), "k")
+
+
+def test_a_heavy_customer_is_joined_by_broadcast(spark):
+    from salescope.operators import clean as C
+    rows = [("big" if i % 10 < 7 else f"c{i}" if i % 10 < 9 else None, i) for i in range(3000)]
+    df = _frame(spark, rows, "customer_id string, n int")
+    out = C.purchase_frequency(df)
+    want = {}
+    for c, _ in rows:
+        want[c] = want.get(c, 0) + 1
+    got = {(r["n"], r["customer_id"]): r["purchase_frequency"] for r in out.collect()}
+    assert len(got) == 3000 and all(f == (want[c] if c else None) for (_, c), f in got.items())
+
+
+def test_rank_buckets_do_not_depend_on_partitions(spark):
+    rng = np.random.default_rng(3)
+    vals = np.round(rng.normal(size=3000), 2).tolist()
+    df = _frame(spark, [(v,) for v in vals], "x double")
+    want = dict(zip(vals, _ranks(vals)))
+    for buckets in (None, 2, 10, 37, 200):
+        assert all(math.isclose(r["rank"], want[r["x"]]) for r in average_ranks(df, "x", buckets=buckets).collect())
 
 
 @pytest.mark.parametrize("buckets", [1, 3, 7])
