@@ -15,6 +15,7 @@ from salescope.functions import parse as P
 from salescope.functions.numeric import nan_to_null
 from salescope.operators.ranks import quantile_row, quantiles
 from salescope.schema import CLEAN_REQUIRED, ESSENTIAL, MAX_VALID_AGE, NUMERIC, RAW_OF
+from salescope.session import written
 
 # Imputation constants of the original pipeline.
 BIRTH_DATE_FILL = "2000-01-01"
@@ -150,16 +151,16 @@ def zscores(df: DataFrame, cols: Sequence[str] = NUMERIC) -> DataFrame:
 def clean(typed: DataFrame, with_zscores: bool = True, cut_lineage: bool = False) -> DataFrame:
     """The cleaning stage in the original order.
 
-    With ``cut_lineage`` the frame is checkpointed (reliable checkpoint in
-    ``spark.checkpoint.dir``) before the whole-table scalars are computed, so
-    the median, the quartiles and the moments each read stored rows instead of
-    re-running the upstream joins.
+    With ``cut_lineage`` the frame is written as Parquet to the shared folder
+    before the whole-table scalars are computed: the median, the quartiles and
+    the moments then read just their columns of it instead of re-running the
+    upstream joins.
     """
     df = strip_column_names(typed)
     require_columns(df)
     df = drop_incomplete(df)
     if cut_lineage:
-        df = df.checkpoint(eager=True)
+        df = written(df, "typed")
     df = impute_median(df, "discount")
     df = impute_constant(df, "birth_date", BIRTH_DATE_FILL)
     df = amount_per_unit(df)
@@ -167,7 +168,7 @@ def clean(typed: DataFrame, with_zscores: bool = True, cut_lineage: bool = False
     df = age_backstop(df)
     df = purchase_frequency(df)
     if cut_lineage:
-        df = df.checkpoint(eager=True)
+        df = written(df, "derived")
     df = iqr_flags(df, [("amount", "outlier_amount"), ("units", "outlier_units")])
     if with_zscores:
         df = zscores(df)

@@ -31,14 +31,23 @@ def pruned_scan(df: DataFrame, columns: Sequence[str] = PERIOD_COLUMNS) -> DataF
     return df.select(*[c for c in columns if c in df.columns]).dropna(subset=["ts", "amount"])
 
 
+#: Partition column of stored sales: ``yyyy-MM``.
+MONTH = "sale_month"
+
+
+def with_month(df: DataFrame) -> DataFrame:
+    """Adds the partition column; rows without a time get month ``none``."""
+    return df.withColumn(MONTH, F.coalesce(F.date_format("ts", "yyyy-MM"), F.lit("none")))
+
+
 def period(df: DataFrame, start: str | None = None, end: str | None = None,
            bounds: tuple[str, str] | None = None) -> DataFrame:
     """Rows with ``start 00:00:00 <= ts <= end 23:59:59`` (inclusive days).
 
     ``bounds`` (first and last available day) makes the check of the original
     view: start must not be after end, and both must lie inside the data.
-    Unset ends mean the full range.  On date-partitioned data the filter prunes
-    partitions; on Parquet it is pushed to the scan.
+    Unset ends mean the full range.  If the month column is there, a filter on it
+    lets the scan skip the partitions of other months.
     """
     if start is not None and end is not None and start > end:
         raise ValueError("La fecha inicial no puede ser mayor que la final.")
@@ -46,6 +55,11 @@ def period(df: DataFrame, start: str | None = None, end: str | None = None,
         if (start is not None and start < bounds[0]) or (end is not None and end > bounds[1]):
             raise ValueError(f"Selecciona fechas entre {bounds[0]} y {bounds[1]}.")
     cond = F.lit(True)
+    if MONTH in df.columns:
+        if start is not None:
+            cond = cond & (F.col(MONTH) >= start[:7])
+        if end is not None:
+            cond = cond & (F.col(MONTH) <= end[:7])
     if start is not None:
         cond = cond & (F.col("ts") >= F.lit(start).cast("timestamp_ntz"))
     if end is not None:

@@ -439,7 +439,7 @@ def q_quantiles(spark, d):
 
 @register("period_filter", O.with_clean(f"SELECT record_no, ts, amount FROM cl WHERE {_PERIOD_SQL}"))
 def q_period_filter(spark, d):
-    return PR.period(clean_sales(spark, d), *PERIOD).select("record_no", "ts", "amount")
+    return PR.period(clean_sales(spark, d, by_month=True), *PERIOD).select("record_no", "ts", "amount")
 
 
 @register("period_kpis", O.with_clean(f"""
@@ -449,7 +449,7 @@ SELECT count(*) AS rows, {O.sig('coalesce(sum(amount), 0.0)')} AS total_amount,
        {O.sig('coalesce(quantile_cont(amount, 0.5), 0.0)')} AS median_amount
 FROM cl WHERE {_PERIOD_SQL}"""))
 def q_period_kpis(spark, d):
-    k = PR.period_kpis(PR.period(clean_sales(spark, d), *PERIOD))
+    k = PR.period_kpis(PR.period(clean_sales(spark, d, by_month=True), *PERIOD))
     return k.select("rows", sig("total_amount").alias("total_amount"), sig("mean_amount").alias("mean_amount"),
                     "channels", "stores", "outliers_amount", sig("median_amount").alias("median_amount"))
 
@@ -570,7 +570,7 @@ def q_spearman_matrix(spark, d):
 
 @register("period_spearman", O.with_clean(_spearman_sql(_PERIOD_PAIRS, _PERIOD_SQL)))
 def q_period_spearman(spark, d):
-    return _spearman_spark(PR.period(clean_sales(spark, d), *PERIOD), _PERIOD_PAIRS)
+    return _spearman_spark(PR.period(clean_sales(spark, d, by_month=True), *PERIOD), _PERIOD_PAIRS)
 
 
 @register("spearman_pair", O.with_clean(_spearman_sql(_TARGET_PAIRS)))
@@ -895,31 +895,16 @@ def q_residual_table(spark, d):
     return s.withColumn("residual", F.col("actual") - F.col("predicted"))
 
 
-def _gbt(spark, cl, iters, minimum):
-    mf = M.model_frame(cl)
-    n = mf.count()
-    if n < minimum:
-        note = f"No entrenado: se requieren al menos {minimum} registros completos."
-        return spark.createDataFrame([(n, None, None, None, note)],
-                                     "n long, mae double, rmse double, r2 double, note string")
-    feats = [c for c in mf.columns if c not in ("record_no", "amount")]
-    sp = M.train_test_split(mf, ["record_no", "amount", "sku"])
-    asm, model = M.gbt_fit(sp.filter(F.col("split") == "train"), feats, "amount", iters=iters,
-                           key_cols=["record_no", "amount", "sku"], validation_share=0.1)
-    scored = M.gbt_predict(asm, model, sp.filter(F.col("split") == "test")).select(
-        F.col("amount").alias("actual"), "predicted")
-    return M.regression_metrics(scored).withColumn("note", F.lit(None).cast("string"))
-
-
 @register("gbt_metrics")
 def q_gbt_metrics(spark, d):
-    return _gbt(spark, clean_sales(spark, d), GBT_ITERS_QUERY, M.MIN_BOOSTED_ROWS) \
+    return RP.boosted_metrics(clean_sales(spark, d), GBT_ITERS_QUERY, M.MIN_BOOSTED_ROWS) \
         .withColumn("model", F.lit("GBTRegressor"))
 
 
 @register("period_model")
 def q_period_model(spark, d):
-    return _gbt(spark, PR.period(clean_sales(spark, d), *PERIOD), GBT_ITERS_PERIOD, M.MIN_PERIOD_ROWS)
+    cl = PR.period(clean_sales(spark, d, by_month=True), *PERIOD).drop(PR.MONTH)
+    return RP.boosted_metrics(cl, GBT_ITERS_PERIOD, M.MIN_PERIOD_ROWS)
 
 
 _REQUIRED_SQL = " AND ".join(f"{c} IS NOT NULL" for c in M.MODEL_REQUIRED)

@@ -85,12 +85,10 @@ def with_sales(body: str) -> str:
     return _join(SALES, body)
 
 
-_ = BREAK_MOD
 
 
 # --------------------------------------------------------------------------- raw lines + validation
 
-from salescope.functions import parse as _P  # noqa: E402
 from salescope.schema import RAW_FIELDS as _RAW, SNAKE as _SNAKE  # noqa: E402
 
 _WS = "(' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12))"
@@ -159,39 +157,56 @@ def _raw_cte() -> str:
     return f"raw AS (SELECT record_no, {line} AS line FROM sv)"
 
 
+# The patterns below are DuckDB's own (full matches in RE2 syntax), written from
+# the rules and not shared with the Spark side.
+_DIGITS = r"\d+(?:_\d+)*"
+_INTEGER = rf"[+-]?{_DIGITS}"
+_DECIMAL = rf"[+-]?(?:{_DIGITS}\.?|{_DIGITS}\.{_DIGITS}|\.{_DIGITS})(?:[Ee][+-]?{_DIGITS})?"
+
+
+def _is_int(x):
+    return f"regexp_full_match({x}, {_q(_INTEGER)})"
+
+
 def _parse_int(x):
-    return f"(CASE WHEN regexp_matches({x}, {_q(_P.INT_SHAPE)}) THEN TRY_CAST(replace({x}, '_', '') AS DECIMAL(38,0)) END)"
+    return f"(CASE WHEN {_is_int(x)} THEN TRY_CAST(replace({x}, '_', '') AS DECIMAL(38,0)) END)"
 
 
 def _parse_float(x):
-    return (f"(CASE WHEN regexp_matches({x}, {_q(_P.FLOAT_NAN)}) THEN 'nan'::DOUBLE "
-            f"WHEN regexp_matches({x}, {_q(_P.FLOAT_POS_INF)}) THEN 'inf'::DOUBLE "
-            f"WHEN regexp_matches({x}, {_q(_P.FLOAT_NEG_INF)}) THEN '-inf'::DOUBLE "
-            f"WHEN regexp_matches({x}, {_q(_P.FLOAT_SHAPE)}) THEN TRY_CAST(replace({x}, '_', '') AS DOUBLE) END)")
+    bare = f"ltrim(lower({x}), '+-')"
+    one_sign = f"length({x}) - length({bare}) <= 1"
+    return (f"(CASE WHEN {one_sign} AND {bare} = 'nan' THEN 'nan'::DOUBLE "
+            f"WHEN {one_sign} AND {bare} IN ('inf', 'infinity') THEN "
+            f"(CASE WHEN starts_with({x}, '-') THEN '-inf'::DOUBLE ELSE 'inf'::DOUBLE END) "
+            f"WHEN regexp_full_match({x}, {_q(_DECIMAL)}) THEN TRY_CAST(replace({x}, '_', '') AS DOUBLE) END)")
 
 
 def _parse_ts(x):
-    d = f"regexp_replace({x}, '[^0-9]', '', 'g')"
-
-    def part(pos, n, default):
-        return f"(CASE WHEN substr({d}, {pos}, {n}) = '' THEN '{default}' ELSE substr({d}, {pos}, {n}) END)"
-    frac = f"substr({d}, 15, 6)"
-    norm = (f"substr({d}, 1, 4) || '-' || substr({d}, 5, 2) || '-' || substr({d}, 7, 2) || ' ' || "
-            f"{part(9, 2, '00')} || ':' || {part(11, 2, '00')} || ':' || {part(13, 2, '00')} || "
-            f"(CASE WHEN {frac} = '' THEN '' ELSE '.' || {frac} END)")
-    return f"(CASE WHEN regexp_matches({x}, {_q(_P.ISO_TS_SHAPE)}) THEN TRY_CAST({norm} AS TIMESTAMP) END)"
+    """Date and time read as two pieces, each in its extended or its basic form."""
+    dash = f"(substr({x}, 5, 1) = '-')"
+    day = f"(CASE WHEN {dash} THEN substr({x}, 1, 10) ELSE substr({x}, 1, 8) END)"
+    rest = f"(CASE WHEN {dash} THEN substr({x}, 11) ELSE substr({x}, 9) END)"
+    day_ok = rf"regexp_full_match({day}, '\d{{4}}-\d\d-\d\d|\d{{8}}')"
+    time_ok = (rf"({rest} = '' OR regexp_full_match({rest}, "
+               rf"'\D(?:|\d\d|\d\d:\d\d|\d\d:\d\d:\d\d(?:[.,]\d+)?|\d{{4}}|\d{{6}}(?:[.,]\d+)?)'))")
+    clock = f"rpad(replace(split_part(replace(substr({rest}, 2), ',', '.'), '.', 1), ':', ''), 6, '0')"
+    fraction = f"rpad(left(split_part(replace(substr({rest}, 2), ',', '.'), '.', 2), 6), 6, '0')"
+    stamp = f"replace({day}, '-', '') || {clock} || {fraction}"
+    return f"(CASE WHEN {day_ok} AND {time_ok} THEN try_strptime({stamp}, '%Y%m%d%H%M%S%f') END)"
 
 
 def _parse_date(x):
-    pat = _q(_P.YMD_SHAPE)
-    g = lambda i: f"regexp_extract({x}, {pat}, {i})"
-    norm = f"{g(1)} || '-' || lpad(trim({g(2)}), 2, '0') || '-' || lpad(trim({g(3)}), 2, '0')"
-    return f"(CASE WHEN regexp_matches({x}, {pat}) THEN TRY_CAST({norm} AS DATE) END)"
+    fields = f"string_split({x}, '-')"
+    ok = (rf"len({fields}) = 3 AND regexp_full_match({fields}[1], '\d{{4}}') "
+          rf"AND regexp_full_match({fields}[2], '0?[1-9]|1[0-2]') "
+          rf"AND regexp_full_match({fields}[3], '[0 ]?[1-9]|[12]\d|3[01]')")
+    return (f"(CASE WHEN {ok} THEN TRY_CAST({fields}[1] || '-' || lpad({fields}[2], 2, '0') || '-' || "
+            f"lpad(trim({fields}[3]), 2, '0') AS DATE) END)")
 
 
 def _uuid_ok(x):
     s = f"replace(trim(replace(replace({x}, 'urn:', ''), 'uuid:', ''), '{{}}'), '-', '')"
-    return f"(length({s}) = 32 AND regexp_matches({s}, {_q(_P.UUID_HEX)}))"
+    return rf"(length({s}) = 32 AND regexp_full_match({s}, '\+?[\da-fA-F]+(?:_[\da-fA-F]+)*'))"
 
 
 def _rut_ok(x):
@@ -210,7 +225,7 @@ def _checked_ctes() -> str:
         f"CASE WHEN len(p) = {len(_RAW)} THEN p[{i + 1}] END AS {_SNAKE[f]}" for i, f in enumerate(_RAW))
     strip = ",\n         ".join(f"{_strip(_SNAKE[f])} AS s_{_SNAKE[f]}" for f in _RAW)
     empty = " ".join(f"WHEN s_{_SNAKE[f]} = '' THEN {_q(f)}" for f in _RAW)
-    ints = " AND ".join(f"regexp_matches(s_{c}, {_q(_P.INT_SHAPE)})" for c in ("sku", "units", "receipt", "store"))
+    ints = " AND ".join(_is_int(f"s_{c}") for c in ("sku", "units", "receipt", "store"))
     return f"""{_raw_cte()},
 sp AS (SELECT record_no, string_split(line, ';') AS p FROM raw),
 fl AS (SELECT record_no, len(p) AS n_fields,

@@ -317,3 +317,21 @@ def linear_report(spark: SparkSession, diag: dict) -> DataFrame:
     rows += [("test_original_scale", k, float(m[k]) if m[k] is not None else None, None, None, None)
              for k in ("mae", "rmse", "r2")]
     return spark.createDataFrame([(*r, None) for r in rows], schema)
+
+
+def boosted_metrics(cl: DataFrame, iters: int = 180, minimum: int = M.MIN_BOOSTED_ROWS) -> DataFrame:
+    """Held-out error of the boosted trees; with fewer than ``minimum`` complete rows a note instead."""
+    mf = M.model_frame(cl)
+    n = mf.count()
+    if n < minimum:
+        note = f"No entrenado: se requieren al menos {minimum} registros completos."
+        return cl.sparkSession.createDataFrame([(n, None, None, None, note)],
+                                               "n long, mae double, rmse double, r2 double, note string")
+    key = [c for c in ("record_no", "amount", "sku") if c in mf.columns]
+    feats = [c for c in mf.columns if c not in ("record_no", "amount")]
+    sp = M.train_test_split(mf, key)
+    asm, model = M.gbt_fit(sp.filter(F.col("split") == "train"), feats, "amount", iters=iters,
+                           key_cols=key, validation_share=0.1)
+    scored = M.gbt_predict(asm, model, sp.filter(F.col("split") == "test")).select(
+        F.col("amount").alias("actual"), "predicted")
+    return M.regression_metrics(scored).withColumn("note", F.lit(None).cast("string"))

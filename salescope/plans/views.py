@@ -9,28 +9,34 @@ cleaning plan.
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import DataFrame, SparkSession
 
 from salescope.operators import clean as C
 from salescope.operators import validate as V
-from salescope.session import checkpoint_dir
+from salescope.operators import profile as PR
+from salescope.session import written
 from salescope.sources.sales import raw_lines, sales_view
 
-_WRITTEN: dict[tuple[str, str, str], str] = {}
+_WRITTEN: dict[tuple, DataFrame] = {}
+
+
+def _version(spark: SparkSession, data_dir: str) -> tuple:
+    """Names, sizes and times of the files the sales view reads, so that changed data is read anew."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    out = []
+    for t in ("lineitem", "orders"):
+        path = hadoop(f"{data_dir.rstrip('/')}/{t}.parquet")
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        out += sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(path))
+    return tuple(out)
 
 
-def written_table(spark: SparkSession, name: str, data_dir: str, build) -> DataFrame:
-    """Write ``build()`` once per (application, data dir, name) under the checkpoint folder."""
-    key = (spark.sparkContext.applicationId, data_dir, name)
-    path = _WRITTEN.get(key)
-    if path is None:
-        tag = hashlib.md5(f"{data_dir}|{name}".encode()).hexdigest()[:12]
-        path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{tag}"
-        build().write.mode("overwrite").parquet(path)
-        _WRITTEN[key] = path
-    return spark.read.parquet(path)
+def written_table(spark: SparkSession, name: str, data_dir: str, build, partition_by: str | None = None) -> DataFrame:
+    """``build()`` written once per application, data directory and version of its files, then read back."""
+    key = (spark.sparkContext.applicationId, data_dir, name, _version(spark, data_dir))
+    if key not in _WRITTEN:
+        _WRITTEN[key] = written(build(), name, partition_by)
+    return _WRITTEN[key]
 
 
 def sales(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -38,15 +44,17 @@ def sales(spark: SparkSession, data_dir: str) -> DataFrame:
     return sales_view(spark, data_dir)
 
 
-def clean_sales(spark: SparkSession, data_dir: str, with_zscores: bool = True) -> DataFrame:
-    """The typed sales rows after the cleaning stage (the frame every analysis reads)."""
+def clean_sales(spark: SparkSession, data_dir: str, by_month: bool = False) -> DataFrame:
+    """The typed sales rows after the cleaning stage (the frame every analysis reads).
+
+    Stored by month; with ``by_month`` the partition column is there too, which
+    lets ``profile.period`` read the months it needs only.
+    """
     def build():
         typed = sales_view(spark, data_dir).drop("product", "first_names", "last_names")
-        return C.clean(typed, with_zscores=True, cut_lineage=True)
-    df = written_table(spark, "clean_sales", data_dir, build)
-    if not with_zscores:
-        df = df.drop(*[c for c in df.columns if c.endswith("_z")])
-    return df
+        return PR.with_month(C.clean(typed, with_zscores=True, cut_lineage=True))
+    df = written_table(spark, "clean_sales", data_dir, build, PR.MONTH)
+    return df if by_month else df.drop(PR.MONTH)
 
 
 def raw_text(spark: SparkSession, data_dir: str) -> DataFrame:

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the library relies on: UTC so that timestamps mean the same thing as
 # in the oracle, AQE for coalescing / skew-join splitting at run time.
@@ -42,7 +43,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     Uses ``spark.checkpoint.dir`` when the cluster names one; only when it is
-    unset (local runs, tests) a scratch folder is created and registered.
+    unset and the master is local (tests, the bench) a scratch folder is created
+    and registered.  On a cluster without one this is an error, as executors do
+    not share their local disks.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -52,7 +55,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     local = tempfile.mkdtemp(prefix="salescope-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir() or local
+
+
+def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+    """``df`` written as Parquet to a new path of the shared folder and read back: lineage ends here."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+    writer = df.write.partitionBy(partition_by) if partition_by else df.write
+    writer.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

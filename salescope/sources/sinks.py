@@ -14,13 +14,14 @@ from salescope.operators.clean import raw_names
 
 
 def write_rows(df: DataFrame, path: str, order_by: str | None = None, public_names: bool = True,
-               mode: str = "overwrite") -> None:
+               mode: str = "overwrite", partition_by: str | None = None) -> None:
     """Parquet when the path ends in ``.parquet``, otherwise ``;``-separated CSV with a header."""
     out = df.orderBy(order_by) if order_by else df
     if public_names:
         out = raw_names(out)
     if path.lower().rstrip("/").endswith(".parquet"):
-        out.write.mode(mode).parquet(path)
+        writer = out.write.mode(mode)
+        (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     else:
         out.write.mode(mode).option("sep", ";").option("header", True).csv(path)
 

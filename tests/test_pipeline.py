@@ -2,6 +2,7 @@
 
 import tempfile
 
+from salescope.operators import profile as PR
 from salescope.plans.pipeline import run
 from tests.test_validate import FIXTURE
 
@@ -19,7 +20,13 @@ def test_pipeline_on_fixture(spark):
     q = spark.read.text(f"{d}/out/quarantine")
     assert q.count() == 16
     assert spark.read.json(f"{d}/out/reports/estadisticas_descriptivas").count() == 6
+    assert set(res.reports) >= {"kpis", "normalidad", "correlaciones_spearman", "asociaciones", "analisis_temporal",
+                                "pruebas_hipotesis", "diagnostico_regresion_lineal", "metricas_modelo"}
+    counts = {k: v.count() for k, v in res.reports.items()}
+    assert counts["pruebas_hipotesis"] == 9 and counts["normalidad"] == 6 and counts["correlaciones_spearman"] == 15
+    assert counts["asociaciones"] == 9 and counts["diagnostico_regresion_lineal"] > 1
+    assert res.reports["kpis"].first()["discarded"] == 16
+    plan = PR.period(res.clean, "2024-05-01", "2024-05-31")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(sale_month" in plan
     s = res.clean_summary.first()
     assert s["rows"] == 12
-    run(spark, f"{d}/in.csv", f"{d}/out_sample", sample=10)
-    assert spark.read.parquet(f"{d}/out_sample/checked").count() == 10
