@@ -88,6 +88,8 @@ def main() -> None:
         "anova_kruskal": lambda: (H.anova(cl, "store", "amount").collect(),
                                   H.kruskal(cl, "store", "amount").collect()),
         "hypothesis_suite": lambda: RP.hypothesis_suite(cl, "1-URGENT", "2-HIGH").collect(),
+        "association_suite": lambda: RP.association_suite(cl).collect(),
+        "linear_report": lambda: RP.linear_report(spark, RP.linear_diagnostics(cl)).collect(),
         "normality": lambda: RP.normality(cl).collect(),
         "period_kpis": lambda: PR.period_kpis(PR.period(cl, "1996-01-01", "1996-12-31")).collect(),
     }

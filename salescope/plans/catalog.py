@@ -930,6 +930,42 @@ def q_association_suite(spark, d):
     return RP.association_suite(clean_sales(spark, d))
 
 
+def _part(sql: str, columns: str) -> str:
+    return f"SELECT {columns} FROM ({sql})"
+
+
+_SUITE_COLS = "test, variables, statistic"
+
+
+@register("association_statistics", O.with_clean(" UNION ALL ".join([
+    _part(_chi_sql("channel", "store"), f"{_SUITE_COLS}, dof"), _part(_chi_sql("channel", "gender"), f"{_SUITE_COLS}, dof"),
+    _part(_spearman_sql(_TARGET_PAIRS), "'Spearman', var_a || ' vs ' || var_b, rho, NULL"),
+    *(_part(_anova_sql(g), f"{_SUITE_COLS}, df1") for g in ("channel", "store")),
+    *(_part(_kruskal_sql(g), f"{_SUITE_COLS}, dof") for g in ("channel", "store"))])))
+def q_association_statistics(spark, d):
+    a = RP.association_suite(clean_sales(spark, d))
+    return a.select("test", "variables", sig("statistic").alias("statistic"), "dof")
+
+
+def _suite_part(name: str, test: str, sql: str, column: str = "statistic") -> str:
+    return f"SELECT '{name}' AS name, '{test}' AS test, {column} AS statistic FROM ({sql})"
+
+
+@register("hypothesis_statistics", O.with_clean(" UNION ALL ".join([
+    _suite_part("H0_APP_WEB", "Welch t-test unilateral", _welch_sql("channel", "'1-URGENT'", "'2-HIGH'")),
+    _suite_part("H0_APP_WEB", "Mann-Whitney unilateral", _mw_sql("channel", "'1-URGENT'", "'2-HIGH'", "x")),
+    _suite_part("H0_DESCUENTO_UNIDADES", "Regresion lineal simple",
+                f"SELECT {O.sig('regr_slope(units, discount)')} AS statistic FROM cl"),
+    _suite_part("H1", "ANOVA", _anova_sql("channel")), _suite_part("H1", "Kruskal-Wallis", _kruskal_sql("channel")),
+    _suite_part("H2", "Spearman", _spearman_sql([("discount", "amount")]), "rho"),
+    _suite_part("H3", "Spearman", _spearman_sql([("age", "amount")]), "rho"),
+    _suite_part("H4", "Welch t-test", _welch_sql("gender", "1", "2")),
+    _suite_part("H4", "Mann-Whitney", _mw_sql("gender", "1", "2", "x"))])))
+def q_hypothesis_statistics(spark, d):
+    h = RP.hypothesis_suite(clean_sales(spark, d), "1-URGENT", "2-HIGH")
+    return h.select("name", "test", sig("statistic").alias("statistic"))
+
+
 _MF_COLS = ["record_no", "amount", "units", "discount", "age", "purchase_frequency", "sku", "gender", "store"]
 
 
@@ -956,3 +992,10 @@ def q_stream_validate(spark, d):
     src = f"{base}/in"
     raw_lines(spark, d).repartition(4, "record_no").write.parquet(src)
     return validate_stream(spark, src, f"{base}/out", f"{base}/chk", max_files_per_trigger=2)
+
+
+@register("stream_totals", ORACLE["validation_totals"])
+def q_stream_totals(spark, d):
+    """The totals of all batches of the stream: those of the batch validation."""
+    columns = ("read", "valid", "discarded", "discarded_age")
+    return q_stream_validate(spark, d).agg(*[F.sum(c).cast("bigint").alias(c) for c in columns])
