@@ -3,9 +3,15 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from salescope.session import checkpoint_dir
 
@@ -39,3 +45,47 @@ def ascii_lower(c: Column) -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+#: Bytes of text that a task works on at a time.
+SLICE_BYTES = 4 << 20
+
+
+def slices(sizes: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of about ``most`` bytes, one row at least."""
+    upto, start = np.cumsum(sizes), 0
+    while start < len(sizes):
+        done = upto[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(upto, done + most, "right")))
+        yield start, end
+        start = end
+
+
+def map_texts(rows: DataFrame, make: Callable[[], Callable], columns: dict[str, T.DataType],
+              with_id: bool = True) -> DataFrame:
+    """Runs Python over the texts of ``rows`` (``_id``, ``_text`` and others), slice by slice.
+
+    ``make()`` is called once a task and gives a function of the texts of a slice
+    and the slice itself.  That returns the output columns, and in ``_row`` the
+    rows of the slice they belong to (left out: one output row a row); ids are
+    taken over as they are.  A task holds one Arrow batch and one slice.
+    """
+    fields = [T.StructField(k, v) for k, v in columns.items()]
+    schema = T.StructType([rows.schema["_id"], *fields] if with_id else fields)
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = make()
+        for batch in batches:
+            sizes = pc.fill_null(pc.binary_length(batch.column("_text")), 0).to_numpy(zero_copy_only=False)
+            for start, end in slices(sizes):
+                part = batch.slice(start, end - start)
+                out = work(part.column("_text").to_pylist(), part)
+                at = out.pop("_row", None)
+                found = [pa.array(out[k], type=arrow.field(k).type) for k in columns]
+                if with_id:
+                    ids = part.column("_id") if at is None else part.column("_id").take(pa.array(at, type=pa.int64()))
+                    found = [ids.cast(arrow.field("_id").type), *found]
+                yield pa.RecordBatch.from_arrays(found, schema=arrow)
+
+    return rows.mapInArrow(run, schema)

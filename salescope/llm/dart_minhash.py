@@ -15,16 +15,14 @@ document, whatever its length.  Two documents agree in a coordinate with a proba
 equal to their weighted Jaccard similarity.
 
 **Links.**  Equal texts are one node.  Signatures are cut into ``BANDS`` bands
-of ``ROWS`` coordinates; nodes that share a band meet in a bucket.  No bucket
-is expanded into its pairs: every member is compared to the bucket's centre,
-the member that meets most others over all buckets (a template meets all its
-copies).  Pairs are verified by the exact similarity of their shingles, and
-components are found by label propagation with jumps.  What that leaves apart
-is compared too: buckets whose members still are in several components are cut
-into blocks, and a task compares the signatures of two blocks; pairs of
-different components that may reach the similarity are verified in the same
-way.  So every two nodes that share a bucket either are in one class already or
-have been compared.
+of ``ROWS`` coordinates; nodes that share a band meet in a bucket, and buckets
+that share a node form a group.  No bucket is expanded into its pairs: a group
+is cut into blocks of ``BLOCK_BYTES``, a task takes two blocks, and compares
+only nodes that share a band, whose signatures may reach the similarity and
+that are not yet connected in the task; it verifies them by the exact
+similarity of their shingles and emits the links that connect, at most one a
+node.  So every two nodes that share a band are connected, or have been
+compared.  Components are found by label propagation with jumps.
 
 Edge cases: null texts and texts without a word are equal to each other; a text
 of fewer than five words is one shingle of what it has; texts are compared by
@@ -37,7 +35,6 @@ columns are ignored.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -46,19 +43,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salescope.llm.common import stored
+from salescope.llm.common import map_texts, stored
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 25, 5
 COORDINATES = BANDS * ROWS
-#: Signature similarity below which a pair is not verified: five standard deviations under the threshold.
-MAYBE = SIMILARITY - 5 * (SIMILARITY * (1 - SIMILARITY) / COORDINATES) ** 0.5
+#: Standard deviations of the signature's estimate under the threshold from which a pair is verified.
+DEVIATIONS = 4
 #: Lowest rank band: [0, 2 ** LOWEST).
 LOWEST = -6
-#: Members of a block of a bucket.
-BLOCK = 256
+#: Signatures and shingles of a block of a group.
+BLOCK_BYTES = 2 << 20
+#: Nodes that are broadcast to find their sketches; more are joined by a shuffle.
+MAX_BROADCAST = 1_000_000
+#: Keys a task remembers to sketch equal texts once.
+SEEN = 500_000
 #: Shingles whose darts are thrown at a time.
-CHUNK = 1 << 17
+CHUNK = 1 << 16
 _WORD = re.compile(r"\w+")
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -163,26 +164,28 @@ def signatures(docs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(``_id``, ``_key``, ``_sig``, ``_set``): the key names the words; a task sketches each key once."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(``_id``, ``_key``, ``_sig``, ``_set``): the key names the words; a task sketches a key it remembers once."""
+    def make():
         words, seen = Words(), set()
-        for pdf in batches:
-            keys, sigs, sets = [], [None] * len(pdf), [None] * len(pdf)
-            held, size = [], 0
 
-            def flush(held=held, sigs=sigs):
+        def work(texts: list[str | None], part) -> dict:
+            keys, sigs, sets = [], [None] * len(texts), [None] * len(texts)
+            held: list[tuple[int, tuple]] = []
+            size, named = 0, part.column("_id").is_valid().to_pylist()
+
+            def flush() -> None:
                 if held:
                     for (row, _), sig in zip(held, signatures([d for _, d in held]), strict=True):
                         sigs[row] = sig.tobytes()
                     held.clear()
 
-            named = pdf["_id"].notna().to_numpy()
-            for row, text in enumerate(pdf["_text"]):
-                hashes = word_hashes(text if isinstance(text, str) else None, words)
+            for row, text in enumerate(texts):
+                hashes = word_hashes(text, words)
                 key = xxhash.xxh3_128_digest(hashes.tobytes())
                 keys.append(key)
                 if named[row] and len(hashes) and key not in seen:
-                    seen.add(key)
+                    if len(seen) < SEEN:
+                        seen.add(key)
                     element, count = shingles(hashes)
                     # As a plain set: the k-th occurrence of a shingle is an element of its own.
                     number = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
@@ -194,11 +197,12 @@ def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                         flush()
                         size = 0
             flush()
-            yield pd.DataFrame({"_id": pdf["_id"], "_key": keys, "_sig": sigs, "_set": sets})
+            return {"_key": keys, "_sig": sigs, "_set": sets}
+
+        return work
 
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    schema = T.StructType([rows.schema["_id"], *(T.StructField(c, T.BinaryType()) for c in ("_key", "_sig", "_set"))])
-    return rows.mapInPandas(run, schema)
+    return map_texts(rows, make, dict.fromkeys(("_key", "_sig", "_set"), T.BinaryType()))
 
 
 def _band_keys(sketches: DataFrame) -> DataFrame:
@@ -208,26 +212,6 @@ def _band_keys(sketches: DataFrame) -> DataFrame:
     return sketches.select(F.explode(bands).alias("_band"), "_node")
 
 
-def _verified(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
-    """The pairs (``_a``, ``_b``) whose exact similarity is at least ``least``."""
-    wide = (pairs.join(sketches.select(F.col("_node").alias("_a"), F.col("_sig").alias("_sa"), F.col("_set").alias("_xa")), "_a")
-            .join(sketches.select(F.col("_node").alias("_b"), F.col("_sig").alias("_sb"), F.col("_set").alias("_xb")), "_b"))
-
-    @F.pandas_udf(T.DoubleType())
-    def similarity(sa: pd.Series, sb: pd.Series, xa: pd.Series, xb: pd.Series) -> pd.Series:
-        out = np.zeros(len(sa))
-        for k, (p, q, a, b) in enumerate(zip(sa, sb, xa, xb, strict=True)):
-            same = np.frombuffer(p, dtype=np.uint32) == np.frombuffer(q, dtype=np.uint32)
-            if same.mean() >= MAYBE:
-                a, b = np.frombuffer(a, dtype=np.uint32), np.frombuffer(b, dtype=np.uint32)
-                shared = len(np.intersect1d(a, b, assume_unique=True))
-                out[k] = shared / (len(a) + len(b) - shared)
-        return pd.Series(out)
-
-    return (wide.select("_a", "_b", similarity("_sa", "_sb", "_xa", "_xb").alias("_s"))
-            .where(F.col("_s") >= least).select("_a", "_b"))
-
-
 def components(links: DataFrame) -> DataFrame:
     """(``_node``, ``_class``) of every node with a link: the smallest node it is connected to."""
     both = stored(links.select("_a", "_b").unionByName(links.select(F.col("_b").alias("_a"), F.col("_a").alias("_b")))
@@ -248,60 +232,73 @@ def components(links: DataFrame) -> DataFrame:
         labels = after.select("_node", "_class")
 
 
-def _block_pairs(members: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Pairs of different components within a bucket whose signatures may reach the similarity.
+class _Classes:
+    """Union-find over positions, as an array of class numbers."""
 
-    ``members`` are (``_band``, ``_node``, ``_class``, ``_m``: members of the bucket).
-    """
-    blocks = F.ceil(F.col("_m") / BLOCK).cast("int")
-    rows = (members.join(sketches.select("_node", "_sig"), "_node")
-            .withColumn("_blocks", blocks)
-            .withColumn("_g", F.pmod(F.xxhash64("_node", "_band"), F.col("_blocks").cast("long")).cast("int"))
-            .select("_band", "_node", "_class", "_sig", "_g",
-                    F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_o"))
-            .select("_band", F.least("_g", "_o").alias("_p"), F.greatest("_g", "_o").alias("_q"), "_g",
-                    "_node", "_class", "_sig"))
+    def __init__(self, n: int):
+        self.of = np.arange(n)
+
+    def join(self, a: int, b: int) -> None:
+        self.of[self.of == self.of[b]] = self.of[a]
+
+
+def _linked(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    shared = len(np.intersect1d(a, b, assume_unique=True))
+    return shared >= similarity * (len(a) + len(b) - shared)
+
+
+def _compare(similarity: float):
+    least = similarity - DEVIATIONS * (similarity * (1 - similarity) / COORDINATES) ** 0.5
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Links that connect the nodes of two blocks (or of one)."""
         sig = np.vstack([np.frombuffer(s, dtype=np.uint32) for s in pdf["_sig"]])
-        group, cls, node = pdf["_g"].to_numpy(), pdf["_class"].to_numpy(), pdf["_node"].to_numpy()
-        a, b = [], []
-        left = np.flatnonzero(group == pdf["_p"].iloc[0])
-        right = np.flatnonzero(group == pdf["_q"].iloc[0])
+        sets = [np.frombuffer(s, dtype=np.uint32) for s in pdf["_set"]]
+        size = np.array([len(s) for s in sets])
+        block, node = pdf["_block"].to_numpy(), pdf["_node"].to_numpy()
+        left = np.flatnonzero(block == pdf["_p"].iloc[0])
+        right = np.flatnonzero(block == pdf["_q"].iloc[0])
+        same_block = pdf["_p"].iloc[0] == pdf["_q"].iloc[0]
+        classes, links = _Classes(len(pdf)), []
         for i in left:
-            ok = right[(cls[right] != cls[i])]
-            if len(ok):
-                ok = ok[(sig[ok] == sig[i]).mean(1) >= MAYBE]
-                a.extend([node[i]] * len(ok))
-                b.extend(node[ok])
-        return pd.DataFrame({"_x": a, "_y": b}, columns=["_x", "_y"])
-
-    node_type = members.schema["_node"].dataType
-    schema = T.StructType([T.StructField("_x", node_type), T.StructField("_y", node_type)])
-    return (rows.groupBy("_band", "_p", "_q").applyInPandas(compare, schema)
-            .select(F.least("_x", "_y").alias("_a"), F.greatest("_x", "_y").alias("_b")).distinct())
+            rest = right[right > i] if same_block else right
+            rest = rest[(classes.of[rest] != classes.of[i])
+                        & (np.minimum(size[rest], size[i]) >= similarity * np.maximum(size[rest], size[i]))]
+            if not len(rest):
+                continue
+            same = sig[rest] == sig[i]
+            share = same.mean(1)
+            good = np.flatnonzero((share >= least) & same.reshape(-1, BANDS, ROWS).all(2).any(1))
+            for j in rest[good[np.argsort(-share[good], kind="stable")]]:
+                if classes.of[i] != classes.of[j] and _linked(sets[i], sets[j], similarity):
+                    classes.join(i, j)
+                    links.append((node[i], node[j]))
+        return pd.DataFrame(links, columns=["_a", "_b"])
+
+    return compare
 
 
 def _links(sketches: DataFrame, similarity: float) -> DataFrame:
-    """Verified links, in one or two rounds, that connect every class."""
+    """Verified links that connect every class."""
     bands = _band_keys(sketches)
-    sizes = stored(bands.groupBy("_band").agg(F.count(F.lit(1)).alias("_m")).where("_m > 1"), "buckets")
-    members = stored(bands.join(sizes, "_band"), "bucket-members")
-    # The centre of a bucket: the member that meets most nodes over all its buckets.
-    meets = members.groupBy("_node").agg(F.sum("_m").alias("_meets"))
-    centres = stored(members.select("_band", "_node").join(meets, "_node").groupBy("_band")
-                     .agg(F.max_by("_node", F.struct("_meets", "_node")).alias("_centre")), "centres")
-    stars = (members.join(centres, "_band").where("_node <> _centre")
-             .select(F.least("_node", "_centre").alias("_a"), F.greatest("_node", "_centre").alias("_b")).distinct())
-    links = stored(_verified(stars, sketches, similarity), "star-links")
-    classes = components(links)
-    now = (members.join(classes, "_node", "left")
-           .select("_band", "_node", "_m", F.coalesce("_class", "_node").alias("_class")))
-    apart = stored(now.groupBy("_band").agg(F.min("_class").alias("_c1"), F.max("_class").alias("_c2"))
-                   .where("_c1 <> _c2").select("_band"), "open-buckets")
-    rest = stored(now.join(apart, "_band"), "open-members")
-    more = stored(_verified(_block_pairs(rest, sketches), sketches, similarity), "block-links")
-    return links.unionByName(more)
+    first = stored(bands.groupBy("_band").agg(F.min("_node").alias("_b"), F.max("_node").alias("_top"))
+                   .where("_b <> _top").drop("_top"), "buckets")
+    met = bands.join(first, "_band").select(F.col("_node").alias("_a"), "_b").where("_a <> _b").distinct()
+    groups = components(met).withColumnRenamed("_class", "_group")
+    few = F.broadcast(groups) if groups.count() <= MAX_BROADCAST else groups
+    members = stored(sketches.join(few, "_node"), "group-members")
+    weight = F.octet_length("_sig") + F.octet_length("_set")
+    blocks = (members.groupBy("_group").agg(F.ceil(F.sum(weight) / BLOCK_BYTES).cast("int").alias("_blocks")))
+    # Written, so that a group with very many members is split by the skew rule.
+    sized = members.join(stored(blocks, "group-blocks"), "_group")
+    placed = (sized.withColumn("_block", F.pmod(F.xxhash64("_node"), F.col("_blocks").cast("long")).cast("int"))
+              .select("_group", "_node", "_sig", "_set", "_block",
+                      F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other"))
+              .select("_group", F.least("_block", "_other").alias("_p"), F.greatest("_block", "_other").alias("_q"),
+                      "_node", "_sig", "_set", "_block"))
+    node = sketches.schema["_node"].dataType
+    schema = T.StructType([T.StructField("_a", node), T.StructField("_b", node)])
+    return stored(placed.groupBy("_group", "_p", "_q").applyInPandas(_compare(similarity), schema), "near-links")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -258,7 +258,8 @@ def test_classes_against_brute_force(spark, monkeypatch):
     want = brute_classes(rows)
     got = {r.doc_id: r.class_id for r in dart_minhash.near_duplicates(docs(spark, rows)).collect()}
     assert got == want
-    monkeypatch.setattr(dart_minhash, "BLOCK", 7)  # many blocks a bucket
+    monkeypatch.setattr(dart_minhash, "BLOCK_BYTES", 20_000)  # many blocks a group
+    monkeypatch.setattr(dart_minhash, "MAX_BROADCAST", 0)
     got = {r.doc_id: r.class_id for r in dart_minhash.near_duplicates(docs(spark, rows)).collect()}
     assert got == want
 
