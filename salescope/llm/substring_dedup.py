@@ -25,17 +25,15 @@ table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import xxhash
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salescope.llm.common import stored
+from salescope.llm.common import map_texts, stored
 
 MIN_SENTENCES, MIN_WORDS = 2, 20
 #: Words of a sentence that stays whole, and mean words of a piece of a longer one.
@@ -49,35 +47,50 @@ _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
+class Cuts(dict):
+    """Whether a long sentence is cut after a word; remembers a bounded number of words."""
+
+    def __missing__(self, word: str) -> bool:
+        if len(self) > 300_000:
+            self.clear()
+        cut = self[word] = xxhash.xxh3_64_intdigest(word.lower()) % PIECE == 0
+        return cut
+
+
+_CUTS = Cuts()
+
+
 def pieces(text: str) -> tuple[list[int], np.ndarray, np.ndarray]:
     """Start offset, words and 64-bit hash of each piece of ``text``."""
     starts: list[int] = []
     words: list[int] = []
     hashes: list[int] = []
-    digest = xxhash.xxh3_64_intdigest
-
-    def add(start: int, tokens: list[str]) -> None:
-        starts.append(start)
-        words.append(len(tokens))
-        hashes.append(digest(" ".join(tokens).lower()))
-
+    digest, cuts = xxhash.xxh3_64_intdigest, _CUTS
     at = 0
-    for end, after in [*((m.start(), m.end()) for m in _END.finditer(text)), (len(text), len(text))]:
-        tokens = text[at:end].split()
-        if len(tokens) > LONG:
-            held: list[str] = []
-            first = at
-            for m in _TOKEN.finditer(text, at, end):
-                if not held:
-                    first = m.start()
-                held.append(m.group())
-                if digest(held[-1].lower()) % PIECE == 0:
-                    add(first, held)
-                    held = []
-            if held:
-                add(first, held)
-        elif tokens:
-            add(at, tokens)
+    ends = [m.span() for m in _END.finditer(text)]
+    ends.append((len(text), len(text)))
+    for end, after in ends:
+        sentence = text[at:end]
+        tokens = sentence.split()
+        if len(tokens) <= LONG:
+            if tokens:
+                starts.append(at)
+                words.append(len(tokens))
+                hashes.append(digest(" ".join(tokens).lower()))
+        else:
+            plain = " ".join(tokens)
+            # Offsets follow from the lengths where words are one blank apart, else from a search.
+            offsets = None if plain == sentence else [at + m.start() for m in _TOKEN.finditer(sentence)]
+            first, begin = 0, at
+            stops = [k for k, w in enumerate(tokens, 1) if cuts[w]]
+            if not stops or stops[-1] < len(tokens):
+                stops.append(len(tokens))
+            for stop in stops:
+                piece = " ".join(tokens[first:stop])
+                starts.append(begin if offsets is None else offsets[first])
+                words.append(stop - first)
+                hashes.append(digest(piece.lower()))
+                first, begin = stop, begin + len(piece) + 1
         at = after
     return starts, np.array(words, dtype=np.int64), np.array(hashes, dtype=np.uint64)
 
@@ -113,22 +126,17 @@ def _positions(h: np.ndarray, bits: int) -> np.ndarray:
     return (h.view(np.uint64) & np.uint64(bits - 1)).astype(np.int64)
 
 
-def _texts(pdf: pd.DataFrame) -> Iterator[tuple[int, str]]:
-    for k, text in enumerate(pdf["_text"]):
-        if isinstance(text, str) and text:
-            yield k, text
-
-
 def _repeated_bits(rows: DataFrame, bits: int) -> Broadcast:
     """Pass one: the filter positions that at least two spans set, as one bitmap."""
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            found = [_positions(h, bits) for _, t in _texts(pdf) if len(h := spans(*pieces(t)[1:])[2])]
-            if found:
-                at, n = np.unique(np.concatenate(found), return_counts=True)
-                yield pd.DataFrame({"p": at, "n": np.minimum(n, 2).astype(np.int32)})
-
-    bitmaps = (rows.select("_text").mapInPandas(count, "p long, n int")
+    def make():
+        def work(texts: list[str], _) -> dict:
+            found = [_positions(spans(*pieces(t)[1:])[2], bits) for t in texts if t]
+            at, n = np.unique(np.concatenate([np.zeros(0, dtype=np.int64), *found]), return_counts=True)
+            return {"p": at, "n": np.minimum(n, 2)}
+
+        return work
+
+    bitmaps = (map_texts(rows, make, {"p": T.LongType(), "n": T.IntegerType()}, with_id=False)
                .groupBy("p").agg(F.sum("n").alias("n")).where("n > 1")
                .groupBy(F.expr(f"p div {BITMAP_BITS}").alias("bucket"))
                .agg(F.bitmap_construct_agg(F.col("p") % BITMAP_BITS).alias("bits")))
@@ -144,24 +152,25 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     bits = BITMAP_BITS
     while bits < min(MAX_BITS, size // 2):
         bits *= 2
-    bitmap = _repeated_bits(rows, bits)
-
-    def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for k, text in _texts(pdf):
-                first, end, h = spans(*pieces(text)[1:])
-                p = _positions(h, bits)
-                maybe = (bitmap.value[p >> 3] >> (p & 7).astype(np.uint8)) & 1 > 0
-                if maybe.any():
-                    out.append(pd.DataFrame({"h": h[maybe], "_id": pdf["_id"].iloc[k],
-                                             "first": first[maybe], "end": end[maybe]}))
-            if out:
-                yield pd.concat(out, ignore_index=True)
-
-    schema = T.StructType([T.StructField("h", T.LongType()), rows.schema["_id"],
-                           T.StructField("first", T.LongType()), T.StructField("end", T.LongType())])
-    maybe = stored(rows.mapInPandas(emit, schema), "spans")
+    shared = _repeated_bits(rows, bits)
+
+    def make():
+        bitmap = shared.value
+
+        def work(texts: list[str], _) -> dict:
+            none = np.zeros(0, dtype=np.int64)
+            out = [(none, none, none, none)]
+            for k, text in enumerate(texts):
+                if text:
+                    first, end, h = spans(*pieces(text)[1:])
+                    p = _positions(h, bits)
+                    maybe = (bitmap[p >> 3] >> (p & 7).astype(np.uint8)) & 1 > 0
+                    out.append((np.full(int(maybe.sum()), k), h[maybe], first[maybe], end[maybe]))
+            return dict(zip(("_row", "h", "first", "end"), map(np.concatenate, zip(*out, strict=True)), strict=True))
+
+        return work
+
+    maybe = stored(map_texts(rows, make, dict.fromkeys(("h", "first", "end"), T.LongType())), "spans")
     # Written, so that a span of a third of all documents is split by the skew rule.
     groups = stored(maybe.groupBy("h").agg(F.min(F.struct("_id", "first")).alias("_origin"),
                                            F.count(F.lit(1)).alias("_n"))
@@ -172,28 +181,28 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id, ``text`` without repeated sentences, ``n_sentences``, ``n_removed``."""
+    """One row per input row: id, ``text`` without repeated sentences, ``n_removed``."""
     rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     removed = (repeated_spans(rows).groupBy("_id")
                .agg(F.collect_set(F.array("first", "end")).alias("_spans"))
                .withColumnRenamed("_id", "_id2"))
     both = (rows.join(removed, F.col("_id").eqNullSafe(F.col("_id2")), "left").select("_id", "_text", "_spans"))
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = [_cut(t, s) for t, s in zip(pdf["_text"], pdf["_spans"], strict=True)]
-            yield pd.DataFrame({"_id": pdf["_id"], "text": [o[0] for o in out],
-                                "n_sentences": [o[1] for o in out], "n_removed": [o[2] for o in out]})
+    def make():
+        def work(texts: list[str], part) -> dict:
+            out = [_cut(t, s) for t, s in zip(texts, part.column("_spans").to_pylist(), strict=True)]
+            return {"text": [o[0] for o in out], "n_removed": [o[1] for o in out]}
 
-    schema = T.StructType([rows.schema["_id"], T.StructField("text", T.StringType()),
-                           T.StructField("n_sentences", T.LongType()), T.StructField("n_removed", T.LongType())])
-    return both.mapInPandas(cut, schema).withColumnRenamed("_id", id_col)
+        return work
 
+    return (map_texts(both, make, {"text": T.StringType(), "n_removed": T.LongType()})
+            .withColumnRenamed("_id", id_col))
 
-def _cut(text: str, found) -> tuple[str, int, int]:
-    starts, _, _ = pieces(text)
+
+def _cut(text: str, found) -> tuple[str, int]:
     if found is None or not len(found):
-        return text, len(starts), 0
+        return text, 0
+    starts, _, _ = pieces(text)
     drop = np.zeros(len(starts) + 1, dtype=np.int64)
     for first, end in found:
         drop[first] += 1
@@ -201,4 +210,4 @@ def _cut(text: str, found) -> tuple[str, int, int]:
     drop = np.cumsum(drop)[:-1] > 0
     edges = [0, *starts[1:], len(text)]  # what comes before the first piece is its own
     kept = [text[a:b] for a, b, d in zip(edges, edges[1:], drop, strict=False) if not d]
-    return "".join(kept), len(starts), int(drop.sum())
+    return "".join(kept), int(drop.sum())
