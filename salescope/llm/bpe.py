@@ -29,25 +29,25 @@ import hashlib
 import json
 import re
 import unicodedata
-from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
-import pandas as pd
 import regex
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from salescope.llm.common import map_texts
+
 #: White space as the tokenizer file's normaliser sees it (fixed values).
 _SPACE = "\t-\r \x85\xa0  -     　"
 #: The file's word pattern, and the same for ASCII texts.
 _WORDS = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+", regex.V0)
 _ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+")
 #: Words that each half of a worker's memory of encoded words holds.
-WORD_MEMORY = 200_000
-#: Code points decoded at a time.
-DECODE_IDS = 1 << 20
+WORD_MEMORY = 100_000
+#: Ids decoded at a time.
+DECODE_IDS = 1 << 18
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -265,17 +265,16 @@ def encode_decode(docs: DataFrame, vocabulary_path: str, outputs: tuple[str, ...
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id and the named ``outputs`` (any of n_tokens, ids, ids_sha256,
     decoded, decoded_sha256); decoded is made from the ids."""
-    spark: SparkSession = docs.sparkSession
-    shared = spark.sparkContext.broadcast(load_vocabulary(vocabulary_path))
-    rows = docs.select(docs[id_col].alias(id_col), docs[text_col].alias("_text"))
-    schema = T.StructType([rows.schema[id_col], *(T.StructField(k, _OUTPUTS[k]) for k in outputs)])
+    shared = docs.sparkSession.sparkContext.broadcast(load_vocabulary(vocabulary_path))
+    rows = docs.select(docs[id_col].alias("_id"), docs[text_col].alias("_text"))
     wants = set(outputs)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         encoder, decoder = _tools(shared)
-        for pdf in batches:
+
+        def work(texts: list[str | None], _) -> dict:
             found: dict[str, list] = {k: [] for k in outputs}
-            for text in pdf["_text"]:
+            for text in texts:
                 raw = encoder.encode(text or "")
                 ids = np.frombuffer(raw, dtype="<u4")
                 if "n_tokens" in wants:
@@ -285,11 +284,13 @@ def encode_decode(docs: DataFrame, vocabulary_path: str, outputs: tuple[str, ...
                 if "ids_sha256" in wants:
                     found["ids_sha256"].append(hashlib.sha256(raw).hexdigest())
                 if wants & {"decoded", "decoded_sha256"}:
-                    text = decoder.decode(ids)
+                    back = decoder.decode(ids)
                     if "decoded" in wants:
-                        found["decoded"].append(text.decode("utf-8"))
+                        found["decoded"].append(back.decode("utf-8"))
                     if "decoded_sha256" in wants:
-                        found["decoded_sha256"].append(hashlib.sha256(text).hexdigest())
-            yield pd.DataFrame({id_col: pdf[id_col], **found}, columns=[id_col, *outputs])
+                        found["decoded_sha256"].append(hashlib.sha256(back).hexdigest())
+            return found
+
+        return work
 
-    return rows.mapInPandas(run, schema)
+    return map_texts(rows, make, {k: _OUTPUTS[k] for k in outputs}).withColumnRenamed("_id", id_col)

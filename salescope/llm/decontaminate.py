@@ -25,15 +25,15 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from salescope.llm.common import map_texts
+
 SEED_WORDS = 3
 RARE = 0.75
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -162,29 +162,31 @@ def _matches_of(rows: DataFrame, items: Items, item_type: T.DataType, item_col:
     context = rows.sparkSession.sparkContext
     every = context.broadcast(items)
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make_count():
         block = every.value
-        for pdf in batches:
+
+        def work(texts: list[str | None], _) -> dict:
             seen: dict[int, int] = defaultdict(int)
-            for text in pdf["_text"]:
-                if isinstance(text, str):
-                    for code in set(_hits(_numbers(text, block.vocab), block.seeds)[1].tolist()):
-                        seen[code] += 1
-            yield pd.DataFrame({"seed": list(seen), "n": list(seen.values())}, dtype=np.int64)
+            for text in texts:
+                for code in set(_hits(_numbers(text or "", block.vocab), block.seeds)[1].tolist()):
+                    seen[code] += 1
+            return {"seed": list(seen), "n": list(seen.values())}
+
+        return work
 
-    counts = (rows.select("_text").mapInPandas(count, "seed long, n long")
+    counts = (map_texts(rows, make_count, {"seed": T.LongType(), "n": T.LongType()}, with_id=False)
               .groupBy("seed").agg(F.sum("n").alias("n")).collect())  # a row for each seed of the block
     rare = context.broadcast(_rare(items, {r["seed"]: r["n"] for r in counts}))
-    schema = T.StructType([rows.schema["_id"], T.StructField(item_col, item_type),
-                           T.StructField("score", T.DoubleType()), T.StructField("start", T.LongType()),
-                           T.StructField("end", T.LongType()), T.StructField("passage", T.StringType())])
+    columns = {item_col: item_type, "score": T.DoubleType(), "start": T.LongType(), "end": T.LongType(),
+               "passage": T.StringType()}
 
-    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make_search():
         block = rare.value
-        for pdf in batches:
+
+        def work(texts: list[str | None], _) -> dict:
             out = []
-            for doc, text in zip(pdf["_id"], pdf["_text"], strict=True):
-                if not isinstance(text, str):
+            for row, text in enumerate(texts):
+                if not text:
                     continue
                 numbers = _numbers(text, block.vocab)
                 at: dict[int, list[tuple[int, int]]] = defaultdict(list)
@@ -195,12 +197,14 @@ def _matches_of(rows: DataFrame, items: Items, item_type: T.DataType, item_col:
                 for item, hits in at.items():
                     score, start, end = best_alignment(numbers, block.words[item], hits)
                     if score >= threshold:
-                        tokens = tokens or list(_WORD.finditer(text))
+                        tokens = tokens or list(_WORD.finditer(text.lower()))
                         a, b = tokens[start].start(), tokens[end - 1].end()
-                        out.append((doc, block.ids[item], score, a, b, text[a:b]))
-            yield pd.DataFrame(out, columns=schema.names)
+                        out.append((row, block.ids[item], score, a, b, text[a:b]))
+            return dict(zip(("_row", *columns), map(list, zip(*out, strict=True)) if out else [[]] * 6, strict=True))
+
+        return work
 
-    return rows.mapInPandas(search, schema)
+    return map_texts(rows, make_search, columns)
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -36,6 +36,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from salescope.llm.common import slices
+
 UNKNOWN = "und"
 TRAIN_DOCS = 3000
 MAX_CONTEXTS = 20_000
@@ -44,6 +46,8 @@ MIN_SEEN = 4
 #: Text before the first byte, and bytes that are scored at a time.
 START = b"\n\n\n"
 CHUNK = 1 << 20
+#: Contexts whose probabilities are worked out at a time.
+ROWS = 2048
 _LETTER = re.compile(r"[^\W\d_]")
 _SAMPLE = 1 << 20
 
@@ -139,9 +143,13 @@ def build_model(grams: pd.DataFrame) -> LanguageModel | None:
         where = np.searchsorted(triples, g >> 8)
         where[where == len(triples)] = 0
         node = np.where(triples[where] == g >> 8, where, -1) if len(triples) else np.full_like(g, -1)
-        p3 = _mixed(table(len(triples), node), p2[two[triples & 0xFFFF] - 256])
-        for at, p in ((0, p1), (256, p2), (n_two, p3)):
+        for at, p in ((0, p1), (256, p2)):
             cost[at:at + len(p), :, k] = -np.log2(np.maximum(p[:, used], 1e-300))
+        for low in range(0, len(triples), ROWS):  # the largest table, a part at a time
+            part = triples[low:low + ROWS]
+            own = np.where((node >= low) & (node < low + ROWS), node - low, -1)
+            p3 = _mixed(table(len(part), own), p2[two[part & 0xFFFF] - 256])
+            cost[n_two + low:n_two + low + len(part), :, k] = -np.log2(np.maximum(p3[:, used], 1e-300))
     return LanguageModel([str(x) for x in langs], columns, two, three, cost)
 
 
@@ -175,12 +183,13 @@ def code_lengths(model: LanguageModel, texts: list[bytes]) -> np.ndarray:
 def predict(model: LanguageModel | None, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
     """Language and score of each text."""
     langs, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
-    known = [k for k, t in enumerate(texts) if t and _LETTER.search(t)]
-    if model is not None and known:
-        bits = code_lengths(model, [texts[k].encode("utf-8") for k in known])
+    known = [k for k, t in enumerate(texts) if t and _LETTER.search(t)] if model is not None else []
+    for start, end in slices(np.array([len(texts[k]) for k in known])):
+        part = known[start:end]
+        bits = code_lengths(model, [texts[k].encode("utf-8") for k in part])
         best = bits.argmin(1)
         share = np.exp2(-(bits - bits.min(1, keepdims=True))).sum(1)
-        for k, b, s in zip(known, best, share, strict=True):
+        for k, b, s in zip(part, best, share, strict=True):
             langs[k], scores[k] = model.langs[b], 1.0 / s
     return langs, scores
 

@@ -31,13 +31,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from salescope.llm.common import slices
+
 TRAIN_ROWS = 20_000
 TREES, DEPTH, BINS = 120, 4, 64
 RATE, L2, MIN_HESSIAN = 0.1, 1.0, 5.0
 GOOD = 0.7
 _SAMPLE = 1 << 20
 #: Bytes whose classes are counted at a time.
-CHUNK = 1 << 22
+CHUNK = 1 << 20
 
 _CLASSES = ("lower", "upper", "digit", "blank", "newline", "stop", "comma", "quote", "bracket", "mark", "bar",
             "symbol", "high", "control")
@@ -92,9 +94,12 @@ def _word_features(text: str) -> tuple[float, ...]:
 
 def features(texts: list[str | None]) -> np.ndarray:
     """Statistics of every whole text, in the order of ``FEATURES``."""
+    parts = [_features(texts[a:b]) for a, b in slices(np.array([len(t or "") for t in texts]))]
+    return np.vstack(parts) if parts else np.zeros((0, len(FEATURES)))
+
+
+def _features(texts: list[str | None]) -> np.ndarray:
     raw = [(t or "").encode("utf-8") for t in texts]
-    if not raw:
-        return np.zeros((0, len(FEATURES)))
     size = np.array([len(t) for t in raw], dtype=np.float64)
     counts = class_counts(raw)
     words = np.array([_word_features(t or "") for t in texts], dtype=np.float64)
