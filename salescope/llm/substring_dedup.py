@@ -1,8 +1,11 @@
 """Substring dedup: sliding sentence spans, joined globally.
 
 Every text is cut into sentences; a sentence of more than ``LONG`` words is cut
-further after words chosen by their hash, so that a passage inside run-on text
-is cut alike wherever it stands.  A span is a run of at least ``MIN_SENTENCES``
+further after the word with the smallest hash of each ``WINDOW`` words in a row
+(the last of equal ones; a single word repeated gives no cut), so that a passage
+inside run-on text is cut alike wherever it stands: at most ``LONG`` words at
+either end of it (``WINDOW`` within run-on text) depend on its neighbours, and
+50 words hold at least ``MIN_WORDS`` words of whole pieces.  A span is a run of at least ``MIN_SENTENCES``
 consecutive pieces with at least ``MIN_WORDS`` words: for each piece the
 shortest such run that starts with it and the shortest that ends with it.  All
 spans of all documents are hashed and joined; a sentence covered by any span
@@ -36,63 +39,97 @@ from pyspark.sql import types as T
 from salescope.llm.common import map_texts, stored
 
 MIN_SENTENCES, MIN_WORDS = 2, 20
-#: Words of a sentence that stays whole, and mean words of a piece of a longer one.
-LONG, PIECE = 16, 8
+#: Words of a sentence that stays whole, and most words of a piece of a longer one.
+LONG, WINDOW = 15, 6
+#: More than the pieces of a span.
+PLACE = 64
 BITMAP_BITS = 32768
 #: At most 2**29 bits (64 MB) are broadcast.
 MAX_BITS = 1 << 29
-_END = re.compile(r"(?<=[.!?])\s+|\s*\n\s*")
+_ENDS = (".", "!", "?")
 _TOKEN = re.compile(r"\S+")
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
-class Cuts(dict):
-    """Whether a long sentence is cut after a word; remembers a bounded number of words."""
+class Words(dict):
+    """Hash of a word, its lowest bit set where a sentence ends with it; remembers a bounded number of words."""
 
-    def __missing__(self, word: str) -> bool:
+    def __missing__(self, word: str) -> int:
         if len(self) > 300_000:
             self.clear()
-        cut = self[word] = xxhash.xxh3_64_intdigest(word.lower()) % PIECE == 0
-        return cut
+        h = self[word] = xxhash.xxh3_64_intdigest(word.lower()) & ~1 | word.endswith(_ENDS)
+        return h
 
 
-_CUTS = Cuts()
+_WORDS = Words()
 
 
-def pieces(text: str) -> tuple[list[int], np.ndarray, np.ndarray]:
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """``_INVERSE ** k`` and ``_BASE ** k`` for k up to ``n``."""
+    down, up = np.full((2, n + 1), [[_INVERSE], [_BASE]], dtype=np.uint64)
+    down[0] = up[0] = 1
+    return np.cumprod(down), np.cumprod(up)
+
+
+_KNOWN = _powers(1 << 15)
+
+
+def runs(hashes: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of each run of ``hashes``: the sum of h[k] * BASE**(k - first), mixed."""
+    n = len(hashes)
+    down, up = _KNOWN if n < len(_KNOWN[0]) else _powers(n)
+    total = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(hashes * down[:n])])
+    h = (total[end] - total[first]) * up[first]
+    h ^= h >> np.uint64(29)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(32)
+    return h
+
+
+def cuts(ranks: np.ndarray, sentence: np.ndarray) -> np.ndarray:
+    """Whether a cut comes after each word: the last smallest rank of a window inside one sentence."""
+    n = len(ranks) - WINDOW + 1
+    at = np.arange(n)
+    low, high, best = ranks[:n].copy(), ranks[:n].copy(), at.copy()
+    for k in range(1, WINDOW):
+        new = ranks[k:k + n]
+        best = np.where(new <= low, at + k, best)
+        np.minimum(low, new, out=low)
+        np.maximum(high, new, out=high)
+    cut = np.zeros(len(ranks), dtype=bool)
+    cut[best[(sentence[:n] == sentence[WINDOW - 1:]) & (low < high)]] = True
+    return cut
+
+
+def pieces(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start offset, words and 64-bit hash of each piece of ``text``."""
-    starts: list[int] = []
-    words: list[int] = []
-    hashes: list[int] = []
-    digest, cuts = xxhash.xxh3_64_intdigest, _CUTS
-    at = 0
-    ends = [m.span() for m in _END.finditer(text)]
-    ends.append((len(text), len(text)))
-    for end, after in ends:
-        sentence = text[at:end]
-        tokens = sentence.split()
-        if len(tokens) <= LONG:
-            if tokens:
-                starts.append(at)
-                words.append(len(tokens))
-                hashes.append(digest(" ".join(tokens).lower()))
-        else:
-            plain = " ".join(tokens)
-            # Offsets follow from the lengths where words are one blank apart, else from a search.
-            offsets = None if plain == sentence else [at + m.start() for m in _TOKEN.finditer(sentence)]
-            first, begin = 0, at
-            stops = [k for k, w in enumerate(tokens, 1) if cuts[w]]
-            if not stops or stops[-1] < len(tokens):
-                stops.append(len(tokens))
-            for stop in stops:
-                piece = " ".join(tokens[first:stop])
-                starts.append(begin if offsets is None else offsets[first])
-                words.append(stop - first)
-                hashes.append(digest(piece.lower()))
-                first, begin = stop, begin + len(piece) + 1
-        at = after
-    return starts, np.array(words, dtype=np.int64), np.array(hashes, dtype=np.uint64)
+    words, hashes = hashed_pieces(text)
+    at = np.array([m.start() for m in _TOKEN.finditer(text)], dtype=np.int64)
+    return at[np.cumsum(words) - words], words, hashes
+
+
+def hashed_pieces(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Words and 64-bit hash of each piece of ``text``."""
+    known, found, lines = _WORDS.__getitem__, [], []
+    for line in text.split("\n"):
+        found.extend(map(known, line.split()))
+        lines.append(len(found))
+    word = np.array(found, dtype=np.uint64)
+    n = len(word)
+    if not n:
+        return np.zeros(0, dtype=np.int64), word
+    stop = (word & np.uint64(1)).astype(bool)
+    stop[np.array(lines)[np.array(lines) > 0] - 1] = True
+    ends = np.flatnonzero(stop) + 1
+    sizes = np.diff(ends, prepend=0)
+    long = sizes > LONG
+    if long.any():
+        sentence = np.repeat(np.arange(len(sizes)), sizes)
+        stop |= cuts((word >> np.uint64(34)).astype(np.int64), sentence) & long[sentence]
+        ends = np.flatnonzero(stop) + 1
+    first = np.concatenate([[0], ends[:-1]])
+    return ends - first, runs(word, first, ends)
 
 
 def spans(words: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -110,16 +147,7 @@ def spans(words: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray
     back = starts >= 0
     pair = np.unique(np.concatenate([i[ahead] * (n + 1) + ends[ahead], starts[back] * (n + 1) + j[back]]))
     first, end = pair // (n + 1), pair % (n + 1)
-    # Rolling hash: sum of h[k] * BASE**-k, shifted back to the span's start.
-    down, up = np.full((2, n + 1), [[_INVERSE], [_BASE]], dtype=np.uint64)
-    down[0] = up[0] = 1
-    down, up = np.cumprod(down), np.cumprod(up)
-    total = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(hashes * down[:-1])])
-    h = (total[end] - total[first]) * up[first]
-    h ^= h >> np.uint64(29)
-    h *= np.uint64(0xBF58476D1CE4E5B9)
-    h ^= h >> np.uint64(32)
-    return first, end, h.view(np.int64)
+    return first, end, runs(hashes, first, end).view(np.int64)
 
 
 def _positions(h: np.ndarray, bits: int) -> np.ndarray:
@@ -130,7 +158,7 @@ def _repeated_bits(rows: DataFrame, bits: int) -> Broadcast:
     """Pass one: the filter positions that at least two spans set, as one bitmap."""
     def make():
         def work(texts: list[str], _) -> dict:
-            found = [_positions(spans(*pieces(t)[1:])[2], bits) for t in texts if t]
+            found = [_positions(spans(*hashed_pieces(t))[2], bits) for t in texts if t]
             at, n = np.unique(np.concatenate([np.zeros(0, dtype=np.int64), *found]), return_counts=True)
             return {"p": at, "n": np.minimum(n, 2)}
 
@@ -147,7 +175,10 @@ def _repeated_bits(rows: DataFrame, bits: int) -> Broadcast:
 
 
 def repeated_spans(rows: DataFrame) -> DataFrame:
-    """(``_id``, ``first``, ``end``) of every span that stands in an earlier place too."""
+    """(``_id``, ``place``) of every span that stands in an earlier place too.
+
+    A place is the first piece and the number of pieces (at most ``MIN_WORDS``), as one number.
+    """
     size = rows.agg(F.coalesce(F.sum(F.octet_length("_text")), F.lit(0))).first()[0]
     bits = BITMAP_BITS
     while bits < min(MAX_BITS, size // 2):
@@ -159,32 +190,32 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
 
         def work(texts: list[str], _) -> dict:
             none = np.zeros(0, dtype=np.int64)
-            out = [(none, none, none, none)]
+            out = [(none, none, none)]
             for k, text in enumerate(texts):
                 if text:
-                    first, end, h = spans(*pieces(text)[1:])
+                    first, end, h = spans(*hashed_pieces(text))
                     p = _positions(h, bits)
                     maybe = (bitmap[p >> 3] >> (p & 7).astype(np.uint8)) & 1 > 0
-                    out.append((np.full(int(maybe.sum()), k), h[maybe], first[maybe], end[maybe]))
-            return dict(zip(("_row", "h", "first", "end"), map(np.concatenate, zip(*out, strict=True)), strict=True))
+                    out.append((np.full(int(maybe.sum()), k), h[maybe], (first * PLACE + end - first)[maybe]))
+            return dict(zip(("_row", "h", "place"), map(np.concatenate, zip(*out, strict=True)), strict=True))
 
         return work
 
-    maybe = stored(map_texts(rows, make, dict.fromkeys(("h", "first", "end"), T.LongType())), "spans")
+    maybe = stored(map_texts(rows, make, dict.fromkeys(("h", "place"), T.LongType())), "spans")
     # Written, so that a span of a third of all documents is split by the skew rule.
-    groups = stored(maybe.groupBy("h").agg(F.min(F.struct("_id", "first")).alias("_origin"),
+    groups = stored(maybe.groupBy("h").agg(F.min(F.struct("_id", "place")).alias("_origin"),
                                            F.count(F.lit(1)).alias("_n"))
                     .where("_n > 1").drop("_n"), "span-groups")
     return (maybe.join(groups, "h")
-            .where(~F.struct("_id", "first").eqNullSafe(F.col("_origin")))
-            .select("_id", "first", "end"))
+            .where(~F.struct("_id", "place").eqNullSafe(F.col("_origin")))
+            .select("_id", "place"))
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, ``text`` without repeated sentences, ``n_removed``."""
     rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     removed = (repeated_spans(rows).groupBy("_id")
-               .agg(F.collect_set(F.array("first", "end")).alias("_spans"))
+               .agg(F.collect_set("place").alias("_spans"))
                .withColumnRenamed("_id", "_id2"))
     both = (rows.join(removed, F.col("_id").eqNullSafe(F.col("_id2")), "left").select("_id", "_text", "_spans"))
 
@@ -204,9 +235,10 @@ def _cut(text: str, found) -> tuple[str, int]:
         return text, 0
     starts, _, _ = pieces(text)
     drop = np.zeros(len(starts) + 1, dtype=np.int64)
-    for first, end in found:
+    for place in found:
+        first, n = divmod(place, PLACE)
         drop[first] += 1
-        drop[end] -= 1
+        drop[first + n] -= 1
     drop = np.cumsum(drop)[:-1] > 0
     edges = [0, *starts[1:], len(text)]  # what comes before the first piece is its own
     kept = [text[a:b] for a, b, d in zip(edges, edges[1:], drop, strict=False) if not d]

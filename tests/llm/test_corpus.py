@@ -127,6 +127,42 @@ def test_substrings_against_brute_force(spark):
             assert len(got[i][0].split()) <= len(rows[i][1].split()) - 50
 
 
+def run_on(rng, n):
+    return " ".join(f"w{k}" + ("." if rng.random() < 0.03 else "") for k in rng.integers(0, 4000, n))
+
+
+def test_no_window_of_fifty_words_stands_twice(spark):
+    """At the level of words, whatever the pieces are: passages of run-on text between differing neighbours."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for k in range(300):
+        passage = run_on(rng, 50 + k % 25)
+        rows += [(2 * k + j, " ".join([run_on(rng, int(rng.integers(0, 60))), passage, run_on(rng, int(rng.integers(0, 60)))]))
+                 for j in range(2)]
+    windows = Counter()
+    for r in substring_dedup.substring_dedup(docs(spark, rows)).collect():
+        tokens = r.text.lower().split()
+        windows.update({tuple(tokens[k:k + 50]) for k in range(len(tokens) - 49)})
+    assert max(windows.values()) == 1
+
+
+def test_passages_are_cut_alike():
+    """Twenty words of equal pieces in every fifty, also where words repeat and sentences are short."""
+    rng = np.random.default_rng(9)
+    for k in range(3000):
+        few, stops = (3, 40, 4000)[k % 3], (0.0, 0.03, 0.1)[k // 3 % 3]
+        tokens = [[f"{c}{w}" + ("." if rng.random() < stops else "") for w in rng.integers(0, few, n)]
+                  for c, n in (("w", 50), ("x", int(rng.integers(0, 40))), ("y", int(rng.integers(0, 40))),
+                               ("x", int(rng.integers(0, 40))), ("y", int(rng.integers(0, 40))))]
+        found = []
+        for before, after in (tokens[1:3], tokens[3:5]):
+            _, words, hashes = substring_dedup.pieces(" ".join(before + tokens[0] + after))
+            ends = np.cumsum(words) - len(before)
+            found.append({(int(e - w), int(e), int(h)) for w, e, h in zip(words, ends, hashes, strict=True)
+                          if e - w >= 0 and e <= 50})
+        assert sum(e - b for b, e, _ in found[0] & found[1]) >= substring_dedup.MIN_WORDS
+
+
 def test_substrings_odd_rows(odd, nothing):
     got = substring_dedup.substring_dedup(odd).collect()
     assert sorted((r.doc_id, r.n_removed > 0) for r in got) == [
