@@ -16,7 +16,7 @@ scored by three gathers per byte.  The n-gram counts are a Spark aggregation.
 The model is learned from a bounded sample of the labelled rows: about
 ``TRAIN_DOCS`` documents a language, chosen by a hash of the id, each read
 whole; the automaton keeps the ``MAX_CONTEXTS`` most frequent three-byte
-contexts.  Languages are tags, so their number is bounded.
+contexts of every language.  Languages are tags, so their number is bounded.
 
 Edge cases: a null text and a text without a letter is ``und`` with score 0;
 with no labelled row at all every text is ``und``; ties go to the language
@@ -114,9 +114,12 @@ def build_model(grams: pd.DataFrame) -> LanguageModel | None:
     byte = gram & 0xFF
     pairs = np.unique(gram >> 8 & 0xFFFF)
     triples, at = np.unique(gram >> 8, return_inverse=True)
-    often = np.bincount(at, weights=n)
-    frequent = np.argsort(-often, kind="stable")[:MAX_CONTEXTS]
-    triples = np.sort(triples[frequent[often[frequent] >= MIN_SEEN]])
+    kept = np.zeros(len(triples), dtype=bool)
+    for k in range(len(langs)):  # a share for each, however little text it has
+        own = np.bincount(at[lang == k], weights=n[lang == k], minlength=len(triples))
+        top = np.argsort(-own, kind="stable")[:MAX_CONTEXTS]
+        kept[top[own[top] > 0]] = True
+    triples = triples[kept & (np.bincount(at, weights=n) >= MIN_SEEN)]
     # States: 256 last bytes, then pairs, then triples; the automaton leads to the longest.
     two = np.tile(np.arange(256, dtype=np.int32), 256)
     two[pairs] = 256 + np.arange(len(pairs))

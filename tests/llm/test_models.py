@@ -61,6 +61,21 @@ def test_code_lengths_against_the_definition():
         language_id.CHUNK = chunk
 
 
+def test_a_small_language_keeps_its_contexts(monkeypatch):
+    monkeypatch.setattr(language_id, "MAX_CONTEXTS", 50)
+    large, small = [(97 + k // 26, 97 + k % 26, 122) for k in range(100)], [(65 + k, 65, 66) for k in range(20)]
+    frame = pd.DataFrame([(lang, int.from_bytes(bytes([*c, 120]), "big"), n)
+                          for lang, contexts, n in (("aa", large, 100), ("bb", small, 10)) for c in contexts],
+                         columns=["lang", "gram", "n"])
+    model = language_id.build_model(frame)
+
+    def own(context):
+        last = model.two[context[1] << 8 | context[2]]
+        return model.three[last << 8 | context[0]] != last
+
+    assert all(map(own, small)) and sum(map(own, large)) == 50
+
+
 def test_language_held_out_accuracy(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     fold = language_id.held_out(F.col("doc_id"), 3, 1)
