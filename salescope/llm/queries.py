@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salescope.llm import (bpe, chat_format, dart_minhash, decontaminate, exact_dedup, language_id, line_dedup,
-                           quality, sharding, substring_dedup)
-from salescope.llm.common import table
+                           merkle, quality, sharding, sql, substring_dedup)
+from salescope.llm.common import ascii_lower, table
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
@@ -143,6 +143,20 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                              ("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proof of every document, folded from the document or, for one id in five by its CRC, a tampered copy."""
+    docs = table(spark, sf_dir, "documents")
+    tampered = merkle.leaf_digest(*(ascii_lower(F.col(c)) if c == "text" else F.col(c) for c in merkle.FIELDS))
+    leaf = merkle.leaf_digest(*(F.col(c) for c in merkle.FIELDS))
+    claim = F.when(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, tampered).otherwise(leaf)
+    proofs = merkle.prove(merkle.build(docs, carried=F.struct("doc_id", claim.alias("claim"))))
+    folded = proofs.withColumn("folded_root", merkle.fold(F.col("carried.claim"), F.col("path")))
+    return folded.select("carried.doc_id", "leaf", "subroot", "root",
+                         merkle.digest(merkle.siblings(F.col("path"))).alias("proof_sha256"), "folded_root",
+                         (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_substring_dedup": op2_substring_dedup,
@@ -154,9 +168,11 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_minhash_dedup": op9_minhash_dedup,
     "op10_bpe": op10_bpe,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 ORACLE = {
     "op5_chat_formatting": _OP5,
     "op6_line_dedup": _OP6,
     "op7_exact_dedup": _OP7,
+    "op11_merkle_manifest": sql.OP11,
 }
