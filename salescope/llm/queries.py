@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salescope.llm import (bpe, chat_format, dart_minhash, decontaminate, exact_dedup, language_id, line_dedup,
-                           merkle, quality, sharding, sql, substring_dedup)
-from salescope.llm.common import ascii_lower, table
+                           merkle, prefix_trie, quality, sharding, sql, substring_dedup)
+from salescope.llm.common import ascii_lower, stored, table
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
@@ -157,6 +157,22 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trie of all conversations, each rebuilt on the first turns of its hundred's first one."""
+    own = stored(prefix_trie.ordered_turns(table(spark, sf_dir, "conversations")), "own-turns")
+    heads = own.where("_rank = 0").select("conv", F.col("_n").alias("n"))
+    # A base has a hundred conversations at most, and each takes fewer than six of its turns.
+    base = (F.col("conv") - F.col("conv") % 100).alias("base")
+    convs = heads.select("conv", base, (F.crc32(F.col("conv").cast("string")) % 6).alias("h"))
+    convs = stored(convs.join(heads.select(F.col("conv").alias("base"), F.col("n").alias("of_base")), "base", "left")
+                   .withColumn("taken", F.least("h", F.coalesce("of_base", F.lit(0)))), "rebuilt-conversations")
+    first = own.where("_rank < 5").select(F.col("conv").alias("base"), "_rank", "digest", "chars")
+    turns = (convs.join(first, "base").where(F.col("_rank") < F.col("h")).select("conv", "_rank", "digest", "chars")
+             .unionByName(own.join(convs, "conv").where(F.col("_rank") >= F.col("h"))
+                          .select("conv", (F.col("_rank") - F.col("h") + F.col("taken")).alias("_rank"), "digest", "chars")))
+    return prefix_trie.prefix_trie(turns, convs.select("conv"))
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_substring_dedup": op2_substring_dedup,
@@ -169,10 +185,12 @@ QUERIES = {
     "op9_minhash_dedup": op9_minhash_dedup,
     "op10_bpe": op10_bpe,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 ORACLE = {
     "op5_chat_formatting": _OP5,
     "op6_line_dedup": _OP6,
     "op7_exact_dedup": _OP7,
     "op11_merkle_manifest": sql.OP11,
+    "op13_prefix_trie": sql.OP13,
 }

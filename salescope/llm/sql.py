@@ -56,3 +56,29 @@ FROM f{last} f, t{levels} t"""
 
 
 OP11 = _merkle(("doc_id", "source", "lang", "n_chars", "text"))
+
+#: Every node is charged to all prefixes of its smallest member, so no step goes level by level.
+OP13 = f"""
+WITH {CRC_TABLE},
+o AS (SELECT conv_id AS c, octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, '') AS v,
+    length(coalesce(text, '')) AS chars, turn FROM conversations WHERE conv_id IS NOT NULL),
+t AS (SELECT c, sha256(v) AS v, chars, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, sha256(v)) AS k FROM o),
+h AS (SELECT c, c - c % 100 AS base, {crc32("c::VARCHAR")} % 6 AS h FROM (SELECT DISTINCT c FROM t), c32),
+r AS (SELECT h.c, t.k, t.v, t.chars FROM h JOIN t ON t.c = h.base AND t.k <= h.h
+      UNION ALL
+      SELECT h.c, t.k - h.h + (SELECT count(*) FROM t b WHERE b.c = h.base AND b.k <= h.h), t.v, t.chars
+      FROM h JOIN t ON t.c = h.c AND t.k > h.h),
+p AS (SELECT c, k AS d, sha256(string_agg(v, '' ORDER BY k) OVER (PARTITION BY c ORDER BY k)) AS key, chars FROM r
+      UNION ALL SELECT c, 0, '', 0 FROM h),
+n AS (SELECT key, d, min(c) AS c, count(*) AS n_convs, any_value(chars) AS chars FROM p GROUP BY key, d),
+up AS (SELECT n.key, n.c, n.d, q.key AS parent FROM n JOIN p q ON q.c = n.c AND q.d = n.d - 1),
+ch AS (SELECT parent AS key, count(*) AS n_children FROM up GROUP BY parent),
+w AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN ch USING (key)),
+s AS (SELECT a.key, count(*) FILTER (w.n_children = 0) AS n_leaves, sum((w.n_convs - 1) * w.chars) AS saved
+      FROM w JOIN p a ON a.c = w.c AND a.d <= w.d GROUP BY a.key),
+e AS (SELECT key, string_agg(c::VARCHAR, ',' ORDER BY c) AS ids
+      FROM (SELECT c, max(d) AS d FROM p GROUP BY c) JOIN p USING (c, d) GROUP BY key)
+SELECT w.c AS conv_id, w.d::BIGINT AS depth, pn.c AS parent_conv_id, w.n_convs, w.n_children, s.n_leaves,
+  s.saved::BIGINT AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM w JOIN s USING (key) LEFT JOIN e USING (key) LEFT JOIN up ON up.key = w.key LEFT JOIN n pn ON pn.key = up.parent
+"""
