@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salescope.llm import (bpe, chat_format, dart_minhash, decontaminate, exact_dedup, language_id, line_dedup,
-                           merkle, prefix_trie, quality, sharding, sql, substring_dedup)
+from salescope.llm import (bpe, chat_format, dart_minhash, decontaminate, exact_dedup, language_id, license_scan,
+                           line_dedup, merkle, prefix_trie, quality, sharding, sql, substring_dedup)
 from salescope.llm.common import ascii_lower, stored, table
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -157,6 +157,16 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses that every document names or quotes."""
+    found = license_scan.scan(table(spark, sf_dir, "documents"))
+    starts, base = F.col("places.start"), F.array_distinct("places.label")
+    return found.select("doc_id", "n_words", F.size("places").cast("long").alias("n_base"),
+                        F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+                        F.array_join(F.array_sort(base), ",").alias("base_labels"),
+                        F.array_join(F.array_sort(F.array_union(base, "detections.label")), ",").alias("labels"), "score")
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trie of all conversations, each rebuilt on the first turns of its hundred's first one."""
     own = stored(prefix_trie.ordered_turns(table(spark, sf_dir, "conversations")), "own-turns")
@@ -185,6 +195,7 @@ QUERIES = {
     "op9_minhash_dedup": op9_minhash_dedup,
     "op10_bpe": op10_bpe,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_license_scan": op12_license_scan,
     "op13_prefix_trie": op13_prefix_trie,
 }
 ORACLE = {
