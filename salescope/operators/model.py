@@ -1,4 +1,4 @@
-"""Model frame, exact seeded samples and splits, OLS with diagnostics, boosted trees.
+"""Model frame, exact seeded samples and splits, OLS with diagnostics, error metrics.
 
 Samples and splits order rows by ``md5(key || seed)`` — sizes that do not depend
 on partitioning, and the same rows in any engine.  The rank operator finds the
@@ -14,8 +14,6 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -69,6 +67,11 @@ def train_test_split(df: DataFrame, key_cols: Sequence[str], test_share: float =
             .drop("_h", "_cut"))
 
 
+def test_share(n: int) -> float:
+    """Share of ``n`` complete rows that is kept for testing: half of very few, so that both sides have some."""
+    return 0.3 if n >= 10 else 0.5
+
+
 def trainable(df: DataFrame, groups: Sequence[str], required: Sequence[str], minimum: int) -> DataFrame:
     """Per group: complete rows ``n`` and, where there are fewer than ``minimum``, the note of a model not trained."""
     n = F.count_if(F.expr(" AND ".join(f"`{c}` IS NOT NULL" for c in required)))
@@ -158,7 +161,45 @@ def ols(df: DataFrame, y: str, xs: Sequence[str]) -> dict:
     r2 = 1 - sse / sst if sst > 0 else float("nan")
     r2a = 1 - (1 - r2) * (n - 1) / dof
     return {"n": n, "k": k, "r2": float(r2), "r2_adj": float(r2a), "coefficients": rows,
-            "beta": beta, "names": ["const", *xs]}
+            "beta": beta, "names": ["const", *xs], "means": means[:k], "sxx": sxx}
+
+
+def vif_of_fit(fit: dict) -> list[tuple[str, float | None]]:
+    """VIF without a constant from the sums of a fit, X'X being the centred cross-products plus n times the means'."""
+    m = fit["sxx"] + fit["n"] * np.outer(fit["means"], fit["means"])
+    try:
+        inv = np.linalg.inv(m)
+    except np.linalg.LinAlgError:
+        return [(c, None) for c in fit["names"][1:]]
+    return [(c, float(inv[i, i] * m[i, i])) for i, c in enumerate(fit["names"][1:])]
+
+
+def residual_tests(resid_df: DataFrame, fit: dict, resid: str = "resid") -> dict:
+    """Breusch-Pagan and Jarque-Bera of the residuals of ``fit`` on its own rows, in one pass.
+
+    Breusch-Pagan regresses e² on the design, whose cross-products the fit has:
+    LM = n·R² ~ χ²(k), F = (R²/k)/((1−R²)/(n−k−1)).
+    """
+    e, xs, n, k = F.col(resid), fit["names"][1:], fit["n"], fit["k"]
+    sums = resid_df.agg(*[F.sum(F.pow(e, j)).alias(f"e{j}") for j in (1, 2, 3, 4)], *[
+        F.sum((F.col(x).cast("double") - F.lit(float(m))) * e * e).alias(f"x{i}")
+        for i, (x, m) in enumerate(zip(xs, fit["means"], strict=True))]).first()
+    s = np.array([sums[f"x{i}"] for i in range(k)], dtype=float)
+    # A perfect fit leaves rounding errors only: nothing to test.
+    sst = sums["e4"] - sums["e2"] ** 2 / n
+    r2 = float(s @ np.linalg.pinv(fit["sxx"]) @ s / sst) if k and sst > 0 else float("nan")
+    f = (r2 / k) / ((1 - r2) / (n - k - 1)) if k and r2 < 1 else float("nan")
+    m1, m2, m3, m4 = (sums[f"e{j}"] / n for j in (1, 2, 3, 4))
+    var = m2 - m1 ** 2
+    skew = (m3 - 3 * m1 * m2 + 2 * m1 ** 3) / var ** 1.5 if var > 0 else float("nan")
+    kurt = (m4 - 4 * m1 * m3 + 6 * m1 ** 2 * m2 - 3 * m1 ** 4) / var ** 2 if var > 0 else float("nan")
+    jb = n / 6 * (skew ** 2 + (kurt - 3) ** 2 / 4)
+
+    def tail(fn, value, *args):
+        return float("nan") if math.isnan(value) else fn(value, *args)
+
+    return {"lm_stat": n * r2, "lm_p_value": tail(chi2_sf, n * r2, k), "f_stat": f, "f_p_value": tail(f_sf, f, k, n - k - 1),
+            "jb_stat": jb, "jb_p_value": tail(chi2_sf, jb, 2)}
 
 
 def vif(df: DataFrame, xs: Sequence[str]) -> list[tuple[str, float | None]]:
@@ -195,33 +236,6 @@ def breusch_pagan(resid_df: DataFrame, xs: Sequence[str], resid: str = "resid")
     return {"lm_stat": lm, "lm_p_value": chi2_sf(lm, k), "f_stat": f, "f_p_value": f_sf(f, k, n - k - 1)}
 
 
-def gbt_fit(train: DataFrame, features: Sequence[str], label: str, iters: int = 180, step: float = 0.08,
-            depth: int = 5, seed: int = 42, key_cols: Sequence[str] | None = None,
-            validation_share: float = 0.0, tol: float = 1e-7):
-    """Gradient-boosted trees on log1p(label) (Spark ML grows trees by depth: depth 5 ≈ 31 leaves).
-
-    With a ``validation_share``, that share of the training rows (chosen by the
-    seeded hash of ``key_cols``) is held out, whatever the size of the input,
-    and boosting stops at the first round that does not improve the held-out
-    loss by more than ``tol`` (relative); without one all rounds run.
-    """
-    asm = VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="skip")
-    t = asm.transform(train.withColumn("_target", F.log1p(F.col(label).cast("double"))))
-    params = dict(featuresCol="_features", labelCol="_target", maxIter=iters, stepSize=step,
-                  maxDepth=depth, seed=seed)
-    if validation_share > 0:
-        bucket = F.pmod(hash_key(key_cols, seed + 1), F.lit(1_000_000))
-        t = t.withColumn("_valid", bucket < F.lit(int(validation_share * 1_000_000)))
-        params.update(validationIndicatorCol="_valid", validationTol=tol)
-    model = GBTRegressor(**params).fit(t)
-    return asm, model
-
-
-def gbt_predict(asm, model, test: DataFrame, out: str = "predicted") -> DataFrame:
-    p = model.transform(asm.transform(test)).withColumn(out, F.greatest(F.expm1("prediction"), F.lit(0.0)))
-    return p.drop("_features", "prediction")
-
-
 def regression_metrics(scored: DataFrame, actual: str = "actual", predicted: str = "predicted") -> DataFrame:
     """MAE, RMSE and R² on the original scale in one pass (R² NULL for ≤ 1 row or a constant target)."""
     e = F.col(actual) - F.col(predicted)

@@ -74,7 +74,7 @@ def q_pruned_scan(spark, d):
 # --------------------------------------------------------------------------- sources and validation
 
 from salescope.operators import validate as V  # noqa: E402
-from salescope.plans.views import checked_lines  # noqa: E402
+from salescope.plans.views import checked_lines, data_version  # noqa: E402
 from salescope.plans.views import raw_text as raw_lines  # noqa: E402
 from salescope.sources.text import volume_profile  # noqa: E402
 
@@ -839,7 +839,7 @@ _DIAG: dict = {}
 
 
 def _diag(spark, d):
-    key = (spark.sparkContext.applicationId, d)
+    key = (spark.sparkContext.applicationId, d, data_version(spark, d))
     if key not in _DIAG:
         _DIAG[key] = RP.linear_diagnostics(clean_sales(spark, d))
     return _DIAG[key]
@@ -898,7 +898,7 @@ def q_residual_table(spark, d):
 @register("gbt_metrics")
 def q_gbt_metrics(spark, d):
     return RP.boosted_metrics(clean_sales(spark, d), GBT_ITERS_QUERY, M.MIN_BOOSTED_ROWS) \
-        .withColumn("model", F.lit("GBTRegressor"))
+        .withColumn("model", F.lit("HistGradientBoostingRegressor"))
 
 
 @register("period_model")

@@ -17,10 +17,12 @@ from pyspark.sql import types as T
 
 from salescope.functions.dist import chi2_sf, kolmogorov_sf, norm_ppf, norm_sf, ppf_norm_udf, sf_norm_udf
 from salescope.functions.numeric import verdict
+from salescope.operators import boosting as B
 from salescope.operators import hypothesis as H
 from salescope.operators import model as M
 from salescope.operators.ranks import cumulative_counts
 from salescope.schema import NUMERIC
+from salescope.session import written
 
 SUITE_SCHEMA = ("name string, question string, h0 string, h1 string, test string, statistic double, "
                 "p_value double, decision string, note string")
@@ -267,33 +269,52 @@ def association_suite(cl: DataFrame) -> DataFrame:
 
 # ----------------------------------------------------------------------------- linear diagnostics
 
+# The limits of the linear model, and the reasons not to train one.
+LINEAR_CONCLUSION = "Limitada fuera de los rangos observados."
+LINEAR_LIMITS = [
+    "No extrapola de forma confiable a canales o locales no observados.",
+    "UNIDADES no aporta informacion si permanece constante.",
+    "Faltan variables externas como stock, campanas, feriados y promociones.",
+    "La muestra usada controla tiempo de ejecucion; puede subrepresentar casos raros.",
+]
+NO_PREDICTORS = "No hay predictores con variacion suficiente."
+
+
 def linear_diagnostics(cl: DataFrame, seed: int = 42) -> dict:
     """OLS of log1p(amount) on channel dummies, store, units, discount (train split), with diagnostics.
 
-    With fewer than ``MIN_LINEAR_ROWS`` complete rows nothing is trained:
-    the result only has ``n`` and ``note``.
+    The split rows are written once; the fit takes two passes over them (means,
+    cross-products), the tests of its residuals a third, the ranked residuals
+    and the test rows one each.  Where nothing can be trained (fewer than
+    ``MIN_LINEAR_ROWS`` complete rows, no predictor that varies, no more training
+    rows than coefficients) the result only has ``n`` and ``note``.
     """
     base = cl.select("record_no", "amount", "channel", "store", "units", "discount").dropna()
-    n = base.count()
-    if n < M.MIN_LINEAR_ROWS:
-        return {"n": n, "note": f"No entrenado: se requieren al menos {M.MIN_LINEAR_ROWS} registros completos."}
-    base = base.withColumn("y", F.log1p("amount"))
-    frame = M.one_hot(base, "channel")
+    levels = sorted(r[0] for r in base.groupBy("channel").count().limit(M.MAX_LEVELS + 1).collect())
+    frame = M.one_hot(base.withColumn("y", F.log1p("amount")), "channel", levels=levels)
+    split = written(M.train_test_split(frame, ["record_no", "amount", "store"], 0.3, seed), "linear-split")
     xs = [c for c in frame.columns if c.startswith("channel_")] + ["store", "units", "discount"]
-    xs = M.varying_columns(frame, xs)
-    split = M.train_test_split(frame, ["record_no", "amount", "store"], 0.3, seed)
+    seen = split.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("split") == "train").alias("train"),
+                     *[(F.min(c) != F.max(c)).alias(c) for c in xs]).first()
+    if seen["n"] < M.MIN_LINEAR_ROWS:
+        return {"n": seen["n"], "note": f"No entrenado: se requieren al menos {M.MIN_LINEAR_ROWS} registros completos."}
+    xs = [c for c in xs if seen[c]]
+    if not xs:
+        return {"n": seen["n"], "note": f"No entrenado: {NO_PREDICTORS}"}
+    if seen["train"] <= len(xs) + 1:
+        return {"n": seen["n"], "note": f"No entrenado: {seen['train']} filas de entrenamiento no bastan para "
+                                        f"{len(xs) + 1} coeficientes."}
     train = split.filter(F.col("split") == "train")
     test = split.filter(F.col("split") == "test")
     fit = M.ols(train, "y", xs)
     res = M.residuals(train, fit, "y")
-    bp = M.breusch_pagan(res, xs)
-    jb = H.jarque_bera(res, "resid").first()
+    tests = M.residual_tests(res, fit)
     shapiro = normality(res, ["resid"]).first()
     scored = M.residuals(test, fit, "y").select(
         F.col("amount").alias("actual"), F.greatest(F.expm1("fitted"), F.lit(0.0)).alias("predicted"))
     metrics = M.regression_metrics(scored).first()
-    return {"n": n, "note": None, "fit": fit, "xs": xs, "vif": M.vif(train, xs), "bp": bp,
-            "jb": (jb["statistic"], chi2_sf(jb["statistic"], 2)), "metrics": metrics, "res": res,
+    return {"n": seen["n"], "note": None, "fit": fit, "xs": xs, "vif": M.vif_of_fit(fit), "bp": tests,
+            "jb": (tests["jb_stat"], tests["jb_p_value"]), "metrics": metrics, "res": res,
             "shapiro": (shapiro["shapiro_stat"], shapiro["shapiro_p"]), "scored": scored, "split": split}
 
 
@@ -316,22 +337,40 @@ def linear_report(spark: SparkSession, diag: dict) -> DataFrame:
              ("shapiro", "w", *diag["shapiro"], None, None)]
     rows += [("test_original_scale", k, float(m[k]) if m[k] is not None else None, None, None, None)
              for k in ("mae", "rmse", "r2")]
-    return spark.createDataFrame([(*r, None) for r in rows], schema)
+    rows = [(*(None if isinstance(v, float) and math.isnan(v) else v for v in r), None) for r in rows]
+    rows.append(("extrapolabilidad", "conclusion", None, None, None, None, LINEAR_CONCLUSION))
+    rows += [("extrapolabilidad", f"limitacion_{i}", None, None, None, None, text) for i, text in enumerate(LINEAR_LIMITS, 1)]
+    return spark.createDataFrame(rows, schema)
 
 
-def boosted_metrics(cl: DataFrame, iters: int = 180, minimum: int = M.MIN_BOOSTED_ROWS) -> DataFrame:
-    """Held-out error of the boosted trees; with fewer than ``minimum`` complete rows a note instead."""
+def boosted_model(cl: DataFrame, iters: int = 180, minimum: int = M.MIN_BOOSTED_ROWS, **params) -> dict:
+    """Boosted trees on log1p(amount): ``n``, ``note``, and, if trained, the model, train rows and scored test rows.
+
+    With fewer than ``minimum`` complete rows, or no predictor, nothing is trained.
+    """
     mf = M.model_frame(cl)
     n = mf.count()
     if n < minimum:
-        note = f"No entrenado: se requieren al menos {minimum} registros completos."
-        return cl.sparkSession.createDataFrame([(n, None, None, None, note)],
-                                               "n long, mae double, rmse double, r2 double, note string")
-    key = [c for c in ("record_no", "amount", "sku") if c in mf.columns]
+        return {"n": n, "note": f"No entrenado: se requieren al menos {minimum} registros completos."}
     feats = [c for c in mf.columns if c not in ("record_no", "amount")]
-    sp = M.train_test_split(mf, key)
-    asm, model = M.gbt_fit(sp.filter(F.col("split") == "train"), feats, "amount", iters=iters,
-                           key_cols=key, validation_share=0.1)
-    scored = M.gbt_predict(asm, model, sp.filter(F.col("split") == "test")).select(
-        F.col("amount").alias("actual"), "predicted")
-    return M.regression_metrics(scored).withColumn("note", F.lit(None).cast("string"))
+    if not feats:
+        return {"n": n, "note": "No entrenado: no hay predictores disponibles."}
+    key = [c for c in ("record_no", "amount", "sku") if c in mf.columns]
+    split = written(M.train_test_split(mf, key, M.test_share(n)), "model-split")
+    train = split.filter(F.col("split") == "train")
+    model = B.fit(train, feats, F.log1p("amount"), iters, **params)
+    scored = B.predict(split.filter(F.col("split") == "test"), model).select(
+        F.col("amount").alias("actual"), F.greatest(F.expm1("prediction"), F.lit(0.0)).alias("predicted"))
+    return {"n": n, "note": None, "model": model, "train": train.count(), "scored": scored}
+
+
+def boosted_metrics(cl: DataFrame, iters: int = 180, minimum: int = M.MIN_BOOSTED_ROWS, **params) -> DataFrame:
+    """Held-out error of the boosted trees; a note instead where nothing is trained."""
+    found = boosted_model(cl, iters, minimum, **params)
+    if found["note"]:
+        return cl.sparkSession.createDataFrame(
+            [(found["n"], None, None, None, None, None, found["note"])],
+            "n long, mae double, rmse double, r2 double, train long, trees int, note string")
+    return M.regression_metrics(found["scored"]).select(
+        "*", F.lit(found["train"]).cast("long").alias("train"), F.lit(len(found["model"].trees)).alias("trees"),
+        F.lit(None).cast("string").alias("note"))

@@ -20,7 +20,7 @@ from salescope.sources.sales import raw_lines, sales_view
 _WRITTEN: dict[tuple, DataFrame] = {}
 
 
-def _version(spark: SparkSession, data_dir: str) -> tuple:
+def data_version(spark: SparkSession, data_dir: str) -> tuple:
     """Names, sizes and times of the files the sales view reads, so that changed data is read anew."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     out = []
@@ -33,7 +33,7 @@ def _version(spark: SparkSession, data_dir: str) -> tuple:
 
 def written_table(spark: SparkSession, name: str, data_dir: str, build, partition_by: str | None = None) -> DataFrame:
     """``build()`` written once per application, data directory and version of its files, then read back."""
-    key = (spark.sparkContext.applicationId, data_dir, name, _version(spark, data_dir))
+    key = (spark.sparkContext.applicationId, data_dir, name, data_version(spark, data_dir))
     if key not in _WRITTEN:
         _WRITTEN[key] = written(build(), name, partition_by)
     return _WRITTEN[key]

@@ -108,15 +108,49 @@ def test_suite_with_constant_units(spark):
     assert len(few) == 9 and all(r["note"] for r in few if r["name"] in ("H0_APP_WEB", "H4", "H1"))
 
 
-def test_models_are_not_trained_on_few_rows(spark):
+def _few(spark, n, channels=5, varied=True):
+    return spark.range(n).selectExpr(
+        "id AS record_no", "timestamp_ntz'2024-05-01 10:00:00' + make_dt_interval(id) AS ts", "100.0D + id * id AS amount",
+        f"concat('c', id % {channels}) AS channel", f"{'id % 7' if varied else '1'} AS store",
+        f"{'1 + id % 3' if varied else '1'} AS units", f"{'0.01D * (id % 4)' if varied else '0.1D'} AS discount",
+        "30.0D + id AS age", "id % 2 AS gender", "id % 3 AS purchase_frequency", "id AS sku")
+
+
+@pytest.mark.parametrize("n", [0, 1, 4, 5, 9, 10, 12, 40])
+@pytest.mark.parametrize("varied", [True, False])
+def test_models_on_few_rows_and_constant_predictors(spark, n, varied):
+    from salescope.plans.reports import boosted_metrics, linear_diagnostics, linear_report
+    report = linear_report(spark, linear_diagnostics(_few(spark, n, 5 if varied else 1, varied))).collect()
+    if n < 40 or not varied:
+        assert len(report) == 1 and report[0]["note"] and report[0]["value"] == n
+    else:
+        assert {r["section"] for r in report} >= {"coeficiente", "vif", "breusch_pagan", "extrapolabilidad"}
+    row = boosted_metrics(_few(spark, n, 5, varied), iters=3).first()
+    assert (row["note"] is not None) == (n < 4)
+    if n >= 4:
+        assert row["train"] + row["n"] == n and row["n"] == math.ceil((0.3 if n >= 10 else 0.5) * n) and row["mae"] is not None
+
+
+def test_residual_tests_and_vif_in_one_pass(spark):
+    from salescope.operators import model as M
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(200, 3)) + [5, 0, -2]
+    y = 1 + x @ [2, -1, 0.5] + rng.normal(size=200) * (1 + 0.3 * np.abs(x[:, 0]))
+    df = _frame(spark, [tuple(map(float, (*r, t))) for r, t in zip(x, y, strict=True)], "a double, b double, c double, y double")
+    fit = M.ols(df, "y", ["a", "b", "c"])
+    res = M.residuals(df, fit, "y")
+    got, want = M.residual_tests(res, fit), M.breusch_pagan(res, ["a", "b", "c"])
+    for k in want:
+        assert math.isclose(got[k], want[k], rel_tol=1e-8)
+    assert math.isclose(got["jb_stat"], H.jarque_bera(res, "resid").first()["statistic"], rel_tol=1e-8)
+    for (c, v), (c2, v2) in zip(M.vif_of_fit(fit), M.vif(df, ["a", "b", "c"]), strict=True):
+        assert c == c2 and math.isclose(v, v2, rel_tol=1e-8)
+
+
+def test_ols_refuses_fewer_rows_than_coefficients(spark):
     from salescope.operators import model as M
-    from salescope.plans.reports import linear_diagnostics, linear_report
-    df = spark.range(9).selectExpr("id AS record_no", "100.0D + id AS amount", "'A' AS channel", "id AS store",
-                                   "id AS units", "0.1D AS discount")
-    report = linear_report(spark, linear_diagnostics(df)).collect()
-    assert len(report) == 1 and report[0]["note"]
     with pytest.raises(ValueError):
-        M.ols(df.limit(2), "amount", ["store", "units"])
+        M.ols(_few(spark, 2), "amount", ["store", "units"])
 
 
 def test_ols_keeps_digits_of_large_codes(spark):
