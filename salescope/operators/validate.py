@@ -30,14 +30,17 @@ R_GENDER = ("GENERO", "valor_invalido")
 
 def _unquote(c: Column) -> Column:
     """The value of a quoted field; others are literal."""
-    inner = F.regexp_extract(c, '^"((?:[^"]|"")*)"?', 1)
-    after = F.regexp_extract(c, '^"(?:[^"]|"")*"([^"].*)$', 1)
+    inner = F.regexp_extract(c, '^"([^"]*+(?:""[^"]*+)*+)', 1)
+    after = F.regexp_extract(c, r'(?s)^"[^"]*+(?:""[^"]*+)*+"(.+)\z', 1)
     return F.when(F.startswith(c, F.lit('"')), F.concat(F.replace(inner, F.lit('""'), F.lit('"')), after)).otherwise(c)
 
 
-def split_fields(records: DataFrame, header: list[str] | None = None, line_col: str = "line") -> DataFrame:
+def split_fields(records: DataFrame, header: list[str] | None = None, line_col: str = "line",
+                 keep: tuple[str, ...] = ()) -> DataFrame:
     """``(record_no, line)`` → ``record_no, n_fields`` + one raw string column per field (snake_case).
 
+    Columns named in ``keep`` go along.
+
     Lines in which no field starts with a quote use a plain split, as a quote
     inside a field is a character like any other.  The others are cut field by
     field from left to right, in linear time.  A quoted field does not go on in
@@ -47,9 +50,10 @@ def split_fields(records: DataFrame, header: list[str] | None = None, line_col:
     line = F.col(line_col)
     quoted = line.rlike('(^|;)"')
     # Every match ends with its separator; one more is added, so the last field has one as well.
-    fields = F.regexp_extract_all(F.concat(line, F.lit(";")), F.lit('("(?:[^"]|"")*(?:"[^;]*)?;|[^;]*;|"[^$]*$)'), F.lit(1))
+    fields = F.regexp_extract_all(F.concat(line, F.lit(";")), F.lit(
+        r'("[^"]*+(?:""[^"]*+)*+"(?:[^;"][^;]*+)?+;|"[^"]*+(?:""[^"]*+)*+\z|[^;]*+;)'), F.lit(1))
     parts = F.when(quoted, fields).otherwise(F.split(line, ";", -1))
-    df = records.select("record_no", parts.alias("_parts"), quoted.alias("_quoted"))
+    df = records.select("record_no", *keep, parts.alias("_parts"), quoted.alias("_quoted"))
     n = F.size("_parts")
     ok = n == len(header)
 
@@ -58,7 +62,7 @@ def split_fields(records: DataFrame, header: list[str] | None = None, line_col:
         return F.when(ok, F.when(F.col("_quoted"), _unquote(F.left(v, F.char_length(v) - 1))).otherwise(v))
 
     cols = [field(i).alias(SNAKE.get(h, h)) for i, h in enumerate(header)]
-    return df.select("record_no", n.alias("n_fields"), *cols)
+    return df.select("record_no", *keep, n.alias("n_fields"), *cols)
 
 
 def rule_columns(fields: DataFrame, n_expected: int = len(RAW_FIELDS)) -> DataFrame:
@@ -89,10 +93,10 @@ def rule_columns(fields: DataFrame, n_expected: int = len(RAW_FIELDS)) -> DataFr
     )
 
 
-def first_failure(records: DataFrame, header: list[str] | None = None) -> DataFrame:
-    """``record_no, <raw fields>, fail_field, fail_rule, fail_value`` (NULL reason = valid)."""
+def first_failure(records: DataFrame, header: list[str] | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``record_no, <keep>, <raw fields>, fail_field, fail_rule, fail_value`` (NULL reason = valid)."""
     header = header or RAW_FIELDS
-    r = rule_columns(split_fields(records, header), len(header))
+    r = rule_columns(split_fields(records, header, keep=keep), len(header))
     s = {c: P.py_strip(c) for c in SNAKE.values()}
 
     def reason(field, rule, value) -> Column:
@@ -117,8 +121,8 @@ def first_failure(records: DataFrame, header: list[str] | None = None) -> DataFr
         .when(F.col("fails_gender"), reason(*R_GENDER, s["gender"]))
     )
     raw_cols = [SNAKE.get(h, h) for h in header]
-    return (r.select("record_no", *raw_cols, chain.alias("_reason"))
-            .select("record_no", *raw_cols,
+    return (r.select("record_no", *keep, *raw_cols, chain.alias("_reason"))
+            .select("record_no", *keep, *raw_cols,
                     F.col("_reason.field").alias("fail_field"),
                     F.col("_reason.rule").alias("fail_rule"),
                     F.col("_reason.value").alias("fail_value")))
@@ -129,17 +133,17 @@ def valid_rows(checked: DataFrame) -> DataFrame:
     return checked.filter(F.col("fail_field").isNull()).drop("fail_field", "fail_rule", "fail_value")
 
 
-def quarantine(checked: DataFrame) -> DataFrame:
+def quarantine(checked: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """``record_no, field, rule, value`` for discarded rows."""
     return checked.filter(F.col("fail_field").isNotNull()).select(
-        "record_no", F.col("fail_field").alias("field"), F.col("fail_rule").alias("rule"),
+        "record_no", *keep, F.col("fail_field").alias("field"), F.col("fail_rule").alias("rule"),
         F.col("fail_value").alias("value"))
 
 
-def quarantine_lines(checked: DataFrame) -> DataFrame:
+def quarantine_lines(checked: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Text lines ``<record>:<field>:<rule>:<value>`` of the quarantine file."""
-    q = quarantine(checked)
-    return q.select("record_no", F.concat_ws(":", F.col("record_no").cast("string"), "field", "rule",
+    q = quarantine(checked, keep)
+    return q.select("record_no", *keep, F.concat_ws(":", F.col("record_no").cast("string"), "field", "rule",
                                              "value").alias("line"))
 
 

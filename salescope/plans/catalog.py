@@ -74,12 +74,13 @@ def q_pruned_scan(spark, d):
 # --------------------------------------------------------------------------- sources and validation
 
 from salescope.operators import validate as V  # noqa: E402
-from salescope.plans.views import checked_lines, data_version  # noqa: E402
+from salescope.plans.views import checked_lines, data_version, quarantine_file, quoted_file, raw_file  # noqa: E402
 from salescope.plans.views import raw_text as raw_lines  # noqa: E402
-from salescope.sources.text import volume_profile  # noqa: E402
+from salescope.schema import RAW_FIELDS  # noqa: E402
+from salescope.sources import text as TX  # noqa: E402
 
 HEAD_N = 8000
-CHUNK = 100_000
+CHUNK = 10_000
 
 
 def _rules(spark, d):
@@ -88,13 +89,27 @@ def _rules(spark, d):
 
 @register("head_n", O.with_raw(f"SELECT record_no, line FROM raw WHERE record_no <= {HEAD_N}"))
 def q_head_n(spark, d):
-    return raw_lines(spark, d).filter(F.col("record_no") <= HEAD_N)
+    """The first records of the raw text files."""
+    return TX.head_n(TX.read_delimited(spark, raw_file(spark, d))[1], HEAD_N)
 
 
 @register("volume_profile", O.with_raw(f"""
-SELECT CAST(floor((record_no - 1) / {CHUNK}) AS BIGINT) AS chunk_index, count(*) AS rows FROM raw GROUP BY 1"""))
+SELECT CAST(floor((record_no - 1) / {CHUNK}) AS BIGINT) AS chunk_index, count(*) AS rows,
+  CAST(sum(count(*)) OVER () AS BIGINT) AS total, '{";".join(RAW_FIELDS)}' AS header FROM raw GROUP BY 1"""))
 def q_volume_profile(spark, d):
-    return volume_profile(raw_lines(spark, d), CHUNK)
+    header, records = TX.read_delimited(spark, raw_file(spark, d))
+    return TX.volume_profile(records, CHUNK, header)
+
+
+@register("csv_records", O.with_sales("""
+SELECT row_number() OVER (ORDER BY record_no, product, CAST(units AS VARCHAR)) AS record_no, CAST(4 AS INTEGER) AS n_fields, CAST(record_no AS VARCHAR) AS key, channel,
+  CASE record_no % 7 WHEN 3 THEN 'CAJA "A"; ' || product || chr(10) || ';fin'
+    WHEN 5 THEN product || chr(10) || chr(10) || '" otra linea' ELSE product || ' 5"' END AS product,
+  CAST(units AS VARCHAR) AS units FROM sv"""))
+def q_csv_records(spark, d):
+    """Fields of text records that hold separators, quotes and line ends."""
+    header, records = TX.read_delimited(spark, quoted_file(spark, d))
+    return V.split_fields(records, header)
 
 
 @register("rule_arity", O.with_checked("SELECT record_no, n_fields FROM rc2 WHERE fails_arity"))
@@ -181,7 +196,7 @@ def q_discard_reasons(spark, d):
 SELECT coalesce(reason, 'total') AS reason, count(*) AS n FROM
   (SELECT fail_field AS reason FROM chk WHERE fail_field IS NOT NULL) GROUP BY ROLLUP (reason)"""))
 def q_discard_summary(spark, d):
-    return V.discard_summary(V.quarantine_lines(checked_lines(spark, d)))
+    return V.discard_summary(spark.read.text(quarantine_file(spark, d)), "value")
 
 
 # --------------------------------------------------------------------------- cleaning
@@ -986,12 +1001,15 @@ def q_json_report(spark, d):
 
 @register("stream_validate")
 def q_stream_validate(spark, d):
+    """Text files of the raw lines, each with its heading, through the stream, a few files a batch."""
     from salescope.streaming.validate_stream import validate_stream
     import uuid
     base = f"{checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex[:8]}"
-    src = f"{base}/in"
-    raw_lines(spark, d).repartition(4, "record_no").write.parquet(src)
-    return validate_stream(spark, src, f"{base}/out", f"{base}/chk", max_files_per_trigger=2)
+    lines = raw_lines(spark, d).select("line", F.pmod("record_no", F.lit(4)).alias("file"))
+    heads = spark.createDataFrame([(";".join(RAW_FIELDS), k) for k in range(4)], "line string, file long")
+    (lines.withColumn("_at", F.lit(1)).unionByName(heads.withColumn("_at", F.lit(0))).repartition(4, "file")
+     .sortWithinPartitions("file", "_at").select("line", "file").write.partitionBy("file").text(f"{base}/in"))
+    return validate_stream(spark, f"{base}/in/*", f"{base}/out", f"{base}/chk", max_files_per_trigger=2)
 
 
 @register("stream_totals", ORACLE["validation_totals"])

@@ -154,7 +154,8 @@ def _raw_cte() -> str:
     line = (f"CASE WHEN {r} = 1 THEN concat_ws(';', {', '.join(ordered[:-1])}) "
             f"WHEN {r} = 2 THEN concat_ws(';', {', '.join(ordered)}, 'EXTRA') "
             f"ELSE concat_ws(';', {', '.join(ordered)}) END")
-    return f"raw AS (SELECT record_no, {line} AS line FROM sv)"
+    return (f"raw AS MATERIALIZED (SELECT row_number() OVER (ORDER BY record_no, line) AS record_no, line "
+            f"FROM (SELECT record_no, {line} AS line FROM sv))")
 
 
 # The patterns below are DuckDB's own (full matches in RE2 syntax), written from

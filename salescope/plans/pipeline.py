@@ -22,7 +22,7 @@ from salescope.operators import validate as V
 from salescope.plans import reports as RP
 from salescope.schema import NUMERIC
 from salescope.sources import sinks
-from salescope.sources.text import read_delimited
+from salescope.sources.text import head_n, read_delimited
 
 
 @dataclass
@@ -48,11 +48,11 @@ def run(spark: SparkSession, input_path: str, out_dir: str, sample: int | None =
     out = out_dir.rstrip("/")
     header, records = read_delimited(spark, input_path)
     if sample:
-        records = records.filter(records.record_no <= sample)
+        records = head_n(records, sample)
     V.first_failure(records, header).write.mode("overwrite").parquet(f"{out}/checked")
     checked = spark.read.parquet(f"{out}/checked")
     valid = V.valid_rows(checked)
-    sinks.write_rows(valid.drop("record_no"), f"{out}/valid.parquet")
+    sinks.write_rows(valid, f"{out}/valid.parquet", order_by="record_no")
     sinks.write_quarantine(V.quarantine_lines(checked), f"{out}/quarantine")
     totals = V.validation_totals(checked)
     reasons = V.discard_reasons(checked)

@@ -9,15 +9,20 @@ cleaning plan.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from salescope.operators import clean as C
 from salescope.operators import validate as V
 from salescope.operators import profile as PR
-from salescope.session import written
-from salescope.sources.sales import raw_lines, sales_view
+from salescope.schema import RAW_FIELDS
+from salescope.session import checkpoint_dir, written
+from salescope.sources.sales import quoted_lines, raw_lines, sales_view
+from salescope.sources.sinks import write_ordered_lines, write_quarantine
+from salescope.sources.text import read_delimited
 
-_WRITTEN: dict[tuple, DataFrame] = {}
+_WRITTEN: dict[tuple, DataFrame | str] = {}
 
 
 def data_version(spark: SparkSession, data_dir: str) -> tuple:
@@ -57,18 +62,45 @@ def clean_sales(spark: SparkSession, data_dir: str, by_month: bool = False) -> D
     return df if by_month else df.drop(PR.MONTH)
 
 
+def written_text(spark: SparkSession, name: str, data_dir: str, lines, heading: list[str]) -> str:
+    """Path of ``lines()`` (``record_no``, ``line``) written as text in record order, once per version of the data."""
+    key = (spark.sparkContext.applicationId, data_dir, f"{name}-text", data_version(spark, data_dir))
+    if key not in _WRITTEN:
+        path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+        write_ordered_lines(lines(), path, "record_no", heading)
+        _WRITTEN[key] = path
+    return _WRITTEN[key]
+
+
+def raw_file(spark: SparkSession, data_dir: str) -> str:
+    """Path of the raw ``;`` text with its heading (the validation job's input)."""
+    return written_text(spark, "raw-file", data_dir, lambda: raw_lines(spark, data_dir), [";".join(RAW_FIELDS)])
+
+
+def quoted_file(spark: SparkSession, data_dir: str) -> str:
+    """Path of a ``;`` text of four fields, the third one with separators, quotes and line ends inside."""
+    return written_text(spark, "quoted-file", data_dir, lambda: quoted_lines(spark, data_dir), ["key;channel;product;units"])
+
+
 def raw_text(spark: SparkSession, data_dir: str) -> DataFrame:
-    """The raw delimited lines, written once as a table (the validation job's input file).
+    """Numbered records of the raw text file, written once as a table.
 
-    Validation then starts from a scan, as it does on real input files, instead
-    of from the expression that renders the lines.  The lines are written as
-    several files (hashed on the record number) so the scan has as many splits
-    as a real multi-block input; the row-wise rule chain is CPU-bound and scales
-    with the number of input splits.
+    The rule chain is row-wise and CPU-bound, so it scales with the number of
+    splits: the records are spread over as many files.
     """
     n = max(2, 2 * spark.sparkContext.defaultParallelism)
     return written_table(spark, "raw_lines", data_dir,
-                         lambda: raw_lines(spark, data_dir).repartition(n, "record_no"))
+                         lambda: read_delimited(spark, raw_file(spark, data_dir))[1].repartition(n, "record_no"))
+
+
+def quarantine_file(spark: SparkSession, data_dir: str) -> str:
+    """Path of the quarantine file, with its heading."""
+    key = (spark.sparkContext.applicationId, data_dir, "quarantine-file", data_version(spark, data_dir))
+    if key not in _WRITTEN:
+        path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{spark.sparkContext.applicationId}/quarantine-{uuid.uuid4().hex[:12]}"
+        write_quarantine(V.quarantine_lines(checked_lines(spark, data_dir)), path)
+        _WRITTEN[key] = path
+    return _WRITTEN[key]
 
 
 def checked_lines(spark: SparkSession, data_dir: str) -> DataFrame:

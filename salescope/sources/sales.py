@@ -131,3 +131,15 @@ def raw_lines(spark: SparkSession, data_dir: str) -> DataFrame:
             .when(r == 2, F.concat_ws(";", *ordered, F.lit("EXTRA")))
             .otherwise(F.concat_ws(";", *ordered)))
     return s.select("record_no", line.alias("line"))
+
+
+def quoted_lines(spark: SparkSession, data_dir: str) -> DataFrame:
+    """``(record_no long, line string)``: key, channel, product and units, the product's text with separators,
+    quotes and line ends inside for two records in seven."""
+    s = sales_view(spark, data_dir).select("record_no", "channel", "product", "units")
+    r = F.pmod(F.col("record_no"), F.lit(7))
+    product = (F.when(r == 3, F.concat(F.lit('"CAJA ""A""; '), "product", F.lit('\n;fin"')))
+               .when(r == 5, F.concat(F.lit('"'), "product", F.lit('\n\n"" otra linea"')))
+               .otherwise(F.concat("product", F.lit(' 5"'))))
+    return s.select("record_no", F.concat_ws(";", F.col("record_no").cast("string"), "channel", product,
+                                             F.col("units").cast("string")).alias("line"))

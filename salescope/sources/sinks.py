@@ -1,34 +1,62 @@
 """Sinks: valid rows, quarantine, clean table, JSON reports.
 
-All writes are distributed (one file per partition, no driver collection).
-Row order is not preserved unless asked: ``order_by`` sorts by the record
-number with a range-partitioned sort (no single-task sort).
+All writes are distributed (one file per partition, no driver collection).  Text
+sinks keep the order of the records: the rows are dealt by ranges of the record
+number, so the parts follow each other by name, and the heading stands once, at
+the top of the first part.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salescope.operators.clean import raw_names
 
+# The heading of the quarantine file.
+QUARANTINE_HEADING = ["REGISTRO DE TRANSACCIONES DESCARTADAS", "=================================="]
+
+
+def csv_field(c: Column, sep: str = ";") -> Column:
+    """A field as a CSV writer puts it: quoted where it holds a separator, a quote or a line end; NULL is empty."""
+    text = F.coalesce(c.cast("string"), F.lit(""))
+    quoted = F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
+    return F.when(text.rlike(f'[{sep}"\\r\\n]'), quoted).otherwise(text)
+
+
+def write_ordered_lines(lines: DataFrame, path: str, order_by: str, heading: list[str] = (), line_col: str = "line",
+                        mode: str = "overwrite") -> None:
+    """Text files in the order of ``order_by`` (lines of one number in the order of their text), the ``heading`` lines first."""
+    rows = lines.select(F.lit(1).alias("_part"), F.col(order_by).cast("long").alias("_at"), F.col(line_col).alias("value"))
+    top = lines.sparkSession.createDataFrame([(0, i, text) for i, text in enumerate(heading)], rows.schema)
+    (rows.unionByName(top).repartitionByRange("_part", "_at").sortWithinPartitions("_part", "_at", "value")
+     .select("value").write.mode(mode).text(path))
+
 
 def write_rows(df: DataFrame, path: str, order_by: str | None = None, public_names: bool = True,
                mode: str = "overwrite", partition_by: str | None = None) -> None:
-    """Parquet when the path ends in ``.parquet``, otherwise ``;``-separated CSV with a header."""
-    out = df.orderBy(order_by) if order_by else df
-    if public_names:
-        out = raw_names(out)
+    """Parquet when the path ends in ``.parquet``, otherwise ``;``-separated CSV with a heading.
+
+    With ``order_by``, a column that is not written itself, rows are in its order.
+    """
+    public = raw_names(df) if public_names else df
+    columns = [c for c in public.columns if c != order_by]
     if path.lower().rstrip("/").endswith(".parquet"):
-        writer = out.write.mode(mode)
+        out = public
+        if order_by:
+            out = public.repartitionByRange(order_by).sortWithinPartitions(order_by)
+        writer = out.select(*(f"`{c}`" for c in columns)).write.mode(mode)
         (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
-    else:
-        out.write.mode(mode).option("sep", ";").option("header", True).csv(path)
+        return
+    line = F.concat_ws(";", *(csv_field(F.col(f"`{c}`")) for c in columns)).alias("line")
+    at = F.col(order_by) if order_by else F.lit(0)
+    write_ordered_lines(public.select(at.alias("_order"), line), path, "_order", [";".join(columns)], mode=mode)
 
 
-def write_quarantine(lines: DataFrame, path: str, line_col: str = "line", mode: str = "overwrite") -> None:
-    """Quarantine lines ``<record>:<field>:<rule>:<value>`` as text files."""
-    lines.select(F.col(line_col).alias("value")).write.mode(mode).text(path)
+def write_quarantine(lines: DataFrame, path: str, line_col: str = "line", order_by: str = "record_no",
+                     mode: str = "overwrite") -> None:
+    """Quarantine lines ``<record>:<field>:<rule>:<value>`` as text files in record order, below their heading."""
+    write_ordered_lines(lines, path, order_by, QUARANTINE_HEADING, line_col, mode)
 
 
 def write_json_report(df: DataFrame, path: str, mode: str = "overwrite") -> None:

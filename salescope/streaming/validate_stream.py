@@ -1,40 +1,47 @@
 """Incremental validate-and-route with Structured Streaming.
 
-New files of raw lines arrive in a folder; each micro-batch applies the same
-Column-expression rules as the batch job, appends valid rows and quarantine
-records to their sinks and one totals row per batch.  ``availableNow`` drains
-what is there and stops (the batch-pipeline equivalent); the checkpoint folder
-makes a restarted query resume exactly where it stopped.  Each micro-batch
-writes into its own ``batch_id=<n>`` folder with overwrite, so a batch that is
-replayed after a failure replaces its partial output instead of appending it
-twice (exactly-once output on top of the replayable file source).
+New ``;``-delimited text files arrive in a folder, each with its own heading;
+every micro-batch makes records of the files it got (``sources.text``: a record
+may span lines and input splits), numbers them from 1 in each file, applies the
+same Column-expression rules as the batch job, and writes valid rows, quarantine
+and a totals row.  A file is in one batch as a whole, so headings, record numbers
+and quoted fields need no state between batches.  ``availableNow`` drains what is
+there and stops (the batch-pipeline equivalent); the checkpoint folder makes a
+restarted query resume exactly where it stopped.  Each micro-batch writes into
+its own ``batch_id=<n>`` folder with overwrite, so a batch that is replayed after
+a failure replaces its partial output instead of appending it twice (exactly-once
+output on top of the replayable file source).
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salescope.operators import validate as V
-
-LINES_SCHEMA = "record_no long, line string"
+from salescope.sources.text import data_records, located, numbered_records
 
 
 def validate_stream(spark: SparkSession, source_dir: str, out_dir: str, checkpoint: str,
                     max_files_per_trigger: int | None = None) -> DataFrame:
     """Run the stream to completion (availableNow) and return the per-batch totals."""
-    reader = spark.readStream.schema(LINES_SCHEMA)
+    reader = spark.readStream.option("lineSep", "\n")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    lines = reader.parquet(source_dir)
+    lines = reader.text(source_dir).select("_metadata.file_path", "_metadata.file_block_start", "value")
 
     def route(batch: DataFrame, batch_id: int) -> None:
-        checked = V.first_failure(batch).persist()
+        found = located(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        records = data_records(numbered_records(found), header_per_file=True, numbers_per_file=True)
         part = f"batch_id={batch_id}"
+        # Written first: valid rows, quarantine and totals are three readers of one validation pass.
+        V.first_failure(records, keep=("file",)).write.mode("overwrite").parquet(f"{out_dir}/checked/{part}")
+        found.unpersist()
+        checked = batch.sparkSession.read.parquet(f"{out_dir}/checked/{part}")
         V.valid_rows(checked).write.mode("overwrite").parquet(f"{out_dir}/valid/{part}")
-        V.quarantine_lines(checked).write.mode("overwrite").parquet(f"{out_dir}/quarantine/{part}")
+        (V.quarantine_lines(checked, keep=("file",)).write.mode("overwrite").parquet(f"{out_dir}/quarantine/{part}"))
         V.validation_totals(checked).write.mode("overwrite").parquet(f"{out_dir}/totals/{part}")
-        checked.unpersist()
 
     q = (lines.writeStream.foreachBatch(route).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())

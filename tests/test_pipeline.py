@@ -18,7 +18,7 @@ def test_pipeline_on_fixture(spark):
     valid = spark.read.parquet(f"{d}/out/valid.parquet")
     assert valid.count() == 12 and "MONTO APLICADO" in valid.columns
     q = spark.read.text(f"{d}/out/quarantine")
-    assert q.count() == 16
+    assert q.count() == 18
     assert spark.read.json(f"{d}/out/reports/estadisticas_descriptivas").count() == 6
     assert set(res.reports) >= {"kpis", "normalidad", "correlaciones_spearman", "asociaciones", "analisis_temporal",
                                 "pruebas_hipotesis", "diagnostico_regresion_lineal", "metricas_modelo"}

@@ -1,5 +1,6 @@
 """Structured Streaming validate-and-route on the 28-row fixture."""
 
+import os
 import tempfile
 
 from pyspark.sql import functions as F
@@ -8,22 +9,39 @@ from salescope.streaming.validate_stream import validate_stream
 from tests.test_validate import FIXTURE
 
 
-def _source(spark, d):
-    rows = [(i, line) for i, line in enumerate(FIXTURE.split("\n")[1:], start=1)]
-    df = spark.createDataFrame(rows, "record_no long, line string")
-    df.repartition(3, "record_no").write.parquet(f"{d}/in")
+def _source(d):
+    """The fixture in three files, each with the heading, one of them with a record over several lines."""
+    head, *lines = FIXTURE.strip("\n").split("\n")
+    os.makedirs(f"{d}/in")
+    for k in range(3):
+        with open(f"{d}/in/f{k}.csv", "w", encoding="utf-8", newline="") as f:
+            f.write("\n".join(["\ufeff" + head, *lines[k::3]]) + "\n")
 
 
 def test_stream_routes_every_line_once(spark):
     d = tempfile.mkdtemp(prefix="salescope-stream-")
-    _source(spark, d)
+    _source(d)
     totals = validate_stream(spark, f"{d}/in", f"{d}/out", f"{d}/chk", max_files_per_trigger=1)
     t = totals.agg(F.sum("read").alias("read"), F.sum("valid").alias("valid"),
                    F.sum("discarded").alias("discarded"), F.count(F.lit(1)).alias("batches")).first()
     assert (t["read"], t["valid"], t["discarded"]) == (28, 12, 16)
-    assert t["batches"] >= 2
+    assert t["batches"] == 3
     assert spark.read.parquet(f"{d}/out/valid").count() == 12
-    assert spark.read.parquet(f"{d}/out/quarantine").count() == 16
+    bad = spark.read.parquet(f"{d}/out/quarantine").select("file", "record_no", "line").collect()
+    assert len(bad) == 16
+    # Numbers start anew in each file: record n of file k is line 3 (n - 1) + k of the fixture.
+    found = {3 * (r["record_no"] - 1) + int(r["file"][-5]) + 1 for r in bad}
+    assert found == set(range(1, 29)) - {1, 3, 5, 8, 11, 13, 16, 18, 20, 22, 25, 27}
+    assert all(r["line"].startswith(f"{r['record_no']}:") for r in bad)
     # A restart with the same checkpoint finds nothing new and writes nothing twice.
     again = validate_stream(spark, f"{d}/in", f"{d}/out", f"{d}/chk")
     assert again.agg(F.sum("read")).first()[0] == 28
+    # A new file with a record over two lines is one more batch.
+    head, line = FIXTURE.split("\n")[:2]
+    parts = line.split(";")
+    parts[3] = '"DOS\nLINEAS; ""X"""'
+    with open(f"{d}/in/late.csv", "w", encoding="utf-8", newline="") as f:
+        f.write(head + "\r\n" + ";".join(parts) + "\r\n")
+    more = validate_stream(spark, f"{d}/in", f"{d}/out", f"{d}/chk")
+    assert more.agg(F.sum("read"), F.sum("valid")).first()[:] == (29, 13)
+    assert spark.read.parquet(f"{d}/out/valid").where("product LIKE 'DOS%'").first()["product"] == 'DOS\nLINEAS; "X"'
