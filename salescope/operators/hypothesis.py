@@ -14,11 +14,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salescope.functions.dist import sf_chi2_udf, sf_f_udf, sf_norm_udf, sf_t_udf
-from salescope.operators.ranks import cumulative_counts
+from salescope.functions.dist import mw_exact_udf, sf_chi2_udf, sf_f_udf, sf_norm_udf, sf_t_udf
+from salescope.operators.ranks import BUCKETS, cumulative_counts, with_bucket
+from salescope.session import written
 
 
 # Notes of tests that cannot be made.
@@ -157,6 +158,11 @@ def kruskal(df: DataFrame, group: str, value: str, label: str | None = None, buc
     gr = _group_ranks(df, [], group, value, buckets, min_rows=2)
     per = gr.groupBy(group).agg(F.sum("cnt").alias("ng"), F.sum(F.col("cnt") * F.col("rank")).alias("rs"),
                                 _tie_sum(F.col("t")).alias("tg"))
+    return _kruskal(per, label or f"{value} por {group}")
+
+
+def _kruskal(per: DataFrame, label: str) -> DataFrame:
+    """H from rows ``ng``, rank sum ``rs`` and tie sum ``tg`` of each group."""
     s = per.agg(F.sum("ng").alias("N"), F.count(F.lit(1)).alias("k"), F.sum("tg").alias("tt"),
                 F.sum(F.pow(F.col("rs"), 2) / F.col("ng")).alias("q"))
     n = F.col("N").cast("double")
@@ -165,7 +171,7 @@ def kruskal(df: DataFrame, group: str, value: str, label: str | None = None, buc
     ok = F.col("k") >= 2
     stat = F.when(ok & (c > 0), F.try_divide(h, c))
     return s.select(F.lit("Kruskal-Wallis").alias("test"),
-                    F.lit(label or f"{value} por {group}").alias("variables"),
+                    F.lit(label).alias("variables"),
                     stat.alias("statistic"), F.when(ok, F.col("k") - 1).cast("bigint").alias("dof"),
                     _note(ok, stat, FEW_GROUPS).alias("note"))
 
@@ -174,9 +180,9 @@ def mann_whitney(df: DataFrame, group: str, value: str, g1, g2, label: str | Non
                  buckets=None) -> DataFrame:
     """Mann-Whitney U of ``g1`` (first sample) against ``g2``; tie-corrected normal approximation.
 
-    Columns: U1, mu, sigma and the z values used for the two-sided and the
-    'greater' alternatives with 0.5 continuity correction.  (The exact
-    small-sample branch is not built.)
+    Columns: U1, mu, sigma, the z values used for the two-sided and the
+    'greater' alternatives with 0.5 continuity correction, and whether there are
+    ``ties`` (without, p-values of small groups are exact: ``with_mw_pvalues``).
     """
     out = mann_whitney_by(df, [], group, value, g1, g2, buckets)
     return out.select(F.lit(label or f"{value}: {g1} vs {g2}").alias("variables"), "*")
@@ -198,6 +204,11 @@ def mann_whitney_by(df: DataFrame, tests: Sequence[str], group: str, value: str,
         F.coalesce(F.sum(F.when(first, F.col("cnt"))), F.lit(0)).alias("n1"),
         F.coalesce(F.sum(F.when(~first, F.col("cnt"))), F.lit(0)).alias("n2"),
         F.sum(F.when(first, F.col("cnt") * F.col("rank"))).alias("r1"), _tie_sum(F.col("t")).alias("tt"))
+    return _mann_whitney(s, tests)
+
+
+def _mann_whitney(s: DataFrame, tests: list[str]) -> DataFrame:
+    """U and z from rows ``n1``, ``n2``, first group's rank sum ``r1`` and tie sum ``tt`` of each test."""
     n1, n2 = F.col("n1").cast("double"), F.col("n2").cast("double")
     n = n1 + n2
     ok = (n1 > 0) & (n2 > 0)
@@ -209,40 +220,129 @@ def mann_whitney_by(df: DataFrame, tests: Sequence[str], group: str, value: str,
     z = F.try_divide(F.greatest(u1, u2) - mu - 0.5, sigma)
     return s.select(*tests, "n1", "n2", u1.alias("statistic"), mu.alias("mu"), sigma.alias("sigma"),
                     z.alias("z_two_sided"), F.try_divide(u1 - mu - 0.5, sigma).alias("z_greater"),
-                    _note(ok, z, FEW_ROWS).alias("note"))
+                    (F.col("tt") > 0).alias("ties"), _note(ok, z, FEW_ROWS).alias("note"))
+
+
+def shared_ranks(df: DataFrame, value: str, groups: Sequence[str],
+                 two_groups: Sequence[tuple[str, object, object]] = ()) -> DataFrame:
+    """Everything rank tests of one ``value`` need, from one ranking of its counts by ``groups``.
+
+    A row of the result is a (groups, value) with its rows ``cnt``.  Test i ranks
+    its own rows only: the first ``len(groups)`` tests those whose group has more
+    than one row (Kruskal-Wallis), the others those of two groups
+    ``(group, g1, g2)`` (Mann-Whitney).  ``_in<i>`` says whether a row belongs to
+    test i, ``_t<i>`` how many of its rows share the value, and ``_r<i>`` is the
+    average rank among them.  The value is sorted once: running counts of all
+    tests come from one window, and their offsets from one table of buckets.
+    """
+    base = _present(df.select(*groups, value), value).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("cnt"))
+    base = written(base, "group-value-counts")
+    for i, g in enumerate(groups):
+        sizes = base.where(F.col(g).isNotNull()).groupBy(F.col(g).alias(f"_g{i}")).agg(F.sum("cnt").alias(f"_s{i}"))
+        base = base.join(sizes, F.col(g) == F.col(f"_g{i}"), "left").withColumn(
+            f"_in{i}", F.coalesce(F.col(f"_s{i}") > 1, F.lit(False))).drop(f"_g{i}", f"_s{i}")
+    for i, (g, g1, g2) in enumerate(two_groups, len(groups)):
+        base = base.withColumn(f"_in{i}", F.coalesce((F.col(g) == g1) | (F.col(g) == g2), F.lit(False)))
+    tests = range(len(groups) + len(two_groups))
+    base = with_bucket(base, value, BUCKETS)
+    # Equal values share a bucket; a range frame takes all rows of a value together.
+    upto = Window.partitionBy("_bk").orderBy(value).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    ties = Window.partitionBy("_bk", value)
+    mine = {i: F.when(F.col(f"_in{i}"), F.col("cnt")).otherwise(F.lit(0)) for i in tests}
+    base = base.select("*", *[F.sum(mine[i]).over(upto).alias(f"_c{i}") for i in tests],
+                       *[F.sum(mine[i]).over(ties).alias(f"_t{i}") for i in tests])
+    totals = base.groupBy("_bk").agg(*[F.sum(mine[i]).alias(f"_b{i}") for i in tests])
+    earlier = Window.partitionBy(F.lit(0)).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_bk", *[F.coalesce(F.sum(f"_b{i}").over(earlier), F.lit(0)).alias(f"_o{i}") for i in tests])
+    ranked = base.join(F.broadcast(offsets), "_bk")  # one row a bucket
+    return written(ranked.select(*groups, value, "cnt", *[c for i in tests for c in (
+        f"_in{i}", f"_t{i}", (F.col(f"_o{i}") + F.col(f"_c{i}") - (F.col(f"_t{i}") - 1) / 2.0).alias(f"_r{i}"))]), "shared-ranks")
+
+
+def kruskal_of_ranks(ranks: DataFrame, i: int, group: str, value: str) -> DataFrame:
+    """Test ``i`` of ``shared_ranks`` as Kruskal-Wallis over ``group``."""
+    per = ranks.where(f"_in{i}").groupBy(group).agg(
+        F.sum("cnt").alias("ng"), F.sum(F.col("cnt") * F.col(f"_r{i}")).alias("rs"), _tie_sum(F.col(f"_t{i}")).alias("tg"))
+    return _kruskal(per, f"{value} por {group}")
+
+
+def mann_whitney_of_ranks(ranks: DataFrame, i: int, group: str, g1, label: str) -> DataFrame:
+    """Test ``i`` of ``shared_ranks`` as Mann-Whitney of ``g1`` against the other group."""
+    first = F.col(group) == g1
+    s = ranks.where(f"_in{i}").agg(
+        F.coalesce(F.sum(F.when(first, F.col("cnt"))), F.lit(0)).alias("n1"),
+        F.coalesce(F.sum(F.when(~first, F.col("cnt"))), F.lit(0)).alias("n2"),
+        F.sum(F.when(first, F.col("cnt") * F.col(f"_r{i}"))).alias("r1"), _tie_sum(F.col(f"_t{i}")).alias("tt"))
+    return _mann_whitney(s, []).select(F.lit(label).alias("variables"), "*")
 
 
 def with_mw_pvalues(mw: DataFrame) -> DataFrame:
-    tail = sf_norm_udf(F.col("z_two_sided"))
-    return (mw.withColumn("p_value", F.when(tail.isNotNull(), F.least(F.lit(1.0), 2.0 * tail)))
-            .withColumn("p_greater", sf_norm_udf(F.col("z_greater"))))
+    """Adds ``p_value`` (two-sided) and ``p_greater``: exact where a group has at most 8 rows and no two are equal."""
+    normal = sf_norm_udf(F.col("z_two_sided"))
+    exact = mw_exact_udf(F.col("statistic"), F.col("n1").cast("double"), F.col("n2").cast("double"), F.col("ties"))
+    out = mw.withColumn("_exact", exact).withColumn("_normal", normal)
+    two = F.when(F.col("_normal").isNotNull(), F.least(F.lit(1.0), 2.0 * F.col("_normal")))
+    return (out.withColumn("p_value", F.coalesce(F.col("_exact")["two_sided"], two))
+            .withColumn("p_greater", F.coalesce(F.col("_exact")["greater"], sf_norm_udf(F.col("z_greater"))))
+            .drop("_exact", "_normal"))
 
 
 def spearman_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]], buckets=None) -> DataFrame:
-    """Spearman ρ for each pair, pairwise-complete (pandas semantics), in one job.
-
-    Rows are stacked to (pair, a, b) and pre-aggregated to pair-value counts;
-    ρ is the count-weighted Pearson correlation of centred ranks.  Ranks come
-    from the distributed rank operator, keyed by a rank key: a pair whose two
-    columns have no missing value uses all rows, so its sides share one
-    ranking per column (each column is ranked once, however many pairs use
-    it); any other pair ranks its two sides over its own complete rows.  The
-    missing-value counts are one small aggregate.
-
-    Both joins to the ranks are keyed by a column's value; a value that fills
-    more than ``1 / HOT`` of a column goes by broadcast (at most ``HOT`` of them
-    a column), so a constant column puts no pair's rows on one key.  Constant
-    side → NULL.
+    """Spearman ρ for each pair, pairwise-complete (pandas semantics).
+
+    Columns without a missing value are ranked once each, whatever the number of
+    pairs; the ranks are attached to the rows column by column (a column of few
+    values by broadcast, decided at run time) and all cross-products are summed in
+    one aggregate over the rows.  A pair with a missing value on either side
+    needs ranks of its own: those pairs go through their value counts
+    (``_pairs_with_gaps``).  Constant side → NULL.
     """
     cols = sorted({c for p in pairs for c in p})
     miss = df.agg(*[F.count_if(F.col(c).isNull() | F.isnan(F.col(c).cast("double"))).alias(c)
                     for c in cols]).first().asDict()
-    full = {c for c in cols if miss[c] == 0}
-    keys = {}
-    for i, (a, b) in enumerate(pairs):
-        shared = a in full and b in full
-        keys[i] = (a if shared else f"#{i}a", b if shared else f"#{i}b")
+    whole = [p for p in pairs if not miss[p[0]] and not miss[p[1]]]
+    gaps = [p for p in pairs if miss[p[0]] or miss[p[1]]]
+    out = [f(df, ps, buckets) for f, ps in ((_pairs_without_gaps, whole), (_pairs_with_gaps, gaps)) if ps]
+    return out[0] if len(out) == 1 else out[0].unionByName(out[1])
+
+
+def with_ranks(df: DataFrame, cols: Sequence[str], buckets=None) -> DataFrame:
+    """``cols`` of ``df`` as doubles ``_v<i>``, each with its centred average rank ``_r<i>`` over all rows, and ``_n``."""
+    stack = ", ".join(f"{i}, CAST(`{c}` AS DOUBLE)" for i, c in enumerate(cols))
+    counts = (df.selectExpr(f"stack({len(cols)}, {stack}) AS (k, v)").groupBy("k", "v").agg(F.count(F.lit(1)).alias("cnt")))
+    ranks = written(cumulative_counts(counts, "v", ["k"], buckets).select(
+        "k", "v", (F.col("cum_lo") + (F.col("cnt") + 1) / 2.0 - (F.col("n") + 1) / 2.0).alias("r"), "n"), "column-ranks", "k")
+    out = df.select(*(F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(cols)))
+    for i in range(len(cols)):
+        mine = ranks.where(F.col("k") == i).select(F.col("v").alias(f"_v{i}"), F.col("r").alias(f"_r{i}"),
+                                                   *([F.col("n").alias("_n")] if i == 0 else []))
+        out = out.join(mine, f"_v{i}")
+    return out
+
+
+def _pairs_without_gaps(df: DataFrame, pairs: Sequence[tuple[str, str]], buckets=None) -> DataFrame:
+    cols = sorted({c for p in pairs for c in p})
+    at = {c: i for i, c in enumerate(cols)}
+    r = [F.col(f"_r{i}") for i in range(len(cols))]
+    # Two columns may be one pair twice, or in both orders: sums go by position.
+    sums = with_ranks(df, cols, buckets).agg(
+        F.max("_n").alias("n"), *[F.sum(r[i] * r[i]).alias(f"s{i}") for i in range(len(cols))],
+        *[F.sum(r[at[a]] * r[at[b]]).alias(f"p{k}") for k, (a, b) in enumerate(pairs)])
+    rows = ", ".join(f"'{a}', '{b}', p{k}, s{at[a]}, s{at[b]}" for k, (a, b) in enumerate(pairs))
+    long = sums.selectExpr("n", f"stack({len(pairs)}, {rows}) AS (var_a, var_b, sab, saa, sbb)")
+    rho = F.when((F.col("saa") > 0) & (F.col("sbb") > 0), F.col("sab") / F.sqrt(F.col("saa") * F.col("sbb")))
+    return long.select("var_a", "var_b", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"), rho.alias("rho"))
+
 
+def _pairs_with_gaps(df: DataFrame, pairs: Sequence[tuple[str, str]], buckets=None) -> DataFrame:
+    """The same over the complete rows of each pair, in one job.
+
+    Rows are stacked to (pair, a, b) and pre-aggregated to pair-value counts; ρ
+    is the count-weighted Pearson correlation of centred ranks.  Both joins to
+    the ranks are keyed by a side's value; a value that fills more than
+    ``1 / HOT`` of a side goes by broadcast (at most ``HOT`` of them a side).
+    """
+    keys = {i: (f"#{i}a", f"#{i}b") for i in range(len(pairs))}
     stack = ", ".join(f"{i}, CAST(`{a}` AS DOUBLE), CAST(`{b}` AS DOUBLE)" for i, (a, b) in enumerate(pairs))
     long = (df.selectExpr(f"stack({len(pairs)}, {stack}) AS (pair, a, b)")
             .filter(F.col("a").isNotNull() & F.col("b").isNotNull() & ~F.isnan("a") & ~F.isnan("b")))
@@ -255,18 +355,8 @@ def spearman_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]], buckets=None
         return expr
 
     pc = pc.withColumn("ka", key_of(0)).withColumn("kb", key_of(1))
-    margs = []
-    shared_cols = sorted({k for ks in keys.values() for k in ks if not k.startswith("#")})
-    if shared_cols:
-        st = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in shared_cols)
-        margs.append(df.selectExpr(f"stack({len(shared_cols)}, {st}) AS (k, v)")
-                     .groupBy("k", "v").agg(F.count(F.lit(1)).alias("cnt")))
-    own = [i for i, k in keys.items() if k[0].startswith("#")]
-    if own:
-        mine = pc.filter(F.col("pair").isin(*own))
-        for side, key in (("a", "ka"), ("b", "kb")):
-            margs.append(mine.groupBy(F.col(key).alias("k"), F.col(side).alias("v"))
-                         .agg(F.sum("cnt").alias("cnt")))
+    margs = [pc.groupBy(F.col(key).alias("k"), F.col(side).alias("v")).agg(F.sum("cnt").alias("cnt"))
+             for side, key in (("a", "ka"), ("b", "kb"))]
     marg = margs[0]
     for m in margs[1:]:
         marg = marg.unionByName(m)

@@ -68,18 +68,20 @@ def _with_bucket(vc: DataFrame, x, n_bounds: int) -> DataFrame:
     return vc.withColumn("_bk", F.col("_top") * step + inner).drop("_top", "_bounds")
 
 
+def with_bucket(vc: DataFrame, value: str, buckets: int = BUCKETS) -> DataFrame:
+    """Adds ``_bk``, the range of ``value`` that a row falls in, of about ``buckets`` ranges with as many rows of ``vc``."""
+    if buckets <= 1:
+        return vc.withColumn("_bk", F.lit(0))
+    x = F.col(value).cast("double")
+    bounds = vc.agg(F.percentile_approx(x, [i / buckets for i in range(1, buckets)], 10000).alias("_bounds"))
+    return _with_bucket(vc.crossJoin(F.broadcast(bounds)), x, buckets - 1)  # one row
+
+
 def cumulative_counts(vc: DataFrame, value: str, groups: Sequence[str] = (),
                       buckets: int | None = None) -> DataFrame:
     """Adds ``cum_lo`` and ``n`` to a value-count frame (see module doc)."""
     groups = list(groups)
-    nb = buckets or BUCKETS
-    if nb > 1:
-        probs = [i / nb for i in range(1, nb)]
-        bounds = vc.agg(F.percentile_approx(F.col(value).cast("double"), probs, 10000).alias("_bounds"))
-        x = F.col(value).cast("double")
-        vcb = _with_bucket(vc.crossJoin(F.broadcast(bounds)), x, nb - 1)
-    else:
-        vcb = vc.withColumn("_bk", F.lit(0))
+    vcb = with_bucket(vc, value, buckets or BUCKETS)
     w_in = Window.partitionBy(*groups, "_bk").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     vcb = vcb.withColumn("_cum_in", F.sum("cnt").over(w_in))
     tot = vcb.groupBy(*groups, "_bk").agg(F.sum("cnt").alias("_bt"))

@@ -208,13 +208,15 @@ def hypothesis_suite(cl: DataFrame, channel_a: str = "APP", channel_b: str = "WE
              .orderBy("gender").limit(2).collect()]
     g1, g2 = [*found, None, None][:2]
     out = []
+    # All rank tests read one ranking of the amount: by channel, by gender, channel A against B, gender 1 against 2.
+    ranks = H.shared_ranks(cl.select("channel", "gender", "amount"), "amount", ["channel", "gender"], [("channel", channel_a, channel_b), ("gender", F.lit(g1), F.lit(g2))])
     # H0_APP_WEB: ticket of channel A greater than channel B (Welch one-sided + Mann-Whitney 'greater').
     missing = f"No evaluable: no existen suficientes registros en {channel_a} y {channel_b}."
     w = H.with_t_pvalues(H.welch_t(cl, "channel", "amount", channel_a, channel_b))
     out.append(_suite_rows(w, "H0_APP_WEB", f"El ticket promedio en {channel_a} es mayor que en {channel_b}.",
                            f"Ticket promedio {channel_a} <= {channel_b}.", f"Ticket promedio {channel_a} > {channel_b}.",
                            "Welch t-test unilateral", "statistic", "p_greater", missing))
-    mw = H.with_mw_pvalues(H.mann_whitney(cl, "channel", "amount", channel_a, channel_b))
+    mw = H.with_mw_pvalues(H.mann_whitney_of_ranks(ranks, 2, "channel", channel_a, "amount"))
     out.append(_suite_rows(mw, "H0_APP_WEB", "", "", "", "Mann-Whitney unilateral", "statistic", "p_greater", missing))
     # H0_DESCUENTO_UNIDADES: simple OLS units ~ discount.
     o = H.simple_ols(cl, "units", "discount").withColumn("n_d", F.col("n").cast("double"))
@@ -226,7 +228,7 @@ def hypothesis_suite(cl: DataFrame, channel_a: str = "APP", channel_b: str = "WE
     a = H.with_f_pvalue(H.anova(cl, "channel", "amount"))
     out.append(_suite_rows(a, "H1", "El monto promedio difiere entre canales.", "No difiere.", "Algun canal difiere.",
                            "ANOVA", "statistic", "p_value"))
-    k = H.with_chi2_pvalue(H.kruskal(cl, "channel", "amount"))
+    k = H.with_chi2_pvalue(H.kruskal_of_ranks(ranks, 0, "channel", "amount"))
     out.append(_suite_rows(k, "H1", "", "", "", "Kruskal-Wallis", "statistic", "p_value"))
     # H2 / H3: Spearman discount~amount, age~amount, from one call (amount is ranked once).
     sp = H.with_spearman_pvalues(H.spearman_pairs(cl, [("discount", "amount"), ("age", "amount")]))
@@ -239,7 +241,7 @@ def hypothesis_suite(cl: DataFrame, channel_a: str = "APP", channel_b: str = "WE
     w = H.with_t_pvalues(H.welch_t(cl, "gender", "amount", F.lit(g1), F.lit(g2)))
     out.append(_suite_rows(w, "H4", "El monto difiere segun genero.", "No difiere.", "Difiere.",
                            "Welch t-test", "statistic", "p_value", few))
-    mw = H.with_mw_pvalues(H.mann_whitney(cl, "gender", "amount", F.lit(g1), F.lit(g2)))
+    mw = H.with_mw_pvalues(H.mann_whitney_of_ranks(ranks, 3, "gender", F.lit(g1), "amount"))
     out.append(_suite_rows(mw, "H4", "", "", "", "Mann-Whitney", "statistic", "p_value", few))
     res = out[0]
     for o_ in out[1:]:
@@ -256,10 +258,11 @@ def association_suite(cl: DataFrame) -> DataFrame:
     parts.append(sp.select(F.lit("Spearman").alias("test"), F.concat_ws(" vs ", "var_a", "var_b").alias("variables"),
                            F.col("rho").alias("statistic"), F.lit(None).cast("bigint").alias("dof"), "p_value",
                            F.when(F.col("rho").isNull(), F.lit(H.NO_VARIATION)).alias("note")))
-    for g in ("channel", "store"):
+    ranks = H.shared_ranks(cl, "amount", ["channel", "store"])
+    for i, g in enumerate(("channel", "store")):
         a = H.with_f_pvalue(H.anova(cl, g, "amount"))
         parts.append(a.select("test", "variables", "statistic", F.col("df1").alias("dof"), "p_value", "note"))
-        parts.append(H.with_chi2_pvalue(H.kruskal(cl, g, "amount")).select(*columns))
+        parts.append(H.with_chi2_pvalue(H.kruskal_of_ranks(ranks, i, g, "amount")).select(*columns))
     parts.append(H.with_chi2_pvalue(H.chi_square(cl, "channel", "gender")).select(*columns))
     out = parts[0]
     for p in parts[1:]:

@@ -383,3 +383,55 @@ def test_mann_whitney_by_matches_one_test_at_a_time(spark):
         one = H.mann_whitney(df.filter(F.col("test") == t), "g", "x", True, False).first()
         for c in ("n1", "n2", "statistic", "mu", "sigma", "z_two_sided", "z_greater"):
             assert math.isclose(float(many[t][c]), float(one[c]), rel_tol=1e-12), (t, c)
+
+
+def test_exact_mann_whitney_equals_enumeration(spark):
+    from itertools import combinations
+
+    from salescope.functions.dist import mann_whitney_counts, mann_whitney_exact
+    for n1 in range(1, 9):
+        for n2 in range(1, 9):
+            us = [sum(c) - n1 * (n1 + 1) // 2 for c in combinations(range(1, n1 + n2 + 1), n1)]
+            assert mann_whitney_counts(n1, n2) == [us.count(u) for u in range(n1 * n2 + 1)]
+            for u in (0, n1 * n2 // 3, n1 * n2):
+                two, greater = mann_whitney_exact(u, n1, n2)
+                assert math.isclose(greater, sum(x >= u for x in us) / len(us))
+                assert math.isclose(two, min(1, 2 * sum(x >= max(u, n1 * n2 - u) for x in us) / len(us)))
+    # The distribution is used without ties and with a small group only.
+    rows = [("a", float(v)) for v in (1, 4, 6)] + [("b", float(v)) for v in (2, 3, 5, 7, 8)]
+    p = H.with_mw_pvalues(H.mann_whitney(_frame(spark, rows, "g string, x double"), "g", "x", "a", "b")).first()
+    assert math.isclose(p["p_value"], mann_whitney_exact(p["statistic"], 3, 5)[0])
+    tied = H.with_mw_pvalues(H.mann_whitney(_frame(spark, rows + [("a", 8.0)], "g string, x double"), "g", "x", "a", "b")).first()
+    big = [("a", float(2 * i)) for i in range(9)] + [("b", float(3 * i) + 0.5) for i in range(9)]
+    wide = H.with_mw_pvalues(H.mann_whitney(_frame(spark, big, "g string, x double"), "g", "x", "a", "b")).first()
+    for r in (tied, wide):
+        assert math.isclose(r["p_value"], min(1, math.erfc(r["z_two_sided"] / math.sqrt(2))), rel_tol=1e-12)
+
+
+def test_shared_ranks_equal_the_single_tests(spark):
+    rng = np.random.default_rng(12)
+    rows = [(["a", "b", "c", None][rng.integers(0, 4)], int(rng.integers(0, 40)) if rng.random() < 0.9 else None,
+             float(rng.integers(0, 30)) if rng.random() < 0.95 else None) for _ in range(600)] + [("lone", 99, 3.0)]
+    df = _frame(spark, rows, "g string, h long, x double")
+    ranks = H.shared_ranks(df, "x", ["g", "h"], [("g", "a", "b"), ("g", "a", "none")])
+    for i, g in enumerate(("g", "h")):
+        got, want = H.kruskal_of_ranks(ranks, i, g, "x").first(), H.kruskal(df, g, "x").first()
+        assert got["dof"] == want["dof"] and math.isclose(got["statistic"], want["statistic"], rel_tol=1e-12)
+    for i, other in ((2, "b"), (3, "none")):
+        got, want = H.mann_whitney_of_ranks(ranks, i, "g", "a", "l").first(), H.mann_whitney(df, "g", "x", "a", other, "l").first()
+        assert got["n1"] == want["n1"] and got["n2"] == want["n2"] and got["note"] == want["note"]
+        assert got["statistic"] == want["statistic"] and got["sigma"] == want["sigma"]
+
+
+def test_spearman_ranks_each_column_once(spark):
+    rng = np.random.default_rng(6)
+    df = _frame(spark, [tuple(map(float, r)) for r in rng.integers(0, 9, (400, 4))], "a double, b double, c double, d double")
+    pairs = [(x, y) for i, x in enumerate("abcd") for y in "abcd"[i + 1:]]
+    sp = H.spearman_pairs(df, pairs + [("b", "a"), ("a", "a")])
+    pdf = df.toPandas()
+    want = {(x, y): np.corrcoef(_ranks(pdf[x].to_numpy()), _ranks(pdf[y].to_numpy()))[0, 1] for x, y in pairs}
+    got = {(r["var_a"], r["var_b"]): r["rho"] for r in sp.collect()}
+    assert all(math.isclose(got[p], want[p], rel_tol=1e-9, abs_tol=1e-12) for p in pairs)
+    assert math.isclose(got["b", "a"], want["a", "b"], rel_tol=1e-9) and math.isclose(got["a", "a"], 1.0)
+    assert "Expand" not in sp._jdf.queryExecution().optimizedPlan().toString()
+    assert H.spearman_pairs(df.limit(0), [("a", "b")]).first()["rho"] is None
