@@ -141,6 +141,10 @@ def _group_ranks(df: DataFrame, tests: Sequence[str], group: str, value: str, bu
     if min_rows > 1:
         sizes = gv.groupBy(*keys).agg(F.sum("cnt").alias("_ng")).filter(F.col("_ng") >= min_rows).drop("_ng")
         gv = gv.join(sizes, keys, "left_semi")
+    return _ranked_counts(gv, tests, value, buckets)
+
+
+def _ranked_counts(gv: DataFrame, tests: Sequence[str], value: str, buckets=None) -> DataFrame:
     pooled = gv.groupBy(*tests, value).agg(F.sum("cnt").alias("cnt"))
     ranks = cumulative_counts(pooled, value, tests, buckets).select(
         *tests, value, F.col("cnt").alias("t"), (F.col("cum_lo") + (F.col("cnt") + 1) / 2.0).alias("rank"))
@@ -197,8 +201,14 @@ def mann_whitney_by(df: DataFrame, tests: Sequence[str], group: str, value: str,
     so k tests cost one scan and one set of shuffles instead of k.  Output
     columns as in ``mann_whitney`` (without ``variables``), keyed by ``tests``.
     """
+    both = _present(df.filter((F.col(group) == g1) | (F.col(group) == g2)), group, value)
+    return mann_whitney_of_counts(both.groupBy(*tests, group, value).agg(F.count(F.lit(1)).alias("cnt")), tests, group, value, g1, buckets)
+
+
+def mann_whitney_of_counts(counts: DataFrame, tests: Sequence[str], group: str, value: str, g1, buckets=None) -> DataFrame:
+    """The same from counts (tests, group, value, ``cnt``) of the two groups."""
     tests = list(tests)
-    gr = _group_ranks(df.filter((F.col(group) == g1) | (F.col(group) == g2)), tests, group, value, buckets)
+    gr = _ranked_counts(counts, tests, value, buckets)
     first = F.col(group) == g1
     s = gr.groupBy(*tests).agg(
         F.coalesce(F.sum(F.when(first, F.col("cnt"))), F.lit(0)).alias("n1"),

@@ -97,8 +97,8 @@ def distinct_days(df: DataFrame, ts: str = "ts") -> DataFrame:
     return df.filter(F.col(ts).isNotNull()).select(F.to_date(ts).alias("day")).distinct()
 
 
-def missing_report(df: DataFrame, treatments: dict[str, tuple[str, str, str]] | None = None) -> DataFrame:
-    """Per column: missing count, percent, treatment (action, method, reason).
+def missing_report(df: DataFrame, treatments: dict[str, tuple] | None = None) -> DataFrame:
+    """Per column: missing count, percent, treatment (action, method, reason, limitation).
 
     One aggregate over all columns, then ``stack`` on the one-row result.
     """
@@ -111,23 +111,23 @@ def missing_report(df: DataFrame, treatments: dict[str, tuple[str, str, str]] |
             miss = miss | F.isnan(c)
         aggs.append(F.count_if(miss).alias(f"_m{i}"))
     one = df.agg(*aggs)
-    default = ("sin imputacion", "no aplica", None)
+    default = ("sin imputacion", "no aplica", None, None)
     parts = []
     for i, c in enumerate(cols):
-        act, met, why = treatments.get(c, default)
-        why_sql = "CAST(NULL AS STRING)" if why is None else f"'{why}'"
-        parts.append(f"'{c}', `_m{i}`, '{act}', '{met}', {why_sql}")
-    st = one.selectExpr("_rows", f"stack({len(cols)}, {', '.join(parts)}) AS (column_name, missing, action, method, reason)")
+        texts = ["CAST(NULL AS STRING)" if x is None else f"'{x}'" for x in (*treatments.get(c, default), None)[:4]]
+        parts.append(f"'{c}', `_m{i}`, {', '.join(texts)}")
+    st = one.selectExpr("_rows", f"stack({len(cols)}, {', '.join(parts)}) AS (column_name, missing, action, method, reason, limitation)")
     pct = F.when(F.col("_rows") > 0, F.col("missing") * 100.0 / F.col("_rows")).otherwise(F.lit(0.0))
     return st.select("column_name", F.col("missing").cast("bigint").alias("missing"), pct.alias("percent"),
-                     "action", "method", "reason")
+                     "action", "method", "reason", "limitation")
 
 
 # Documented treatments of the original missing-value report.
 MISSING_TREATMENTS = {
-    "discount": ("imputacion", "mediana", "La mediana es robusta frente a descuentos extremos."),
+    "discount": ("imputacion", "mediana", "La mediana es robusta frente a descuentos extremos.", None),
     "birth_date": ("imputacion", "fecha fija 2000-01-01",
-                   "Respaldo trazable para permitir calcular EDAD cuando la fecha viene ausente o invalida."),
+                   "Respaldo trazable para permitir calcular EDAD cuando la fecha viene ausente o invalida.",
+                   "Puede sesgar la edad; se declara como imputacion simple y debe revisarse si aparecen faltantes relevantes."),
 }
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salescope.functions.numeric import sig
+from salescope.operators import missing as MI
 from salescope.operators import profile as PR
 from salescope.plans import oracle as O
 from salescope.plans.views import clean_sales
@@ -388,19 +389,29 @@ _SV_COLS = ["ts", "channel", "sku", "product", "units", "discount", "amount", "r
 def _missing_sql() -> str:
     parts = []
     for c in _SV_COLS:
-        act, met, why = PR.MISSING_TREATMENTS.get(c, ("sin imputacion", "no aplica", None))
-        why_sql = "CAST(NULL AS VARCHAR)" if why is None else O._q(why)
+        act, met, *texts = PR.MISSING_TREATMENTS.get(c, ("sin imputacion", "no aplica", None, None))
+        why_sql, limit_sql = ("CAST(NULL AS VARCHAR)" if x is None else O._q(x) for x in texts)
         miss = f"count(*) FILTER (WHERE {c} IS NULL{' OR isnan(' + c + ')' if c in ('discount', 'amount') else ''})"
         parts.append(f"SELECT '{c}' AS column_name, {miss} AS missing, "
                      f"{O.sig(f'CASE WHEN count(*) > 0 THEN {miss} * 100.0 / count(*) ELSE 0.0 END')} AS percent, "
-                     f"'{act}' AS action, {O._q(met)} AS method, {why_sql} AS reason FROM sv")
+                     f"'{act}' AS action, {O._q(met)} AS method, {why_sql} AS reason, {limit_sql} AS limitation FROM sv")
     return " UNION ALL ".join(parts)
 
 
 @register("missing_report", O.with_sales(_missing_sql()))
 def q_missing_report(spark, d):
     r = PR.missing_report(sales(spark, d).select(*_SV_COLS))
-    return r.select("column_name", "missing", sig("percent").alias("percent"), "action", "method", "reason")
+    return r.select("column_name", "missing", sig("percent").alias("percent"), "action", "method", "reason", "limitation")
+
+
+_GAPS = [f"count(*) FILTER (WHERE {c} IS NULL{' OR isnan(' + c + ')' if c in ('discount', 'amount') else ''})" for c in _SV_COLS]
+
+
+@register("missing_summary", O.with_sales(f"""
+SELECT count(*) AS rows, CAST({' + '.join(_GAPS)} AS BIGINT) AS total_missing,
+  CAST({' + '.join(f'CAST({g} > 0 AS INTEGER)' for g in _GAPS)} AS INTEGER) AS columns_with_gaps, {O._q(MI.MCAR_NOTE)} AS note FROM sv"""))
+def q_missing_summary(spark, d):
+    return MI.missing_summary(sales(spark, d).select(*_SV_COLS))
 
 
 _CL_COLS = ["record_no", "ts", "channel", "sku", "units", "discount", "amount", "receipt", "store", "customer_id",
@@ -735,35 +746,11 @@ def q_simple_ols(spark, d):
                     "n", sig("t_slope").alias("t_slope"))
 
 
-_MP_NUM = ["units", "discount", "amount", "store", "gender"]
-
-
-def _missing_pattern_spark(spark, d):
-    s = sales(spark, d)
-    # Every (column with gaps, observed variable) Mann-Whitney test from one stacked scan.
-    combos = [(col, v) for col in ("discount", "birth_date") for v in _MP_NUM if v != col]
-    stack = ", ".join(f"'{col}', '{v}', `{col}` IS NULL, CAST(`{v}` AS DOUBLE)" for col, v in combos)
-    long = s.selectExpr(f"stack({len(combos)}, {stack}) AS (column_name, observed_variable, _miss, _value)")
-    mw = H.mann_whitney_by(long, ["column_name", "observed_variable"], "_miss", "_value", True, False)
-    out = mw.select("column_name", "observed_variable", F.lit("Mann-Whitney").alias("test"),
-                    sig("statistic").alias("statistic"), F.lit(None).cast("bigint").alias("dof"),
-                    F.col("n1").cast("double").alias("n1"), F.col("n2").cast("double").alias("n2"))
-    for col in ("discount", "birth_date"):
-        x = s.withColumn("_miss", F.col(col).isNull())
-        c = H.chi_square(x, "_miss", "channel").select(
-            F.lit(col).alias("column_name"), F.lit("channel").alias("observed_variable"),
-            F.lit("Chi-cuadrado").alias("test"), sig("statistic").alias("statistic"), "dof",
-            F.lit(None).cast("double").alias("n1"), F.lit(None).cast("double").alias("n2"))
-        out = out.unionByName(c)
-    # Guards of the original: at least 3 rows per side (variety is present in these columns).
-    return out.filter(F.col("n1").isNull() | ((F.col("n1") >= 3) & (F.col("n2") >= 3))).drop("n1", "n2")
-
-
 def _missing_pattern_sql() -> str:
     parts = []
     for col in ("discount", "birth_date"):
         src = f"(SELECT *, {col} IS NULL AS miss FROM sv)"
-        for v in [c for c in _MP_NUM if c != col]:
+        for v in [c for c in MI.NUMERIC if c != col]:
             parts.append(f"SELECT '{col}' AS column_name, '{v}' AS observed_variable, 'Mann-Whitney' AS test, "
                          f"statistic, CAST(NULL AS BIGINT) AS dof FROM ({_mw_sql('miss', 'true', 'false', 'x', src, v)}) "
                          f"WHERE n1 >= 3 AND n2 >= 3")
@@ -775,7 +762,8 @@ def _missing_pattern_sql() -> str:
 
 @register("missing_pattern", O.with_sales(_missing_pattern_sql()))
 def q_missing_pattern(spark, d):
-    return _missing_pattern_spark(spark, d)
+    found = MI.missing_patterns(sales(spark, d).select(*_SV_COLS))
+    return found.select("column_name", "observed_variable", "test", sig("statistic").alias("statistic"), "dof")
 
 
 # --------------------------------------------------------------------------- time series

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from salescope.operators import clean as C
 from salescope.operators import hypothesis as H
+from salescope.operators import missing as MI
 from salescope.operators import model as M
 from salescope.operators import profile as PR
 from salescope.operators import timeseries as TS
@@ -59,6 +60,8 @@ def run(spark: SparkSession, input_path: str, out_dir: str, sample: int | None =
 
     typed = C.coerce_types(valid)
     missing = PR.missing_report(typed.drop("record_no"))
+    gaps = {"resumen_faltantes": MI.missing_summary(typed.drop("record_no")),
+            "pruebas_patron_faltantes": MI.missing_patterns(typed.drop("record_no"))}
     extra = [c for c in ("product", "first_names", "last_names") if c in typed.columns]
     cleaned = C.clean(typed.drop(*extra), cut_lineage=True)
     sinks.write_rows(PR.with_month(cleaned), f"{out}/clean.parquet", public_names=False, partition_by=PR.MONTH)
@@ -67,12 +70,12 @@ def run(spark: SparkSession, input_path: str, out_dir: str, sample: int | None =
     summary = PR.clean_summary(cl)
     zparams = C.zscore_params(cl)
     desc = PR.descriptive_stats(cl, NUMERIC)
-    written = {"resumen_validacion": totals, "razones_descarte": reasons, "reporte_faltantes": missing,
+    written = {"resumen_validacion": totals, "razones_descarte": reasons, "reporte_faltantes": missing, **gaps,
                "resumen_preprocesamiento": summary, "parametros_normalizacion": zparams,
                "estadisticas_descriptivas": desc, **analyses(spark, by_month, V.quarantine(checked))}
     for name, df in written.items():
         sinks.write_json_report(df, f"{out}/reports/{name}")
-    reports = {name: spark.read.json(f"{out}/reports/{name}") for name in written}
+    reports = {name: spark.read.schema(df.schema).json(f"{out}/reports/{name}") for name, df in written.items()}
     return PipelineResult(totals, reasons, missing, by_month, summary, zparams, desc, reports)
 
 
