@@ -101,5 +101,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text no row with a larger id has; columns unchanged."""
     dropped = (exact_duplicates(docs, id_col, text_col).where(~F.col("kept"))
-               .select(F.col(id_col).alias("_dropped")))
-    return docs.join(dropped, docs[id_col].eqNullSafe(F.col("_dropped")), "left_anti")
+               .select(F.col(id_col).alias("_dropped"), F.col("text_sha256").alias("_digest")))
+    # By id and text: an id may have another row that stays.
+    same = docs[id_col].eqNullSafe(F.col("_dropped")) & (F.sha2(normalised(docs[text_col]), 256) == F.col("_digest"))
+    return docs.join(dropped, same, "left_anti")

@@ -13,11 +13,11 @@ least ``min_chars`` code points found in at least ``min_docs`` documents loses
 all its lines, but for those of the largest id holding it.
 
 All steps are DataFrame functions.  Edge cases: a null or empty text is one
-empty line; an id with several rows counts as one document, and all its rows
-lose the same line numbers; a line repeated inside one document counts once
-there, and stays or goes as a whole; a null id never is the largest; an empty
-table gives an empty result; other columns pass through, but for those called
-``n_lines`` or ``n_dropped``.
+empty line; very long texts are split whole; an id with several rows counts as
+one document, of which each row loses its own repeated lines; a line repeated
+inside one document counts once there, and stays or goes as a whole; a null id
+never is the largest; an empty table gives an empty result; other columns pass
+through, but for those called ``n_lines`` or ``n_dropped``.
 """
 
 from __future__ import annotations
@@ -40,16 +40,21 @@ def line_key(line: Column) -> Column:
     return ascii_lower(F.btrim(line, F.lit(ASCII_SPACE)))
 
 
+def text_digest(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def text_lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
 def line_hashes(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
-    """(``_id``, ``_pos``, ``_h``) of every line long enough to be compared."""
-    return (docs.select(F.col(id_col).alias("_id"), F.posexplode(text_lines(F.col(text_col))))
-            .select("_id", F.col("pos").alias("_pos"), line_key(F.col("col")).alias("_key"))
+    """(``_id``, ``_digest`` of the text, ``_pos``, ``_h``) of every line long enough to be compared."""
+    return (docs.select(F.col(id_col).alias("_id"), text_digest(F.col(text_col)).alias("_digest"),
+                        F.posexplode(text_lines(F.col(text_col))))
+            .select("_id", "_digest", F.col("pos").alias("_pos"), line_key(F.col("col")).alias("_key"))
             .where(F.char_length("_key") >= min_chars)
-            .select("_id", "_pos", F.unhex(F.md5(F.col("_key"))).alias("_h")))
+            .select("_id", "_digest", "_pos", F.unhex(F.md5(F.col("_key"))).alias("_h")))
 
 
 class LineRuns:
@@ -127,16 +132,20 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    .withColumn("_batch", F.pmod(F.xxhash64("_id"), F.lit(batches)).cast("int")),
                    "lines", partition_by="_batch")
     index = LineRuns(spark, fanout)
-    for batch in range(batches):
-        index.ingest(lines.where(F.col("_batch") == batch))
-    repeated = stored(index.repeated(min_docs), "repeated-lines")
-    index.close()
+    try:
+        for batch in range(batches):
+            index.ingest(lines.where(F.col("_batch") == batch))
+        repeated = stored(index.repeated(min_docs), "repeated-lines")
+    finally:
+        index.close()
+    # By id and text: of two rows with one id, each loses its own repeated lines.
     drops = (lines.join(repeated, "_h")
              .where(~F.col("_id").eqNullSafe(F.col("_top")))
-             .groupBy("_id").agg(F.collect_set("_pos").alias("_drops")))
+             .groupBy("_id", "_digest").agg(F.collect_set("_pos").alias("_drops")))
     rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("_row"))
     text = F.coalesce(F.col("_row")[text_col], F.lit(""))
-    out = (rows.join(drops, F.col("_row")[id_col].eqNullSafe(F.col("_id")), "left")
+    own_row = F.col("_row")[id_col].eqNullSafe(F.col("_id")) & (text_digest(F.col("_row")[text_col]) == F.col("_digest"))
+    out = (rows.join(drops, own_row, "left")
            .select("_row", "_drops", text.alias("_text"), text_lines(text).alias("_lines")))
     # The outer lambda binds lines and kept numbers once, the inner one picks.
     stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_drops"))

@@ -12,15 +12,18 @@ spans of all documents are hashed and joined; a sentence covered by any span
 that stands in an earlier place too (a smaller document id, or further up in
 the same document) is removed.
 
-Only spans that may be repeated are shuffled with their places.  A first pass
-counts filter positions of all spans; the bits set at least twice form a bitmap
-of a bounded size (``MAX_BITS``; a fuller bitmap only lets more spans through),
-which the second pass tests before it emits a span.
+Words are hashed once: the pieces' hashes and lengths are stored, and spans are
+made from them.  Only spans that may be repeated are shuffled with their places.
+A first pass counts filter positions of all spans; the bits set at least twice
+form a bitmap of a bounded size (``MAX_BITS``; a fuller bitmap only lets more
+spans through), which the second pass tests before it emits a span.
 
 Edge cases: null and empty texts, and those with fewer than two pieces or
-``MIN_WORDS`` words, stay as they are (null becomes empty); several rows of one
-id count as one document, none of them the copy of another; ties do not arise,
-places are ordered by (id, piece), null ids first; white space before a removed
+``MIN_WORDS`` words, stay as they are (null becomes empty); a document is a pair
+of id and text: rows of one id with other texts (null ids too) are judged each on
+its own text, and rows equal in both are one document, none of them the copy of
+another; ties do not arise, places are ordered by (id, digest of the text,
+piece), null ids first; white space before a removed
 sentence's successor goes with it; texts of any length are read whole; an empty
 table gives an empty result; other columns are ignored.
 """
@@ -154,24 +157,42 @@ def _positions(h: np.ndarray, bits: int) -> np.ndarray:
     return (h.view(np.uint64) & np.uint64(bits - 1)).astype(np.int64)
 
 
-def _repeated_bits(rows: DataFrame, bits: int) -> Broadcast:
-    """Pass one: the filter positions that at least two spans set, as one bitmap."""
+def stored_pieces(rows: DataFrame) -> DataFrame:
+    """(``_id``, ``_text``, ``words``): the hashes (as ``_text``) and the words of the pieces of each row, as bytes."""
     def make():
         def work(texts: list[str], _) -> dict:
-            found = [_positions(spans(*hashed_pieces(t))[2], bits) for t in texts if t]
+            found = [hashed_pieces(t) for t in texts]
+            # More words than a span needs are as good as 255.
+            return {"_text": [h.tobytes() for _, h in found],
+                    "words": [np.minimum(w, 255).astype(np.uint8).tobytes() for w, _ in found]}
+
+        return work
+
+    return stored(map_texts(rows, make, {"_text": T.BinaryType(), "words": T.BinaryType()}), "pieces")
+
+
+def _spans_of(hashes: bytes, words: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return spans(np.frombuffer(words, dtype=np.uint8).astype(np.int64), np.frombuffer(hashes, dtype=np.uint64))
+
+
+def _repeated_bits(pieces: DataFrame, bits: int) -> Broadcast:
+    """Pass one: the filter positions that at least two spans set, as one bitmap."""
+    def make():
+        def work(hashes: list[bytes], part) -> dict:
+            found = [_positions(_spans_of(h, w)[2], bits) for h, w in zip(hashes, part.column("words").to_pylist(), strict=True)]
             at, n = np.unique(np.concatenate([np.zeros(0, dtype=np.int64), *found]), return_counts=True)
             return {"p": at, "n": np.minimum(n, 2)}
 
         return work
 
-    bitmaps = (map_texts(rows, make, {"p": T.LongType(), "n": T.IntegerType()}, with_id=False)
+    bitmaps = (map_texts(pieces, make, {"p": T.LongType(), "n": T.IntegerType()}, with_id=False)
                .groupBy("p").agg(F.sum("n").alias("n")).where("n > 1")
                .groupBy(F.expr(f"p div {BITMAP_BITS}").alias("bucket"))
                .agg(F.bitmap_construct_agg(F.col("p") % BITMAP_BITS).alias("bits")))
     bitmap = np.zeros((bits // BITMAP_BITS, BITMAP_BITS // 8), dtype=np.uint8)
     for r in bitmaps.toLocalIterator():  # bits / 8 bytes in all
         bitmap[r["bucket"]] = np.frombuffer(r["bits"], dtype=np.uint8)
-    return rows.sparkSession.sparkContext.broadcast(bitmap.ravel())
+    return pieces.sparkSession.sparkContext.broadcast(bitmap.ravel())
 
 
 def repeated_spans(rows: DataFrame) -> DataFrame:
@@ -183,25 +204,25 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     bits = BITMAP_BITS
     while bits < min(MAX_BITS, size // 2):
         bits *= 2
-    shared = _repeated_bits(rows, bits)
+    pieces = stored_pieces(rows)
+    shared = _repeated_bits(pieces, bits)
 
     def make():
         bitmap = shared.value
 
-        def work(texts: list[str], _) -> dict:
+        def work(hashes: list[bytes], part) -> dict:
             none = np.zeros(0, dtype=np.int64)
             out = [(none, none, none)]
-            for k, text in enumerate(texts):
-                if text:
-                    first, end, h = spans(*hashed_pieces(text))
-                    p = _positions(h, bits)
-                    maybe = (bitmap[p >> 3] >> (p & 7).astype(np.uint8)) & 1 > 0
-                    out.append((np.full(int(maybe.sum()), k), h[maybe], (first * PLACE + end - first)[maybe]))
+            for k, (of, words) in enumerate(zip(hashes, part.column("words").to_pylist(), strict=True)):
+                first, end, h = _spans_of(of, words)
+                p = _positions(h, bits)
+                maybe = (bitmap[p >> 3] >> (p & 7).astype(np.uint8)) & 1 > 0
+                out.append((np.full(int(maybe.sum()), k), h[maybe], (first * PLACE + end - first)[maybe]))
             return dict(zip(("_row", "h", "place"), map(np.concatenate, zip(*out, strict=True)), strict=True))
 
         return work
 
-    maybe = stored(map_texts(rows, make, dict.fromkeys(("h", "place"), T.LongType())), "spans")
+    maybe = stored(map_texts(pieces, make, dict.fromkeys(("h", "place"), T.LongType())), "spans")
     # Written, so that a span of a third of all documents is split by the skew rule.
     groups = stored(maybe.groupBy("h").agg(F.min(F.struct("_id", "place")).alias("_origin"),
                                            F.count(F.lit(1)).alias("_n"))
@@ -213,7 +234,8 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, ``text`` without repeated sentences, ``n_removed``."""
-    rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.struct(F.col(id_col).alias("id"), F.xxhash64(text).alias("digest")).alias("_id"), text.alias("_text"))
     removed = (repeated_spans(rows).groupBy("_id")
                .agg(F.collect_set("place").alias("_spans"))
                .withColumnRenamed("_id", "_id2"))
@@ -227,7 +249,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return work
 
     return (map_texts(both, make, {"text": T.StringType(), "n_removed": T.LongType()})
-            .withColumnRenamed("_id", id_col))
+            .select(F.col("_id.id").alias(id_col), "text", "n_removed"))
 
 
 def _cut(text: str, found) -> tuple[str, int]:

@@ -163,6 +163,15 @@ def test_passages_are_cut_alike():
         assert sum(e - b for b, e, _ in found[0] & found[1]) >= substring_dedup.MIN_WORDS
 
 
+def test_rows_of_one_id_are_judged_on_their_own_texts(spark):
+    rng = np.random.default_rng(11)
+    copy, own, other = (". ".join(prose(rng, 12).replace(".", "") for _ in range(4)) + "." for _ in range(3))
+    rows = [(1, copy), (2, copy), (2, own), (None, other), (None, None), (2, own)]
+    got = [(r.doc_id, r.text) for r in substring_dedup.substring_dedup(docs(spark, rows)).collect()]
+    want = [(1, copy), (2, ""), (2, own), (2, own), (None, other), (None, "")]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
 def test_substrings_odd_rows(odd, nothing):
     got = substring_dedup.substring_dedup(odd).collect()
     assert sorted((r.doc_id, r.n_removed > 0) for r in got) == [

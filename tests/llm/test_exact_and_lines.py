@@ -83,3 +83,27 @@ def test_line_dedup_odd_rows(odd, nothing):
     assert out.columns == ["doc_id", "lang", "source", "n_chars", "_id", "score", "kept", "text", "n_lines", "n_dropped"]
     assert out.count() == odd.count()
     assert line_dedup.line_dedup(nothing).count() == 0
+
+
+def test_rows_of_one_id_keep_their_own_lines(spark):
+    common = "a line that many documents hold"
+    rows = [(1, common + "\nrest"), (1, "a unique first line nobody else has"), (2, common), (3, common), (3, "alone " * 9),
+            (None, common), (None, "a second unique line, without an id")]
+    got = sorted(((r.doc_id, r.text) for r in line_dedup.line_dedup(docs(spark, rows)).collect()), key=repr)
+    assert got == sorted([(1, "rest"), (1, rows[1][1]), (2, ""), (3, common), (3, rows[4][1]), (None, ""), (None, rows[6][1])], key=repr)
+
+
+def test_exact_dedup_keeps_other_texts_of_an_id(spark):
+    rows = [(5, "a"), (5, "unique b"), (9, "A"), (None, "c"), (None, "a")]
+    got = sorted((tuple(r) for r in exact_dedup.exact_dedup(docs(spark, rows)).collect()), key=repr)
+    assert got == sorted([(5, "unique b"), (9, "A"), (None, "c")], key=repr)
+
+
+def test_tables_of_runs_go_when_a_run_fails(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup.LineRuns, "repeated", lambda *_: 1 / 0)
+    before = {t.name for t in spark.catalog.listTables()}
+    try:
+        line_dedup.line_dedup(docs(spark, [(1, "a line that is long enough")]))
+    except ZeroDivisionError:
+        pass
+    assert {t.name for t in spark.catalog.listTables()} == before
