@@ -158,7 +158,11 @@ def _positions(h: np.ndarray, bits: int) -> np.ndarray:
 
 
 def stored_pieces(rows: DataFrame) -> DataFrame:
-    """(``_id``, ``_text``, ``words``): the hashes (as ``_text``) and the words of the pieces of each row, as bytes."""
+    """(``_id``, ``_digest``, ``_text``, ``words``): the hashes (as ``_text``) and the words of the pieces of each row, as bytes.
+
+    ``_id`` is (id, mark): the mark tells the rows of one id apart by the digest
+    of their text, and is 0 where an id has one row, as spans carry it along.
+    """
     def make():
         def work(texts: list[str], _) -> dict:
             found = [hashed_pieces(t) for t in texts]
@@ -168,7 +172,11 @@ def stored_pieces(rows: DataFrame) -> DataFrame:
 
         return work
 
-    return stored(map_texts(rows, make, {"_text": T.BinaryType(), "words": T.BinaryType()}), "pieces")
+    pieces = stored(map_texts(rows, make, {"_text": T.BinaryType(), "words": T.BinaryType()}), "pieces")
+    again = (pieces.groupBy(F.col("_id.id").alias("_again")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"))
+    mark = F.when(F.col("_n").isNotNull(), F.col("_id.digest")).otherwise(F.lit(0))
+    return (pieces.join(again, F.col("_id.id").eqNullSafe(F.col("_again")), "left")
+            .select(F.struct("_id.id", mark.alias("mark")).alias("_id"), F.col("_id.digest").alias("_digest"), "_text", "words"))
 
 
 def _spans_of(hashes: bytes, words: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -195,16 +203,14 @@ def _repeated_bits(pieces: DataFrame, bits: int) -> Broadcast:
     return pieces.sparkSession.sparkContext.broadcast(bitmap.ravel())
 
 
-def repeated_spans(rows: DataFrame) -> DataFrame:
-    """(``_id``, ``place``) of every span that stands in an earlier place too.
+def repeated_spans(pieces: DataFrame, size: int) -> DataFrame:
+    """(``_id``, ``place``) of every span that stands in an earlier place too, for texts of ``size`` bytes in all.
 
     A place is the first piece and the number of pieces (at most ``MIN_WORDS``), as one number.
     """
-    size = rows.agg(F.coalesce(F.sum(F.octet_length("_text")), F.lit(0))).first()[0]
     bits = BITMAP_BITS
     while bits < min(MAX_BITS, size // 2):
         bits *= 2
-    pieces = stored_pieces(rows)
     shared = _repeated_bits(pieces, bits)
 
     def make():
@@ -236,10 +242,14 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per input row: id, ``text`` without repeated sentences, ``n_removed``."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.struct(F.col(id_col).alias("id"), F.xxhash64(text).alias("digest")).alias("_id"), text.alias("_text"))
-    removed = (repeated_spans(rows).groupBy("_id")
-               .agg(F.collect_set("place").alias("_spans"))
-               .withColumnRenamed("_id", "_id2"))
-    both = (rows.join(removed, F.col("_id").eqNullSafe(F.col("_id2")), "left").select("_id", "_text", "_spans"))
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("_text")), F.lit(0))).first()[0]
+    pieces = stored_pieces(rows)
+    removed = repeated_spans(pieces, size).groupBy("_id").agg(F.collect_set("place").alias("_spans"))
+    # From the mark back to the digest, which every row has.
+    ids = pieces.select(F.col("_id").alias("_of"), "_digest").distinct()
+    removed = (removed.join(ids, F.col("_id").eqNullSafe(F.col("_of")))
+               .select(F.struct("_id.id", F.col("_digest").alias("digest")).alias("_of"), "_spans"))
+    both = rows.join(removed, F.col("_id").eqNullSafe(F.col("_of")), "left").select("_id", "_text", "_spans")
 
     def make():
         def work(texts: list[str], part) -> dict:
