@@ -44,6 +44,8 @@ from salescope.llm.common import map_texts, stored
 MIN_SENTENCES, MIN_WORDS = 2, 20
 #: Words of a sentence that stays whole, and most words of a piece of a longer one.
 LONG, WINDOW = 15, 6
+#: Bytes that are stored of a piece's hash; a span has two pieces at least.
+HASH_BYTES = 5
 #: More than the pieces of a span.
 PLACE = 64
 BITMAP_BITS = 32768
@@ -167,20 +169,26 @@ def stored_pieces(rows: DataFrame) -> DataFrame:
         def work(texts: list[str], _) -> dict:
             found = [hashed_pieces(t) for t in texts]
             # More words than a span needs are as good as 255.
-            return {"_text": [h.tobytes() for _, h in found],
+            return {"_text": [h.view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES].tobytes() for _, h in found],
                     "words": [np.minimum(w, 255).astype(np.uint8).tobytes() for w, _ in found]}
 
         return work
 
     pieces = stored(map_texts(rows, make, {"_text": T.BinaryType(), "words": T.BinaryType()}), "pieces")
-    again = (pieces.groupBy(F.col("_id.id").alias("_again")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"))
-    mark = F.when(F.col("_n").isNotNull(), F.col("_id.digest")).otherwise(F.lit(0))
-    return (pieces.join(again, F.col("_id.id").eqNullSafe(F.col("_again")), "left")
+    again = stored(pieces.groupBy(F.col("_id.id").alias("_again")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"),
+                   "repeated-ids")
+    mark = F.lit(0).cast("long")
+    if not again.isEmpty():  # mostly no id is repeated, and there is nothing to join
+        pieces = pieces.join(again, F.col("_id.id").eqNullSafe(F.col("_again")), "left")
+        mark = F.when(F.col("_n").isNotNull(), F.col("_id.digest")).otherwise(mark)
+    return (pieces
             .select(F.struct("_id.id", mark.alias("mark")).alias("_id"), F.col("_id.digest").alias("_digest"), "_text", "words"))
 
 
 def _spans_of(hashes: bytes, words: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return spans(np.frombuffer(words, dtype=np.uint8).astype(np.int64), np.frombuffer(hashes, dtype=np.uint64))
+    whole = np.zeros((len(words), 8), dtype=np.uint8)
+    whole[:, :HASH_BYTES] = np.frombuffer(hashes, dtype=np.uint8).reshape(-1, HASH_BYTES)
+    return spans(np.frombuffer(words, dtype=np.uint8).astype(np.int64), whole.view(np.uint64).ravel())
 
 
 def _repeated_bits(pieces: DataFrame, bits: int) -> Broadcast:
