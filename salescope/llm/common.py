@@ -62,13 +62,14 @@ def slices(sizes: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int, in
 
 
 def map_texts(rows: DataFrame, make: Callable[[], Callable], columns: dict[str, T.DataType],
-              with_id: bool = True) -> DataFrame:
+              with_id: bool = True, most: int = SLICE_BYTES) -> DataFrame:
     """Runs Python over the texts of ``rows`` (``_id``, ``_text`` and others), slice by slice.
 
     ``make()`` is called once a task and gives a function of the texts of a slice
     and the slice itself.  That returns the output columns, and in ``_row`` the
     rows of the slice they belong to (left out: one output row a row); ids are
-    taken over as they are.  A task holds one Arrow batch and one slice.
+    taken over as they are.  A task holds one Arrow batch and one slice of about
+    ``most`` bytes.
     """
     fields = [T.StructField(k, v) for k, v in columns.items()]
     schema = T.StructType([rows.schema["_id"], *fields] if with_id else fields)
@@ -78,7 +79,7 @@ def map_texts(rows: DataFrame, make: Callable[[], Callable], columns: dict[str,
         work = make()
         for batch in batches:
             sizes = pc.fill_null(pc.binary_length(batch.column("_text")), 0).to_numpy(zero_copy_only=False)
-            for start, end in slices(sizes):
+            for start, end in slices(sizes, most):
                 part = batch.slice(start, end - start)
                 out = work(part.column("_text").to_pylist(), part)
                 at = out.pop("_row", None)

@@ -46,6 +46,8 @@ MIN_SENTENCES, MIN_WORDS = 2, 20
 LONG, WINDOW = 15, 6
 #: Bytes that are stored of a piece's hash; a span has two pieces at least.
 HASH_BYTES = 5
+#: Bytes of hashes that a task works on at a time; its arrays take about a hundred times as much.
+HASH_SLICE = 1 << 18
 #: More than the pieces of a span.
 PLACE = 64
 BITMAP_BITS = 32768
@@ -201,7 +203,7 @@ def _repeated_bits(pieces: DataFrame, bits: int) -> Broadcast:
 
         return work
 
-    bitmaps = (map_texts(pieces, make, {"p": T.LongType(), "n": T.IntegerType()}, with_id=False)
+    bitmaps = (map_texts(pieces, make, {"p": T.LongType(), "n": T.IntegerType()}, with_id=False, most=HASH_SLICE)
                .groupBy("p").agg(F.sum("n").alias("n")).where("n > 1")
                .groupBy(F.expr(f"p div {BITMAP_BITS}").alias("bucket"))
                .agg(F.bitmap_construct_agg(F.col("p") % BITMAP_BITS).alias("bits")))
@@ -236,7 +238,7 @@ def repeated_spans(pieces: DataFrame, size: int) -> DataFrame:
 
         return work
 
-    maybe = stored(map_texts(pieces, make, dict.fromkeys(("h", "place"), T.LongType())), "spans")
+    maybe = stored(map_texts(pieces, make, dict.fromkeys(("h", "place"), T.LongType()), most=HASH_SLICE), "spans")
     # Written, so that a span of a third of all documents is split by the skew rule.
     groups = stored(maybe.groupBy("h").agg(F.min(F.struct("_id", "place")).alias("_origin"),
                                            F.count(F.lit(1)).alias("_n"))
