@@ -297,8 +297,8 @@ def with_mw_pvalues(mw: DataFrame) -> DataFrame:
             .drop("_exact", "_normal"))
 
 
-def spearman_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]], buckets=None) -> DataFrame:
-    """Spearman ρ for each pair, pairwise-complete (pandas semantics).
+def spearman_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]], buckets=None, weight: str | None = None) -> DataFrame:
+    """Spearman ρ for each pair, pairwise-complete (pandas semantics); a row stands for ``weight`` equal ones.
 
     Columns without a missing value are ranked once each, whatever the number of
     pairs; the ranks are attached to the rows column by column (a column of few
@@ -312,17 +312,18 @@ def spearman_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]], buckets=None
                     for c in cols]).first().asDict()
     whole = [p for p in pairs if not miss[p[0]] and not miss[p[1]]]
     gaps = [p for p in pairs if miss[p[0]] or miss[p[1]]]
+    df = df.select(*cols, (F.lit(1).cast("long") if weight is None else F.col(weight)).alias("_w"))
     out = [f(df, ps, buckets) for f, ps in ((_pairs_without_gaps, whole), (_pairs_with_gaps, gaps)) if ps]
     return out[0] if len(out) == 1 else out[0].unionByName(out[1])
 
 
 def with_ranks(df: DataFrame, cols: Sequence[str], buckets=None) -> DataFrame:
-    """``cols`` of ``df`` as doubles ``_v<i>``, each with its centred average rank ``_r<i>`` over all rows, and ``_n``."""
+    """``cols`` of ``df`` as doubles ``_v<i>``, each with its centred average rank ``_r<i>`` over all rows, ``_w`` and ``_n``."""
     stack = ", ".join(f"{i}, CAST(`{c}` AS DOUBLE)" for i, c in enumerate(cols))
-    counts = (df.selectExpr(f"stack({len(cols)}, {stack}) AS (k, v)").groupBy("k", "v").agg(F.count(F.lit(1)).alias("cnt")))
+    counts = df.selectExpr("_w", f"stack({len(cols)}, {stack}) AS (k, v)").groupBy("k", "v").agg(F.sum("_w").alias("cnt"))
     ranks = written(cumulative_counts(counts, "v", ["k"], buckets).select(
         "k", "v", (F.col("cum_lo") + (F.col("cnt") + 1) / 2.0 - (F.col("n") + 1) / 2.0).alias("r"), "n"), "column-ranks", "k")
-    out = df.select(*(F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(cols)))
+    out = df.select("_w", *(F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(cols)))
     for i in range(len(cols)):
         mine = ranks.where(F.col("k") == i).select(F.col("v").alias(f"_v{i}"), F.col("r").alias(f"_r{i}"),
                                                    *([F.col("n").alias("_n")] if i == 0 else []))
@@ -336,8 +337,8 @@ def _pairs_without_gaps(df: DataFrame, pairs: Sequence[tuple[str, str]], buckets
     r = [F.col(f"_r{i}") for i in range(len(cols))]
     # Two columns may be one pair twice, or in both orders: sums go by position.
     sums = with_ranks(df, cols, buckets).agg(
-        F.max("_n").alias("n"), *[F.sum(r[i] * r[i]).alias(f"s{i}") for i in range(len(cols))],
-        *[F.sum(r[at[a]] * r[at[b]]).alias(f"p{k}") for k, (a, b) in enumerate(pairs)])
+        F.max("_n").alias("n"), *[F.sum(F.col("_w") * r[i] * r[i]).alias(f"s{i}") for i in range(len(cols))],
+        *[F.sum(F.col("_w") * r[at[a]] * r[at[b]]).alias(f"p{k}") for k, (a, b) in enumerate(pairs)])
     rows = ", ".join(f"'{a}', '{b}', p{k}, s{at[a]}, s{at[b]}" for k, (a, b) in enumerate(pairs))
     long = sums.selectExpr("n", f"stack({len(pairs)}, {rows}) AS (var_a, var_b, sab, saa, sbb)")
     rho = F.when((F.col("saa") > 0) & (F.col("sbb") > 0), F.col("sab") / F.sqrt(F.col("saa") * F.col("sbb")))
@@ -354,9 +355,9 @@ def _pairs_with_gaps(df: DataFrame, pairs: Sequence[tuple[str, str]], buckets=No
     """
     keys = {i: (f"#{i}a", f"#{i}b") for i in range(len(pairs))}
     stack = ", ".join(f"{i}, CAST(`{a}` AS DOUBLE), CAST(`{b}` AS DOUBLE)" for i, (a, b) in enumerate(pairs))
-    long = (df.selectExpr(f"stack({len(pairs)}, {stack}) AS (pair, a, b)")
+    long = (df.selectExpr("_w", f"stack({len(pairs)}, {stack}) AS (pair, a, b)")
             .filter(F.col("a").isNotNull() & F.col("b").isNotNull() & ~F.isnan("a") & ~F.isnan("b")))
-    pc = long.groupBy("pair", "a", "b").agg(F.count(F.lit(1)).alias("cnt"))
+    pc = long.groupBy("pair", "a", "b").agg(F.sum("_w").alias("cnt"))
 
     def key_of(side: int):
         expr = F.lit(None).cast("string")

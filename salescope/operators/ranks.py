@@ -113,8 +113,14 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], groups: Sequenc
     Same definition as numpy/pandas ``linear`` and DuckDB ``quantile_cont``:
     position ``(n-1)·q`` between the two neighbouring order statistics.
     """
-    cc = cumulative_counts(value_counts(df, value, groups), value, groups, buckets)
-    spark = df.sparkSession
+    return quantiles_of_counts(value_counts(df, value, groups), value, probs, groups, buckets)
+
+
+def quantiles_of_counts(counts: DataFrame, value: str, probs: Sequence[float], groups: Sequence[str] = (),
+                        buckets: int | None = None) -> DataFrame:
+    """The same from a value-count frame."""
+    cc = cumulative_counts(counts, value, groups, buckets)
+    spark = counts.sparkSession
     qs = spark.createDataFrame([(float(p),) for p in probs], "q double")
     pos = (F.col("n") - 1) * F.col("q")
     lo, hi = F.floor(pos), F.ceil(pos)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salescope.functions.numeric import sig
+from salescope.operators import daycells as DC
 from salescope.operators import missing as MI
 from salescope.operators import profile as PR
 from salescope.plans import oracle as O
@@ -75,7 +76,7 @@ def q_pruned_scan(spark, d):
 # --------------------------------------------------------------------------- sources and validation
 
 from salescope.operators import validate as V  # noqa: E402
-from salescope.plans.views import checked_lines, data_version, quarantine_file, quoted_file, raw_file  # noqa: E402
+from salescope.plans.views import checked_lines, data_version, quarantine_file, quoted_file, raw_file, written_table  # noqa: E402
 from salescope.plans.views import raw_text as raw_lines  # noqa: E402
 from salescope.schema import RAW_FIELDS  # noqa: E402
 from salescope.sources import text as TX  # noqa: E402
@@ -480,6 +481,34 @@ def q_period_kpis(spark, d):
                     "channels", "stores", "outliers_amount", sig("median_amount").alias("median_amount"))
 
 
+def _day_cells(spark, d):
+    """Day cells of the clean sales, stored by month once per version of the data."""
+    cells = DC.day_cells(clean_sales(spark, d, by_month=True))
+    return cells.stored(lambda name, frame: written_table(spark, f"day-{name}", d, lambda: frame, PR.MONTH))
+
+
+@register("cells_kpis", O.with_checked_and_clean(f"""
+SELECT k.*, d.* FROM (
+  SELECT count(*) AS rows, {O.sig('coalesce(sum(amount), 0.0)')} AS total_amount,
+    {O.sig('coalesce(avg(amount), 0.0)')} AS mean_amount, count(DISTINCT channel) AS channels, count(DISTINCT store) AS stores,
+    CAST(coalesce(sum(outlier_amount), 0) AS BIGINT) AS outliers_amount,
+    {O.sig('coalesce(quantile_cont(amount, 0.5), 0.0)')} AS median_amount FROM cl WHERE {_PERIOD_SQL}) k,
+  (SELECT count(*) AS discarded, count(*) FILTER (WHERE fail_field = 'EDAD') AS discarded_age FROM chk WHERE fail_field IS NOT NULL) d"""))
+def q_cells_kpis(spark, d):
+    """Indicators of a period from day cells, with the discards of the validation."""
+    k = _day_cells(spark, d).between(*PERIOD).kpis(V.quarantine(checked_lines(spark, d)))
+    return k.select("rows", sig("total_amount").alias("total_amount"), sig("mean_amount").alias("mean_amount"), "channels",
+                    "stores", "outliers_amount", sig("median_amount").alias("median_amount"), "discarded", "discarded_age")
+
+
+@register("cells_quantiles", O.with_clean(" UNION ALL ".join(
+    f"SELECT '{c}' AS variable, CAST({q} AS DOUBLE) AS q, {O.sig(f'quantile_cont({c}, {q})')} AS quantile FROM cl WHERE {_PERIOD_SQL}"
+    for c in NUMERIC for q in (0.25, 0.5, 0.75))))
+def q_cells_quantiles(spark, d):
+    q = _day_cells(spark, d).between(*PERIOD).quantiles()
+    return q.select("variable", "q", sig("quantile").alias("quantile"))
+
+
 @register("box_stats", O.with_clean(f"""
 WITH q AS (SELECT channel, quantile_cont(amount, 0.25) AS q1, quantile_cont(amount, 0.5) AS median,
                   quantile_cont(amount, 0.75) AS q3 FROM cl WHERE channel IS NOT NULL AND amount IS NOT NULL GROUP BY channel)
@@ -599,6 +628,13 @@ def q_period_spearman(spark, d):
     return _spearman_spark(PR.period(clean_sales(spark, d, by_month=True), *PERIOD), _PERIOD_PAIRS)
 
 
+@register("cells_spearman", O.with_clean(_spearman_sql(_PERIOD_PAIRS, _PERIOD_SQL)))
+def q_cells_spearman(spark, d):
+    """The period's Spearman matrix from day cells."""
+    s = _day_cells(spark, d).between(*PERIOD).spearman(_PERIOD_PAIRS)
+    return s.select("var_a", "var_b", "n", sig("rho").alias("rho"))
+
+
 @register("spearman_pair", O.with_clean(_spearman_sql(_TARGET_PAIRS)))
 def q_spearman_pair(spark, d):
     return _spearman_spark(clean_sales(spark, d), _TARGET_PAIRS)

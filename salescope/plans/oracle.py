@@ -285,3 +285,7 @@ def with_checked(body: str) -> str:
 
 def with_raw(body: str) -> str:
     return _join(f"{SALES},\n{_raw_cte()}", body)
+
+
+def with_checked_and_clean(body: str) -> str:
+    return _join(f"{CLEAN},\n{_checked_ctes()}", body)
