@@ -10,12 +10,11 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from salescope.functions.dist import chi2_sf, kolmogorov_sf, norm_ppf, norm_sf, ppf_norm_udf, sf_norm_udf
+from salescope.functions import normal as ND
+from salescope.functions.dist import chi2_sf, kolmogorov_sf, norm_ppf, norm_sf
 from salescope.functions.numeric import verdict
 from salescope.operators import boosting as B
 from salescope.operators import hypothesis as H
@@ -35,28 +34,47 @@ def normal_score(i, n):
     return norm_ppf((i - 0.375) / (n + 0.25))
 
 
-#: Positions at each end of a run of equal values whose scores are summed one by one.
+#: Positions at each end whose scores are summed one by one.
 RUN_ENDS = 64
 
 
-def run_score(low: float, count: float, n: float) -> float:
-    """Sum of the normal scores of the positions ``low + 1 .. low + count`` of ``n``.
+def first_scores(n: int) -> list[float]:
+    """Sums of the first 0, 1, 2, ... scores of ``n`` positions, up to ``RUN_ENDS`` and the middle."""
+    out = [0.0]
+    for i in range(1, min(RUN_ENDS, n // 2) + 1):
+        out.append(out[-1] + normal_score(i, n))
+    return out
+
+
+def behind_ends(n: int) -> float:
+    """Normal density at the quantile where the summed ends stop."""
+    return math.exp(-norm_ppf((min(RUN_ENDS, n / 2) + 0.125) / (n + 0.25)) ** 2 / 2) / math.sqrt(2 * math.pi)
+
+
+def with_score_sums(rows: DataFrame, low, high, n, out: str = "_m") -> DataFrame:
+    """``rows`` with the sum of the normal scores of the positions ``low + 1 .. high`` of ``n``.
 
-    Inside a long run the sum is the integral of the quantile function, which
-    is minus the normal density at the quantile (midpoint rule); the ends, where
-    it bends most, are summed one by one.
+    The columns ``_ends`` and ``_edge`` hold ``first_scores(n)`` and ``behind_ends(n)``.
+    A sum is the difference of the sums of the first ``high`` and ``low`` scores.
+    Scores are symmetric, so such a sum is that of the shorter side; behind the
+    ends it is the integral of the quantile function, which is minus the normal
+    density at the quantile, with the first correction of the midpoint rule.  A
+    single position has its own quantile.
     """
-    first, last = int(low) + 1, int(low + count)
-    if last - first < 2 * RUN_ENDS:
-        return sum(normal_score(i, n) for i in range(first, last + 1))
-    ends = sum(normal_score(first + k, n) + normal_score(last - k, n) for k in range(RUN_ENDS))
+    single = high - low == 1
+    rows = (rows.withColumn("_low", F.least(low, n - low)).withColumn("_high", F.least(high, n - high))
+            .withColumn("_single", single))
+    rows = ND.with_ppf(rows, (F.when(F.col("_single"), low + 0.625).otherwise(F.col("_low") + 0.125)) / (n + 0.25), "_z1")
+    rows = ND.with_ppf(rows, (F.col("_high") + 0.125) / (n + 0.25), "_z2")
+    rows = rows.withColumn("_d1", ND.density(F.col("_z1"))).withColumn("_d2", ND.density(F.col("_z2")))
 
-    def density(position):
-        z = norm_ppf((position - 0.375) / (n + 0.25))
-        return math.exp(-z * z / 2) / math.sqrt(2 * math.pi)
+    def upto(few: str, d: str):
+        inner = ((n + 0.25) * (F.col("_edge") - F.col(d)) - (1 / F.col(d) - 1 / F.col("_edge")) / (24 * (n + 0.25)))
+        return F.when(F.col(few) <= RUN_ENDS, F.get("_ends", F.col(few).cast("int"))).otherwise(
+            F.get("_ends", F.lit(RUN_ENDS)) + inner)
 
-    a, b = first + RUN_ENDS - 0.5, last - RUN_ENDS + 0.5
-    return ends + (n + 0.25) * (density(a) - density(b))
+    return rows.withColumn(out, F.when(F.col("_single"), F.col("_z1")).otherwise(upto("_high", "_d2") - upto("_low", "_d1"))).drop(
+        "_low", "_high", "_single", "_z1", "_z2", "_d1", "_d2")
 
 
 def shapiro_p(w: float, n: int) -> float:
@@ -108,11 +126,6 @@ def shapiro_w(n: int, sums: dict) -> float:
     return min(1.0, top ** 2 / sums["ss"])
 
 
-@F.pandas_udf(T.DoubleType())
-def _run_score_udf(low: pd.Series, count: pd.Series, n: pd.Series) -> pd.Series:
-    return pd.Series([run_score(*r) for r in zip(low, count, n, strict=True)], dtype="float64")
-
-
 def score_square_sum(n: int) -> float:
     """Σ m² of ``n`` normal scores: one by one at the ends, by its integral in between."""
     def square(i):
@@ -134,20 +147,23 @@ def normality(df: DataFrame, cols=NUMERIC) -> DataFrame:
 
     Both come from the distinct values with their ranks: the KS distance is a
     maximum over them, W needs Σ score·value, where a run of equal values adds
-    the sum of its positions' scores.  A few sums a variable reach the driver.
+    the sum of its positions' scores.  All of it is compiled expressions; a few
+    sums a variable reach the driver.
     """
     stack = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
     long = (df.selectExpr(f"stack({len(cols)}, {stack}) AS (variable, value)")
             .filter(F.col("value").isNotNull() & ~F.isnan("value")))
     vc = long.groupBy("variable", "value").agg(F.count(F.lit(1)).alias("cnt"))
-    moments = long.groupBy("variable").agg(F.avg("value").alias("_mean"), F.stddev_samp("value").alias("_sd"),
+    moments = long.groupBy("variable").agg(F.count(F.lit(1)).alias("_n"), F.avg("value").alias("_mean"), F.stddev_samp("value").alias("_sd"),
                                            F.var_pop("value").alias("_vp"))
-    ranked = cumulative_counts(vc, "value", ["variable"]).join(F.broadcast(moments), "variable")
+    found = moments.collect()  # one row a variable
+    sides = df.sparkSession.createDataFrame(
+        [(r["variable"], r["_mean"], r["_sd"], r["_vp"], first_scores(r["_n"]), behind_ends(r["_n"])) for r in found],
+        "variable string, _mean double, _sd double, _vp double, _ends array<double>, _edge double")
+    ranked = cumulative_counts(vc, "value", ["variable"]).join(F.broadcast(sides), "variable")
     z = F.try_divide(F.col("value") - F.col("_mean"), F.nullif("_sd", F.lit(0.0)))
-    below = 1 - sf_norm_udf(z)
-    n = F.col("n").cast("double")
-    scored = (ranked.withColumn("_cdf", below)
-              .withColumn("_m", _run_score_udf(F.col("cum_lo").cast("double"), F.col("cnt").cast("double"), n)))
+    n, low, count = F.col("n").cast("double"), F.col("cum_lo").cast("double"), F.col("cnt").cast("double")
+    scored = with_score_sums(ND.with_sf(ranked, z, "_above"), low, low + count, n).withColumn("_cdf", 1 - F.col("_above"))
     high = F.col("cum_lo") + F.col("cnt")
 
     def at(position):  # the value at a 1-based position
@@ -181,7 +197,7 @@ def qq_points(values: DataFrame, col: str) -> DataFrame:
     rank = F.col("cum_lo") + (F.col("cnt") + 1) / 2.0
     last = F.pow(F.lit(0.5), 1 / n)
     p = (F.when(rank == n, last).when(rank == 1, 1 - last).otherwise((rank - 0.3175) / (n + 0.365)))
-    return cc.select("ordered", "cnt", rank.alias("rank"), ppf_norm_udf(p).alias("theoretical"))
+    return ND.with_ppf(cc, p, "theoretical").select("ordered", "cnt", rank.alias("rank"), "theoretical")
 
 
 # ----------------------------------------------------------------------------- suites

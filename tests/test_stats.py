@@ -435,3 +435,37 @@ def test_spearman_ranks_each_column_once(spark):
     assert math.isclose(got["b", "a"], want["a", "b"], rel_tol=1e-9) and math.isclose(got["a", "a"], 1.0)
     assert "Expand" not in sp._jdf.queryExecution().optimizedPlan().toString()
     assert H.spearman_pairs(df.limit(0), [("a", "b")]).first()["rho"] is None
+
+
+def test_compiled_normal_functions(spark):
+    from salescope.functions import normal as ND
+    zs = [0.0, -0.0, 1e-9, *np.linspace(-36.5, 36.5, 4001)]
+    rows = ND.with_sf(spark.createDataFrame([(float(z),) for z in zs], "z double"), F.col("z"), "s").collect()
+    for r in rows:
+        assert math.isclose(r["s"], 0.5 * math.erfc(r["z"] / math.sqrt(2)), rel_tol=1e-11, abs_tol=1e-300)
+    ps = [0.5, 0.5 + 1e-12, *np.linspace(1e-4, 1 - 1e-4, 3001), *np.logspace(-296, -4, 500), 1 - 1e-9, 1 - 1e-15]
+    rows = ND.with_ppf(spark.createDataFrame([(float(p),) for p in ps], "p double"), F.col("p"), "z").collect()
+    for r in rows:
+        assert math.isclose(r["z"], D.norm_ppf(r["p"]), rel_tol=1e-9, abs_tol=1e-11)
+
+
+def test_sums_of_scores(spark):
+    from salescope.plans import reports as RP
+    for n in (3, 10, 129, 1000, 20_000):
+        scores = [RP.normal_score(i, n) for i in range(1, n + 1)]
+        upto = np.concatenate([[0], np.cumsum(scores)])
+        ks = sorted({0, 1, 2, n // 3, n // 2, n - 1, n, min(n, 64), min(n, 65), min(n, 200), max(0, n - 66)})
+        runs = [(float(a), float(b)) for a in ks for b in ks if a < b]
+        df = spark.createDataFrame([(a, b, RP.first_scores(n), RP.behind_ends(n)) for a, b in runs],
+                                   "low double, high double, _ends array<double>, _edge double")
+        got = RP.with_score_sums(df, F.col("low"), F.col("high"), F.lit(float(n)), "s").collect()
+        assert all(abs(r["s"] - (upto[int(r["high"])] - upto[int(r["low"])])) < 1e-6 for r in got)
+
+
+def test_normality_and_qq_run_without_python(spark):
+    from salescope.plans import reports as RP
+    df = _frame(spark, [(float(i % 50), float(i * i)) for i in range(300)], "a double, b double")
+    plan = RP.qq_points(df, "a")._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan
+    got = {r["variable"]: r for r in RP.normality(df, ["a", "b"]).collect()}
+    assert 0.9 < got["a"]["shapiro_stat"] < 0.97 and got["b"]["shapiro_p"] < 1e-8
