@@ -3,9 +3,8 @@
 Spark has no error function, and a Python function per value is too slow for a
 value per row.  Both functions are smooth after a change of variable, so each is
 a table of short polynomials over equal pieces of that variable, made here from
-the scalar functions of ``dist`` and joined to the rows as one broadcast row; an
-expression picks the piece and evaluates its polynomial inside the generated
-code.  The steps are columns of their own, so that none is computed twice.
+the scalar functions of ``dist``; an expression picks the piece and evaluates its
+polynomial inside the generated code.  The steps are columns of their own, so that none is computed twice.
 Relative errors are below 1e-11.
 """
 
@@ -35,16 +34,15 @@ def _table(fn, low: float, high: float, pieces: int) -> list[float]:
 def _evaluated(df: DataFrame, x: Column, table: list[float], low: float, high: float, out: str) -> DataFrame:
     """``df`` with the table's function of ``x`` as column ``out``."""
     pieces = len(table) // (_DEGREE + 1)
-    powers = [table[k::_DEGREE + 1] for k in range(_DEGREE + 1)]
-    names = [f"_c{k}" for k in range(_DEGREE + 1)]
-    one = df.sparkSession.createDataFrame([powers], ", ".join(f"{c} array<double>" for c in names))
+    # One constant array a power: folded into the generated code's references.
+    powers = [F.expr("array(" + ", ".join(f"{c!r}D" for c in table[k::_DEGREE + 1]) + ")") for k in range(_DEGREE + 1)]
     df = df.withColumn("_x", (x - low) * (pieces / (high - low)))
     df = df.withColumn("_piece", F.least(F.greatest(F.floor("_x"), F.lit(0)), F.lit(pieces - 1)).cast("int"))
-    df = df.withColumn("_place", (F.col("_x") - F.col("_piece")) * 2 - 1).crossJoin(F.broadcast(one))  # one row
-    value = F.get(names[-1], F.col("_piece"))
-    for c in names[-2::-1]:
+    df = df.withColumn("_place", (F.col("_x") - F.col("_piece")) * 2 - 1)
+    value = F.get(powers[-1], F.col("_piece"))
+    for c in powers[-2::-1]:
         value = value * F.col("_place") + F.get(c, F.col("_piece"))
-    return df.withColumn(out, value).drop("_x", "_piece", "_place", *names)
+    return df.withColumn(out, value).drop("_x", "_piece", "_place")
 
 
 def _scaled_tail(t: float) -> float:

@@ -13,8 +13,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings the library relies on: UTC so that timestamps mean the same thing as
-# in the oracle, AQE for coalescing / skew-join splitting at run time.
+# in the oracle, AQE for coalescing / skew-join splitting at run time.  Methods of more
+# than 8000 bytes of code are never compiled by the JVM: Spark then splits them.
 _DEFAULTS = {
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
