@@ -1,14 +1,16 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-Seeds are the word 3-grams of the test items.  A first pass over all documents
-counts in how many of them each seed occurs; the rarest ``RARE`` of an item's
-seeds (with all ties) are its rare seeds: the share is relative, so an item
+Seeds are three words of a test item in order, out of three or four in a row
+(``SHAPES``), so that an item with every third word replaced still has two ninths
+of them.  A first pass over all documents counts in how many of them each seed
+occurs; the commonest seeds of an item, fewer than that share, are put aside, and
+the rest (with all ties) are its rare seeds: the share is relative, so an item
 copied into a third of the corpus keeps its seeds.  A second pass joins every
-document's 3-grams to the rare seeds; around each hit the document's words are
+document's seeds to the rare ones; around each hit the document's words are
 aligned to the item by Smith-Waterman (``MATCH``, ``MISMATCH``, ``GAP`` a word),
-and the score is the best local alignment over that of the whole item.  Pairs
-that reach ``THRESHOLD`` are matches: copies, edited copies and paraphrases that
-keep some runs of three words.
+and the score is the best local alignment over that of the whole item.  Windows
+that lack too many of the item's words to reach the threshold are not aligned.
+Pairs that reach ``THRESHOLD`` are matches: copies, edited copies and paraphrases.
 
 The items are a stated query set: they are sent to the tasks in blocks of at
 most about ``BLOCK_BYTES``, one pair of passes a block, so the size of the
@@ -25,7 +27,7 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -34,53 +36,65 @@ from pyspark.sql import types as T
 
 from salescope.llm.common import map_texts
 
-SEED_WORDS = 3
-RARE = 0.75
+#: Words of a seed, from its first.
+SHAPES = ((0, 1, 2), (0, 1, 3), (0, 2, 3))
+#: Share of an item's seeds that are looked for; an item with every third word replaced keeps 2 / 9.
+RARE = 0.8
 MATCH, MISMATCH, GAP = 2, -1, -1
 THRESHOLD = 0.5
 BLOCK_BYTES = 16 << 20
 _WORD = re.compile(r"\w+")
-_BITS = 21  # bits of a word's number in a seed
+_ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
 @dataclass
 class Items:
-    """A block of items as word numbers, and their seeds as sorted numbers."""
+    """A block of items as word numbers, and where their seeds stand."""
     ids: list
     words: list[np.ndarray]
     vocab: dict[str, int]
-    seeds: np.ndarray
-    places: dict[int, list[tuple[int, int]]] = field(default_factory=dict)  # seed -> (item, offset)
+    seeds: np.ndarray   # in order
+    starts: np.ndarray  # seed -> its first place; one more at the end
+    item: np.ndarray    # place -> item
+    offset: np.ndarray  # place -> first word
 
-    def only(self, keep: dict[int, set[int]]) -> Items:
-        """With the seeds ``keep`` has for each item."""
-        places = {s: [p for p in at if p[0] in keep.get(s, ())] for s, at in self.places.items()}
-        places = {s: at for s, at in places.items() if at}
-        return Items(self.ids, self.words, self.vocab, np.array(sorted(places), dtype=np.int64), places)
 
+def _codes(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First words and 64-bit codes of the seeds that have words of items only."""
+    known, x = numbers > 0, numbers.astype(np.uint64)
+    at, codes = [], []
+    for _, second, third in SHAPES:
+        n = max(len(numbers) - third, 0)
+        here = np.flatnonzero(known[:n] & known[second:second + n] & known[third:third + n])
+        code = (x[here] * _ODD[0] + x[here + second]) * _ODD[1] + x[here + third]
+        at.append(here)
+        codes.append((code ^ code >> np.uint64(29)).view(np.int64))
+    return np.concatenate(at), np.concatenate(codes)
 
-def _codes(numbers: np.ndarray) -> np.ndarray:
-    """3-grams of word numbers; 0 where a word is not of any item."""
-    if len(numbers) < SEED_WORDS:
-        return np.zeros(0, dtype=np.int64)
-    a, b, c = numbers[:-2], numbers[1:-1], numbers[2:]
-    return np.where((a > 0) & (b > 0) & (c > 0), a << (2 * _BITS) | b << _BITS | c, 0)
+
+def _seeded(ids: list, words: list, vocab: dict, code: np.ndarray, item: np.ndarray, offset: np.ndarray) -> Items:
+    order = np.argsort(code, kind="stable")
+    seeds, starts = np.unique(code[order], return_index=True)
+    return Items(ids, words, vocab, seeds, np.append(starts, len(code)), item[order], offset[order])
 
 
 def _items(rows: list) -> Items:
     vocab: dict[str, int] = {}
-    ids, words = [], []
-    places: dict[int, list[tuple[int, int]]] = defaultdict(list)
+    ids, words, codes, items, offsets = [], [], [], [], []
     for item_id, text in rows:
         tokens = _WORD.findall((text or "").lower())
-        if len(tokens) < SEED_WORDS:
+        if len(tokens) < len(SHAPES[0]):
             continue
         numbers = np.array([vocab.setdefault(w, len(vocab) + 1) for w in tokens], dtype=np.int64)
-        for at, code in enumerate(_codes(numbers).tolist()):
-            places[code].append((len(ids), at))
+        at, code = _codes(numbers)
+        codes.append(code)
+        items.append(np.full(len(at), len(ids), dtype=np.int32))
+        offsets.append(at.astype(np.int32))
         ids.append(item_id)
         words.append(numbers)
-    return Items(ids, words, vocab, np.array(sorted(places), dtype=np.int64), dict(places))
+    code, item, offset = (np.concatenate([*x, np.zeros(0, t)])
+                          for x, t in ((codes, np.int64), (items, np.int32), (offsets, np.int32)))
+    return _seeded(ids, words, vocab, code, item, offset)
 
 
 def _numbers(text: str, vocab: dict[str, int]) -> np.ndarray:
@@ -90,14 +104,13 @@ def _numbers(text: str, vocab: dict[str, int]) -> np.ndarray:
 
 def _hits(numbers: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places of seeds in a document, and which."""
-    codes = _codes(numbers)
-    at = np.flatnonzero(codes)
+    at, codes = _codes(numbers)
     if not len(at) or not len(seeds):
         return at[:0], at[:0]
-    k = np.searchsorted(seeds, codes[at])
+    k = np.searchsorted(seeds, codes)
     k[k == len(seeds)] = 0
-    ok = seeds[k] == codes[at]
-    return at[ok], codes[at][ok]
+    ok = seeds[k] == codes
+    return at[ok], k[ok]
 
 
 def align(words: np.ndarray, item: np.ndarray) -> tuple[int, int, int]:
@@ -118,14 +131,18 @@ def align(words: np.ndarray, item: np.ndarray) -> tuple[int, int, int]:
     return best
 
 
-def best_alignment(numbers: np.ndarray, item: np.ndarray, hits: list[tuple[int, int]]) -> tuple[float, int, int]:
-    """Score (share of a perfect one) and words [start, end) of the item's best place around ``hits``."""
+def best_alignment(numbers: np.ndarray, item: np.ndarray, hits: list[int],
+                   threshold: float = 0.0) -> tuple[float, int, int]:
+    """Score (share of a perfect one) and words [start, end) of the item's best place of ``threshold`` or more.
+
+    ``hits`` are places in the document at which the item would start.
+    """
     m = len(item)
     slack = m // 2 + 1
     found = (0.0, 0, 0)
     low = high = None
     windows = []
-    for start in sorted({at - offset for at, offset in hits}):
+    for start in sorted(set(hits)):
         if high is not None and start - slack <= high:
             high = start + m + slack
             continue
@@ -136,6 +153,8 @@ def best_alignment(numbers: np.ndarray, item: np.ndarray, hits: list[tuple[int,
     for low, high in windows:
         low = max(low, 0)
         part = numbers[low:high]
+        if np.isin(item, part).sum() < threshold * m:  # a match for each of these words at most
+            continue
         score, end, item_end = align(part, item)
         if score / (MATCH * m) > found[0]:
             back = align(part[:end][::-1], item[:item_end][::-1])
@@ -144,18 +163,16 @@ def best_alignment(numbers: np.ndarray, item: np.ndarray, hits: list[tuple[int,
 
 
 def _rare(items: Items, counts: dict[int, int]) -> Items:
-    keep: dict[int, set[int]] = defaultdict(set)
-    by_item: dict[int, set[int]] = defaultdict(set)
-    for seed, places in items.places.items():
-        for item, _ in places:
-            by_item[item].add(seed)
-    for item, seeds in by_item.items():
-        known = sorted(counts.get(s, 0) for s in seeds)
-        most = known[max(0, int(np.ceil(RARE * len(known))) - 1)]
-        for s in seeds:
-            if counts.get(s, 0) <= most:
-                keep[s].add(item)
-    return items.only(keep)
+    """With the rarest seeds of each item only."""
+    n = np.zeros(len(items.seeds), dtype=np.int64)
+    n[np.fromiter(counts, np.int64, len(counts))] = np.fromiter(counts.values(), np.int64, len(counts))
+    seed = np.repeat(np.arange(len(items.seeds)), np.diff(items.starts))
+    own = np.unique(np.stack([items.item.astype(np.int64), n[seed], seed]), axis=1)  # each seed of an item once
+    first, size = np.unique(own[0], return_index=True, return_counts=True)[1:]
+    most = np.zeros(len(items.ids), dtype=np.int64)
+    most[own[0][first]] = own[1][first + np.ceil(RARE * size).astype(np.int64) - 1]
+    keep = n[seed] <= most[items.item]
+    return _seeded(items.ids, items.words, items.vocab, items.seeds[seed[keep]], items.item[keep], items.offset[keep])
 
 
 def _matches_of(rows: DataFrame, items: Items, item_type: T.DataType, item_col: str, threshold: float) -> DataFrame:
@@ -189,13 +206,13 @@ def _matches_of(rows: DataFrame, items: Items, item_type: T.DataType, item_col:
                 if not text:
                     continue
                 numbers = _numbers(text, block.vocab)
-                at: dict[int, list[tuple[int, int]]] = defaultdict(list)
-                for place, code in zip(*(x.tolist() for x in _hits(numbers, block.seeds)), strict=True):
-                    for item, offset in block.places[code]:
-                        at[item].append((place, offset))
+                at: dict[int, list[int]] = defaultdict(list)
+                for place, seed in zip(*(x.tolist() for x in _hits(numbers, block.seeds)), strict=True):
+                    for k in range(block.starts[seed], block.starts[seed + 1]):
+                        at[int(block.item[k])].append(place - int(block.offset[k]))
                 tokens = None
                 for item, hits in at.items():
-                    score, start, end = best_alignment(numbers, block.words[item], hits)
+                    score, start, end = best_alignment(numbers, block.words[item], hits, threshold)
                     if score >= threshold:
                         tokens = tokens or list(_WORD.finditer(text.lower()))
                         a, b = tokens[start].start(), tokens[end - 1].end()
