@@ -47,6 +47,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def others(df: DataFrame, *outputs: str) -> list[Column]:
+    """The columns of ``df`` that do not have the name of an output column, in either case."""
+    taken = {c.lower() for c in outputs}
+    return [F.col(f"`{c}`") for c in df.columns if c.lower() not in taken]
+
+
 #: Bytes of text that a task works on at a time.
 SLICE_BYTES = 4 << 20
 

@@ -17,7 +17,8 @@ other row; a document with several label rows counts once per label row, a
 document that is there twice is two rows; null labels are left out; without
 labelled rows, or with one class only, every score is the (smoothed) share of
 good labels; texts of any length are read whole; an empty table gives an empty
-result; labels, ids and other columns are never inputs of a score.
+result; labels, ids and other columns are never inputs of a score; input columns
+named ``score`` or ``predicted`` give way to the operator's.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salescope.llm.common import slices
+from salescope.llm.common import others, slices
 
 TRAIN_ROWS = 20_000
 TREES, DEPTH, BINS = 120, 4, 64
@@ -207,6 +208,5 @@ def score(docs: DataFrame, model: BoostedTrees, text_col: str = "text") -> DataF
     def scored(text: pd.Series) -> pd.Series:
         return pd.Series(shared.value.score(features([t if isinstance(t, str) else None for t in text])))
 
-    out = docs.withColumn("_score", scored(F.col(text_col)))
-    return out.select(*docs.columns, F.col("_score").alias("score"),
-                      (F.col("_score") >= GOOD).cast("int").alias("predicted"))
+    out = docs.select(*others(docs, "score", "predicted"), scored(docs[text_col]).alias("score"))
+    return out.withColumn("predicted", (F.col("score") >= GOOD).cast("int"))

@@ -61,8 +61,7 @@ def test_code_lengths_against_the_definition():
         language_id.CHUNK = chunk
 
 
-def test_a_small_language_keeps_its_contexts(monkeypatch):
-    monkeypatch.setattr(language_id, "MAX_CONTEXTS", 50)
+def test_every_language_keeps_its_contexts():
     large, small = [(97 + k // 26, 97 + k % 26, 122) for k in range(100)], [(65 + k, 65, 66) for k in range(20)]
     frame = pd.DataFrame([(lang, int.from_bytes(bytes([*c, 120]), "big"), n)
                           for lang, contexts, n in (("aa", large, 100), ("bb", small, 10)) for c in contexts],
@@ -73,7 +72,30 @@ def test_a_small_language_keeps_its_contexts(monkeypatch):
         last = model.two[context[1] << 8 | context[2]]
         return model.three[last << 8 | context[0]] != last
 
-    assert all(map(own, small)) and sum(map(own, large)) == 50
+    assert all(map(own, small)) and all(map(own, large))
+
+
+def test_model_grows_with_the_counts_of_its_languages():
+    rng = np.random.default_rng(5)
+    words = [[bytes(rng.integers(97, 123, rng.integers(2, 7)).tolist()) for _ in range(60)] for _ in range(50)]
+    texts = [b" ".join(own[k] for k in rng.integers(0, 60, 400)) for own in words]
+    frame = pd.concat([pd.DataFrame({"lang": f"l{k:02}", "gram": grams.astype(np.int64), "n": n}) for k, t in enumerate(texts)
+                       for grams, n in [np.unique(language_id._grams(np.frombuffer(language_id.START + t, np.uint8)),
+                                                  return_counts=True)]])
+    model = language_id.build_model(frame)
+    assert len(model.keys) <= 3 * len(frame)
+    langs, _, gains = language_id.predict(model, [b" ".join(own[::-1]).decode() for own in words])
+    assert langs == [f"l{k:02}" for k in range(50)] and (gains > 0).all()
+
+
+def test_gain_tells_texts_of_no_language(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    fold = language_id.held_out(F.col("doc_id"), 3, 1)
+    model = language_id.train(docs.where(~fold))
+    texts = ["qzx vjw kqx zzxq", "xkcd wqrt zzz pqx jjv", "Это русский текст, которого никто не учил.", "これは日本語の文章です。"]
+    assert (language_id.predict(model, texts)[2] <= 0).all()
+    clean = docs.where(fold).toPandas()
+    assert (language_id.predict(model, list(clean.text))[2] > 0).mean() == 1
 
 
 def test_language_held_out_accuracy(spark):
@@ -88,11 +110,15 @@ def test_language_held_out_accuracy(spark):
 
 def test_language_odd_rows(odd, nothing):
     model = language_id.train(odd)
-    out = {r.doc_id: (r.lang_pred, r.score) for r in language_id.identify(odd.drop("score"), model).collect()}
+    out = {r.doc_id: (r.lang_pred, r.score) for r in language_id.identify(odd, model).collect()}
+    wide = odd.withColumnRenamed("kept", "Lang_Pred").withColumnRenamed("_id", "_found")
+    clash = language_id.identify(wide, model)
+    assert clash.columns == ["doc_id", "text", "lang", "source", "n_chars", "_found", "lang_pred", "score", "gain"]
+    assert {(r._found, r.lang_pred) for r in clash.where("doc_id = 4").collect()} == {("clash", "en")}
     assert out[1] == out[2] == out[3] == ("und", 0.0)
     assert out[4] == out[6] == ("en", 1.0)
-    assert language_id.identify(nothing.drop("score"), language_id.train(nothing)).count() == 0
-    assert language_id.identify(odd.drop("score"), None).where("lang_pred <> 'und'").count() == 0
+    assert language_id.identify(nothing, language_id.train(nothing)).count() == 0
+    assert language_id.identify(odd, None).where("lang_pred <> 'und'").count() == 0
 
 
 def test_quality_held_out_accuracy(spark):
@@ -132,9 +158,9 @@ def test_class_counts_over_chunks(monkeypatch):
 def test_quality_odd_rows(spark, odd, nothing):
     labels = spark.createDataFrame([(4, 1, None), (4, 1, 1), (5, 0, 1), (6, None, 0), (None, 1, 1), (99, 1, 1)],
                                    "doc_id long, quality int, toxic int")
-    docs = odd.drop("score")
+    docs = odd.withColumnRenamed("kept", "Predicted").withColumnRenamed("_id", "_score")
     out = quality.score(docs, quality.train(docs, labels)).collect()
-    assert len(out) == 7 and all(0 <= r.score <= 1 for r in out)
+    assert len(out) == 7 and all(0 <= r.score <= 1 and r._score == "clash" and r.predicted in (0, 1) for r in out)
     one_class = quality.train(docs, labels.where("quality = 1"))
     assert {round(r.score, 6) for r in quality.score(docs, one_class).collect()} == {0.75}
-    assert quality.score(nothing.drop("score"), quality.train(nothing, labels.limit(0))).count() == 0
+    assert quality.score(nothing, quality.train(nothing, labels.limit(0))).count() == 0
