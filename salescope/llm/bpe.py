@@ -249,12 +249,11 @@ _OUTPUTS = {
     "n_tokens": T.LongType(), "ids": T.ArrayType(T.IntegerType(), False), "ids_sha256": T.StringType(),
     "decoded": T.StringType(), "decoded_sha256": T.StringType(),
 }
-_LOADED: dict[int, tuple[TextEncoder, Decoder]] = {}
+_LOADED: dict[str, tuple[TextEncoder, Decoder]] = {}
 
 
-def _tools(shared: Broadcast) -> tuple[TextEncoder, Decoder]:
-    """Encoder and decoder of this worker, built once from the broadcast vocabulary."""
-    key = id(shared.value)
+def _tools(shared: Broadcast, key: str) -> tuple[TextEncoder, Decoder]:
+    """Encoder and decoder of this worker, built once from the broadcast vocabulary with digest ``key``."""
     if key not in _LOADED:
         _LOADED.clear()
         _LOADED[key] = (TextEncoder(shared.value), Decoder(shared.value))
@@ -265,12 +264,14 @@ def encode_decode(docs: DataFrame, vocabulary_path: str, outputs: tuple[str, ...
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id and the named ``outputs`` (any of n_tokens, ids, ids_sha256,
     decoded, decoded_sha256); decoded is made from the ids."""
-    shared = docs.sparkSession.sparkContext.broadcast(load_vocabulary(vocabulary_path))
+    vocabulary = load_vocabulary(vocabulary_path)
+    digest = hashlib.sha256(json.dumps(vocabulary).encode()).hexdigest()
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
     rows = docs.select(docs[id_col].alias("_id"), docs[text_col].alias("_text"))
     wants = set(outputs)
 
     def make():
-        encoder, decoder = _tools(shared)
+        encoder, decoder = _tools(shared, digest)
 
         def work(texts: list[str | None], _) -> dict:
             found: dict[str, list] = {k: [] for k in outputs}
