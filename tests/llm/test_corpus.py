@@ -48,6 +48,7 @@ def test_best_fit_decreasing_against_a_scan():
         free[b] -= s
         want.append(b)
     got = sharding.best_fit_decreasing(sizes, 100)
+    assert list(got) == want
     load = Counter()
     for s, b in zip(sizes, got, strict=True):
         load[b] += s
@@ -226,6 +227,22 @@ def test_contamination(spark):
             assert 0.5 <= r.score < 1
 
 
+def test_every_third_word_replaced_or_one_put_in(spark):
+    rng = np.random.default_rng(17)
+    items = [(k, prose(rng, n)) for k, n in enumerate([9, 12, 20, 30, 41, 60] * 4)]
+    rows = []
+    for k, text in items:
+        words = text.split()
+        rows.append((k, " ".join("changed" if j % 3 == 2 else w for j, w in enumerate(words))))
+        rows.append((100 + k, " ".join(w + " inserted" if j % 2 else w for j, w in enumerate(words))))
+        rows.append((200 + k, " ".join(w for j, w in enumerate(words) if j % 4 != 3)))
+    rows = [(i, f"{prose(rng, 50)} {t} {prose(rng, 50)}") for i, t in rows]
+    rows += [(300 + i, rows[0][1]) for i in range(60)]  # frequent copies do not hide their seeds
+    out = decontaminate.matches(docs(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id % 100, r.item_id) for r in out if r.doc_id < 300} == {(k, k) for k in range(24)}
+    assert len({r.doc_id for r in out if r.doc_id < 300}) == 72 and sum(r.doc_id >= 300 for r in out) == 60
+
+
 def test_contamination_in_blocks_and_odd_rows(spark, odd, nothing, monkeypatch):
     bench = spark.createDataFrame([(1, "equal words here five of"), (2, "long long long"), (3, None)],
                                   "item_id long, text string")

@@ -67,22 +67,19 @@ def test_op3_and_op4(spark, docs, name, parts, fold):
         assert (out.lang_pred.to_numpy() == docs.lang.to_numpy())[out.held_out].mean() > 0.95
 
 
-def shared_runs(text, item):
-    a, b = (re.findall(r"\w+", t.lower()) for t in (text, item))
-    return {tuple(a[k:k + 3]) for k in range(len(a) - 2)} & {tuple(b[k:k + 3]) for k in range(len(b) - 2)}
-
-
 def brute_matches(rows, items):
-    """Pairs by the full alignment of every item to every document with which it shares three words in a row."""
-    found = set()
+    """Pairs by the full alignment of every item to every document that has enough of its words, in whatever order."""
+    found, goals = set(), []
+    for k, item in items:
+        goal = re.findall(r"\w+", item.lower())
+        number = {w: n for n, w in enumerate(dict.fromkeys(goal), 1)}
+        goals.append((k, goal, number, np.array([number[w] for w in goal])))
     for i, text in rows:
-        for k, item in items:
-            if shared_runs(text, item):
-                words = re.findall(r"\w+", text.lower())
-                goal = re.findall(r"\w+", item.lower())
-                number = {w: n for n, w in enumerate(dict.fromkeys(goal), 1)}
-                score, _, _ = decontaminate.align(np.array([number.get(w, 0) for w in words]),
-                                                  np.array([number[w] for w in goal]))
+        words = re.findall(r"\w+", text.lower())
+        there = set(words)
+        for k, goal, number, numbers in goals:
+            if sum(w in there for w in goal) >= decontaminate.THRESHOLD * len(goal):  # two for each at most
+                score, _, _ = decontaminate.align(np.array([number.get(w, 0) for w in words]), numbers)
                 if score / (2 * len(goal)) >= decontaminate.THRESHOLD:
                     found.add((i, k))
     return found
@@ -121,9 +118,9 @@ def brute_pipeline(docs, items):
         grams.update((lang, int.from_bytes(raw[k - 3:k + 1], "big")) for k in range(3, len(raw)))
     model = language_id.build_model(pd.DataFrame([(lang, g, n) for (lang, g), n in grams.items()],
                                                  columns=["lang", "gram", "n"]))
-    langs, scores = language_id.predict(model, list(docs.text))
-    rows = [(i, t) for i, t, lang, s in zip(docs.doc_id, docs.text, langs, scores, strict=True)
-            if lang != "und" and s >= 0.5]
+    langs, _, gains = language_id.predict(model, list(docs.text))
+    rows = [(i, t) for i, t, lang, gain in zip(docs.doc_id, docs.text, langs, gains, strict=True)
+            if lang != "und" and gain > 0]
     rows = [(i, kept) for i, (kept, _, _) in brute_lines(rows).items()]
     classes = brute_classes(rows)
     rows = [(i, t) for i, t in rows if classes[i] == i]
@@ -143,8 +140,11 @@ def test_stages_on_odd_rows(spark, odd, nothing):
     # Ids of which the fourth and the sixth are not in the held-out fold.
     more = next(m for m in range(100) if all(zlib.crc32(str(k + m).encode()) % 3 != 1 for k in (4, 6)))
     odd = odd.withColumn("doc_id", odd.doc_id + more).select(odd.columns)
-    odd = odd.unionByName(odd.limit(1).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "'a text without an id' AS text", "lang",
-                                                  "source", "n_chars", "_id", "score", "kept"))
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first().text.replace("'", "")
+    for i, text in ((None, "Equal words here without an id"), (None, f"Equal words here {item}"),
+                    (4 + more, "Equal words here of them but another text")):
+        odd = odd.unionByName(odd.limit(1).selectExpr(f"CAST({i or 'NULL'} AS BIGINT) AS doc_id", f"'{text}' AS text", "'en' AS lang",
+                                                      "source", "n_chars", "_id", "score", "kept"))
     for start in (odd, nothing):
         frame = start
         for name, stage in corpus_pipeline.STAGES:
@@ -152,5 +152,5 @@ def test_stages_on_odd_rows(spark, odd, nothing):
             if name != corpus_pipeline.STAGES[-1][0]:
                 assert tuple(frame.columns) == corpus_pipeline.COLUMNS
             frame = spark.createDataFrame(frame.collect(), frame.schema)
-        got = sorted(r.doc_id for r in frame.collect())
-        assert got == ([4 + more, 6 + more] if start is odd else [])
+        got = sorted(r.doc_id or -1 for r in frame.collect())
+        assert got == ([-1, 4 + more, 4 + more, 6 + more] if start is odd else [])
