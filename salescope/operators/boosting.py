@@ -229,13 +229,19 @@ def grow(fetch, rows: int, rate: float, leaves: int, l2: float, min_leaf: int) -
             known.update(zip(divide(*top[1:]), known[top[1]].children(*top[2:]), strict=True))
         elif top[1] not in below:
             # One pass for all leaves that can still be split, were nothing better found below them.
-            wanted, small = [], []
+            wanted, small, rest = [], [], []
             for _, node, feature, cut in heapq.nsmallest(leaves - len(final), open_):
                 if node not in below and known[node].bins is None:
                     n = known[node].n[feature]
-                    for child, size in zip(divide(node, feature, cut), (n[:cut + 1].sum(), n[cut + 1:].sum()), strict=True):
+                    children = sorted(zip((n[:cut + 1].sum(), n[cut + 1:].sum()), divide(node, feature, cut), strict=True))
+                    if children[0][0] > GATHER:
+                        # Sums are exact, so those of the larger child are what its sibling leaves of its parent's.
+                        rest.append((node, children[0][1], children.pop()[1]))
+                    for size, child in children:
                         (small if size <= GATHER else wanted).append(child)
             known.update(fetch(tree, wanted, small)[0])
+            for node, lesser, larger in rest:
+                known[larger] = Leaf(known[node].g - known[lesser].g, known[node].n - known[lesser].n)
         heapq.heappop(open_)
         final.remove(top[1])
         final.update(below[top[1]])

@@ -102,3 +102,20 @@ def test_stops_when_nothing_is_gained(spark):
     y = (x[:, 0] > 19).astype(float)
     model = B.fit(frame(spark, x, y), ["x0"], F.col("y"), rounds=200, rate=1.0, l2=0.0)
     assert len(model.trees) < 15 and model.losses[-1] < 1e-12
+
+
+def test_one_of_two_large_children_is_summed(spark, monkeypatch):
+    """The other one's sums are its parent's less its sibling's."""
+    monkeypatch.setattr(B, "GATHER", 0)
+    asked, fetched = [], B._fetched
+
+    def counted(blocks, tree, wanted, *rest):
+        asked.append(len(wanted))
+        return fetched(blocks, tree, wanted, *rest)
+
+    monkeypatch.setattr(B, "_fetched", counted)
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 40, (300, 2)).astype(float)
+    model = B.fit(frame(spark, x, x[:, 0] + (x[:, 1] > 20) + rng.random(300)), ["x0", "x1"], F.col("y"), rounds=1, leaves=8, min_leaf=5)
+    nodes = sum(f < 0 for f in model.trees[0].feature) * 2 - 1
+    assert nodes > 8 and sum(asked) <= 1 + sum(2 ** k for k in range(len(asked) - 1))
