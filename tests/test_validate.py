@@ -184,3 +184,34 @@ def test_check_digit_any_length(spark):
         "".join(rnd.choice("0123456789") for _ in range(rnd.randint(1, 90))) for _ in range(500)]
     got = _eval(spark, P.check_digit, bodies)
     assert got == [_check_digit_brute(b) for b in bodies]
+
+
+def test_rule_filters_split_a_line_once(spark):
+    """The filter on a rule holds no copy of the split for each field it looks at."""
+    lines = spark.createDataFrame([(1, FIXTURE.strip("\n").split("\n")[1])], "record_no long, line string")
+    rules = V.rule_columns(V.split_fields(lines))
+    found = rules.filter(~F.col("fails_arity") & F.col("empty_field").isNotNull()).select("record_no", "empty_field")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") <= 1 and found.collect() == []
+
+
+def test_long_ids_and_other_text_have_the_digit_of_the_rule(spark):
+    bodies = ["", "7", "123456789012", "1234567890123", "9" * 30]
+    assert _eval(spark, P.check_digit, [*bodies, "12a", "12\n"]) == [*map(_check_digit_brute, bodies), None, None]
+
+
+def test_ordered_lines_are_rendered_behind_the_exchange(spark, tmp_path):
+    from salescope.sources.sinks import write_ordered_lines
+    rows = spark.createDataFrame([(k, k % 3) for k in range(50, 0, -1)], "at long, x long")
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def text(x):
+        made.add(1)
+        return f"line {x}"
+
+    write_ordered_lines(rows, f"{tmp_path}/t", "at", ["head"], compression="gzip",
+                        render=lambda df, keep: df.select(*keep, text("at").alias("line")))
+    got = [r.value for r in spark.read.text(f"{tmp_path}/t").select("value", "_metadata.file_name").orderBy("file_name").collect()]
+    assert sorted(got) == sorted(["head", *(f"line {k}" for k in range(1, 51))]) and got[0] == "head"
+    assert made.value <= 51  # the exchange's sample and its rows do not make the text
