@@ -125,3 +125,16 @@ def test_quarantine_file_with_its_heading(spark, tmp_path):
     assert body[:2] == QUARANTINE_HEADING and [int(x.split(":")[0]) for x in body[2:]] == list(range(100))
     got = {r["reason"]: r["n"] for r in V.discard_summary(spark.read.text(f"{tmp_path}/q"), "value").collect()}
     assert got == {"EDAD": 34, "RUN": 66, "total": 100}
+
+
+def test_plain_records_need_one_join_and_quotes_one_pass(spark, tmp_path):
+    from salescope.sources import text as TX
+    for name, body in (("plain", "a;b\r\n\n1;2\"\n3;4"), ("quoted", 'a;b\n1;"x\ny"\n2;"p\n"q;"\nr"\n3;z\r\n')):
+        (tmp_path / name).write_bytes(body.encode())
+    records = TX.numbered_records(TX.scan_lines(spark, f"{tmp_path}/plain"))
+    assert sorted((r["ordinal"], r["text"]) for r in records.collect()) == [(0, "a;b"), (1, ""), (2, '1;2"'), (3, "3;4")]
+    assert records._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+    quoted = TX.numbered_records(TX.scan_lines(spark, f"{tmp_path}/quoted"))
+    assert sorted((r["ordinal"], r["text"]) for r in quoted.collect()) == [
+        (0, "a;b"), (1, '1;"x\ny"'), (2, '2;"p\n"q;"\nr"'), (3, "3;z")]
+    assert TX._splits(TX.scan_lines(spark, f"{tmp_path}/plain"), ";")._jdf.queryExecution().optimizedPlan().toString().count("text") == 0

@@ -215,3 +215,43 @@ def test_ordered_lines_are_rendered_behind_the_exchange(spark, tmp_path):
     got = [r.value for r in spark.read.text(f"{tmp_path}/t").select("value", "_metadata.file_name").orderBy("file_name").collect()]
     assert sorted(got) == sorted(["head", *(f"line {k}" for k in range(1, 51))]) and got[0] == "head"
     assert made.value <= 51  # the exchange's sample and its rows do not make the text
+
+
+def test_failing_rows_make_only_the_fields_in_question(spark):
+    lines = [line for line in FIXTURE.strip("\n").split("\n")[1:]]
+    df = spark.createDataFrame([*enumerate(lines, 1)], "record_no long, line string")
+    for flag in ("fails_age",):
+        bad = ~F.col("fails_arity") & F.col(flag)
+        got = V.failing(V.split_fields(df), bad, ["record_no", "gender"])
+        assert sorted(got.collect()) == sorted(V.rule_columns(V.split_fields(df)).filter(bad).select("record_no", "gender").collect())
+    plan = V.failing(V.split_fields(df), ~F.col("fails_arity") & F.col("fails_gender"), ["record_no"])
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("split(") == 1 and text.count("trim(") == 1  # the gender's
+
+
+def test_text_of_amounts_is_that_of_format_string(spark):
+    import random
+    from salescope.sources.sales import _fixed_point
+    rnd = random.Random(3)
+    odd = [0.0, -0.0, None, float("nan"), float("inf"), -1.005, 1.005, 2.675, 0.00005, 0.99995, 1e12, 9.99999999999e11, 1e15, 5e-324]
+    df = spark.createDataFrame([(x,) for x in odd + [rnd.random() * 10 ** rnd.randint(-6, 11) for _ in range(3000)]]
+                               + [(k / 1000,) for k in range(3000)], "x double")
+    for places in (2, 4):
+        rows = df.select("x", _fixed_point("x", places).alias("a"), F.format_string(f"%.{places}f", "x").alias("b")).collect()
+        assert [r for r in rows if r["a"] != r["b"]] == []
+
+
+def test_check_digit_of_integers(spark):
+    numbers = [0, 7, 1000000, 1014999, 999999999999, 10 ** 12, 10 ** 17 + 3, -5, None, *range(1000100, 1000300)]
+    df = spark.createDataFrame([(n,) for n in numbers], "n long")
+    got = [r[0] for r in df.select(P.check_digit_of_int(F.col("n"))).collect()]
+    assert got == [None if n is None or n < 0 else _check_digit_brute(str(n)) for n in numbers]
+
+
+def test_shuffles_begin_with_partitions_by_input_size(spark):
+    from salescope.session import SHUFFLE_BYTES, shuffle_by_size
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    shuffle_by_size(spark, 100 * SHUFFLE_BYTES + 1)
+    assert spark.conf.get(name) == "101"
+    shuffle_by_size(spark, 0)
+    assert spark.conf.get(name, None) is None
