@@ -14,11 +14,10 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salescope.functions.dist import chi2_sf, f_sf, t_ppf, t_sf
-from salescope.operators.ranks import cumulative_counts
 
 # Predictors of the original model frames.
 MODEL_REQUIRED = ["amount", "units", "discount", "age", "purchase_frequency"]
@@ -36,9 +35,25 @@ def hash_key(key_cols: Sequence[str], seed: int = 42):
     return F.conv(F.substring(h, 1, 15), 16, 10).cast("bigint")
 
 
+#: Hashes have 60 bits; the first 16 say which of 65 536 ranges one is in.
+RANGE_SHIFT = 44
+
+
 def _cut(hashes: DataFrame, rows) -> DataFrame:
-    """One row: ``_cut``, the hash of the ``rows``-th row in hash order, and ``_before``, the rows below it."""
-    cc = cumulative_counts(hashes.groupBy("_h").agg(F.count(F.lit(1)).alias("cnt")), "_h")
+    """One row: ``_cut``, the hash of the ``rows``-th row in hash order, and ``_before``, the rows below it.
+
+    Rows are counted by range of the hash first; only the range in which the cut
+    falls, one row in 65 536, is then ordered.
+    """
+    top, one = F.shiftright("_h", RANGE_SHIFT), Window.partitionBy(F.lit(0))
+    below = lambda order: F.coalesce(
+        F.sum("cnt").over(one.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranges = hashes.groupBy(top.alias("_top")).agg(F.count(F.lit(1)).alias("cnt"))
+    ranges = ranges.select("_top", below("_top").alias("_off"), F.sum("cnt").over(one).alias("n"))
+    at = ranges.filter(F.col("_off") < rows).agg(F.max(F.struct("_top", "_off", "n")).alias("_at")).select("_at.*")
+    inside = (hashes.select("_h").join(F.broadcast(at), top == F.col("_top"))
+              .groupBy("_h", "_off", "n").agg(F.count(F.lit(1)).alias("cnt")))
+    cc = inside.withColumn("cum_lo", F.col("_off") + below("_h"))
     return cc.filter(F.col("cum_lo") < rows).agg(F.max("_h").alias("_cut"), F.max("cum_lo").alias("_before"))
 
 

@@ -151,8 +151,9 @@ def normality(df: DataFrame, cols=NUMERIC) -> DataFrame:
     sums a variable reach the driver.
     """
     stack = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
+    # ``variable`` is never NULL; saying so keeps the readers of the counts on one shuffle (the join below asks for it).
     long = (df.selectExpr(f"stack({len(cols)}, {stack}) AS (variable, value)")
-            .filter(F.col("value").isNotNull() & ~F.isnan("value")))
+            .filter(F.col("variable").isNotNull() & F.col("value").isNotNull() & ~F.isnan("value")))
     vc = long.groupBy("variable", "value").agg(F.count(F.lit(1)).alias("cnt"))
     moments = long.groupBy("variable").agg(F.count(F.lit(1)).alias("_n"), F.avg("value").alias("_mean"), F.stddev_samp("value").alias("_sd"),
                                            F.var_pop("value").alias("_vp"))

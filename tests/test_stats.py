@@ -469,3 +469,45 @@ def test_normality_and_qq_run_without_python(spark):
     assert "Python" not in plan and "Pandas" not in plan
     got = {r["variable"]: r for r in RP.normality(df, ["a", "b"]).collect()}
     assert 0.9 < got["a"]["shapiro_stat"] < 0.97 and got["b"]["shapiro_p"] < 1e-8
+
+
+def test_cleaning_in_two_writes_gives_the_rows_of_the_lazy_plan(spark):
+    import datetime as dt
+    from salescope.operators import clean as C
+    from salescope.schema import CLEAN_REQUIRED
+    row = {c: None for c in CLEAN_REQUIRED}
+    rows = [{**row, "ts": dt.datetime(2020, 1 + i % 5, 1), "channel": "A", "sku": i, "units": 1 + i % 4, "discount": None if i % 3 else i / 100,
+             "amount": 10.0 + (i * 37 % 23), "receipt": i, "store": 1, "customer_id": None if i % 11 == 0 else f"c{i * i % 7}",
+             "birth_date": dt.date(1990, 1, 1) if i % 4 else None if i % 8 else dt.date(1850, 1, 1), "gender": 1} for i in range(60)]
+    types = {"ts": "timestamp", "sku": "long", "units": "long", "discount": "double", "amount": "double", "receipt": "long", "store": "long",
+             "birth_date": "date", "gender": "int"}
+    df = spark.createDataFrame(rows, ", ".join(f"`{c}` {types.get(c, 'string')}" for c in row))
+    plain = lambda d: sorted(tuple(round(v, 9) if isinstance(v, float) else str(v) for v in r) for r in d.collect())
+    lazy, cut = C.clean(df), C.clean(df, cut_lineage=True)
+    assert lazy.columns == cut.columns and len(plain(cut)) > 40 and plain(lazy) == plain(cut)
+    counts = C.customer_counts(df)
+    want = C.moments(C.purchase_frequency(df), ["purchase_frequency"]).first()
+    assert C.frequency_moments(counts).first() == pytest.approx(tuple(want))
+    same = C.frequency_moments(counts.withColumn("purchase_frequency", F.lit(3).cast("long"))).first()
+    assert same[1] == 0.0
+
+
+def test_a_split_orders_one_range_of_hashes_only(spark):
+    from salescope.operators import model as M
+    df = spark.range(3000).select((F.col("id") % 900).alias("k"))  # keys come more than once
+    h = df.withColumn("_h", M.hash_key(["k"]))
+    ordered = sorted(r["_h"] for r in h.collect())
+    for rows in (1, 2, 900, 2999, 3000, 9999):
+        cut = M._cut(h, F.lit(rows))
+        want = ordered[min(rows, 3000) - 1]
+        assert tuple(cut.first()) == (want, ordered.index(want))
+    assert M._cut(h, F.lit(0)).first()["_cut"] is None and M._cut(h.limit(0), F.lit(5)).first()["_cut"] is None
+    assert "percentile_approx" not in cut._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_bounds_and_rows_read_one_shuffle_of_the_counts(spark):
+    from salescope.operators.ranks import quantile_row
+    row = quantile_row(spark.range(2000).select((F.col("id") % 700).cast("double").alias("x")), "x", [0.5], ["m"])
+    assert row.first()["m"] == 333.0
+    row.collect()
+    assert "ReusedExchange" in row._jdf.queryExecution().executedPlan().toString()
