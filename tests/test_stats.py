@@ -475,7 +475,7 @@ def test_cleaning_in_two_writes_gives_the_rows_of_the_lazy_plan(spark):
     import datetime as dt
     from salescope.operators import clean as C
     from salescope.schema import CLEAN_REQUIRED
-    row = {c: None for c in CLEAN_REQUIRED}
+    row = {c: "x" for c in CLEAN_REQUIRED}
     rows = [{**row, "ts": dt.datetime(2020, 1 + i % 5, 1), "channel": "A", "sku": i, "units": 1 + i % 4, "discount": None if i % 3 else i / 100,
              "amount": 10.0 + (i * 37 % 23), "receipt": i, "store": 1, "customer_id": None if i % 11 == 0 else f"c{i * i % 7}",
              "birth_date": dt.date(1990, 1, 1) if i % 4 else None if i % 8 else dt.date(1850, 1, 1), "gender": 1} for i in range(60)]
