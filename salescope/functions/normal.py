@@ -27,7 +27,8 @@ def _table(fn, low: float, high: float, pieces: int) -> list[float]:
     width, out = (high - low) / pieces, []
     for k in range(pieces):
         values = [fn(low + width * (k + (u + 1) / 2)) for u in nodes]
-        out += np.polynomial.chebyshev.cheb2poly(np.polynomial.chebyshev.chebfit(nodes, values, _DEGREE)).tolist()
+        powers = np.polynomial.chebyshev.cheb2poly(np.polynomial.chebyshev.chebfit(nodes, values, _DEGREE)).tolist()
+        out += powers + [0.0] * (_DEGREE + 1 - len(powers))  # numpy leaves out last coefficients that are exactly 0
     return out
 
 

@@ -511,3 +511,9 @@ def test_bounds_and_rows_read_one_shuffle_of_the_counts(spark):
     assert row.first()["m"] == 333.0
     row.collect()
     assert "ReusedExchange" in row._jdf.queryExecution().executedPlan().toString()
+
+
+def test_tables_keep_coefficients_that_are_zero():
+    from salescope.functions import normal as ND
+    assert len(ND._table(lambda x: 0.0, 0.0, 1.0, 3)) == 3 * (ND._DEGREE + 1)
+    assert len(ND._TAIL) == 48 * (ND._DEGREE + 1) and len(ND._QUANTILE) == 96 * (ND._DEGREE + 1)
