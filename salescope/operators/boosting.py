@@ -1,7 +1,8 @@
 """Histogram gradient boosting with trees grown leaf by leaf.
 
-The training rows are cut into blocks: each feature becomes one byte a row (its
-quantile bin) and the target eight, so that a pass over them is cheap.  One
+The training rows are cut into blocks: each feature becomes its quantile bin and
+the target a whole number, so that a pass over them is cheap.  Features of few
+bins share a two-byte code (``Packing``): sums by code give those by bin.  One
 pass adds up, for every open leaf, feature and bin, the residuals and the rows;
 only these sums (leaves x features x bins) leave the executors.  The driver
 splits the leaf of the largest gain first, up to ``leaves``; as the gain of a
@@ -11,9 +12,11 @@ of at most ``GATHER`` rows the rows themselves are fetched, and the tree below i
 is grown from them in the same way without further passes.
 
 Residuals are summed as integers (``SCALE``), which makes the sums exact: the
-model does not depend on how the rows are partitioned.  Losses are squared
-errors.  All training rows are used; boosting ends after ``rounds``, or when
-``patience`` rounds in a row have not lowered the loss by ``tol`` (relative).
+model does not depend on how the rows are partitioned, and the sums of all rows
+behind a tree, with their loss, follow from those of its leaves without a pass.
+Losses are squared errors.  All training rows are used; boosting ends after
+``rounds``, or when ``patience`` rounds in a row have not lowered the loss by
+``tol`` (relative).
 
 The blocks with their residuals are kept in memory and on disk as an RDD, the
 one place where passes of arrays over arrays need it (a pass as a DataFrame
@@ -24,8 +27,9 @@ its blocks.
 
 from __future__ import annotations
 
+import functools
 import heapq
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Container, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -39,13 +43,21 @@ from salescope.operators.ranks import cumulative_counts
 from salescope.session import written
 
 SCALE = float(1 << 24)
-#: Rows of training data that make it worth another task.
-ROWS_PER_TASK = 1_000_000
+#: Rows of training data that make it worth another task, until all cores have one.
+ROWS_PER_TASK = 100_000
+#: Rows that a task has at most where there are more of them than cores.
+MOST_ROWS = 4_000_000
 #: Rows of a leaf that are brought together; all leaves of a tree hold at most ``leaves`` times as many.
-GATHER = 1 << 14
+GATHER = 1 << 16
+#: Rows of a block, about.
+BLOCK_ROWS = 1 << 14
+#: Values of the code that features of few bins share.
+CODES = 1 << 12
+#: Partitions whose sums the driver adds up itself.
+DIRECT = 32
 #: Rounds between two checkpoints of the residuals.
 CUT = 30
-_BLOCK = "rows int, bins binary, resid binary"
+_BLOCK = "rows int, codes binary, resid binary"
 
 
 @dataclass
@@ -109,27 +121,143 @@ def bin_bounds(train: DataFrame, features: Sequence[str], bins: int = 255) -> li
     return [np.sort(found.value[found.feature == k].to_numpy(dtype=np.float64)) for k in range(len(features))]
 
 
-def _blocks(train: DataFrame, features: Sequence[str], target: Column, bounds: list[np.ndarray], base: float) -> DataFrame:
+class Packing:
+    """Features, of ``sizes`` bins each, as columns of codes: features whose sizes multiply to at most ``CODES`` share one."""
+
+    def __init__(self, sizes: Sequence[int]) -> None:
+        self.sizes, self.groups, self.values = list(sizes), [], []
+        for j in sorted(range(len(sizes)), key=lambda j: -sizes[j]):
+            c = next((c for c, n in enumerate(self.values) if n * sizes[j] <= CODES), len(self.values))
+            if c == len(self.values):
+                self.groups.append([])
+                self.values.append(1)
+            self.groups[c].append(j)
+            self.values[c] *= sizes[j]
+        self.column = {j: c for c, group in enumerate(self.groups) for j in group}
+
+    def codes(self, bins: np.ndarray) -> np.ndarray:
+        """Codes (columns x rows) of ``bins`` (features x rows)."""
+        out = np.zeros((len(self.groups), bins.shape[1]), dtype=np.uint16)
+        for c, group in enumerate(self.groups):
+            for j in group:
+                out[c] = out[c] * np.uint16(self.sizes[j]) + bins[j]
+        return out
+
+    def bins(self, feature: int) -> np.ndarray:
+        """Bin of ``feature`` for each code of its column."""
+        group = self.groups[c := self.column[feature]]
+        behind = int(np.prod([self.sizes[j] for j in group[group.index(feature) + 1:]], dtype=np.int64))
+        return np.arange(self.values[c]) // behind % self.sizes[feature]
+
+    def sums(self, by_code: list[np.ndarray]) -> np.ndarray:
+        """Sums by bin, feature after feature, of sums by code for each column."""
+        out: list[np.ndarray] = [None] * len(self.sizes)
+        for group, sums in zip(self.groups, by_code, strict=True):
+            cube = sums.reshape([self.sizes[j] for j in group])
+            for at, j in enumerate(group):
+                out[j] = cube.sum(axis=tuple(i for i in range(len(group)) if i != at))
+        return np.concatenate(out)
+
+    def table(self, sums: np.ndarray) -> np.ndarray:
+        """The same as features x bins, zero beyond a feature's last bin."""
+        out = np.zeros((len(self.sizes), max(self.sizes)))
+        out[np.arange(max(self.sizes)) < np.array(self.sizes)[:, None]] = sums
+        return out
+
+    def counted(self, codes: np.ndarray, resid: np.ndarray, rows: np.ndarray | None = None) -> tuple[list, list]:
+        """Sums of the residuals, and the rows, by code for each column; of ``rows`` (default: all)."""
+        whole = (resid if rows is None else resid[rows]).astype(np.float64)
+        g, n = [], []
+        for column, values in zip(codes, self.values, strict=True):
+            code = (column if rows is None else column[rows]).astype(np.intp)
+            g.append(np.bincount(code, whole, values))
+            n.append(np.bincount(code, minlength=values))
+        return g, n
+
+
+def _narrow(resid: np.ndarray) -> np.ndarray:
+    """The residuals in four bytes each, if they fit."""
+    small = np.iinfo(np.int32)
+    return resid.astype(np.int32) if not len(resid) or (resid.min() >= small.min and resid.max() <= small.max) else resid
+
+
+def _blocks(train: DataFrame, features: Sequence[str], target: Column, bounds: list[np.ndarray], base: float,
+            packing: Packing) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes, resid, held = [], [], 0
         for batch in batches:
             columns = [c.to_numpy(zero_copy_only=False).astype(np.float64) for c in batch.columns]
-            resid = np.rint((columns[-1] - base) * SCALE).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([
-                pa.array([batch.num_rows], pa.int32()), pa.array([binned(bounds, columns[:-1]).tobytes()], pa.binary()),
-                pa.array([resid.tobytes()], pa.binary())], names=["rows", "bins", "resid"])
+            codes.append(packing.codes(binned(bounds, columns[:-1])))
+            resid.append(np.rint((columns[-1] - base) * SCALE).astype(np.int64))
+            held += batch.num_rows
+            if held >= BLOCK_ROWS:
+                yield packed(codes, resid, held)
+                codes, resid, held = [], [], 0
+        if held:
+            yield packed(codes, resid, held)
+
+    def packed(codes: list, resid: list, rows: int) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([
+            pa.array([rows], pa.int32()), pa.array([np.concatenate(codes, axis=1).tobytes()], pa.binary()),
+            pa.array([np.concatenate(resid).tobytes()], pa.binary())], names=["rows", "codes", "resid"])
 
     rows = train.select(*(F.col(c).cast("double").alias(f"x{k}") for k, c in enumerate(features)), target.alias("y"))
     return rows.mapInArrow(run, _BLOCK)
 
 
 def _unpacked(row) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(row["bins"], dtype=np.uint8).reshape(-1, row["rows"]), np.frombuffer(row["resid"], dtype=np.int64)
+    return np.frombuffer(row["codes"], dtype=np.uint16).reshape(-1, row["rows"]), _narrow(np.frombuffer(row["resid"], dtype=np.int64))
 
 
-def _stepped(blocks: RDD, tree: Tree) -> RDD:
+def _rows_at(tree: Tree, nodes: Sequence[int], packing: Packing) -> Callable[[np.ndarray], Iterator[tuple]]:
+    """Function that gives, of a block's codes, each of the ``nodes`` with its rows (None: all)."""
+    above = {child: node for node, feature in enumerate(tree.feature) if feature >= 0 for child in (tree.left[node], tree.right[node])}
+    wanted, leads = set(nodes), set()
+    for node in nodes:
+        while node not in leads:
+            leads.add(node)
+            node = above.get(node, node)
+    down = {node: (packing.column[tree.feature[node]], packing.bins(tree.feature[node]) <= tree.cut[node]) for node in leads - wanted}
+
+    def parts(codes: np.ndarray) -> Iterator[tuple]:
+        open_ = [(0, None)] if leads else []
+        while open_:
+            node, rows = open_.pop()
+            if node in wanted:
+                yield node, rows
+                continue
+            column, goes = down[node]
+            left = goes[codes[column] if rows is None else codes[column][rows]]
+            for child, side in ((tree.left[node], left), (tree.right[node], ~left)):
+                if child in leads:
+                    open_.append((child, np.flatnonzero(side) if rows is None else rows[side]))
+
+    return parts
+
+
+def _steps(tree: Tree) -> np.ndarray:
+    """What the tree's nodes take off the residuals."""
+    return np.rint(np.array(tree.value) * SCALE).astype(np.int64)
+
+
+def _stepped(blocks: RDD, tree: Tree, packing: Packing) -> RDD:
     """The blocks with the tree's values taken off the residuals."""
-    steps = np.rint(np.array(tree.value) * SCALE).astype(np.int64)
-    return blocks.map(lambda block: (block[0], block[1] - steps[leaf_of(tree, block[0])]))
+    steps, leaves = _steps(tree), [node for node, feature in enumerate(tree.feature) if feature < 0]
+
+    def run(part: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        rows_at = _rows_at(tree, leaves, packing)
+        for codes, resid in part:
+            resid = resid.astype(np.int64)
+            for node, rows in rows_at(codes):
+                resid[slice(None) if rows is None else rows] -= steps[node]
+            yield codes, _narrow(resid)
+
+    return blocks.mapPartitions(run)
+
+
+def _squares(blocks: RDD) -> int:
+    """Sum of all squared residuals, exact."""
+    return blocks.map(lambda block: sum(int(r) ** 2 for r in block[1].tolist())).sum()
 
 
 @dataclass
@@ -138,53 +266,55 @@ class Leaf:
 
     g: np.ndarray
     n: np.ndarray
-    bins: np.ndarray | None = None
+    codes: np.ndarray | None = None
     resid: np.ndarray | None = None
 
     @staticmethod
-    def of_rows(bins: np.ndarray, resid: np.ndarray, width: int) -> Leaf:
-        whole = resid.astype(np.float64)
-        g = np.stack([np.bincount(b, whole, width) for b in bins]) / SCALE
-        return Leaf(g, np.stack([np.bincount(b, minlength=width) for b in bins]), bins, resid)
-
-    def children(self, feature: int, cut: int) -> tuple[Leaf, Leaf]:
-        down = self.bins[feature] <= cut
-        return tuple(Leaf.of_rows(self.bins[:, side], self.resid[side], self.g.shape[1]) for side in (down, ~down))
-
-
-def _fetched(blocks: RDD, tree: Tree, wanted: list[int], small: list[int], k: int, width: int) -> tuple[dict[int, Leaf], float]:
-    """Sums of the ``wanted`` leaves, rows of the ``small`` ones, and the sum of all squared residuals."""
-    cells = k * width
-    slot = np.full(len(tree.feature), -1)
-    slot[wanted + small] = np.arange(len(wanted) + len(small))
-    size = len(wanted) * cells
+    def of_sums(packing: Packing, g: np.ndarray, n: np.ndarray, *rows: np.ndarray) -> Leaf:
+        return Leaf(packing.table(g) / SCALE, packing.table(n), *rows)
 
+    @staticmethod
+    def of_rows(packing: Packing, codes: np.ndarray, resid: np.ndarray) -> Leaf:
+        return Leaf.of_sums(packing, *map(packing.sums, packing.counted(codes, resid)), codes, resid)
+
+    def children(self, packing: Packing, feature: int, cut: int) -> tuple[Leaf, Leaf]:
+        """Both sides of a split; of the larger one the sums are what the smaller one leaves."""
+        down = (packing.bins(feature) <= cut)[self.codes[packing.column[feature]]]
+        sides = [(self.codes[:, side], self.resid[side]) for side in (down, ~down)]
+        less = int(len(sides[1][1]) < len(sides[0][1]))
+        out: list[Leaf] = [None, None]
+        out[less] = Leaf.of_rows(packing, *sides[less])
+        out[1 - less] = Leaf(self.g - out[less].g, self.n - out[less].n, *sides[1 - less])
+        return out[0], out[1]
+
+
+def _fetched(blocks: RDD, tree: Tree, wanted: list[int], small: list[int], packing: Packing) -> dict[int, Leaf]:
+    """Sums of the ``wanted`` leaves and rows of the ``small`` ones."""
     def sums(part: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple]:
-        out, loss, rows = np.zeros((2, size)), 0.0, []
-        for bins, whole in part:
-            at = slot[leaf_of(tree, bins)]
-            loss += np.square(whole / SCALE).sum()
-            kept = at >= len(wanted)
-            if kept.any():
-                rows.append((at[kept], bins[:, kept], whole[kept]))
-            mine = (at >= 0) & ~kept
-            if mine.any():
-                resid, at = whole[mine].astype(np.float64), at[mine] * cells
-                for j in range(k):
-                    cell = at + bins[j][mine].astype(np.int64) + j * width
-                    out[0] += np.bincount(cell, resid, size)
-                    out[1] += np.bincount(cell, minlength=size)
-        yield out, loss, rows
+        rows_at, few = _rows_at(tree, [*wanted, *small], packing), set(small)
+        found = {node: [[np.zeros(v) for v in packing.values] for _ in range(2)] for node in wanted}
+        kept = {node: [] for node in small}
+        for codes, resid in part:
+            for node, rows in rows_at(codes):
+                if node in few:
+                    kept[node].append((codes, resid) if rows is None else (codes[:, rows], resid[rows]))
+                else:
+                    for mine, more in zip(found[node], packing.counted(codes, resid, rows), strict=True):
+                        for column, add in zip(mine, more, strict=True):
+                            column += add
+        yield {node: np.stack([packing.sums(x) for x in mine]) for node, mine in found.items()}, kept
+
+    def add(a: tuple, b: tuple) -> tuple:
+        return {node: a[0][node] + b[0][node] for node in wanted}, {node: a[1][node] + b[1][node] for node in small}
 
     # Whole numbers below 2**53: their sums are exact in any order.
-    out, loss, rows = blocks.mapPartitions(sums).treeReduce(lambda a, b: (a[0] + b[0], a[1] + b[1], a[2] + b[2]))
-    g, n = (out[0] / SCALE).reshape(-1, k, width), out[1].reshape(-1, k, width)
-    found = {node: Leaf(g[i], n[i]) for i, node in enumerate(wanted)}
-    none = (np.zeros(0, dtype=np.int64), np.zeros((k, 0), dtype=np.uint8), np.zeros(0, dtype=np.int64))
-    at, bins, resid = (np.concatenate(x, axis=-1) for x in zip(none, *rows, strict=True))
-    for i, node in enumerate(small, len(wanted)):
-        found[node] = Leaf.of_rows(bins[:, at == i], resid[at == i], width)
-    return found, float(loss)
+    parts = blocks.mapPartitions(sums)
+    totals, rows = functools.reduce(add, parts.collect()) if blocks.getNumPartitions() <= DIRECT else parts.treeReduce(add)
+    found = {node: Leaf.of_sums(packing, *totals[node]) for node in wanted}
+    none = (np.zeros((len(packing.groups), 0), dtype=np.uint16), np.zeros(0, dtype=np.int64))
+    for node in small:
+        found[node] = Leaf.of_rows(packing, *(np.concatenate(x, axis=-1) for x in zip(none, *rows[node], strict=True)))
+    return found
 
 
 def best_split(g: np.ndarray, n: np.ndarray, l2: float, min_leaf: int) -> tuple[float, int, int] | None:
@@ -199,14 +329,13 @@ def best_split(g: np.ndarray, n: np.ndarray, l2: float, min_leaf: int) -> tuple[
     return (float(gain[feature, cut]), feature, cut) if gain[feature, cut] > 0 else None
 
 
-def grow(fetch, rows: int, rate: float, leaves: int, l2: float, min_leaf: int) -> tuple[Tree, float]:
-    """One tree over ``rows`` rows, and the loss before it.
+def grow(fetch, root: Leaf, rate: float, leaves: int, l2: float, min_leaf: int, packing: Packing) -> tuple[Tree, dict[int, Leaf]]:
+    """One tree below ``root``, and what is known of the leaves that it ends in.
 
-    ``fetch(tree, wanted, small)`` gives the leaves ``wanted`` with their sums, the ``small`` ones with their rows, and the loss.
+    ``fetch(tree, wanted, small)`` gives the leaves ``wanted`` with their sums and the ``small`` ones with their rows.
     """
     tree = Tree()
-    root = [tree.add(0.0)]
-    known, loss = fetch(tree, *([], root) if rows <= GATHER else (root, []))
+    known = {tree.add(0.0): root}
     open_, below = [], {}  # a heap of (-gain, node, feature, cut); the children of the nodes that are split
 
     def consider(node: int) -> None:
@@ -225,13 +354,13 @@ def grow(fetch, rows: int, rate: float, leaves: int, l2: float, min_leaf: int) -
     final = {0}
     while open_ and len(final) < leaves:
         top = open_[0]
-        if top[1] not in below and known[top[1]].bins is not None:
-            known.update(zip(divide(*top[1:]), known[top[1]].children(*top[2:]), strict=True))
+        if top[1] not in below and known[top[1]].codes is not None:
+            known.update(zip(divide(*top[1:]), known[top[1]].children(packing, *top[2:]), strict=True))
         elif top[1] not in below:
             # One pass for all leaves that can still be split, were nothing better found below them.
             wanted, small, rest = [], [], []
             for _, node, feature, cut in heapq.nsmallest(leaves - len(final), open_):
-                if node not in below and known[node].bins is None:
+                if node not in below and known[node].codes is None:
                     n = known[node].n[feature]
                     children = sorted(zip((n[:cut + 1].sum(), n[cut + 1:].sum()), divide(node, feature, cut), strict=True))
                     if children[0][0] > GATHER:
@@ -239,7 +368,7 @@ def grow(fetch, rows: int, rate: float, leaves: int, l2: float, min_leaf: int) -
                         rest.append((node, children[0][1], children.pop()[1]))
                     for size, child in children:
                         (small if size <= GATHER else wanted).append(child)
-            known.update(fetch(tree, wanted, small)[0])
+            known.update(fetch(tree, wanted, small))
             for node, lesser, larger in rest:
                 known[larger] = Leaf(known[node].g - known[lesser].g, known[node].n - known[lesser].n)
         heapq.heappop(open_)
@@ -247,10 +376,10 @@ def grow(fetch, rows: int, rate: float, leaves: int, l2: float, min_leaf: int) -
         final.update(below[top[1]])
         for child in below[top[1]]:
             consider(child)
-    return pruned(tree, final), loss
+    return tree, {node: known[node] for node in final}
 
 
-def pruned(tree: Tree, final: set[int]) -> Tree:
+def pruned(tree: Tree, final: Container[int]) -> Tree:
     """The tree down to the leaves in ``final``."""
     out = Tree()
 
@@ -278,28 +407,50 @@ def fit(train: DataFrame, features: Sequence[str], target: Column, rounds: int =
     model.bounds = bin_bounds(train, features, bins) if features else []
     if not first["n"] or not features or not any(len(b) > 1 for b in model.bounds):
         return model
-    packed = written(_blocks(train, features, target, model.bounds, model.base), "training-blocks")
-    # Few rows go to one task, many to as many as they need, whatever the scan's splits were.
-    tasks = max(1, first["n"] // ROWS_PER_TASK)
+    packing = Packing([max(len(b), 1) for b in model.bounds])
+    packed = written(_blocks(train, features, target, model.bounds, model.base, packing), "training-blocks")
+    tasks = _tasks(first["n"], packed.sparkSession.sparkContext.defaultParallelism)
     held = (packed.coalesce(1) if tasks == 1 else packed.repartition(tasks)).rdd.map(_unpacked).persist(StorageLevel.MEMORY_AND_DISK)
-    width, best, since, old = max(len(b) for b in model.bounds), np.inf, 0, None
+    loss, root = _squares(held), None
+    best, since, old = np.inf, 0, None
     for done in range(rounds):
-        tree, loss = grow(lambda *ask, h=held: _fetched(h, *ask, len(features), width), first["n"], rate, leaves, l2, min_leaf)
-        if old is not None:
-            old.unpersist()
-        model.losses.append(loss / first["n"])
+        model.losses.append(loss / SCALE ** 2 / first["n"])
         since = 0 if loss < best * (1 - tol) else since + 1
         best = min(best, loss)
-        if since >= patience or len(tree.feature) == 1:
+        if since >= patience:
             break
+        fetch = lambda *ask, h=held: _fetched(h, *ask, packing)
+        if root is None:
+            root = fetch(Tree([-1]), *([], [0]) if first["n"] <= GATHER else ([0], []))[0]
+        whole, final = grow(fetch, root, rate, leaves, l2, min_leaf, packing)
+        if old is not None:
+            old.unpersist()
+            old = None
+        if len(final) == 1:
+            break
+        tree = pruned(whole, final)
         model.trees.append(tree)
-        old, held = held, _stepped(held, tree).persist(StorageLevel.MEMORY_AND_DISK)
+        steps = _steps(whole)
+        for node, leaf in final.items():
+            step, n, total = int(steps[node]), int(leaf.n[0].sum()), int(leaf.g[0].sum() * SCALE)
+            loss += step * (n * step - 2 * total)
+        # Behind the tree, every leaf's residuals are less by its step.
+        root = None if root.codes is not None else Leaf(
+            sum(leaf.g - steps[node] / SCALE * leaf.n for node, leaf in final.items()), root.n)
+        old, held = held, _stepped(held, tree, packing).persist(StorageLevel.MEMORY_AND_DISK)
         if (done + 1) % CUT == 0:
             held.checkpoint()
-    held.unpersist()
+    for blocks in (old, held):
+        if blocks is not None:
+            blocks.unpersist()
     return model
 
 
+def _tasks(rows: int, cores: int) -> int:
+    """Tasks for the training rows: few rows go to one, more to as many as there are cores, many to a multiple of them."""
+    return max(1, min(rows // ROWS_PER_TASK, cores * -(-rows // (cores * MOST_ROWS))))
+
+
 def predict(df: DataFrame, model: BoostedTrees, out: str = "prediction") -> DataFrame:
     """``df`` with the model's value of each row."""
     if not model.trees:

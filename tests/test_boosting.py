@@ -119,3 +119,47 @@ def test_one_of_two_large_children_is_summed(spark, monkeypatch):
     model = B.fit(frame(spark, x, x[:, 0] + (x[:, 1] > 20) + rng.random(300)), ["x0", "x1"], F.col("y"), rounds=1, leaves=8, min_leaf=5)
     nodes = sum(f < 0 for f in model.trees[0].feature) * 2 - 1
     assert nodes > 8 and sum(asked) <= 1 + sum(2 ** k for k in range(len(asked) - 1))
+
+
+def test_all_rows_are_summed_once(spark, monkeypatch):
+    """Sums and loss behind a tree follow from its leaves: only the first tree asks for the root, and losses are exact."""
+    monkeypatch.setattr(B, "GATHER", 0)
+    asked, fetched = [], B._fetched
+
+    def counted(blocks, tree, wanted, *rest):
+        asked.append(list(wanted))
+        return fetched(blocks, tree, wanted, *rest)
+
+    monkeypatch.setattr(B, "_fetched", counted)
+    rng = np.random.default_rng(6)
+    x = rng.integers(0, 30, (400, 3)).astype(float)
+    y = x[:, 0] + (x[:, 1] > 20) * 3 + rng.random(400)
+    model = B.fit(frame(spark, x, y), ["x0", "x1", "x2"], F.col("y"), rounds=4, leaves=6)
+    assert asked.count([0]) == 1 and len(model.trees) == 4
+    bins = B.binned(model.bounds, list(x.T))
+    resid = np.rint((y - model.base) * B.SCALE).astype(np.int64)
+    for tree, loss in zip(model.trees, model.losses, strict=True):
+        assert loss == sum(int(r) ** 2 for r in resid) / B.SCALE ** 2 / len(y)
+        resid -= np.rint(np.array(tree.value) * B.SCALE).astype(np.int64)[B.leaf_of(tree, bins)]
+
+
+def test_features_of_few_bins_share_a_code():
+    rng = np.random.default_rng(7)
+    sizes = [50, 11, 255, 2, 1, 12, 7, 2, 255]
+    packing = B.Packing(sizes)
+    assert len(packing.groups) < 5 and max(packing.values) <= B.CODES
+    assert sorted(j for group in packing.groups for j in group) == list(range(len(sizes)))
+    bins = np.stack([rng.integers(0, n, 3000) for n in sizes]).astype(np.uint8)
+    resid = rng.integers(-10 ** 9, 10 ** 9, 3000)
+    codes = packing.codes(bins)
+    for rows in (None, np.flatnonzero(bins[0] < 20)):
+        g, n = (packing.table(packing.sums(x)) for x in packing.counted(codes, resid, rows))
+        at = slice(None) if rows is None else rows
+        for j in range(len(sizes)):
+            assert (packing.bins(j)[codes[packing.column[j]]] == bins[j]).all()
+            assert (n[j] == np.bincount(bins[j][at], minlength=255)).all()
+            assert (g[j] == np.bincount(bins[j][at], resid[at].astype(float), 255)).all()
+
+
+def test_tasks_for_all_cores():
+    assert [B._tasks(n, 8) for n in (0, 99_999, 250_000, 2_500_000, 40_000_000, 150_000_000)] == [1, 1, 2, 8, 16, 40]
