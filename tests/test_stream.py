@@ -5,6 +5,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
+from salescope.sources.sinks import write_dealt_lines
 from salescope.streaming.validate_stream import validate_stream
 from tests.test_validate import FIXTURE
 
@@ -45,3 +46,22 @@ def test_stream_routes_every_line_once(spark):
     more = validate_stream(spark, f"{d}/in", f"{d}/out", f"{d}/chk")
     assert more.agg(F.sum("read"), F.sum("valid")).first()[:] == (29, 13)
     assert spark.read.parquet(f"{d}/out/valid").where("product LIKE 'DOS%'").first()["product"] == 'DOS\nLINEAS; "X"'
+
+
+def test_lines_are_dealt_without_an_exchange(spark, monkeypatch):
+    """A task writes its own files, each with a heading, packed; the stream reads them as it reads plain ones."""
+    d = tempfile.mkdtemp(prefix="salescope-dealt-")
+    head, *lines = FIXTURE.strip("\n").split("\n")
+    rows = spark.createDataFrame([(k % 3, x) for k, x in enumerate(lines)], "file long, line string").repartition(2)
+    monkeypatch.setattr(type(rows), "repartition", None)
+    write_dealt_lines(rows, f"{d}/in", "file", [0, 1, 2], head, compression="lz4")
+    files = [f"{p}/{f}" for p, _, names in os.walk(f"{d}/in") for f in names if f.startswith("part-")]
+    assert len(files) == 6 and all(f.endswith(".lz4") for f in files)
+    first = {spark.read.text(f).first()[0] for f in files}
+    assert first == {head}
+    assert sorted(r[0] for r in spark.read.text(f"{d}/in").select("value").collect()) == sorted([head] * 6 + lines)
+    stored = []
+    monkeypatch.setattr(type(rows), "persist", lambda self, *level: stored.append(level) or self)
+    totals = validate_stream(spark, f"{d}/in/*", f"{d}/out", f"{d}/chk", max_files_per_trigger=3)
+    assert totals.agg(F.sum("read"), F.sum("valid"), F.sum("discarded"), F.count("*")).first()[:] == (28, 12, 16, 2)
+    assert not stored
