@@ -52,3 +52,17 @@ def test_ranges(spark, start, end):
 def test_a_range_that_ends_before_it_starts(spark):
     with pytest.raises(ValueError):
         day_cells(sales(spark, 5, 3), VARS, tuples=VARS).between("2024-05-02", "2024-05-01")
+
+
+def test_only_the_cells_asked_for_are_stored(monkeypatch):
+    """Indicators need no tuples, and no table of all checked lines."""
+    from salescope.plans import catalog as CA
+
+    class Cells:
+        def stored(self, store):
+            return [store(name, name) for name in ("moments", "members", "values", "tuples")]
+
+    monkeypatch.setattr(CA.DC, "day_cells", lambda df: Cells())
+    monkeypatch.setattr(CA, "clean_sales", lambda *a, **k: None)
+    monkeypatch.setattr(CA, "written_table", lambda spark, name, d, build, by: f"stored {name}")
+    assert CA._day_cells(None, "d", "moments", "values") == ["stored day-moments", "members", "stored day-values", "tuples"]

@@ -255,3 +255,14 @@ def test_shuffles_begin_with_partitions_by_input_size(spark):
     assert spark.conf.get(name) == "101"
     shuffle_by_size(spark, 0)
     assert spark.conf.get(name, None) is None
+
+
+def test_discarded_lines_are_those_of_the_first_failure(spark):
+    """Only the rows that fail are given, with the rules run once."""
+    lines = FIXTURE.strip("\n").split("\n")[1:]
+    records = spark.createDataFrame(list(enumerate(lines, 1)), "record_no long, line string")
+    want = V.first_failure(records).where("fail_field IS NOT NULL").select("record_no", "fail_field", "fail_rule", "fail_value")
+    got = V.discarded(records)
+    assert got.columns == want.columns and sorted(got.collect()) == sorted(want.collect()) and got.count() == 16
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter" not in plan and plan.count("edad_fuera_de_rango") == 1
