@@ -65,3 +65,9 @@ def test_lines_are_dealt_without_an_exchange(spark, monkeypatch):
     totals = validate_stream(spark, f"{d}/in/*", f"{d}/out", f"{d}/chk", max_files_per_trigger=3)
     assert totals.agg(F.sum("read"), F.sum("valid"), F.sum("discarded"), F.count("*")).first()[:] == (28, 12, 16, 2)
     assert not stored
+
+
+def test_intermediate_tables_are_packed(spark):
+    from salescope.session import written
+    files = [f for _, _, names in os.walk(written(spark.range(9), "packed").inputFiles()[0].removeprefix("file://").rpartition("/")[0]) for f in names]
+    assert any(f.endswith(".zstd.parquet") for f in files)
